@@ -10,25 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from coverloom.operators import quality, slicing, terms
-from coverloom.operators.staging import Staged, stage
+from coverloom.operators.staging import Staged
 from coverloom.plans import analyst, dashboard, marts
+from coverloom.schemas import RAW_SCHEMAS
 from coverloom.session import tune
-from coverloom.sources import order_tables as source
+from coverloom.sources.order_tables import AS_OF, OrderTables
 from oracle import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
-AS_OF = source.AS_OF
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> Staged:
-    return stage(source.raw_tables(spark, sf_dir), AS_OF)
+    return Staged(OrderTables(spark, sf_dir), AS_OF)
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> quality.Tables:
-    raw = source.raw_tables(spark, sf_dir)
-    s = stage(raw, AS_OF)
+    s = _staged(spark, sf_dir)
     return {
-        **{name: (lambda frame=frame: frame) for name, frame in raw.named().items()},
+        **{table: (lambda table=table: s.raw[table]) for table in RAW_SCHEMAS},
         "dim_agents": lambda: marts.dim_agents(s),
         "fct_payments": lambda: marts.fct_payments(s),
         "fct_member_churn": lambda: marts.fct_member_churn(s),
@@ -48,6 +47,10 @@ def _shown(query: Query) -> Query:
     return run
 
 
+def _on_raw(build: Callable[[OrderTables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(OrderTables(spark, sf_dir))
+
+
 def _on_staged(build: Callable[[Staged], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_staged(spark, sf_dir))
 
@@ -56,15 +59,15 @@ def _on_checks(build: Callable[[quality.Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_tables(spark, sf_dir))
 
 
-def _policy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.policy_terms(source.signed_policies(spark, sf_dir)).select(
+def _policy_terms(raw: OrderTables) -> DataFrame:
+    return terms.policy_terms(raw.signed_policies).select(
         "policy_id", "signed_on", "term_months", "plan_type", "effective_date", "expiry_date", "monthly_premium",
         "annual_premium", "commission_rate", "monthly_commission",
     )
 
 
-def _cancellation_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.cancellation_terms(source.cancelled_policies(spark, sf_dir)).select(
+def _cancellation_terms(raw: OrderTables) -> DataFrame:
+    return terms.cancellation_terms(raw.cancelled_policies).select(
         "cancellation_id", "policy_id", "effective_date", "cancellation_date", "cancellation_reason",
         "monthly_premium", "months_active", "lifetime_value", "was_payment_failure",
     )
@@ -88,13 +91,13 @@ def _scorecard(s: Staged) -> DataFrame:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         # raw tables and contract arithmetic
-        "raw_agents": source.raw_agents,
-        "raw_members": source.raw_members,
-        "raw_policies": source.raw_policies,
-        "raw_payments": source.raw_payments,
-        "raw_cancellations": source.raw_cancellations,
-        "policy_terms": _policy_terms,
-        "cancellation_terms": _cancellation_terms,
+        "raw_agents": _on_raw(lambda raw: raw.agents),
+        "raw_members": _on_raw(lambda raw: raw.members),
+        "raw_policies": _on_raw(lambda raw: raw.policies),
+        "raw_payments": _on_raw(lambda raw: raw.payments),
+        "raw_cancellations": _on_raw(lambda raw: raw.cancellations),
+        "policy_terms": _on_raw(_policy_terms),
+        "cancellation_terms": _on_raw(_cancellation_terms),
         "billing_schedule": _on_staged(lambda s: terms.billing_schedule(s.policies, AS_OF)),
         # staging
         "stg_agents": _on_staged(lambda s: s.agents),

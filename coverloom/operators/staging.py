@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from coverloom.schemas import (
     MONEY,
     OLDEST_BUCKET,
     RATE,
+    RAW_SCHEMAS,
     TIER_RANK,
 )
 from coverloom.sources.raw import RawTables
@@ -124,22 +125,34 @@ def stage_cancellations(raw: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Staged:
-    agents: DataFrame
-    members: DataFrame
-    policies: DataFrame
-    payments: DataFrame
-    cancellations: DataFrame
-    as_of: date
-
-
-def stage(raw: RawTables, as_of: date) -> Staged:
-    return Staged(
-        agents=stage_agents(raw.agents, as_of),
-        members=stage_members(raw.members, as_of),
-        policies=stage_policies(raw.policies, as_of),
-        payments=stage_payments(raw.payments),
-        cancellations=stage_cancellations(raw.cancellations),
-        as_of=as_of,
-    )
+    """The five staged tables, each built on first use."""
+
+    def __init__(self, raw: RawTables, as_of: date):
+        self.raw = raw
+        self.as_of = as_of
+
+    @cached_property
+    def agents(self) -> DataFrame:
+        return stage_agents(self.raw.agents, self.as_of)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return stage_members(self.raw.members, self.as_of)
+
+    @cached_property
+    def policies(self) -> DataFrame:
+        return stage_policies(self.raw.policies, self.as_of)
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return stage_payments(self.raw.payments)
+
+    @cached_property
+    def cancellations(self) -> DataFrame:
+        return stage_cancellations(self.raw.cancellations)
+
+    def register_views(self, prefix: str = "stg_") -> None:
+        """Staging views, usable from ``spark.sql``."""
+        for table in RAW_SCHEMAS:
+            getattr(self, table).createOrReplaceTempView(prefix + table)

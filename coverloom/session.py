@@ -31,6 +31,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Fixed when the session starts. Plans here have hundreds of column expressions; recording
+# the Python line of each one takes longer than planning them.
+START_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 TARGET_PARTITION_BYTES = 192 * 1024 * 1024
 
 
@@ -48,14 +55,14 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
 
 def open_session(
     app: str = "coverloom", master: str | None = None, input_bytes: int | None = None, cores: int = 8,
-    **settings: str,
+    settings: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     if input_bytes is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
-    for key, value in settings.items():
+    for key, value in {**START_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

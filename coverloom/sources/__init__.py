@@ -1,5 +1,5 @@
 """Readers for the five raw tables and the store the marts are written to."""
 
-from coverloom.sources.raw import RawTables, read_raw
+from coverloom.sources.raw import GivenTables, RawTables, read_raw
 
-__all__ = ["RawTables", "read_raw"]
+__all__ = ["GivenTables", "RawTables", "read_raw"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,6 @@ TERM_BY_PRIORITY = {"1": 6, "2": 12, "3": 12, "4": 24, "5": 36}
 STATUS_BY_FLAG = {"F": "Cancelled", "O": "Expired", "P": "Active"}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _padded(prefix: str, width: int, key: Column) -> Column:
     # lpad() also cuts: keys wider than the pad keep all their digits.
     text = key.cast("string")
@@ -53,157 +50,162 @@ def _shaped(frame: DataFrame, table: str) -> DataFrame:
     return frame.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMAS[table].fields])
 
 
-def raw_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
-    tier = choose(
-        [(key % 10 <= 3, "Bronze"), (key % 10 <= 6, "Silver"), (key % 10 <= 8, "Gold")], "Platinum"
-    )
-    return _shaped(
-        _table(spark, sf_dir, "supplier").select(
-            _padded("AGT", 6, key).alias("agent_id"),
-            F.concat(F.lit("  "), "s_name", F.lit(" ")).alias("agent_name"),
-            F.concat(F.lit(" Agency "), nation.cast("string")).alias("agency_name"),
-            _state(nation).alias("state"),
-            F.concat(F.lit("Agent"), key.cast("string"), F.lit("@Example.com")).alias("email"),
-            F.lit(None).alias("phone"),
-            F.date_add(F.lit(date(1990, 1, 5)), (key * 37 % 1900).cast("int")).alias("hire_date"),
-            (key % 8 != 0).alias("is_active"),
-            tier.alias("tier"),
-        ),
-        "agents",
-    )
-
-
-def _member_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """c_custkey with the member columns policies need."""
-    suppliers = _table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
-    key = F.col("c_custkey")
-    return _table(spark, sf_dir, "customer").select(
-        "*",
-        _padded("MEM", 9, key).alias("member_id"),
-        _padded("AGT", 6, key % (suppliers - 1)).alias("agent_id"),
-        lookup(F.col("c_nationkey") % 3, CARRIERS).alias("carrier"),
-        lookup(F.col("c_mktsegment"), PLAN_BY_SEGMENT, OTHER_PLAN).alias("plan_type"),
-    )
-
-
-def raw_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _shaped(
-        _member_keys(spark, sf_dir).select(
-            "member_id",
-            F.lit(" Customer").alias("first_name"),
-            F.concat(F.substring("c_name", 10, 1000), F.lit(" ")).alias("last_name"),
-            F.concat(F.lower("c_name"), F.lit("@Example.com")).alias("email"),
-            F.lit(None).alias("phone"),
-            F.date_add(F.lit(date(1935, 1, 1)), (key * 7919 % 24000).cast("int")).alias("dob"),
-            _state(F.col("c_nationkey")).alias("state"),
-            _padded("", 5, key * 13 % 100000).alias("zip_code"),
-            F.date_add(F.lit(date(1994, 6, 15)), (key % 180).cast("int")).alias("enrollment_date"),
-            "agent_id", "carrier", "plan_type",
-        ),
-        "members",
-    )
-
-
-def signed_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as signed contracts, before their terms are worked out."""
-    members = _member_keys(spark, sf_dir).select("c_custkey", "member_id", "agent_id", "carrier", "plan_type")
-    key = F.col("o_orderkey")
-    base_cents = lookup(F.col("plan_type"), {p: int(v * 100) for p, v in LIST_PREMIUMS.items()}).cast("bigint")
-    cents = F.floor(base_cents * (key % 101 + 950) / 1000)
-    status = choose(
-        [(key % 33 == 0, "Pending"), *[(F.col("o_orderstatus") == k, v) for k, v in STATUS_BY_FLAG.items()]], None
-    )
-    return (
-        _table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-        .join(members, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            "o_orderkey",
-            _padded("POL", 9, key).alias("policy_id"),
-            "member_id", "agent_id", "carrier", "plan_type",
-            F.to_date("o_orderdate").alias("signed_on"),
-            lookup(F.substring("o_orderpriority", 1, 1), TERM_BY_PRIORITY).cast("bigint").alias("term_months"),
-            (cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast(MONEY).alias("monthly_premium"),
-            status.alias("status"),
+class OrderTables(RawTables):
+    """The raw tables over one folder of order-processing tables. Every source file is opened
+    once, and frames that several tables share are built once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._dir = sf_dir
+        self._opened: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._opened[name]
+
+    @cached_property
+    def agents(self) -> DataFrame:
+        key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+        tier = choose(
+            [(key % 10 <= 3, "Bronze"), (key % 10 <= 6, "Silver"), (key % 10 <= 8, "Gold")], "Platinum"
+        )
+        return _shaped(
+            self._table("supplier").select(
+                _padded("AGT", 6, key).alias("agent_id"),
+                F.concat(F.lit("  "), "s_name", F.lit(" ")).alias("agent_name"),
+                F.concat(F.lit(" Agency "), nation.cast("string")).alias("agency_name"),
+                _state(nation).alias("state"),
+                F.concat(F.lit("Agent"), key.cast("string"), F.lit("@Example.com")).alias("email"),
+                F.lit(None).alias("phone"),
+                F.date_add(F.lit(date(1990, 1, 5)), (key * 37 % 1900).cast("int")).alias("hire_date"),
+                (key % 8 != 0).alias("is_active"),
+                tier.alias("tier"),
+            ),
+            "agents",
+        )
+
+    @cached_property
+    def _member_keys(self) -> DataFrame:
+        """c_custkey with the member columns policies need."""
+        suppliers = self._table("supplier").agg(F.count(F.lit(1))).scalar()
+        key = F.col("c_custkey")
+        return self._table("customer").select(
+            "*",
+            _padded("MEM", 9, key).alias("member_id"),
+            _padded("AGT", 6, key % (suppliers - 1)).alias("agent_id"),
+            lookup(F.col("c_nationkey") % 3, CARRIERS).alias("carrier"),
+            lookup(F.col("c_mktsegment"), PLAN_BY_SEGMENT, OTHER_PLAN).alias("plan_type"),
+        )
+
+    @cached_property
+    def members(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return _shaped(
+            self._member_keys.select(
+                "member_id",
+                F.lit(" Customer").alias("first_name"),
+                F.concat(F.substr("c_name", F.lit(10)), F.lit(" ")).alias("last_name"),
+                F.concat(F.lower("c_name"), F.lit("@Example.com")).alias("email"),
+                F.lit(None).alias("phone"),
+                F.date_add(F.lit(date(1935, 1, 1)), (key * 7919 % 24000).cast("int")).alias("dob"),
+                _state(F.col("c_nationkey")).alias("state"),
+                _padded("", 5, key * 13 % 100000).alias("zip_code"),
+                F.date_add(F.lit(date(1994, 6, 15)), (key % 180).cast("int")).alias("enrollment_date"),
+                "agent_id", "carrier", "plan_type",
+            ),
+            "members",
+        )
+
+    @cached_property
+    def signed_policies(self) -> DataFrame:
+        """Orders as signed contracts, before their terms are worked out."""
+        members = self._member_keys.select("c_custkey", "member_id", "agent_id", "carrier", "plan_type")
+        key = F.col("o_orderkey")
+        base_cents = lookup(F.col("plan_type"), {p: int(v * 100) for p, v in LIST_PREMIUMS.items()}).cast("bigint")
+        cents = F.floor(base_cents * (key % 101 + 950) / 1000)
+        status = choose(
+            [(key % 33 == 0, "Pending"), *[(F.col("o_orderstatus") == k, v) for k, v in STATUS_BY_FLAG.items()]], None
+        )
+        return (
+            self._table("orders")
+            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+            .join(members, F.col("o_custkey") == F.col("c_custkey"))
+            .select(
+                "o_orderkey",
+                _padded("POL", 9, key).alias("policy_id"),
+                "member_id", "agent_id", "carrier", "plan_type",
+                F.to_date("o_orderdate").alias("signed_on"),
+                lookup(F.substring("o_orderpriority", 1, 1), TERM_BY_PRIORITY).cast("bigint").alias("term_months"),
+                (cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast(MONEY).alias("monthly_premium"),
+                status.alias("status"),
+            )
+        )
+
+    @cached_property
+    def policies(self) -> DataFrame:
+        return _shaped(policy_terms(self.signed_policies), "policies")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        policies = policy_terms(self.signed_policies).filter(F.col("status") != "Pending")
+        failed = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.085)
+        late = (F.col("l_returnflag") == "A") & (F.col("l_discount") > 0.075)
+        status = choose([(failed, "Failed"), (late, "Paid_Late")], "Paid")
+        quantity = F.col("l_quantity").cast("int")
+        paid = choose(
+            [
+                (F.col("payment_status") == "Paid", F.date_add("due_date", quantity % 4)),
+                (F.col("payment_status") == "Paid_Late", F.date_add("due_date", quantity % 27 + 4)),
+            ],
+            None,
+        )
+        number = F.concat_ws(
+            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").cast("string")
+        )
+        return _shaped(
+            self._table("lineitem")
+            .select(
+                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag",
+                "l_discount",
+            )
+            .join(policies, F.col("l_orderkey") == F.col("o_orderkey"))
+            .withColumn("due_date", F.add_months("effective_date", F.col("l_linenumber") - 1))
+            .withColumn("payment_status", status)
+            .select(
+                F.concat(F.lit("PAY"), number).alias("payment_id"),
+                "policy_id", "member_id", "due_date",
+                paid.alias("paid_date"),
+                F.col("monthly_premium").alias("amount_due"),
+                F.when(F.col("payment_status") == "Failed", F.lit(0).cast(MONEY))
+                .otherwise(F.col("monthly_premium")).alias("amount_paid"),
+                "payment_status",
+                lookup(F.col("l_suppkey") % 3, METHODS).alias("payment_method"),
+                "carrier", "plan_type",
+            ),
+            "payments",
+        )
+
+    @cached_property
+    def cancelled_policies(self) -> DataFrame:
+        key, slot = F.col("o_orderkey"), F.col("o_orderkey") % 20
+        reason = choose(
+            [
+                (slot <= 6, "NON_PAYMENT"), (slot <= 11, "member_request"), (slot <= 14, "employer_change"),
+                (slot <= 16, "moved_out_of_area"), (slot <= 18, "plan_upgrade"),
+            ],
+            "deceased",
         )
-    )
-
-
-def raw_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shaped(policy_terms(signed_policies(spark, sf_dir)), "policies")
-
-
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    policies = policy_terms(signed_policies(spark, sf_dir)).filter(F.col("status") != "Pending")
-    failed = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.085)
-    late = (F.col("l_returnflag") == "A") & (F.col("l_discount") > 0.075)
-    status = choose([(failed, "Failed"), (late, "Paid_Late")], "Paid")
-    quantity = F.col("l_quantity").cast("int")
-    paid = choose(
-        [
-            (F.col("payment_status") == "Paid", F.date_add("due_date", quantity % 4)),
-            (F.col("payment_status") == "Paid_Late", F.date_add("due_date", quantity % 27 + 4)),
-        ],
-        None,
-    )
-    number = F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").cast("string")
-    )
-    return _shaped(
-        _table(spark, sf_dir, "lineitem")
-        .select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag",
-            "l_discount",
+        return (
+            policy_terms(self.signed_policies)
+            .filter(F.col("status") == "Cancelled")
+            .withColumns({
+                "cancellation_id": _padded("CAN", 9, key),
+                "cancellation_date": F.date_add("effective_date", (key * 31 % 300).cast("int") + 30),
+                "cancellation_reason": reason,
+            })
         )
-        .join(policies, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("due_date", F.add_months("effective_date", F.col("l_linenumber") - 1))
-        .withColumn("payment_status", status)
-        .select(
-            F.concat(F.lit("PAY"), number).alias("payment_id"),
-            "policy_id", "member_id", "due_date",
-            paid.alias("paid_date"),
-            F.col("monthly_premium").alias("amount_due"),
-            F.when(F.col("payment_status") == "Failed", F.lit(0).cast(MONEY))
-            .otherwise(F.col("monthly_premium")).alias("amount_paid"),
-            "payment_status",
-            lookup(F.col("l_suppkey") % 3, METHODS).alias("payment_method"),
-            "carrier", "plan_type",
-        ),
-        "payments",
-    )
-
-
-def cancelled_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, slot = F.col("o_orderkey"), F.col("o_orderkey") % 20
-    reason = choose(
-        [
-            (slot <= 6, "NON_PAYMENT"), (slot <= 11, "member_request"), (slot <= 14, "employer_change"),
-            (slot <= 16, "moved_out_of_area"), (slot <= 18, "plan_upgrade"),
-        ],
-        "deceased",
-    )
-    return (
-        policy_terms(signed_policies(spark, sf_dir))
-        .filter(F.col("status") == "Cancelled")
-        .withColumns({
-            "cancellation_id": _padded("CAN", 9, key),
-            "cancellation_date": F.date_add("effective_date", (key * 31 % 300).cast("int") + 30),
-            "cancellation_reason": reason,
-        })
-    )
-
-
-def raw_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shaped(cancellation_terms(cancelled_policies(spark, sf_dir)), "cancellations")
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(
-        agents=raw_agents(spark, sf_dir),
-        members=raw_members(spark, sf_dir),
-        policies=raw_policies(spark, sf_dir),
-        payments=raw_payments(spark, sf_dir),
-        cancellations=raw_cancellations(spark, sf_dir),
-    )
+
+    @cached_property
+    def cancellations(self) -> DataFrame:
+        return _shaped(cancellation_terms(self.cancelled_policies), "cancellations")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,20 +11,32 @@ from coverloom.schemas import RAW_SCHEMAS
 BAD_RECORD = "_bad_record"
 
 
-@dataclass(frozen=True)
 class RawTables:
+    """The five raw tables by name: ``agents members policies payments cancellations``."""
+
     agents: DataFrame
     members: DataFrame
     policies: DataFrame
     payments: DataFrame
     cancellations: DataFrame
 
-    def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in RAW_SCHEMAS:
+            raise KeyError(table)
+        return getattr(self, table)
 
     def register_views(self, prefix: str = "raw_") -> None:
-        for name, frame in self.named().items():
-            frame.createOrReplaceTempView(prefix + name)
+        for table in RAW_SCHEMAS:
+            self[table].createOrReplaceTempView(prefix + table)
+
+
+class GivenTables(RawTables):
+    """Raw tables from frames that exist already."""
+
+    def __init__(self, **frames: DataFrame):
+        if set(frames) != set(RAW_SCHEMAS):
+            raise ValueError(f"expected the tables {sorted(RAW_SCHEMAS)}")
+        vars(self).update(frames)
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -72,4 +82,4 @@ def read_raw(spark: SparkSession, base: str, fmt: str = "parquet") -> RawTables:
             return read_csv(spark, f"{base}/{table}.csv", table)
         return spark.read.schema(RAW_SCHEMAS[table]).parquet(f"{base}/{table}.parquet")
 
-    return RawTables(**{table: one(table) for table in RAW_SCHEMAS})
+    return GivenTables(**{table: one(table) for table in RAW_SCHEMAS})
