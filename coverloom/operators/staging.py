@@ -84,7 +84,8 @@ def stage_policies(raw: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def stage_payments(raw: DataFrame) -> DataFrame:
+def stage_payments(raw: DataFrame, *extra: str) -> DataFrame:
+    """``extra`` names columns of the feed to pass through, such as a load time."""
     due, paid, status = F.col("due_date").cast("date"), F.col("paid_date").cast("date"), F.lower("payment_status")
     billed, received = F.col("amount_due").cast(MONEY), F.col("amount_paid").cast(MONEY)
     return raw.select(
@@ -103,6 +104,7 @@ def stage_payments(raw: DataFrame) -> DataFrame:
         F.year(due).cast("bigint").alias("due_year"),
         F.month(due).cast("bigint").alias("due_month"),
         period_of(due).alias("due_period"),
+        *extra,
     )
 
 
@@ -152,6 +154,12 @@ class Staged:
     def cancellations(self) -> DataFrame:
         return stage_cancellations(self.raw.cancellations)
 
+    def with_payments(self, payments: DataFrame) -> Staged:
+        """The same tables over other staged payments: stored ones, or single months."""
+        other = Staged(self.raw, self.as_of)
+        vars(other).update({**vars(self), "payments": payments})
+        return other
+
     def register_views(self, prefix: str = "stg_") -> None:
         """Staging views, usable from ``spark.sql``."""
         for table in RAW_SCHEMAS:

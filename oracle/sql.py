@@ -338,6 +338,8 @@ FINAL["dim_agents"] = shown("da", "total_monthly_premium", "total_monthly_commis
 FINAL["fct_payments"] = shown("fp", "amount_due", "amount_paid", "payment_gap", "commission_earned")
 FINAL["fct_member_churn"] = shown("fc", "lifetime_value", "monthly_premium", "annualized_revenue_lost")
 FINAL["agent_commission_summary"] = shown("cs", *SUMMARY_MONEY)
+FINAL["incr_payments"] = FINAL["fct_payments"]
+FINAL["incr_commission_summary"] = FINAL["agent_commission_summary"]
 FINAL["agent_commission_summary_monthly"] = shown("cm", *SUMMARY_MONEY)
 
 # analyst questions
