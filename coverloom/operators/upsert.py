@@ -36,7 +36,10 @@ def upsert_payments(store: Store, batch: DataFrame) -> list[str | None]:
     """
     spark = store.spark
     if not store.exists("payments"):
-        store.replace("payments", newest(batch))
+        rows = newest(batch)
+        if rows.isEmpty():
+            return []
+        store.replace("payments", rows)
         return _in_order(store.months("payments"))
 
     # The batch is used several times below: write it once where all executors can read it.

@@ -16,17 +16,21 @@ class _StoredFacts:
     """Summaries out of stored facts: no fact is computed twice in one build."""
 
     def __init__(self, store: Store, s: Staged):
-        self.payments = store.read("fct_payments")
-        self.churned = marts.churned_by_agent(store.read("fct_member_churn"))
+        self.payments = store.read("fct_payments", schema=marts.fct_payments(s).schema)
+        self.churn = store.read("fct_member_churn", schema=marts.fct_member_churn(s).schema)
         self.agents = s.agents
 
     def by_carrier(self) -> DataFrame:
         billed = marts.billed_by_agent_from_fact(self.payments, "carrier")
-        return marts.commission_summary(billed, self.churned, self.agents)
+        return marts.commission_summary(billed, marts.churned_by_agent(self.churn), self.agents)
 
     def by_month(self) -> DataFrame:
         billed = marts.billed_by_agent_from_fact(self.payments)
-        return marts.commission_summary_monthly(billed, self.churned, self.agents)
+        return marts.commission_summary_monthly(billed, marts.churned_by_agent(self.churn), self.agents)
+
+    def churn_months(self, periods: Iterable[str | None]) -> set[str | None]:
+        hit = self.churn.filter(in_periods("cancel_period", periods)).select("cancel_period").distinct()
+        return {row[0] for row in hit.collect()}
 
 
 def build(store: Store, s: Staged) -> None:
@@ -41,20 +45,23 @@ def build(store: Store, s: Staged) -> None:
 
 def refresh(store: Store, s: Staged, periods: Iterable[str | None]) -> None:
     """Rewrites the payment fact and both summaries for some months of the stored payments.
-    The churn fact and the agent dimension follow with the next full build."""
+    The churn fact and the agent dimension follow with the next full build; if there was none
+    yet, this is it."""
     periods = list(periods)
     if not periods:
         return
+    if not store.exists("fct_payments"):
+        return build(store, s.with_payments(stored_payments(store)))
     billed = store.months("payments", periods)
     month = s.with_payments(stored_payments(store, periods))
     store.replace_periods("fct_payments", marts.fct_payments(month), periods, billed)
     facts = _StoredFacts(store, s)
     # The month filter passes through the aggregations to the stored partitions.
     wanted = in_periods("period", periods)
-    churned = store.months("fct_member_churn", periods)
     store.replace_periods("agent_commission_summary", facts.by_carrier().filter(wanted), periods, billed)
     store.replace_periods(
-        "agent_commission_summary_monthly", facts.by_month().filter(wanted), periods, billed | churned
+        "agent_commission_summary_monthly", facts.by_month().filter(wanted), periods,
+        billed | facts.churn_months(periods),
     )
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from coverloom.schemas import RAW_SCHEMAS
 
@@ -40,35 +43,52 @@ class GivenTables(RawTables):
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw CSV with a header and quoted fields. A row that does not fit the schema
-    stops the job: a silent NULL would turn into a wrong label in staging."""
+    """One raw CSV with a header and quoted fields. A value that does not fit its column
+    stops the job that uses it: a silent NULL would turn into a wrong label in staging."""
     return _csv(spark, table).option("mode", "FAILFAST").schema(RAW_SCHEMAS[table]).csv(path)
 
 
 def read_csv_split(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """Dirty feeds: (rows that fit the schema, rejected lines as text)."""
-    schema = StructType([*RAW_SCHEMAS[table].fields, StructField(BAD_RECORD, StringType(), True)])
+    """Dirty feeds: (rows that fit the schema, rejected rows as the text that came).
+
+    Everything is read as text and each value is tried against its type, because the CSV
+    reader converts, and so checks, only the columns a query happens to use.
+    """
+    typed = RAW_SCHEMAS[table].fields
+    text = StructType([StructField(f.name, StringType(), True) for f in typed])
     rows = (
         _csv(spark, table)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .schema(schema)
+        .schema(text.add(BAD_RECORD, StringType(), True))
         .csv(path)
     )
-    good = rows.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
-    # Selecting a payload column too: Spark does not parse at all for the reject column alone.
-    first = RAW_SCHEMAS[table].fieldNames()[0]
-    bad = rows.filter(F.col(BAD_RECORD).isNotNull()).select(F.col(first), F.col(BAD_RECORD))
-    return good, bad
+    misfit = reduce(or_, [_misfit(f) for f in typed], F.col(BAD_RECORD).isNotNull())
+    good = rows.filter(~misfit).select(*[F.col(f.name).cast(f.dataType) for f in typed])
+    return good, rows.filter(misfit)
+
+
+def _misfit(field: StructField) -> Column:
+    value = F.col(field.name)
+    if isinstance(field.dataType, BooleanType):
+        # A cast would also take "yes", "t" or "1".
+        fits = F.lower(value).isin("true", "false")
+    else:
+        fits = value.try_cast(field.dataType).isNotNull()
+    return value.isNotNull() & ~fits
 
 
-def _csv(spark: SparkSession, table: str):
+def _csv(spark: SparkSession, table: str) -> DataFrameReader:
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
+        # Names may hold line breaks inside quotes; the large tables have no free text, and
+        # without this their files can be split.
         .option("multiLine", table in ("agents", "members"))
+        # Lines with too few or too many fields show up only if whole lines are parsed.
+        .option("columnPruning", False)
     )
 
 

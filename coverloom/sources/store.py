@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Table -> month column it is partitioned by; other tables are one unit.
 PARTITIONS = {
@@ -29,9 +30,13 @@ class Store:
         files, path = self._hadoop(self.path(table))
         return files.exists(path)
 
-    def read(self, table: str, periods: Iterable[str | None] | None = None) -> DataFrame:
-        """The table, or only the month partitions named: the others are not listed or read."""
-        frame = self.spark.read.parquet(self.path(table))
+    def read(
+        self, table: str, periods: Iterable[str | None] | None = None, schema: StructType | None = None
+    ) -> DataFrame:
+        """The table, or only the month partitions named: the files of the others are not read.
+        A table that may be empty needs its ``schema``, for lack of a file to take it from."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        frame = reader.parquet(self.path(table))
         return frame if periods is None else frame.filter(in_periods(PARTITIONS[table], periods))
 
     def replace(self, table: str, frame: DataFrame) -> None:
