@@ -36,10 +36,9 @@ def upsert_payments(store: Store, batch: DataFrame) -> list[str | None]:
     """
     spark = store.spark
     if not store.exists("payments"):
-        rows = newest(batch)
-        if rows.isEmpty():
+        if batch.isEmpty():
             return []
-        store.replace("payments", rows)
+        store.replace("payments", newest(batch))
         return _in_order(store.months("payments"))
 
     # The batch is used several times below: write it once where all executors can read it.
