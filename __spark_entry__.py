@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from coverloom.operators import quality, slicing, terms
+from coverloom.operators.enrich import with_member_context
 from coverloom.operators.staging import Staged, stage_payments
 from coverloom.operators.upsert import VERSION, upsert_payments
 from coverloom.plans import analyst, dashboard, marts, warehouse
@@ -77,7 +78,7 @@ def _cancellation_terms(raw: OrderTables) -> DataFrame:
 
 def _sliced_revenue(s: Staged) -> DataFrame:
     sliced = slicing.slice_by(
-        marts.fct_payments(s), "due_date", date(1997, 1, 1), date(2000, 12, 31), carriers=["MetLife", "VSP"],
+        with_member_context(s.payments, s.members, s.agents), "due_date", date(1997, 1, 1), date(2000, 12, 31), carriers=["MetLife", "VSP"],
         plan_types=["Dental Basic", "Vision Premium", "Dental+Vision Bundle"], tiers=["silver", "gold", "platinum"],
         states=["IN", "OH", "TX", "CA", "FL"],
     )
@@ -85,9 +86,16 @@ def _sliced_revenue(s: Staged) -> DataFrame:
 
 
 def _scorecard(s: Staged) -> DataFrame:
-    return dashboard.agent_scorecard(
-        marts.agent_commission_summary_monthly(s), marts.dim_agents(s), s.policies, AS_OF
-    )
+    year = marts.agent_commission_summary_monthly(slicing.calendar_year(s, AS_OF))
+    return dashboard.agent_scorecard(year, marts.dim_agents(s), s.policies, AS_OF)
+
+
+def _top_agents(s: Staged) -> DataFrame:
+    return analyst.top_agents(marts.agent_commission_summary(slicing.calendar_year(s, AS_OF)), AS_OF)
+
+
+def _churn_risk(s: Staged) -> DataFrame:
+    return analyst.churn_risk(s.payments, s.members, s.agents, AS_OF)
 
 
 FIRST_LOAD_ENDS = date(2000, 1, 1)
@@ -146,14 +154,14 @@ def queries() -> dict[str, Query]:
         "dim_agents": _on_staged(marts.dim_agents),
         "fct_payments": _on_staged(marts.fct_payments),
         "fct_member_churn": _on_staged(marts.fct_member_churn),
-        "agent_commission_summary": _on_staged(marts.agent_commission_summary),
+        "agent_commission_summary": _on_staged(lambda s: marts.in_report_order(marts.agent_commission_summary(s))),
         "agent_commission_summary_monthly": _on_staged(marts.agent_commission_summary_monthly),
         # analyst questions
         "q1_monthly_revenue": _on_staged(lambda s: analyst.monthly_revenue(s.payments)),
-        "q2_top_agents": _on_staged(lambda s: analyst.top_agents(marts.agent_commission_summary(s), AS_OF)),
+        "q2_top_agents": _on_staged(_top_agents),
         "q3_churn_by_reason": _on_staged(lambda s: analyst.churn_by_reason(marts.priced_cancellations(s))),
         "q4_eligibility_gap": _on_staged(lambda s: analyst.eligibility_gap(s.payments, s.cancellations, AS_OF)),
-        "q5_churn_risk": _on_staged(lambda s: analyst.churn_risk(s.payments, s.members, s.agents, AS_OF)),
+        "q5_churn_risk": _on_staged(_churn_risk),
         "q6_carrier_revenue": _on_staged(lambda s: analyst.carrier_revenue(marts.priced_payments(s))),
         # dashboard datasets
         "d1_exec_kpis": _on_staged(lambda s: dashboard.exec_kpis(marts.priced_payments(s), s.policies, AS_OF)),
@@ -167,11 +175,12 @@ def queries() -> dict[str, Query]:
         "d9_churn_rate_plan": _on_staged(lambda s: dashboard.churn_rate_by_plan(s.cancellations, s.policies)),
         "d10_churn_monthly": _on_staged(lambda s: dashboard.churn_monthly(s.cancellations)),
         "d11_churn_state": _on_staged(lambda s: dashboard.churn_by_state(s.cancellations, s.members)),
+        "d11_churn_risk_state": _on_staged(lambda s: dashboard.risk_by_state(_churn_risk(s))),
         "d12_early_cancel": _on_staged(lambda s: dashboard.early_cancel_watchlist(marts.fct_member_churn(s))),
         "d13_freshness": _on_staged(lambda s: dashboard.freshness(s.payments, "due_date", AS_OF)),
         "sliced_revenue": _on_staged(_sliced_revenue),
         "agent_book": _on_staged(
-            lambda s: slicing.agent_book(marts.fct_payments(s), s.agents, viewer_email="Agent7@Example.com")
+            lambda s: marts.fct_payments(slicing.payments_of_agent(s, viewer_email="Agent7@Example.com"))
         ),
         # data checks
         **{

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coverloom.operators.staging import Staged
+
 
 def in_dates(frame: DataFrame, column: str, start: date | None = None, end: date | None = None) -> DataFrame:
     """Rows with ``start <= column <= end``, as plain comparisons that reach the Parquet scan."""
@@ -39,6 +41,22 @@ def slice_by(
 
 
 def agent_book(frame: DataFrame, agents: DataFrame, viewer_email: str) -> DataFrame:
-    """The rows of ``frame`` that belong to the agent who is looking at it."""
-    viewer = agents.filter(F.col("email") == viewer_email.lower()).select("agent_id")
-    return frame.join(viewer, "agent_id", "left_semi")
+    """The rows of a stored table with agent_id that belong to the agent looking at it."""
+    return frame.join(_viewer(agents, viewer_email), "agent_id", "left_semi").select(*frame.columns)
+
+
+def payments_of_agent(s: Staged, viewer_email: str) -> Staged:
+    """The staged tables with the viewer's payments only. Restricting the members first means
+    that building a mart from the result joins one agent's payments, not everyone's."""
+    own = s.members.select("member_id", "agent_id").join(_viewer(s.agents, viewer_email), "agent_id", "left_semi")
+    return s.with_payments(s.payments.join(own.select("member_id"), "member_id", "left_semi"))
+
+
+def _viewer(agents: DataFrame, email: str) -> DataFrame:
+    return agents.filter(F.col("email") == email.lower()).select("agent_id")
+
+
+def calendar_year(s: Staged, day: date) -> Staged:
+    """The staged tables with the payments of one calendar year. A plain date range reaches
+    the scan, which a filter on the derived year does not."""
+    return s.with_payments(in_dates(s.payments, "due_date", date(day.year, 1, 1), date(day.year, 12, 31)))

@@ -28,11 +28,13 @@ def newest(batch: DataFrame) -> DataFrame:
     )
 
 
-def upsert_payments(store: Store, batch: DataFrame) -> list[str | None]:
+def upsert_payments(store: Store, batch: DataFrame, due_dates_change: bool = True) -> list[str | None]:
     """Merges staged payments (with ``loaded_at``) into the stored table ``payments``.
 
     Returns the touched months: those of the batch, and those that earlier versions of its
     rows were stored under, since a corrected due date moves a payment to another month.
+    Finding these takes a look at three narrow columns of all months; a feed that never
+    changes due dates can say so, and then no month but its own is read at all.
     """
     spark = store.spark
     if not store.exists("payments"):
@@ -46,8 +48,8 @@ def upsert_payments(store: Store, batch: DataFrame) -> list[str | None]:
     newest(batch).write.parquet(kept_at)
     incoming = spark.read.parquet(kept_at)
 
-    # A narrow look at all months for the ids of the batch: three columns, no full rows.
-    known = store.read("payments").select("payment_id", F.col(VERSION).alias("_known"), "due_period")
+    own = None if due_dates_change else [r[0] for r in incoming.select("due_period").distinct().collect()]
+    known = store.read("payments", own).select("payment_id", F.col(VERSION).alias("_known"), "due_period")
     stored = known.join(incoming.select("payment_id", VERSION), "payment_id")
     outdated = stored.filter(F.col("_known") > F.col(VERSION)).select("payment_id")
     fresh = incoming.join(outdated, "payment_id", "left_anti")

@@ -233,6 +233,15 @@ def churn_by_state(cancellations: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+def risk_by_state(risk: DataFrame) -> DataFrame:
+    """D11. Members at risk of churn per state and tier, from the answer to Q5."""
+    return (
+        risk.groupBy("state", "churn_risk_tier")
+        .agg(F.count_distinct("member_id").alias("members_at_risk"))
+        .orderBy("state", "churn_risk_tier")
+    )
+
+
 def early_cancel_watchlist(churn: DataFrame) -> DataFrame:
     """D12. Members who left within the first months, from the churn fact."""
     return churn.filter("is_early_cancel").select(

@@ -234,6 +234,11 @@ def commission_summary_monthly(billed: DataFrame, churned: DataFrame, agents: Da
     )
 
 
+def in_report_order(summary: DataFrame) -> DataFrame:
+    """Newest month first, best earners on top. For showing; a stored table has no order."""
+    return summary.orderBy(F.desc("period"), F.desc_nulls_last("total_commission_earned"), "agent_id")
+
+
 def agent_commission_summary(s: Staged) -> DataFrame:
     return commission_summary(
         billed_by_agent(s, "carrier"), churned_by_agent(priced_cancellations(s)), s.agents

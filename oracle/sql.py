@@ -435,6 +435,9 @@ FINAL["d11_churn_state"] = f"""
 SELECT state, coalesce(c, 0) AS churned, coalesce(m, 0) AS total_members, {pct('coalesce(c, 0)', 'm')} AS churn_rate_pct
 FROM (SELECT state, count(*) AS m FROM sm GROUP BY 1) FULL JOIN
      (SELECT state, count(*) AS c FROM fc GROUP BY 1) USING (state)"""
+FINAL["d11_churn_risk_state"] = f"""
+SELECT state, churn_risk_tier, count(DISTINCT member_id) AS members_at_risk
+FROM ({FINAL['q5_churn_risk']}) GROUP BY 1, 2"""
 FINAL["d12_early_cancel"] = """
 SELECT cancellation_id, member_name, plan_type, agent_name, months_active, cancellation_reason AS reason,
        CAST(lifetime_value AS DOUBLE) AS ltv_lost

@@ -5,8 +5,8 @@ import pytest
 
 from conftest import AS_OF, one, rows
 
-from coverloom.operators.slicing import agent_book, slice_by
-from coverloom.plans import dashboard, marts
+from coverloom.operators.slicing import agent_book, calendar_year, payments_of_agent, slice_by
+from coverloom.plans import analyst, dashboard, marts
 
 D = Decimal
 
@@ -189,3 +189,26 @@ def test_agent_sees_own_book_only(staged):
     fact = marts.fct_payments(s)
     assert rows(agent_book(fact, s.agents, "Bea@X.com"), "payment_id") == [("2",)]
     assert agent_book(fact, s.agents, "nobody@x.com").count() == 0
+    assert rows(marts.fct_payments(payments_of_agent(s, "Bea@X.com"))) == rows(agent_book(fact, s.agents, "bea@x.com"))
+
+
+def test_risk_by_state(staged):
+    s = staged(
+        members=[dict(member_id="M1"), dict(member_id="M2"), dict(member_id="M3", state="tx")],
+        payments=[
+            dict(payment_id=f"{m}{i}", member_id=m, payment_status="failed")
+            for m, n in (("M1", 1), ("M2", 1), ("M3", 2)) for i in range(n)
+        ],
+    )
+    risk = analyst.churn_risk(s.payments, s.members, s.agents, AS_OF)
+    assert rows(dashboard.risk_by_state(risk)) == [("OH", "medium_risk", 2), ("TX", "high_risk", 1)]
+
+
+def test_calendar_year_changes_nothing_but_the_scan(staged):
+    days = [date(2023, 12, 31), date(2024, 1, 1), date(2024, 12, 31), date(2025, 1, 1)]
+    s = staged(payments=[dict(payment_id=str(d), due_date=d) for d in days])
+    year = calendar_year(s, AS_OF)
+    assert rows(year.payments, "due_date") == [(d,) for d in days[1:3]]
+    assert rows(analyst.top_agents(marts.agent_commission_summary(year), AS_OF)) == rows(
+        analyst.top_agents(marts.agent_commission_summary(s), AS_OF)
+    )

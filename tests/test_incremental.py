@@ -65,6 +65,15 @@ def test_moved_due_date_leaves_no_copy_behind(store, batch):
     assert stored(store) == [("a", "2024-07", "paid", 2), ("b", "2024-05", "paid", 1)]
 
 
+def test_feed_with_fixed_due_dates_reads_its_own_months_only(store, batch):
+    upsert_payments(store, batch(1, dict(payment_id="a"), dict(payment_id="b", due_date=date(2024, 5, 1))))
+    assert upsert_payments(
+        store, batch(2, dict(payment_id="a", payment_status="failed")), due_dates_change=False
+    ) == ["2024-06"]
+    assert upsert_payments(store, batch(1, dict(payment_id="a")), due_dates_change=False) == []
+    assert stored(store) == [("a", "2024-06", "failed", 2), ("b", "2024-05", "paid", 1)]
+
+
 def test_outdated_and_repeated_batches_change_nothing(store, batch):
     upsert_payments(store, batch(2, dict(payment_id="a")))
     expected = stored(store)

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL statement in DuckDB, values and types."""
+"""Every registered query against its SQL statement in DuckDB: values, types, and a sane plan."""
 
 import duckdb
 import pytest
@@ -11,6 +11,8 @@ TABLES = (
     "pages", "benchmark", "labels", "conversations",
 )
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
+# No cross join and no Python worker anywhere.
+UNWANTED = ("CartesianProduct", "NestedLoop", "ArrowEvalPython", "BatchEvalPython", "InPandas")
 # Checks whose whole answer is "nothing found" on this data; planted defects test them.
 EMPTY = {"dq_no_negative_commission"}
 
@@ -30,6 +32,8 @@ def test_every_query_has_a_statement():
 @pytest.mark.parametrize("key", sorted(registered.queries()))
 def test_query_matches_sql(spark, duck, key):
     frame = registered.queries()[key](spark, TESTDATA)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not [name for name in UNWANTED if name in plan]
     names = sorted(frame.columns)
     got = sorted((tuple(r[c] for c in names) for r in frame.collect()), key=repr)
 
