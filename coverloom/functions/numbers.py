@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from coverloom.schemas import MONEY, PERCENT
 
-# Wide enough for 10^20 rows or currency units; quotients keep 12 decimals.
-_WIDE = "decimal(22,2)"
+# Wide enough for 10^20 rows or currency units. Dividing the second by the first keeps 12
+# decimals; with wider operands Spark would cut the quotient to 6 before it is rounded.
+_WHOLE = "decimal(22,2)"
+_TOTAL = "decimal(26,2)"
 
 
 def money(amount: Column) -> Column:
@@ -21,10 +23,10 @@ def money(amount: Column) -> Column:
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
     """``part / whole`` as a percentage; NULL when ``whole`` is zero."""
-    return mean(part.cast(_WIDE) * 100, whole, places)
+    return mean(part.cast(_WHOLE) * 100, whole, places)
 
 
 def mean(total: Column, n: Column, places: int = 2) -> Column:
     """``total / n`` rounded once, from the exact sum; NULL when ``n`` is zero."""
-    n = n.cast(_WIDE)
-    return F.round(total / F.nullif(n, F.lit(0).cast(_WIDE)), places).cast(PERCENT)
+    n = F.nullif(n.cast(_WHOLE), F.lit(0).cast(_WHOLE))
+    return F.round(total.cast(_TOTAL) / n, places).cast(PERCENT)

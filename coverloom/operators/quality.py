@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coverloom.functions import lookup
 from coverloom.schemas import (
     CANCELLATION_REASONS,
     CHURN_TYPES,
@@ -153,20 +154,18 @@ def _count_table(frame: DataFrame, checks: list[Check]) -> DataFrame:
     return totals.select(F.explode(F.array(*results)).alias("r")).select("r.*")
 
 
-def _keys_found(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Foreign keys counted before the join: a key held by a third of the child rows is one row.
-    Parent and child name the key alike."""
-    keys = child.groupBy(F.col(check.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    known = parent.select(F.col(check.column).alias("_key")).distinct().withColumn("_known", F.lit(True))
-    orphan = F.col("_known").isNull() & F.col("_key").isNotNull()
-    return keys.join(known, "_key", "left").select("_key", "_n", orphan.alias("_orphan"))
-
-
 def _count_orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    found = _keys_found(child, parent, check)
-    return found.agg(
+    """Child and parent keys are stacked and counted, which takes one shuffle and no join; a
+    key held by a third of the child rows is one row per task. Both name the key alike."""
+    key = F.col(check.column).alias("_key")
+    stacked = child.select(key, F.lit(1).alias("_n"), F.lit(False).alias("_known")).unionByName(
+        parent.select(key, F.lit(0).alias("_n"), F.lit(True).alias("_known"))
+    )
+    keys = stacked.groupBy("_key").agg(F.sum("_n").alias("_n"), F.max("_known").alias("_known"))
+    orphan = F.col("_key").isNotNull() & ~F.col("_known")
+    return keys.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_checked"),
-        F.coalesce(F.sum(F.when(F.col("_orphan"), F.col("_n"))), F.lit(0)).alias("failures"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("failures"),
     ).select(
         F.lit(check.kind).alias("test"), F.lit(check.table).alias("table_name"),
         F.lit(check.column).alias("column_name"), "rows_checked", "failures",
@@ -176,44 +175,56 @@ def _count_orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFra
 # ---- failing values ------------------------------------------------------------------
 
 
-_RECORD = ("test", "table_name", "column_name", "value")
+def failing_values(tables: Tables, kinds: Iterable[str] | None = None) -> DataFrame:
+    """What failed: (test, table, column, value, n_records), one row per failing value.
 
+    Each table is scanned once and yields (check, value) records: failing values, keys that
+    have to be unique, foreign keys and the parent keys they need. One count per record,
+    combined map-side, then answers all checks of all tables.
+    """
+    checks = dict(enumerate(_selected(kinds)))
+    needed = {c.table for c in checks.values()} | {c.parent for c in checks.values() if c.parent}
+    frames = [_records(tables[table](), table, checks) for table in tables if table in needed]
+    counted = _stack(frames).groupBy("check", "value").agg(
+        F.sum("n").alias("n_records"), F.max("known").alias("known")
+    )
 
-def failing_values(tables: Tables, kinds: Iterable[str] | None = None) -> DataFrame:
-    """What failed: (test, table, column, value, n_records), one row per failing value."""
-    checks = _selected(kinds)
-    by_row, counted = [], []
-    for table in dict.fromkeys(c.table for c in checks):
-        own = [c for c in checks if c.table == table and c.kind not in (UNIQUE, RELATED)]
-        if own:
-            by_row.append(_failing_rows(tables[table](), own))
-    if by_row:
-        counted.append(_stack(by_row).groupBy(*_RECORD).agg(F.count(F.lit(1)).alias("n_records")))
-    for c in checks:
-        if c.kind == UNIQUE:
-            key = F.col(c.column)
-            repeated = (
-                tables[c.table]().filter(key.isNotNull()).groupBy(key.alias("value"))
-                .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
-            )
-            counted.append(repeated.select(*_labels(c, F.col("value")), "n_records"))
-        elif c.kind == RELATED:
-            orphans = _keys_found(tables[c.table](), tables[c.parent](), c).filter("_orphan")
-            counted.append(orphans.select(*_labels(c, F.col("_key")), F.col("_n").alias("n_records")))
-    return _stack(counted)
-
-
-def _labels(check: Check, value: Column) -> list[Column]:
-    fixed = (check.kind, check.table, check.column)
-    return [*[F.lit(v).alias(n) for v, n in zip(fixed, _RECORD)], value.cast("string").alias("value")]
-
-
-def _failing_rows(frame: DataFrame, checks: list[Check]) -> DataFrame:
-    """One scan for all row checks of a table; only failures leave it."""
-    found = [F.when(c.fails(), F.struct(*_labels(c, F.col(c.column)))) for c in checks]
+    def numbers(kind: str) -> list[int]:
+        return [i for i, c in checks.items() if c.kind == kind]
+
+    number, n = F.col("check"), F.col("n_records")
+    fails = (
+        F.when(number.isin(*numbers(UNIQUE)), n > 1)
+        .when(number.isin(*numbers(RELATED)), (n > 0) & ~F.col("known"))
+        .otherwise(True)
+    )
+    return counted.filter(fails).select(
+        lookup(number, {i: c.kind for i, c in checks.items()}).alias("test"),
+        lookup(number, {i: c.table for i, c in checks.items()}).alias("table_name"),
+        lookup(number, {i: c.column for i, c in checks.items()}).alias("column_name"),
+        "value", "n_records",
+    )
+
+
+def _records(frame: DataFrame, table: str, checks: dict[int, Check]) -> DataFrame:
+    found = []
+    for i, c in checks.items():
+        column = F.col(c.column)
+        if c.table == table:
+            counts = column.isNotNull() if c.kind in (UNIQUE, RELATED) else c.fails()
+            found.append(F.when(counts, _record(i, column, n=1, known=False)))
+        if c.parent == table:
+            found.append(F.when(column.isNotNull(), _record(i, column, n=0, known=True)))
     return frame.select(F.explode(F.array_compact(F.array(*found))).alias("r")).select("r.*")
 
 
+def _record(number: int, value: Column, n: int, known: bool) -> Column:
+    return F.struct(
+        F.lit(number).alias("check"), value.cast("string").alias("value"), F.lit(n).alias("n"),
+        F.lit(known).alias("known"),
+    )
+
+
 def negative_commissions(payments: DataFrame) -> DataFrame:
     """Payments whose commission is below zero; there should be none."""
     return payments.filter(F.col("commission_earned") < 0).select("payment_id", "amount_paid", "commission_earned")

@@ -21,6 +21,16 @@ from coverloom.sources.raw import RawTables
 
 AS_OF = date(2001, 9, 30)
 
+# The source columns in use; stating them saves a look into every file for its schema.
+SCHEMAS = {
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+}
+
 # Fixed values of the derivation.
 STATE_CODES = "inohilmikytngafltxca"
 CARRIERS = {0: "MetLife", 1: "VSP", 2: "Zurich"}
@@ -37,9 +47,8 @@ STATUS_BY_FLAG = {"F": "Cancelled", "O": "Expired", "P": "Active"}
 
 
 def _padded(prefix: str, width: int, key: Column) -> Column:
-    # lpad() also cuts: keys wider than the pad keep all their digits.
-    text = key.cast("string")
-    return F.concat(F.lit(prefix), F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text))
+    # Not lpad(), which also cuts: a key wider than the pad keeps all its digits.
+    return F.format_string(f"{prefix}%0{width}d", key)
 
 
 def _state(nation: Column) -> Column:
@@ -61,7 +70,7 @@ class OrderTables(RawTables):
 
     def _table(self, name: str) -> DataFrame:
         if name not in self._opened:
-            self._opened[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+            self._opened[name] = self._spark.read.schema(SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
         return self._opened[name]
 
     @cached_property
@@ -129,7 +138,6 @@ class OrderTables(RawTables):
         )
         return (
             self._table("orders")
-            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
             .join(members, F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 "o_orderkey",
@@ -165,10 +173,6 @@ class OrderTables(RawTables):
         )
         return _shaped(
             self._table("lineitem")
-            .select(
-                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag",
-                "l_discount",
-            )
             .join(policies, F.col("l_orderkey") == F.col("o_orderkey"))
             .withColumn("due_date", F.add_months("effective_date", F.col("l_linenumber") - 1))
             .withColumn("payment_status", status)

@@ -57,6 +57,12 @@ def test_ties_round_away_from_zero(spark):
     assert value(spark, mean(F.lit(Decimal("197.27")), F.lit(2))) == Decimal("98.64")  # 98.635
 
 
+def test_mean_of_a_very_wide_sum_is_rounded_once(spark):
+    total = F.lit(Decimal("98634999.60")).cast("decimal(38,2)")
+    # 98.6349996 must not become 98.635 on the way to 98.63.
+    assert value(spark, mean(total, F.lit(1000000))) == Decimal("98.63")
+
+
 def test_zero_denominator_is_null(spark):
     assert value(spark, percent(F.lit(1), F.lit(0))) is None
     assert value(spark, mean(F.lit(1), F.lit(0))) is None

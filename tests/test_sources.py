@@ -81,10 +81,13 @@ def test_raw_tables_by_name(spark, raw):
 
 
 def test_read_raw_from_catalog(spark, raw):
+    tables = raw()
+    spark.sql("create database if not exists raw_zone")
+    for table in RAW_SCHEMAS:
+        tables[table].write.mode("overwrite").saveAsTable(f"raw_zone.{table}")
+    again = read_raw(spark, "raw_zone", "table")
     for table in RAW_SCHEMAS:
-        raw()[table].createOrReplaceTempView(table)
-    # Temporary views have no schema prefix; a catalog schema works the same way.
-    assert spark.table("payments").schema == RAW_SCHEMAS["payments"]
+        assert rows(again[table]) == rows(tables[table])
 
 
 def months(store, table="payments"):
