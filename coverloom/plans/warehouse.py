@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from coverloom.operators.staging import Staged
 from coverloom.operators.upsert import VERSION
@@ -12,7 +14,11 @@ from coverloom.plans import marts
 from coverloom.sources.store import Store, in_periods
 
 
-class _StoredFacts:
+# Load time of payments that came with the raw tables: older than that of any feed.
+FIRST_LOAD = datetime(1970, 1, 1)
+
+
+class StoredFacts:
     """Summaries out of stored facts: no fact is computed twice in one build."""
 
     def __init__(self, store: Store, s: Staged):
@@ -38,11 +44,18 @@ def build(store: Store, s: Staged) -> None:
     store.replace("dim_agents", marts.dim_agents(s))
     store.replace("fct_payments", marts.fct_payments(s))
     store.replace("fct_member_churn", marts.fct_member_churn(s))
-    facts = _StoredFacts(store, s)
+    facts = StoredFacts(store, s)
     store.replace("agent_commission_summary", facts.by_carrier())
     store.replace("agent_commission_summary_monthly", facts.by_month())
 
 
+def start(store: Store, s: Staged) -> None:
+    """Stores the payments as the first load, for feeds to be merged into, and builds the marts
+    from them. Run again, it goes back to what ``s`` holds."""
+    store.replace("payments", s.payments.withColumn(VERSION, F.lit(FIRST_LOAD)))
+    build(store, s.with_payments(stored_payments(store)))
+
+
 def refresh(store: Store, s: Staged, periods: Iterable[str | None]) -> None:
     """Rewrites the payment fact and both summaries for some months of the stored payments.
     The churn fact and the agent dimension follow with the next full build; if there was none
@@ -55,7 +68,7 @@ def refresh(store: Store, s: Staged, periods: Iterable[str | None]) -> None:
     billed = store.months("payments", periods)
     month = s.with_payments(stored_payments(store, periods))
     store.replace_periods("fct_payments", marts.fct_payments(month), periods, billed)
-    facts = _StoredFacts(store, s)
+    facts = StoredFacts(store, s)
     # The month filter passes through the aggregations to the stored partitions.
     wanted = in_periods("period", periods)
     store.replace_periods("agent_commission_summary", facts.by_carrier().filter(wanted), periods, billed)

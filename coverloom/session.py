@@ -40,7 +40,12 @@ START_SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-TARGET_PARTITION_BYTES = 192 * 1024 * 1024
+MB = 1024 * 1024
+PARTITION_BYTES = 192 * MB
+# A query reads a few of a table's columns and shuffles fewer still.
+SHUFFLED_SHARE = 0.25
+# Beyond this many tasks on both sides of a shuffle, its bookkeeping outweighs its data.
+MOST_TASKS = 100_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -49,10 +54,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Initial shuffle width for a run over ``input_bytes``; AQE coalesces downwards only,
-    so start wide enough that no partition has to spill."""
-    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Scan and shuffle widths for a run over ``input_bytes``.
+
+    The shuffle starts wide enough that no partition has to spill; AQE merges what turns out
+    small up to the target size, and cuts what turns out heavy. Large inputs are scanned in
+    larger splits, which keeps the number of map outputs in hand.
+    """
+    shuffle = -(-int(input_bytes * SHUFFLED_SHARE) // PARTITION_BYTES)
+    split = min(max(input_bytes // MOST_TASKS, 128 * MB), 1024 * MB)
+    return {
+        "spark.sql.shuffle.partitions": str(min(max(cores, shuffle), MOST_TASKS)),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
 
 
 def open_session(
@@ -62,9 +78,8 @@ def open_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    if input_bytes is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
-    for key, value in {**START_SETTINGS, **(settings or {})}.items():
+    sized = {} if input_bytes is None else sizing(input_bytes, cores)
+    for key, value in {**START_SETTINGS, **sized, **(settings or {})}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, DEFAULTS, rows
+from conftest import DEFAULTS, rows
 
 from coverloom.operators.staging import stage_payments
 from coverloom.operators.upsert import VERSION, newest, upsert_payments
@@ -167,5 +167,9 @@ def test_stream_merges_files_and_refreshes_marts(spark, store, staged, tmp_path)
     assert rows(store.read("agent_commission_summary"), *summary.columns) == rows(summary)
 
 
-def test_as_of_is_explicit():
-    assert AS_OF == date(2024, 6, 15)
+def test_stream_needs_the_payments_the_marts_were_built_from(spark, store, staged, tmp_path):
+    s = staged()
+    warehouse.build(store, s)
+    (tmp_path / "feed").mkdir()
+    with pytest.raises(ValueError, match="stored payments"):
+        merge_feed(payment_feed(spark, str(tmp_path / "feed")), store, str(tmp_path / "c"), dimensions=lambda: s)

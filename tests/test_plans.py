@@ -12,10 +12,11 @@ from conftest import AS_OF, rows
 
 from coverloom.operators.slicing import calendar_year, payments_of_agent
 from coverloom.operators.staging import Staged
-from coverloom.plans import analyst, dashboard, marts
+from coverloom.plans import analyst, dashboard, marts, warehouse
 from coverloom.schemas import RAW_SCHEMAS
-from coverloom.session import RUNTIME_SETTINGS, shared_folder, shuffle_partitions
+from coverloom.session import RUNTIME_SETTINGS, shared_folder, sizing
 from coverloom.sources import read_raw
+from coverloom.sources.store import Store, in_periods
 
 PACKAGE = Path(__file__).resolve().parents[1] / "coverloom"
 
@@ -183,9 +184,23 @@ def test_hot_member_is_one_row_per_task_before_the_member_join(stored):
     assert any("HashAggregate" in line for line in below)
 
 
-def test_shuffle_width_grows_with_the_input():
-    assert shuffle_partitions(10**9, 8) == 8
-    assert shuffle_partitions(100 * 10**12, 8000) > 400_000
+def test_sizes_follow_the_input():
+    small, large = sizing(10**9, 8), sizing(100 * 10**12, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
+    assert int(large["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 10**9
+    assert int(sizing(10**13, 800)["spark.sql.shuffle.partitions"]) == 12418
+
+
+def test_refresh_reads_the_touched_months_only(spark, stored, tmp_path):
+    store = Store(spark, str(tmp_path))
+    warehouse.build(store, stored)
+    facts = warehouse.StoredFacts(store, stored)
+    for frame in (facts.by_carrier(), facts.by_month()):
+        text = plan(frame.filter(in_periods("period", ["2024-06"])))
+        (line,) = [x for x in text.splitlines() if "FileScan" in x and "commission_earned" in x]
+        assert "2024-06" in line.split("PartitionFilters: ")[1].split("PushedFilters")[0]
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
