@@ -17,15 +17,16 @@ from pyspark.sql import SparkSession
 #   spark.sql.autoBroadcastJoinThreshold. Parquet is compressed, so the estimate is
 #   scaled up before the check. No broadcast() hint appears anywhere in this package:
 #   beyond the threshold every join falls back to a shuffle.
-# * maxShuffledHashJoinLocalMapThreshold: once the shuffle has shown that every
-#   dimension partition is small, hash it in place of sorting the fact side.
+# * maxShuffledHashJoinLocalMapThreshold: once the shuffle has shown that every partition
+#   of a side is small, hash that side in place of sorting both. Sizes are compressed ones
+#   and a hash table cannot spill, so the limit is low; beyond it the join sorts, and spills.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "8m",
     "spark.sql.sources.fileCompressionFactor": "3.0",
     # Month partitions such as 2001-09 are text and stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",

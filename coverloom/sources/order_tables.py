@@ -150,13 +150,17 @@ class OrderTables(RawTables):
             )
         )
 
+    @cached_property
+    def _with_terms(self) -> DataFrame:
+        return policy_terms(self.signed_policies)
+
     @cached_property
     def policies(self) -> DataFrame:
-        return _shaped(policy_terms(self.signed_policies), "policies")
+        return _shaped(self._with_terms, "policies")
 
     @cached_property
     def payments(self) -> DataFrame:
-        policies = policy_terms(self.signed_policies).filter(F.col("status") != "Pending")
+        policies = self._with_terms.filter(F.col("status") != "Pending")
         failed = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.085)
         late = (F.col("l_returnflag") == "A") & (F.col("l_discount") > 0.075)
         status = choose([(failed, "Failed"), (late, "Paid_Late")], "Paid")
@@ -201,8 +205,7 @@ class OrderTables(RawTables):
             "deceased",
         )
         return (
-            policy_terms(self.signed_policies)
-            .filter(F.col("status") == "Cancelled")
+            self._with_terms.filter(F.col("status") == "Cancelled")
             .withColumns({
                 "cancellation_id": _padded("CAN", 9, key),
                 "cancellation_date": F.date_add("effective_date", (key * 31 % 300).cast("int") + 30),

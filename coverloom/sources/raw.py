@@ -42,13 +42,16 @@ class GivenTables(RawTables):
         vars(self).update(frames)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw CSV with a header and quoted fields. A value that does not fit its column
+def read_csv(spark: SparkSession, path: str, table: str, line_breaks: bool = False) -> DataFrame:
+    """One raw CSV with a header and quoted fields. ``line_breaks`` allows them inside quotes,
+    at the price that a file is read by one task; without, files are split. A value that does not fit its column
     stops the job that uses it: a silent NULL would turn into a wrong label in staging."""
-    return _csv(spark, table).option("mode", "FAILFAST").schema(RAW_SCHEMAS[table]).csv(path)
+    return _csv(spark, line_breaks).option("mode", "FAILFAST").schema(RAW_SCHEMAS[table]).csv(path)
 
 
-def read_csv_split(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+def read_csv_split(
+    spark: SparkSession, path: str, table: str, line_breaks: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Dirty feeds: (rows that fit the schema, rejected rows as the text that came).
 
     Everything is read as text and each value is tried against its type, because the CSV
@@ -57,7 +60,7 @@ def read_csv_split(spark: SparkSession, path: str, table: str) -> tuple[DataFram
     typed = RAW_SCHEMAS[table].fields
     text = StructType([StructField(f.name, StringType(), True) for f in typed])
     rows = (
-        _csv(spark, table)
+        _csv(spark, line_breaks)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_RECORD)
         .schema(text.add(BAD_RECORD, StringType(), True))
@@ -78,15 +81,13 @@ def _misfit(field: StructField) -> Column:
     return value.isNotNull() & ~fits
 
 
-def _csv(spark: SparkSession, table: str) -> DataFrameReader:
+def _csv(spark: SparkSession, line_breaks: bool) -> DataFrameReader:
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
-        # Names may hold line breaks inside quotes; the large tables have no free text, and
-        # without this their files can be split.
-        .option("multiLine", table in ("agents", "members"))
+        .option("multiLine", line_breaks)
         # Lines with too few or too many fields show up only if whole lines are parsed.
         .option("columnPruning", False)
     )

@@ -1,7 +1,9 @@
 """However a payment history arrives, the stored tables must equal a full build."""
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +104,30 @@ def test_payment_without_due_date(store, batch):
     assert stored(store) == [("a", "2024-06", "paid", 2)]
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_batches_against_a_plain_model(store, batch, seed):
+    """Any order of new, corrected, moved, repeated and outdated rows, against a dictionary."""
+    pick = random.Random(seed)
+    model = {}
+    for _ in range(4):
+        rows_ = {}
+        for _ in range(pick.randint(1, 8)):
+            key, version = pick.choice("abcdef"), pick.randint(1, 6)
+            # One version of a payment always has the same content.
+            content = random.Random(f"{key}{version}")
+            month = content.randint(1, 4)
+            rows_[key, version] = (f"2024-0{month}", content.choice(["paid", "failed"]))
+        frames = [
+            batch(v, dict(payment_id=k, due_date=date(2024, int(m[-1]), 1), payment_status=status))
+            for (k, v), (m, status) in rows_.items()
+        ]
+        upsert_payments(store, reduce(lambda a, b: a.unionByName(b), frames))
+        for (k, v), (m, status) in rows_.items():
+            if k not in model or model[k][2] <= v:
+                model[k] = (m, status, v)
+    assert stored(store) == sorted((k, *content) for k, content in model.items())
+
+
 def test_refresh_equals_full_build(spark, store, batch, staged, tmp_path):
     dims = staged(
         members=[dict(member_id="M1"), dict(member_id="M2", agent_id="A2")],

@@ -26,6 +26,13 @@ def test_csv_quoting_types_and_nulls(spark, tmp_path):
     assert rows(frame, "agency_name", "is_active") == [('Lee, Sons and "Co"', True), ("Ray Inc", False)]
 
 
+def test_csv_line_break_inside_quotes(spark, tmp_path):
+    path = tmp_path / "agents.csv"
+    path.write_text(AGENTS_CSV.replace("Ray Inc", '"Ray\nInc"'))
+    frame = read_csv(spark, str(path), "agents", line_breaks=True)
+    assert rows(frame, "agency_name")[1] == ("Ray\nInc",)
+
+
 def test_csv_keeps_leading_zeros(spark, tmp_path):
     path = tmp_path / "members.csv"
     path.write_text(MEMBERS_CSV)
