@@ -128,8 +128,9 @@ def _loaded_in_steps(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     store = Store(spark, shared_folder(spark, "incremental"))
     first, second = _feeds(s)
     upsert_payments(store, first)
-    warehouse.build(store, s.with_payments(warehouse.stored_payments(store)))
-    warehouse.refresh(store, s, upsert_payments(store, second))
+    warehouse.refresh(store, s)  # nothing built yet: this builds everything
+    upsert_payments(store, second)
+    warehouse.refresh(store, s)
     return store.read(table)
 
 

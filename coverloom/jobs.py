@@ -5,7 +5,7 @@
     check  the data checks over raw tables and marts; the exit code tells whether all passed
     load   a feed of new payments into the stored payments and the marts they touch
 
-    spark-submit coverloom/jobs.py build --raw s3://b/raw --marts s3://b/marts --as-of 2024-12-31
+    spark-submit coverloom/jobs.py build --raw /data/raw --marts /data/marts --as-of 2024-12-31
 """
 
 from __future__ import annotations

@@ -41,7 +41,9 @@ def upsert_payments(store: Store, batch: DataFrame, due_dates_change: bool = Tru
         if batch.isEmpty():
             return []
         store.replace("payments", newest(batch))
-        return _in_order(store.months("payments"))
+        months = _in_order(store.months("payments"))
+        store.note_pending(months)
+        return months
 
     # The batch is used several times below: write it once where all executors can read it.
     kept_at = shared_folder(spark, "payments-batch")
@@ -62,6 +64,7 @@ def upsert_payments(store: Store, batch: DataFrame, due_dates_change: bool = Tru
     current = store.read("payments", touched)
     merged = current.join(fresh.select("payment_id"), "payment_id", "left_anti").unionByName(fresh)
     filled = {row[0] for row in merged.select("due_period").distinct().collect()}
+    store.note_pending(touched)
     store.replace_periods("payments", merged, touched, filled)
     return touched
 

@@ -54,17 +54,20 @@ def start(store: Store, s: Staged) -> None:
     from them. Run again, it goes back to what ``s`` holds."""
     store.replace("payments", s.payments.withColumn(VERSION, F.lit(FIRST_LOAD)))
     build(store, s.with_payments(stored_payments(store)))
+    store.clear_pending()
 
 
-def refresh(store: Store, s: Staged, periods: Iterable[str | None]) -> None:
-    """Rewrites the payment fact and both summaries for some months of the stored payments.
-    The churn fact and the agent dimension follow with the next full build; if there was none
-    yet, this is it."""
-    periods = list(periods)
+def refresh(store: Store, s: Staged, periods: Iterable[str | None] = ()) -> None:
+    """Rewrites the payment fact and both summaries for the months whose stored payments
+    changed since the last refresh, and for ``periods``. The churn fact and the agent
+    dimension follow with the next full build; if there was none yet, this is it."""
+    periods = list(store.pending() | set(periods))
     if not periods:
         return
     if not store.exists("fct_payments"):
-        return build(store, s.with_payments(stored_payments(store)))
+        build(store, s.with_payments(stored_payments(store)))
+        store.clear_pending()
+        return
     billed = store.months("payments", periods)
     month = s.with_payments(stored_payments(store, periods))
     store.replace_periods("fct_payments", marts.fct_payments(month), periods, billed)
@@ -76,6 +79,7 @@ def refresh(store: Store, s: Staged, periods: Iterable[str | None]) -> None:
         "agent_commission_summary_monthly", facts.by_month().filter(wanted), periods,
         billed | facts.churn_months(periods),
     )
+    store.clear_pending()
 
 
 def stored_payments(store: Store, periods: Iterable[str | None] | None = None) -> DataFrame:

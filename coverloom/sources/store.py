@@ -16,6 +16,7 @@ PARTITIONS = {
     "agent_commission_summary": "period",
     "agent_commission_summary_monthly": "period",
 }
+PENDING = "pending_months"
 
 
 class Store:
@@ -56,8 +57,22 @@ class Store:
         self._write(table, frame, "dynamic")
         for period in set(periods) - filled:
             name = "__HIVE_DEFAULT_PARTITION__" if period is None else period
-            files, path = self._hadoop(f"{self.path(table)}/{PARTITIONS[table]}={name}")
-            files.delete(path, True)
+            self._delete(f"{self.path(table)}/{PARTITIONS[table]}={name}")
+
+    # Months whose payments changed and whose marts did not follow yet. They are noted before
+    # the payments change, so a job that dies in between leaves nothing out of date.
+
+    def note_pending(self, periods: Iterable[str | None]) -> None:
+        noted = self.spark.createDataFrame([(p,) for p in periods], "period string").coalesce(1)
+        noted.write.mode("append").parquet(self.path(PENDING))
+
+    def pending(self) -> set[str | None]:
+        if not self.exists(PENDING):
+            return set()
+        return {row[0] for row in self.spark.read.schema("period string").parquet(self.path(PENDING)).distinct().collect()}
+
+    def clear_pending(self) -> None:
+        self._delete(self.path(PENDING))
 
     def _write(self, table: str, frame: DataFrame, mode: str) -> None:
         column = PARTITIONS.get(table)
@@ -67,6 +82,10 @@ class Store:
         writer = frame.write.mode("overwrite").option("partitionOverwriteMode", mode)
         (writer.partitionBy(column) if column else writer).parquet(self.path(table))
 
+    def _delete(self, path: str) -> None:
+        files, hadoop_path = self._hadoop(path)
+        files.delete(hadoop_path, True)
+
     def _hadoop(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -159,6 +159,12 @@ def test_freshness(staged, due, age, stale):
     assert (row.age_hours, row.is_stale) == (age, stale)
 
 
+@pytest.mark.parametrize(("hour", "stale"), [(13, False), (11, True)])
+def test_freshness_of_a_load_time(spark, hour, stale):
+    loads = spark.createDataFrame([(datetime(2024, 6, 14, hour),), (datetime(2024, 6, 1),)], "loaded_at timestamp")
+    assert one(dashboard.freshness(loads, "loaded_at", datetime(2024, 6, 15, 12))).is_stale is stale
+
+
 def test_slicers_combine_and_default_to_everything(staged):
     s = staged(
         agents=[dict(agent_id="A1"), dict(agent_id="A2", tier="Bronze")],
