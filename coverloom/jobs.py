@@ -3,6 +3,7 @@
     seed   CSV files into typed raw tables
     build  raw tables into marts
     check  the data checks over raw tables and marts; the exit code tells whether all passed
+    report the answers to all questions and dashboard datasets, as Parquet
     load   a feed of new payments into the stored payments and the marts they touch
 
     spark-submit coverloom/jobs.py build --raw /data/raw --marts /data/marts --as-of 2024-12-31
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from coverloom.operators import quality
 from coverloom.operators.staging import Staged
 from coverloom.plans import warehouse
+from coverloom.plans.reports import reports
 from coverloom.schemas import RAW_SCHEMAS
 from coverloom.session import open_session
 from coverloom.sources import read_raw
@@ -42,11 +44,16 @@ def build(spark: SparkSession, raw: str, marts: str, as_of: date) -> None:
 def check(spark: SparkSession, raw: str, marts: str) -> DataFrame:
     """The failed checks. Reads the stored marts: nothing is computed twice to be checked."""
     store, tables = Store(spark, marts), read_raw(spark, raw)
-    report = quality.report({
+    found = quality.report({
         **{table: (lambda table=table: tables[table]) for table in RAW_SCHEMAS},
         **{mart: (lambda mart=mart: store.read(mart)) for mart in MARTS},
     })
-    return report.filter(~F.col("passed")).drop("passed")
+    return found.filter(~F.col("passed")).drop("passed")
+
+
+def report(spark: SparkSession, raw: str, marts: str, out: str, as_of: date) -> None:
+    for name, frame in reports(Store(spark, marts), Staged(read_raw(spark, raw), as_of)).items():
+        frame.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
 def load(spark: SparkSession, feed: str, raw: str, marts: str, checkpoint: str, as_of: date) -> None:
@@ -65,6 +72,7 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
         "seed": ("csv", "raw"),
         "build": ("raw", "marts", "as-of"),
         "check": ("raw", "marts"),
+        "report": ("raw", "marts", "out", "as-of"),
         "load": ("feed", "raw", "marts", "checkpoint", "as-of"),
     }
     for job, names in options.items():
@@ -73,7 +81,7 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
             command.add_argument(f"--{name}", required=True, type=date.fromisoformat if name == "as-of" else str)
     given = vars(parser.parse_args(arguments))
     job = given.pop("job")
-    result = {"seed": seed, "build": build, "check": check, "load": load}[job](spark or open_session(job), **given)
+    result = {"seed": seed, "build": build, "check": check, "report": report, "load": load}[job](spark or open_session(job), **given)
     if result is None:
         return 0
     result.show(len(quality.CHECKS), truncate=False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,16 @@ class Store:
         frame = reader.parquet(self.path(table))
         return frame if periods is None else frame.filter(in_periods(PARTITIONS[table], periods))
 
+    def between(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
+        """The months from that of ``start`` to that of ``end``, for queries that go on to filter
+        by day: a filter on the day alone would open the files of every month."""
+        frame, month = self.read(table), F.col(PARTITIONS[table])
+        if start is not None:
+            frame = frame.filter(month >= f"{start:%Y-%m}")
+        if end is not None:
+            frame = frame.filter(month <= f"{end:%Y-%m}")
+        return frame
+
     def replace(self, table: str, frame: DataFrame) -> None:
         """Full rebuild."""
         self._write(table, frame, "static")

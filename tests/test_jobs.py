@@ -9,14 +9,14 @@ from coverloom.sources.store import Store
 from coverloom.streaming.payments import FEED
 
 
-def test_seed_build_check_load(spark, raw, tmp_path, capsys):
+def test_seed_build_check_report_load(spark, raw, tmp_path, capsys):
     clean = raw(
         agents=[dict(tier="gold")], policies=[dict(status="active")], payments=[dict(payment_id="Y0", payment_status="paid"), dict(payment_status="failed")],
         cancellations=[dict(cancellation_reason="deceased")],
     )
     for table in RAW_SCHEMAS:
         clean[table].write.option("header", True).csv(f"{tmp_path}/csv/{table}.csv")
-    places = {name: str(tmp_path / name) for name in ("csv", "raw", "marts", "feed", "checkpoint")}
+    places = {name: str(tmp_path / name) for name in ("csv", "raw", "marts", "out", "feed", "checkpoint")}
 
     def run(job, *names, **extra):
         options = {**{n: places[n] for n in names}, **extra}
@@ -28,6 +28,11 @@ def test_seed_build_check_load(spark, raw, tmp_path, capsys):
     store = Store(spark, places["marts"])
     assert rows(store.read("fct_payments"), "payment_id", "payment_status") == [("Y0", "paid"), ("Y1", "failed")]
 
+    assert run("report", "raw", "marts", "out", as_of="2024-06-15") == 0
+    revenue = spark.read.parquet(f"{places['out']}/monthly_revenue")
+    assert rows(revenue, "due_period", "failed_payments") == [("2024-06", 1)]
+    assert spark.read.parquet(f"{places['out']}/churn_risk").count() == 1
+
     # A feed with a correction and with a status that is not declared.
     odd = {**DEFAULTS["payments"], "payment_id": "Y2", "payment_status": "refunded", "due_date": date(2024, 5, 1)}
     good = {**DEFAULTS["payments"], "payment_status": "paid"}
