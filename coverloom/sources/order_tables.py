@@ -48,7 +48,8 @@ STATUS_BY_FLAG = {"F": "Cancelled", "O": "Expired", "P": "Active"}
 
 def _padded(prefix: str, width: int, key: Column) -> Column:
     # Not lpad(), which also cuts: a key wider than the pad keeps all its digits.
-    return F.format_string(f"{prefix}%0{width}d", key)
+    text = key.cast("string")
+    return F.concat(F.lit(prefix), F.repeat(F.lit("0"), width - F.length(text)), text)
 
 
 def _state(nation: Column) -> Column:
