@@ -20,6 +20,13 @@ from coverloom.sources.order_tables import AS_OF, OrderTables
 from coverloom.sources.store import Store
 from oracle import sql
 
+try:  # the folder may be taken out; the rest works without it
+    from coverloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("coverloom.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -197,11 +204,11 @@ def queries() -> dict[str, Query]:
             spark, sf_dir, "agent_commission_summary"
         ),
     }
-    return {name: _shown(query) for name, query in found.items()}
+    return {name: _shown(query) for name, query in found.items()} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.statements()
+    return sql.statements() | (llm.oracle_sql() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
