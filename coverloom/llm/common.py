@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors' Python workers this package, once per application."""
+    context = spark.sparkContext
+    if not getattr(context, "coverloom_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="coverloom-")) / "coverloom.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+            for file in sorted(package.rglob("*.py")):
+                packed.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context.coverloom_shipped = True
+    return spark
+
+
 def settle(frame: DataFrame, purpose: str) -> DataFrame:
     """Write a frame below ``spark.checkpoint.dir`` and read it back: it is computed once,
     and a lost executor costs a read instead of a recomputation."""

@@ -22,7 +22,7 @@ from coverloom.llm.common import id_text, settle, text_of, word_count
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
-ROWS_PER_SLICE = 20_000
+ROWS_PER_SLICE = 5_000
 
 _SOURCE = ["src", "unnamed"]
 

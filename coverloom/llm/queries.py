@@ -6,12 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverloom.llm import line_dedup, mixing
+from coverloom.llm import ann, html_text, line_dedup, mixing, quality, token_files
 from coverloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_ann_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_documents(token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.remove_spread_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -22,10 +40,18 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_ann_multi_index": op2_ann_multi_index,
+        "op3_html_extraction": op3_html_extraction,
+        "op6_token_binary": op6_token_binary,
         "op8_line_dedup": op8_line_dedup,
         "op9_mix_sources": op9_mix_sources,
+        "op10_quality_classifier": op10_quality_classifier,
     }
 
 
