@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverloom.llm import ann, html_text, line_dedup, mixing, quality, token_files
+from coverloom.llm import ann, decontaminate, html_text, licenses, line_dedup, lm_score, mixing, quality, token_files
 from coverloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,15 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("doc_text")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -30,6 +39,10 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.remove_spread_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -48,7 +61,10 @@ def queries() -> dict[str, Query]:
     return {
         "op2_ann_multi_index": op2_ann_multi_index,
         "op3_html_extraction": op3_html_extraction,
+        "op4_decontamination": op4_decontamination,
+        "op5_license_scan": op5_license_scan,
         "op6_token_binary": op6_token_binary,
+        "op7_lm_scoring": op7_lm_scoring,
         "op8_line_dedup": op8_line_dedup,
         "op9_mix_sources": op9_mix_sources,
         "op10_quality_classifier": op10_quality_classifier,
@@ -99,5 +115,29 @@ SELECT doc_id, size, source_size, target,
 FROM p"""
 
 
+def _canonical(line: str) -> str:
+    words = f"replace(lower({line}), '-', '')"
+    for pattern, one in licenses.SPELLINGS:
+        words = f"regexp_replace({words}, '{pattern}', '{one.replace('$1', chr(92) + '1')}', 'g')"
+    words = rf"trim(regexp_replace({words}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    return f"CASE WHEN regexp_matches(lower({line}), '{licenses._COPYRIGHT}') THEN '' ELSE {words} END"
+
+
+def _units(rows: str) -> str:
+    return f"""
+  SELECT *, array_to_string(list_filter(lines, lambda l: l <> ''), ' ') AS whole
+  FROM (SELECT *, list_transform(string_split(text, chr(10)), lambda l: {_canonical('l')}) AS lines FROM {rows})"""
+
+
+OP5_SQL = f"""
+WITH known(license, text) AS (VALUES {', '.join(f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in licenses.KNOWN)}),
+k AS (SELECT md5(whole) AS digest, min(license) AS license FROM ({_units('known')}) WHERE whole <> '' GROUP BY 1),
+d AS (SELECT doc_id, lines, whole FROM ({_units("(SELECT doc_id, coalesce(text, '') AS text FROM documents)")})),
+u AS (
+  SELECT doc_id, 0 AS position, whole AS canonical FROM d
+  UNION ALL SELECT doc_id, unnest(range(1, len(lines) + 1)), unnest(lines) FROM d)
+SELECT doc_id, license, CAST(position AS BIGINT) AS position FROM u JOIN k ON md5(canonical) = digest WHERE canonical <> ''"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL}
+    return {"op5_license_scan": OP5_SQL, "op8_line_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL}
