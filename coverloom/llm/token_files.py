@@ -20,9 +20,11 @@ an empty table gives an empty file table.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +38,11 @@ from coverloom.llm.common import settle, ship, text_of
 
 END_ID = 2
 BLOCK_IDS = 65_536
-# Distinct words a worker remembers; then it starts afresh.
-MOST_WORDS = 600_000
+# Distinct words a worker remembers before it forgets the long ones.
+MOST_WORDS = 700_000
+_SHORT_WORD = 8
 _MAGIC = b"BPL1"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 _BLOCKS_A_BATCH = 8
 
 _PIECE = "struct<ordinal: bigint, doc_id: bigint, piece: int, n: int>"
@@ -107,29 +111,53 @@ class WordEncoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        if len(known) > MOST_WORDS:
-            known.clear()
-        new = [w for w in words if w not in known]
-        # A sign after a letter or digit is a piece of its own: the word before it is often known.
-        signed = [w for w in new if w[-1:] in (".", ",") and w[-2:-1].isalnum()]
-        plain = {*new, *(w[:-1] for w in signed)}.difference(signed)
-        asked = [w for w in plain if w not in known]
-        known.update(zip(asked, self._ids([lead + w for w in asked]), strict=True))
-        signs = dict(zip(".,", self._ids([".", ","]), strict=True)) if signed else {}
-        known.update((w, known[w[:-1]] + signs[w[-1]]) for w in signed)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, words: set[str], lead: str) -> None:
+        """Remember words that follow ``lead``, a space or nothing. Signs after a letter or
+        digit, a line break between other characters and what follows them are pieces of
+        their own, so most new words are put together from known parts."""
+        known, first = self.spaced if lead else self.first, self.first
+        whole, ended, broken = [], [], []
+        for word in words.difference(known):
+            if "\n" in word:
+                left, _, right = word.partition("\n")
+                if left and right and not left[-1].isspace() and not right[0].isspace():
+                    broken.append((word, left, right))
+                    continue
+            else:
+                stem = word.rstrip(_SIGNS)
+                if len(stem) < len(word) and stem and stem[-1].isalnum():
+                    ended.append((word, stem, word[len(stem) :]))
+                    continue
+            whole.append(word)
+        known.update(zip(whole, self._ids([lead + w for w in whole]), strict=True))
+        for parts in (ended, broken):
+            if parts:
+                self._learn({head for _, head, _ in parts}, lead)
+                self._learn({"\n", *(tail for _, _, tail in parts)}, "")
+        known.update([(word, known[stem] + first[signs]) for word, stem, signs in ended])
+        known.update([(word, known[left] + first["\n"] + first[right]) for word, left, right in broken])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        self.first, self.spaced = _trimmed(self.first), _trimmed(self.spaced)
         whole = [bool(self._inside.search(t)) or any(a in t for a in self.added) for t in texts]
-        cut = [None if odd else t.split(" ") for t, odd in zip(texts, whole, strict=True)]
-        self._learn(self.first, {ws[0] for ws in cut if ws}, "")
-        self._learn(self.spaced, {w for ws in cut if ws for w in ws[1:]}, " ")
-        spaced = self.spaced.__getitem__
+        cut = [[""] if odd else t.split(" ") for t, odd in zip(texts, whole, strict=True)]
+        heads = [ws.pop(0) for ws in cut]
+        self._learn(set(heads), "")
+        self._learn(set().union(*cut), " ")
         rest = iter(self._ids([t for t, odd in zip(texts, whole, strict=True) if odd]))
-        return [next(rest) if ws is None else self.first[ws[0]] + b"".join(map(spaced, ws[1:])) for ws in cut]
+        first, spaced = self.first, self.spaced.__getitem__
+        return [next(rest) if odd else first[head] + b"".join(map(spaced, ws)) for odd, head, ws in zip(whole, heads, cut, strict=True)]
+
+
+def _trimmed(known: dict[str, bytes]) -> dict[str, bytes]:
+    """Short words are the frequent ones; they stay when there are too many."""
+    if len(known) <= MOST_WORDS:
+        return known
+    short = {w: ids for w, ids in known.items() if len(w) <= _SHORT_WORD}
+    return short if len(short) <= MOST_WORDS // 2 else {}
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -143,6 +171,7 @@ def _encoder(path: str) -> WordEncoder:
 
 def _write_shard(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids: int, bits: int) -> Iterator[pa.RecordBatch]:
     shard, encoder = TaskContext.get().partitionId(), _encoder(path)
+    gc.disable()  # millions of words, no cycles
     end = np.array([end_id], "<u4").tobytes()
     held, room = [], block_ids
     pieces: list[dict] = []
@@ -165,8 +194,8 @@ def _write_shard(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bloc
 
     for batch in batches:
         ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
-        for lo in range(0, len(ids_of), 256):
-            for doc_id, ids in zip(ids_of[lo : lo + 256], encoder.encode(texts.slice(lo, 256).to_pylist()), strict=True):
+        for lo in range(0, len(ids_of), 512):
+            for doc_id, ids in zip(ids_of[lo : lo + 512], encoder.encode(texts.slice(lo, 512).to_pylist()), strict=True):
                 left, piece = memoryview(ids + end), 0
                 while left:
                     here = left[: 4 * room]
@@ -182,6 +211,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bloc
         close()
     if out:
         yield sent()
+    gc.enable()
 
 
 _ARROW = pa.schema([
