@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverloom.llm import ann, decontaminate, html_text, licenses, line_dedup, lm_score, mixing, quality, token_files
+from coverloom.llm import ann, decontaminate, html_text, jaccard, licenses, line_dedup, lm_score, mixing, quality, token_files
 from coverloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.document_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_ann_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -59,6 +63,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_ann_multi_index": op2_ann_multi_index,
         "op3_html_extraction": op3_html_extraction,
         "op4_decontamination": op4_decontamination,
