@@ -59,7 +59,8 @@ def spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
 
 
 def remove_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
-    """All columns of ``docs`` with the cleaned text, then n_lines and n_removed.
+    """All columns of ``docs`` with the cleaned text, then n_lines and n_removed, which take
+    the place of columns of those names.
 
     The hashes to remove are gathered per document, so the text is moved once and never taken
     apart into rows that have to be put together again.
@@ -70,7 +71,8 @@ def remove_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
         _lines(docs, row_key.alias("line_doc")).join(spread, "line_hash").select("line_doc", "line_hash").distinct()
         .groupBy("line_doc").agg(F.collect_list("line_hash").alias("line_hashes"))
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    columns = [F.col(f"`{c}`") for c in names]
     found = docs.select(F.struct(*columns).alias("line_row"), F.split("text", _BREAK).alias("line_all"), row_key.alias("line_doc")).join(
         hits, "line_doc", "left"
     )
@@ -79,7 +81,7 @@ def remove_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     found = found.withColumn("line_kept", kept)
     counted = lambda lines: F.coalesce(F.size(lines), F.lit(0)).cast("long")
     cleaned = [
-        F.array_join("line_kept", _BREAK).alias(c) if c == "text" else F.col(f"line_row.`{c}`") for c in docs.columns
+        F.array_join("line_kept", _BREAK).alias(c) if c == "text" else F.col(f"line_row.`{c}`") for c in names
     ]
     lines = F.when(F.col("line_all").isNull(), F.lit(0)).otherwise(counted("line_all"))
     left = F.when(F.col("line_all").isNull(), F.lit(0)).otherwise(counted("line_kept"))

@@ -192,8 +192,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS)
 
 
 def score_quality(docs: DataFrame, net: ByteNet | float, keep: list[str] | None = None) -> DataFrame:
-    """The named columns of ``docs`` (all, if none are named) and ``quality_score``."""
-    columns = docs.columns if keep is None else keep
+    """The named columns of ``docs`` (all, if none are named) and ``quality_score``, which takes
+    the place of a column of that name."""
+    columns = [c for c in (docs.columns if keep is None else keep) if c != "quality_score"]
     shared = ship(docs.sparkSession).sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
