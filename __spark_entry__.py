@@ -21,6 +21,7 @@ from coverloom.sources.store import Store
 from oracle import sql
 
 try:  # the folder may be taken out; the rest works without it
+    import corpus_pipeline
     from coverloom.llm import queries as llm
 except ModuleNotFoundError as missing:
     if missing.name not in ("coverloom.llm", "corpus_pipeline"):
@@ -204,7 +205,8 @@ def queries() -> dict[str, Query]:
             spark, sf_dir, "agent_commission_summary"
         ),
     }
-    return {name: _shown(query) for name, query in found.items()} | (llm.queries() if llm else {})
+    shown = {name: _shown(query) for name, query in found.items()}
+    return shown | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else shown
 
 
 def oracle_sql() -> dict[str, str]:
