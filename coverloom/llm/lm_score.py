@@ -137,9 +137,9 @@ def score_texts(models: Models, texts: list[str]) -> tuple[np.ndarray, np.ndarra
 
 def trigram_counts(docs: DataFrame, good: DataFrame) -> DataFrame:
     """gram, everywhere, wanted over all documents; ``good`` names the target's doc_id."""
-    flagged = docs.select("doc_id", text_of().alias("text")).join(
-        good.select("doc_id").distinct().withColumn("wanted", F.lit(1)), "doc_id", "left"
-    )
+    # Labels grow with the corpus: never a broadcast side, however few there are now.
+    wanted = good.select("doc_id").distinct().withColumn("wanted", F.lit(1)).hint("merge")
+    flagged = docs.select("doc_id", text_of().alias("text")).join(wanted, "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
