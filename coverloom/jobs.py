@@ -5,6 +5,9 @@
     check  the data checks over raw tables and marts; the exit code tells whether all passed
     report the answers to all questions and dashboard datasets, as Parquet
     load   a feed of new payments into the stored payments and the marts they touch
+    refresh brings the marts up to date: new cancellations, and with --agents, --members or
+           --policies (Parquet with the changed ids) the months those reach
+    reset  forgets all merged payments and goes back to the raw tables
 
     spark-submit coverloom/jobs.py build --raw /data/raw --marts /data/marts --as-of 2024-12-31
 """
@@ -12,8 +15,9 @@
 from __future__ import annotations
 
 import argparse
+import inspect
 import sys
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +35,28 @@ from coverloom.streaming.payments import merge_feed, payment_feed
 MARTS = ("dim_agents", "fct_payments", "fct_member_churn", "agent_commission_summary")
 
 
-def seed(spark: SparkSession, csv: str, raw: str) -> None:
-    tables = read_raw(spark, csv, "csv")
+def seed(spark: SparkSession, csv: str, raw: str, line_breaks: bool = False) -> None:
+    tables = read_raw(spark, csv, "csv", line_breaks=line_breaks)
     for table in RAW_SCHEMAS:
         tables[table].write.mode("overwrite").parquet(f"{raw}/{table}.parquet")
 
 
-def build(spark: SparkSession, raw: str, marts: str, as_of: date) -> None:
-    warehouse.start(Store(spark, marts), Staged(read_raw(spark, raw), as_of))
+def build(spark: SparkSession, raw: str, marts: str, as_of: date, loaded_at: datetime = warehouse.FIRST_LOAD) -> None:
+    warehouse.start(Store(spark, marts), Staged(read_raw(spark, raw), as_of), loaded_at)
+
+
+def reset(spark: SparkSession, raw: str, marts: str, as_of: date, loaded_at: datetime = warehouse.FIRST_LOAD) -> None:
+    warehouse.reset(Store(spark, marts), Staged(read_raw(spark, raw), as_of), loaded_at)
+
+
+def refresh(
+    spark: SparkSession, raw: str, marts: str, as_of: date, agents: str | None = None, members: str | None = None,
+    policies: str | None = None,
+) -> None:
+    store, s = Store(spark, marts), Staged(read_raw(spark, raw), as_of)
+    changed = {k: spark.read.parquet(v) for k, v in (("agents", agents), ("members", members), ("policies", policies)) if v}
+    stored = s.with_payments(warehouse.stored_payments(store, s))
+    warehouse.refresh(store, s, warehouse.touched_by_dimensions(stored, **changed))
 
 
 def check(spark: SparkSession, raw: str, marts: str) -> DataFrame:
@@ -56,36 +74,39 @@ def report(spark: SparkSession, raw: str, marts: str, out: str, as_of: date) ->
         frame.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
-def load(spark: SparkSession, feed: str, raw: str, marts: str, checkpoint: str, as_of: date) -> None:
+def load(spark: SparkSession, feed: str, raw: str, marts: str, checkpoint: str, as_of: date, format: str = "parquet") -> None:
     """Takes the files that arrived since the last run, and stops."""
     query = merge_feed(
-        payment_feed(spark, feed), Store(spark, marts), checkpoint,
+        payment_feed(spark, feed, format), Store(spark, marts), checkpoint,
         dimensions=lambda: Staged(read_raw(spark, raw), as_of),
     )
     query.awaitTermination()
 
 
+JOBS = {"seed": seed, "build": build, "check": check, "report": report, "load": load, "refresh": refresh, "reset": reset}
+KINDS = {"as_of": date.fromisoformat, "loaded_at": datetime.fromisoformat}
+
+
 def main(arguments: list[str], spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="coverloom")
     jobs = parser.add_subparsers(dest="job", required=True)
-    options = {
-        "seed": ("csv", "raw"),
-        "build": ("raw", "marts", "as-of"),
-        "check": ("raw", "marts"),
-        "report": ("raw", "marts", "out", "as-of"),
-        "load": ("feed", "raw", "marts", "checkpoint", "as-of"),
-    }
-    for job, names in options.items():
-        command = jobs.add_parser(job)
-        for name in names:
-            command.add_argument(f"--{name}", required=True, type=date.fromisoformat if name == "as-of" else str)
+    for name, job in JOBS.items():
+        command = jobs.add_parser(name)
+        for option, given in list(inspect.signature(job).parameters.items())[1:]:
+            flag, needed = f"--{option.replace('_', '-')}", given.default is inspect.Parameter.empty
+            if given.default is False:
+                command.add_argument(flag, action="store_true")
+            else:
+                command.add_argument(flag, required=needed, default=None if needed else given.default, type=KINDS.get(option, str))
     given = vars(parser.parse_args(arguments))
     job = given.pop("job")
-    result = {"seed": seed, "build": build, "check": check, "report": report, "load": load}[job](spark or open_session(job), **given)
+    result = JOBS[job](spark or open_session(job), **given)
     if result is None:
         return 0
-    result.show(len(quality.CHECKS), truncate=False)
-    return 0 if result.isEmpty() else 1
+    failed = result.collect()  # one row per failed check at the most
+    for row in failed:
+        print(*[f"{k}={v}" for k, v in row.asDict().items()])
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":

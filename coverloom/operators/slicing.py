@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,48 @@ def in_dates(frame: DataFrame, column: str, start: date | None = None, end: date
     return frame
 
 
+# What the slicers are called in each table; a table is cut by those it has.
+SLICER_COLUMNS = {
+    "fct_payments": {"date": "due_date", "carrier": "carrier", "plan_type": "plan_type", "tier": "agent_tier", "state": "state"},
+    "fct_member_churn": {
+        "date": "cancellation_date", "carrier": "carrier", "plan_type": "plan_type", "tier": "agent_tier", "state": "state",
+    },
+    "dim_agents": {"tier": "tier", "state": "state"},
+    "agent_commission_summary": {"date": "period", "carrier": "carrier", "tier": "agent_tier"},
+    "agent_commission_summary_monthly": {"date": "period", "tier": "agent_tier"},
+}
+
+
+@dataclass(frozen=True)
+class Slicers:
+    """The dashboard's slicers; what is not set does not cut."""
+
+    start: date | None = None
+    end: date | None = None
+    carriers: Sequence[str] | None = None
+    plan_types: Sequence[str] | None = None
+    tiers: Sequence[str] | None = None
+    states: Sequence[str] | None = None
+
+    def cut(self, frame: DataFrame, table: str) -> DataFrame:
+        """``frame``, which has the columns of ``table``, cut by every slicer the table has."""
+        columns = SLICER_COLUMNS[table]
+        when = columns.get("date")
+        if when == "period":  # whole months
+            for day, keep in ((self.start, F.col(when).__ge__), (self.end, F.col(when).__le__)):
+                frame = frame if day is None else frame.filter(keep(f"{day:%Y-%m}"))
+        elif when:
+            frame = in_dates(frame, when, self.start, self.end)
+        choices = {"carrier": self.carriers, "plan_type": self.plan_types, "tier": self.tiers, "state": self.states}
+        for slicer, wanted in choices.items():
+            if wanted is not None and slicer in columns:
+                frame = frame.filter(F.col(columns[slicer]).isin(*wanted))
+        return frame
+
+    def is_set(self) -> bool:
+        return any(v is not None for v in vars(self).values())
+
+
 def slice_by(
     frame: DataFrame,
     date_column: str | None = None,
@@ -30,7 +73,7 @@ def slice_by(
     tiers: Sequence[str] | None = None,
     states: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Applies the slicers that are set to any frame with the columns they name."""
+    """Applies the slicers that are set to any frame with the payment fact's column names."""
     if date_column:
         frame = in_dates(frame, date_column, start, end)
     choices = {"carrier": carriers, "plan_type": plan_types, "agent_tier": tiers, "state": states}

@@ -3,6 +3,14 @@
 Only the months a batch touches are read in full and rewritten. Every row carries a
 ``version`` column, the load time its feed stamps on it; the newest version of a payment
 wins. Running the same batch again, or batches out of order, ends in the same table.
+
+Rows without an id or without a version cannot be merged: they go to the table
+``payment_rejects``, once per distinct record, with the reason.
+
+Which months hold a payment is read from ``payment_index``, narrow rows (id, version, month)
+in buckets by a hash of the id; a batch opens the buckets of its ids and no other, and only
+adds to it. The index is written before the payments: a job that dies in between leaves
+months in it that hold nothing, and trying the batch again finds every place a row can be.
 """
 
 from __future__ import annotations
@@ -16,6 +24,8 @@ from coverloom.session import shared_folder
 from coverloom.sources.store import Store
 
 VERSION = "loaded_at"
+BUCKETS = 64
+NO_ID, NO_VERSION = "payment_id is missing", "load time is missing"
 
 
 def newest(batch: DataFrame) -> DataFrame:
@@ -28,44 +38,62 @@ def newest(batch: DataFrame) -> DataFrame:
     )
 
 
-def upsert_payments(store: Store, batch: DataFrame, due_dates_change: bool = True) -> list[str | None]:
+def rejected(batch: DataFrame) -> DataFrame:
+    """reason, record (JSON) of rows that cannot be merged, each distinct record once."""
+    reason = F.when(F.col("payment_id").isNull(), NO_ID).when(F.col(VERSION).isNull(), NO_VERSION)
+    return batch.select(reason.alias("reason"), F.to_json(F.struct(*sorted(batch.columns))).alias("record")).filter(
+        F.col("reason").isNotNull()
+    ).distinct()
+
+
+def upsert_payments(store: Store, batch: DataFrame) -> list[str | None]:
     """Merges staged payments (with ``loaded_at``) into the stored table ``payments``.
 
     Returns the touched months: those of the batch, and those that earlier versions of its
     rows were stored under, since a corrected due date moves a payment to another month.
-    Finding these takes a look at three narrow columns of all months; a feed that never
-    changes due dates can say so, and then no month but its own is read at all.
     """
     spark = store.spark
-    if not store.exists("payments"):
-        if batch.isEmpty():
-            return []
-        store.replace("payments", newest(batch))
-        months = _in_order(store.months("payments"))
-        store.note_pending(months)
-        return months
-
     # The batch is used several times below: write it once where all executors can read it.
     kept_at = shared_folder(spark, "payments-batch")
-    newest(batch).write.parquet(kept_at)
-    incoming = spark.read.parquet(kept_at)
-
-    own = None if due_dates_change else [r[0] for r in incoming.select("due_period").distinct().collect()]
-    known = store.read("payments", own).select("payment_id", F.col(VERSION).alias("_known"), "due_period")
-    stored = known.join(incoming.select("payment_id", VERSION), "payment_id")
-    outdated = stored.filter(F.col("_known") > F.col(VERSION)).select("payment_id")
-    fresh = incoming.join(outdated, "payment_id", "left_anti")
-    replaced = stored.filter(F.col("_known") <= F.col(VERSION))
-    moves = fresh.select("due_period").unionByName(replaced.select("due_period")).distinct()
-    touched = _in_order(row[0] for row in moves.collect())  # months: a bounded number of values
+    try:
+        batch.write.parquet(kept_at)
+        arrived = spark.read.schema(batch.schema).parquet(kept_at)
+        _set_aside(store, rejected(arrived))
+        return _merge(store, newest(arrived.filter(F.col("payment_id").isNotNull() & F.col(VERSION).isNotNull())))
+    finally:
+        store.drop_folder(kept_at)
+
+
+def _set_aside(store: Store, rows: DataFrame) -> None:
+    if store.exists("payment_rejects"):
+        rows = rows.join(store.read("payment_rejects"), ["reason", "record"], "left_anti")
+    if not rows.isEmpty():
+        store.append("payment_rejects", rows)
+
+
+def _merge(store: Store, incoming: DataFrame) -> list[str | None]:
+    incoming = incoming.withColumn("bucket", F.expr(f"pmod(xxhash64(payment_id), {BUCKETS})").cast("string"))
+    narrow = incoming.select("payment_id", VERSION, "due_period", "bucket")
+    fresh, places = incoming.drop("bucket"), narrow.select("due_period")
+    if store.exists("payment_index"):
+        buckets = [row[0] for row in narrow.select("bucket").distinct().collect()]  # at most BUCKETS
+        index = store.read("payment_index", buckets, narrow.schema)
+        known = index.join(narrow.select("payment_id"), "payment_id", "left_semi")
+        last = known.groupBy("payment_id").agg(F.max(VERSION).alias("_known"))
+        outdated = last.join(narrow.select("payment_id", VERSION), "payment_id").filter(F.col("_known") > F.col(VERSION))
+        fresh = fresh.join(outdated.select("payment_id"), "payment_id", "left_anti")
+        narrow = narrow.join(outdated.select("payment_id"), "payment_id", "left_anti")
+        held = known.join(narrow.select("payment_id"), "payment_id", "left_semi")
+        places = narrow.select("due_period").unionByName(held.select("due_period"))
+    touched = _in_order(row[0] for row in places.distinct().collect())  # months: a bounded number of values
     if not touched:
         return []
-
-    current = store.read("payments", touched)
-    merged = current.join(fresh.select("payment_id"), "payment_id", "left_anti").unionByName(fresh)
-    filled = {row[0] for row in merged.select("due_period").distinct().collect()}
     store.note_pending(touched)
-    store.replace_periods("payments", merged, touched, filled)
+    store.append("payment_index", narrow)
+    if store.exists("payments"):
+        current = store.read("payments", touched, fresh.schema)
+        fresh = current.join(fresh.select("payment_id"), "payment_id", "left_anti").unionByName(fresh)
+    store.replace_periods("payments", fresh, touched)
     return touched
 
 

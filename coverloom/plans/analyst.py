@@ -81,8 +81,9 @@ def churn_by_reason(cancellations: DataFrame) -> DataFrame:
 def eligibility_gap(payments: DataFrame, cancellations: DataFrame, as_of: date) -> DataFrame:
     """Q4. Members who cancelled and have no good payment due in the last 60 days.
 
-    Reasons are listed in order of cancellation. They are joined per day first, so the last
-    step of a member with very many cancellations only strings the days together.
+    Members who still pay are taken out first; only the others' reasons are listed, in order of
+    cancellation. They are joined per day first, so the last step of a member with very many
+    cancellations only strings the days together.
     """
     since = as_of - timedelta(days=ACTIVE_DAYS)
     active = (
@@ -90,7 +91,10 @@ def eligibility_gap(payments: DataFrame, cancellations: DataFrame, as_of: date)
         .select("member_id")
         .distinct()
     )
-    per_day = cancellations.groupBy("member_id", "cancellation_date").agg(
+    gone = cancellations.select("member_id", "cancellation_date", "cancellation_id", "cancellation_reason").join(
+        active, "member_id", "left_anti"
+    )
+    per_day = gone.groupBy("member_id", "cancellation_date").agg(
         F.expr("listagg(cancellation_reason, ', ') within group (order by cancellation_id)").alias("_reasons")
     )
     per_member = per_day.groupBy("member_id").agg(
@@ -98,8 +102,7 @@ def eligibility_gap(payments: DataFrame, cancellations: DataFrame, as_of: date)
         F.expr("listagg(_reasons, ', ') within group (order by cancellation_date)").alias("cancellation_reasons"),
     )
     return (
-        per_member.join(active, "member_id", "left_anti")
-        .select(
+        per_member.select(
             "member_id", "last_cancel_date", "cancellation_reasons",
             day_gap(F.lit(as_of), F.col("last_cancel_date")).alias("days_since_cancel"),
             F.lit("eligibility_gap").alias("eligibility_status"),
@@ -114,23 +117,35 @@ def churn_risk(payments: DataFrame, members: DataFrame, agents: DataFrame, as_of
     Payments are summed per member and filtered first; only members at risk meet the
     member and agent tables.
     """
+    behaviour = _payment_behaviour(payments, as_of, "member_id", "plan_type")
+    return _risk(with_member_context(behaviour, members, agents))
+
+
+def churn_risk_from_fact(payments: DataFrame, as_of: date) -> DataFrame:
+    """The same from the payment fact, which knows agent and state already: no join."""
+    return _risk(_payment_behaviour(payments, as_of, "member_id", "plan_type", "agent_id", "agent_name", "state"))
+
+
+def _payment_behaviour(payments: DataFrame, as_of: date, *keys: str) -> DataFrame:
     since = as_of - timedelta(days=RISK_DAYS)
-    failures, late = F.col("failures_last_90d"), F.col("late_last_90d")
-    behaviour = (
+    return (
         payments.filter(F.col("due_date") >= F.lit(since))
-        .groupBy("member_id", "plan_type")
+        .groupBy(*keys)
         .agg(
             F.count("payment_id").alias("payments_last_90d"),
             F.count_if("is_failed").alias("failures_last_90d"),
             F.count_if("is_late").alias("late_last_90d"),
             F.max("due_date").alias("most_recent_due_date"),
         )
-        .filter((failures > 0) | (late >= 2))
+        .filter((F.col("failures_last_90d") > 0) | (F.col("late_last_90d") >= 2))
     )
+
+
+def _risk(behaviour: DataFrame) -> DataFrame:
+    failures, late = F.col("failures_last_90d"), F.col("late_last_90d")
     tier = choose([(failures >= 2, "high_risk"), ((failures == 1) | (late >= 2), "medium_risk")], "low_risk")
     return (
-        with_member_context(behaviour, members, agents)
-        .select(
+        behaviour.select(
             "member_id", "agent_id", "agent_name", "plan_type", "state", "payments_last_90d", "failures_last_90d",
             "late_last_90d", "most_recent_due_date",
             percent(failures, F.col("payments_last_90d"), 1).alias("failure_rate_pct"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from coverloom.functions import choose, lookup, mean, percent
 from coverloom.operators.slicing import in_dates
@@ -31,7 +32,8 @@ def month_end(day: date) -> date:
 
 
 def exec_kpis(payments: DataFrame, policies: DataFrame, as_of: date) -> DataFrame:
-    """D1. One row of cards. Reads this year's payments only; ``payments`` carry commission."""
+    """D1. One row of cards. Reads this year's payments only; ``payments`` carry commission.
+    Month and year are whole ones: what falls due after ``as_of`` counts, as in Q2."""
     year = in_dates(payments, "due_date", date(as_of.year, 1, 1), date(as_of.year, 12, 31))
     this_month = F.col("due_date").between(F.lit(month_start(as_of)), F.lit(month_end(as_of)))
     active = policies.filter(F.col("policy_status") == "active").agg(F.count_distinct("member_id")).scalar()
@@ -105,17 +107,18 @@ def tier_scatter(summary: DataFrame, agents: DataFrame) -> DataFrame:
 def agent_scorecard(
     monthly: DataFrame, dim: DataFrame, policies: DataFrame, as_of: date, high_churn_pct: float | None = None
 ) -> DataFrame:
-    """D6. One row per agent for the calendar year of ``as_of``.
+    """D6. One row per agent: rates and churn over all months of ``monthly``, the commission of
+    the calendar year of ``as_of``. Cut ``monthly`` by a period slicer to show another span.
 
     ``monthly`` is the agent by month summary, where churn counts once. An agent is flagged
     for churn when their cancellation rate is above ``high_churn_pct``, or above the rate of
     the whole book if that is not given. Agents without billing keep NULL rates and no flags.
     """
-    year = (
-        monthly.filter(F.col("year") == as_of.year)
-        .groupBy("agent_id")
+    this_year = F.col("year") == as_of.year
+    totals = (
+        monthly.groupBy("agent_id")
         .agg(
-            F.sum("total_commission_earned").alias("ytd_commission"),
+            F.sum(F.when(this_year, F.col("total_commission_earned"))).alias("ytd_commission"),
             F.sum("total_amount_due").alias("_due"),
             F.sum("total_amount_collected").alias("_collected"),
             F.sum("total_payments_due").alias("_payments"),
@@ -131,7 +134,7 @@ def agent_scorecard(
     limit = F.lit(high_churn_pct) if high_churn_pct is not None else _book_churn_pct(policies)
     collection, failure = percent(F.col("_collected"), F.col("_due")), percent(F.col("_failed"), F.col("_payments"))
     return (
-        dim.join(year, "agent_id", "left")
+        dim.join(totals, "agent_id", "left")
         .join(active, "agent_id", "left")
         .select(
             "agent_id", "agent_name", "agency_name", "tier", "is_active",
@@ -158,7 +161,7 @@ def _book_churn_pct(policies: DataFrame) -> Column:
 
 
 def agent_kpis(scorecard: DataFrame) -> DataFrame:
-    """D7. Cards over the scorecard; averages run over the agents billed this year."""
+    """D7. Cards over the scorecard; averages run over the agents billed in the scorecard's span."""
     billed = F.col("collection_rate_pct").isNotNull()
     good = F.col("collection_rate_pct") > GREEN_ABOVE_COLLECTION_PCT
     return scorecard.agg(
@@ -251,17 +254,26 @@ def early_cancel_watchlist(churn: DataFrame) -> DataFrame:
     )
 
 
-def freshness(frame: DataFrame, column: str, as_of: date, max_age_hours: int = 24) -> DataFrame:
-    """D13. Age of the newest row that is not in the future; stale beyond 24 hours, or when
-    there is no row at all. ``column`` may be a date or a load timestamp."""
-    now = F.lit(as_of).cast("timestamp")
+def freshness(frame: DataFrame, column: str, as_of: date | datetime, max_age_hours: int = 24) -> DataFrame:
+    """D13. Age of the newest row that is not in the future; stale beyond 24 hours to the
+    second, or when there is no row at all. ``column`` may be a date or a load timestamp.
+
+    ``as_of`` is a moment. A date alone stands for its midnight against a date column, and
+    for the end of its day against a timestamp column: loads of that day have happened.
+    """
+    exact = isinstance(as_of, datetime)
+    by_day = isinstance(frame.schema[column].dataType, DateType)
+    moment = as_of if exact else datetime.combine(as_of + timedelta(days=0 if by_day else 1), time())
+    now, seen = F.lit(moment).cast("timestamp"), F.col(column)
+    limit = F.lit(moment.date()) if by_day else now
+    seconds = F.timestamp_diff("SECOND", F.col("latest").cast("timestamp"), now)
     return (
-        frame.filter(F.col(column) <= F.lit(as_of))
+        frame.filter(seen <= limit if by_day or exact else seen < limit)
         .agg(F.max(column).alias("latest"))
         .select(
             F.lit(as_of).alias("as_of"),
             "latest",
-            F.timestamp_diff("HOUR", F.col("latest").cast("timestamp"), now).alias("age_hours"),
+            F.floor(seconds / 3600).cast("bigint").alias("age_hours"),
+            F.coalesce(seconds > max_age_hours * 3600, F.lit(True)).alias("is_stale"),
         )
-        .withColumn("is_stale", F.coalesce(F.col("age_hours") > max_age_hours, F.lit(True)))
     )

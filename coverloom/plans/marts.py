@@ -81,18 +81,29 @@ def fct_payments(s: Staged) -> DataFrame:
     return with_member_context(priced, s.members, s.agents).select(*PAYMENT_COLUMNS)
 
 
-def fct_member_churn(s: Staged) -> DataFrame:
+def paid_by_policy(payments: DataFrame) -> DataFrame:
+    """Last good payment per policy and month: what a store keeps for the churn fact."""
+    return (
+        payments.filter((F.col("payment_status") != "failed") & F.col("paid_date").isNotNull())
+        .groupBy("policy_id", "due_period")
+        .agg(F.max("paid_date").alias("last_paid_date"))
+    )
+
+
+def fct_member_churn(s: Staged, last_paid: DataFrame | None = None) -> DataFrame:
     """One row per cancellation. The agent is the cancellation's, not the member's.
 
     Payments are reduced to one date per policy (map-side first) before they meet the
-    cancellations, and that join reuses the partitioning by policy.
+    cancellations, and that join reuses the partitioning by policy. ``last_paid`` has those
+    dates (policy_id, last_paid_date) if they are known already.
     """
     policies = s.policies.select("policy_id", "monthly_premium", F.col("effective_date").alias("policy_start_date"))
-    last_paid = (
-        s.payments.filter((F.col("payment_status") != "failed") & F.col("paid_date").isNotNull())
-        .groupBy("policy_id")
-        .agg(F.max("paid_date").alias("last_paid_date"))
-    )
+    if last_paid is None:
+        last_paid = (
+            s.payments.filter((F.col("payment_status") != "failed") & F.col("paid_date").isNotNull())
+            .groupBy("policy_id")
+            .agg(F.max("paid_date").alias("last_paid_date"))
+        )
     members = s.members.select(
         "member_id", F.col("full_name").alias("member_name"), "state", "age_bucket", "plan_category"
     )
@@ -133,14 +144,13 @@ _CHURN = ("members_churned", "involuntary_churns", "revenue_lost_to_churn")
 
 
 def _per_member(payments: DataFrame, *keys: str) -> DataFrame:
-    """Priced payments summed per member, month and ``keys``.
+    """Priced payments, each with its agent, summed per member, agent, month and ``keys``.
 
-    This runs before the member join on purpose. The join then moves one row per member and
-    month however often one member was billed, and the distinct count of members per agent
-    becomes a plain count.
+    Grouping by the member first turns the distinct count of members per agent into a plain
+    count. After the member join the rows already lie by member, so nothing is moved for it.
     """
     status = F.col("payment_status")
-    return payments.groupBy("member_id", *_MONTH, *keys).agg(
+    return payments.groupBy("member_id", "agent_id", *_MONTH, *keys).agg(
         F.count("payment_id").alias("total_payments_due"),
         F.count_if(status == "paid").alias("paid_on_time"),
         F.count_if(status == "paid_late").alias("paid_late"),
@@ -166,12 +176,12 @@ def _per_agent(member_months: DataFrame, *keys: str) -> DataFrame:
 
 def billed_by_agent(s: Staged, *keys: str) -> DataFrame:
     owners = s.members.select("member_id", "agent_id")
-    return _per_agent(_per_member(priced_payments(s), *keys).join(owners, "member_id", "left"), *keys)
+    return _per_agent(_per_member(priced_payments(s).join(owners, "member_id", "left"), *keys), *keys)
 
 
 def billed_by_agent_from_fact(payments: DataFrame, *keys: str) -> DataFrame:
     """The same from a stored payment fact, which knows the agent already: no join."""
-    return _per_agent(_per_member(payments, "agent_id", *keys), *keys)
+    return _per_agent(_per_member(payments, *keys), *keys)
 
 
 def churned_by_agent(cancellations: DataFrame) -> DataFrame:

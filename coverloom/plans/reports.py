@@ -6,40 +6,53 @@ again for what it already holds.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 
+from coverloom.operators.slicing import Slicers
 from coverloom.operators.staging import Staged
-from coverloom.plans import analyst, dashboard
+from coverloom.operators.upsert import VERSION
+from coverloom.plans import analyst, dashboard, marts
 from coverloom.sources.store import Store
 
 
-def reports(store: Store, s: Staged) -> dict[str, DataFrame]:
-    """Lazy frames by name, as of ``s.as_of``."""
+def reports(store: Store, s: Staged, slicers: Slicers = Slicers(), now: datetime | None = None) -> dict[str, DataFrame]:
+    """Lazy frames by name, as of ``s.as_of``. With slicers, facts are cut before they are
+    summed up: due dates for payments, cancellation dates for churn, and the summaries are
+    taken from the facts that are left. ``now`` dates the freshness of the loads."""
     as_of = s.as_of
     year = date(as_of.year, 1, 1), date(as_of.year, 12, 31)
-    payments, churn, dim = store.read("fct_payments"), store.read("fct_member_churn"), store.read("dim_agents")
-    summary, year_summary = store.read("agent_commission_summary"), store.between("agent_commission_summary", *year)
-    year_monthly = store.between("agent_commission_summary_monthly", *year)
-
-    def due_since(days: int) -> DataFrame:
-        return store.between("fct_payments", as_of - timedelta(days=days))
-
-    risk = analyst.churn_risk(due_since(analyst.RISK_DAYS), s.members, s.agents, as_of)
-    scorecard = dashboard.agent_scorecard(year_monthly, dim, s.policies, as_of)
-    trend_months = store.between(
-        "fct_payments", dashboard.month_start(as_of, dashboard.TREND_MONTHS - 1), dashboard.month_end(as_of)
-    )
+
+    def fact(start: date | None = None, end: date | None = None) -> DataFrame:
+        # Months outside the slicer are not opened either.
+        first = max((d for d in (start, slicers.start) if d), default=None)
+        last = min((d for d in (end, slicers.end) if d), default=None)
+        return slicers.cut(store.between("fct_payments", first, last), "fct_payments")
+
+    payments, churn = fact(), slicers.cut(store.read("fct_member_churn"), "fct_member_churn")
+    dim = slicers.cut(store.read("dim_agents"), "dim_agents")
+    if slicers.is_set():
+        churned = marts.churned_by_agent(churn)
+        summary = marts.commission_summary(marts.billed_by_agent_from_fact(payments, "carrier"), churned, s.agents)
+        monthly = marts.commission_summary_monthly(marts.billed_by_agent_from_fact(payments), churned, s.agents)
+        year_summary = summary
+    else:
+        summary, year_summary = store.read("agent_commission_summary"), store.between("agent_commission_summary", *year)
+        monthly = store.read("agent_commission_summary_monthly")
+
+    risk = analyst.churn_risk_from_fact(fact(as_of - timedelta(days=analyst.RISK_DAYS)), as_of)
+    scorecard = dashboard.agent_scorecard(monthly, dim, s.policies, as_of)
+    trend = fact(dashboard.month_start(as_of, dashboard.TREND_MONTHS - 1), dashboard.month_end(as_of))
     return {
         "monthly_revenue": analyst.monthly_revenue(payments),
         "top_agents": analyst.top_agents(year_summary, as_of),
         "churn_by_reason": analyst.churn_by_reason(churn),
-        "eligibility_gap": analyst.eligibility_gap(due_since(analyst.ACTIVE_DAYS), churn, as_of),
+        "eligibility_gap": analyst.eligibility_gap(fact(as_of - timedelta(days=analyst.ACTIVE_DAYS)), churn, as_of),
         "churn_risk": risk,
         "carrier_revenue": analyst.carrier_revenue(payments),
-        "exec_kpis": dashboard.exec_kpis(store.between("fct_payments", *year), s.policies, as_of),
-        "collection_trend": dashboard.collection_trend(trend_months, as_of),
+        "exec_kpis": dashboard.exec_kpis(fact(*year), s.policies, as_of),
+        "collection_trend": dashboard.collection_trend(trend, as_of),
         "carrier_month": dashboard.carrier_month(payments),
         "plan_mix": dashboard.plan_mix(payments),
         "tier_scatter": dashboard.tier_scatter(summary, s.agents),
@@ -52,4 +65,8 @@ def reports(store: Store, s: Staged) -> dict[str, DataFrame]:
         "risk_by_state": dashboard.risk_by_state(risk),
         "early_cancel_watchlist": dashboard.early_cancel_watchlist(churn),
         "freshness": dashboard.freshness(store.between("fct_payments", end=as_of), "due_date", as_of),
+        **(
+            {"load_freshness": dashboard.freshness(store.read("payments"), VERSION, now or as_of)}
+            if store.exists("payments") else {}
+        ),
     }

@@ -7,14 +7,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from coverloom.operators.staging import Staged
-from coverloom.operators.upsert import VERSION
+from coverloom.operators.upsert import VERSION, upsert_payments
 from coverloom.plans import marts
 from coverloom.sources.store import Store, in_periods
 
-
-# Load time of payments that came with the raw tables: older than that of any feed.
+# Load time of payments that came with the raw tables, unless it is given: older than that of
+# any feed.
 FIRST_LOAD = datetime(1970, 1, 1)
 
 
@@ -34,64 +35,110 @@ class StoredFacts:
         billed = marts.billed_by_agent_from_fact(self.payments)
         return marts.commission_summary_monthly(billed, marts.churned_by_agent(self.churn), self.agents)
 
-    def churn_months(self, periods: Iterable[str | None]) -> set[str | None]:
-        hit = self.churn.filter(in_periods("cancel_period", periods)).select("cancel_period").distinct()
-        return {row[0] for row in hit.collect()}
-
 
 def build(store: Store, s: Staged) -> None:
     """Full rebuild of every mart. Facts first; the summaries read what was stored."""
     store.replace("dim_agents", marts.dim_agents(s))
     store.replace("fct_payments", marts.fct_payments(s))
-    store.replace("fct_member_churn", marts.fct_member_churn(s))
+    store.replace("paid_by_policy", marts.paid_by_policy(s.payments))
+    store.replace("fct_member_churn", _churn(store, s))
     facts = StoredFacts(store, s)
     store.replace("agent_commission_summary", facts.by_carrier())
     store.replace("agent_commission_summary_monthly", facts.by_month())
 
 
-def start(store: Store, s: Staged) -> None:
-    """Stores the payments as the first load, for feeds to be merged into, and builds the marts
-    from them. Run again, it goes back to what ``s`` holds."""
-    store.replace("payments", s.payments.withColumn(VERSION, F.lit(FIRST_LOAD)))
-    build(store, s.with_payments(stored_payments(store)))
-    store.clear_pending()
+def start(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD) -> None:
+    """Merges the raw payments into the stored ones and builds all marts. ``loaded_at`` is when
+    the raw tables were taken: payments that a feed has brought since then stay as they are."""
+    upsert_payments(store, s.payments.withColumn(VERSION, F.lit(loaded_at)))
+    _build_from_store(store, s)
+
+
+def reset(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD) -> None:
+    """Forgets all merged payments and goes back to what ``s`` holds."""
+    for table in ("payments", "payment_index", "payment_rejects"):
+        if store.exists(table):
+            store.replace(table, store.read(table, schema=_schema_of(store, table, s)).limit(0))
+    start(store, s, loaded_at)
 
 
 def refresh(store: Store, s: Staged, periods: Iterable[str | None] = ()) -> None:
-    """Rewrites the payment fact and both summaries for the months whose stored payments
-    changed since the last refresh, and for ``periods``. The churn fact and the agent
-    dimension follow with the next full build; if there was none yet, this is it."""
-    periods = list(store.pending() | set(periods))
-    if not periods:
-        return
+    """Brings every mart up to date with the stored payments and with ``s``: the agent
+    dimension; the payment fact for the months whose stored payments changed since the last
+    refresh, and for ``periods``; the churn fact for the months in which a cancellation is new,
+    changed, gone, or has another last payment; both summaries for all of these months."""
+    open_ = store.pending()
+    periods = open_ | set(periods)
     if not store.exists("fct_payments"):
-        build(store, s.with_payments(stored_payments(store)))
-        store.clear_pending()
+        _build_from_store(store, s)
         return
-    billed = store.months("payments", periods)
-    month = s.with_payments(stored_payments(store, periods))
-    store.replace_periods("fct_payments", marts.fct_payments(month), periods, billed)
-    facts = StoredFacts(store, s)
-    # The month filter passes through the aggregations to the stored partitions.
-    wanted = in_periods("period", periods)
-    store.replace_periods("agent_commission_summary", facts.by_carrier().filter(wanted), periods, billed)
-    store.replace_periods(
-        "agent_commission_summary_monthly", facts.by_month().filter(wanted), periods,
-        billed | facts.churn_months(periods),
-    )
-    store.clear_pending()
+    store.replace("dim_agents", marts.dim_agents(s))
+    if periods:
+        month = s.with_payments(stored_payments(store, s, periods))
+        store.replace_periods("fct_payments", marts.fct_payments(month), periods)
+        store.replace_periods("paid_by_policy", marts.paid_by_policy(month.payments), periods)
+    churned = _changed_churn_months(store, s)
+    if churned:
+        store.replace_periods("fct_member_churn", _churn(store, s).filter(in_periods("cancel_period", churned)), churned)
+    months = periods | churned
+    if months:
+        facts = StoredFacts(store, s)
+        # The month filter passes through the aggregations to the stored partitions.
+        wanted = in_periods("period", months)
+        store.replace_periods("agent_commission_summary", facts.by_carrier().filter(wanted), months)
+        store.replace_periods("agent_commission_summary_monthly", facts.by_month().filter(wanted), months)
+    store.clear_pending(open_)
+
+
+def stored_payments(store: Store, s: Staged, periods: Iterable[str | None] | None = None) -> DataFrame:
+    if not store.exists("payments"):
+        return s.payments.limit(0)
+    return store.read("payments", periods, s.payments.schema)
+
+
+def _build_from_store(store: Store, s: Staged) -> None:
+    open_ = store.pending()
+    build(store, s.with_payments(stored_payments(store, s)))
+    store.clear_pending(open_)
+
+
+def _schema_of(store: Store, table: str, s: Staged) -> StructType | None:
+    return StructType([*s.payments.schema.fields, StructField(VERSION, TimestampType())]) if table == "payments" else None
+
+
+def _churn(store: Store, s: Staged) -> DataFrame:
+    """The churn fact over stored last payments: one narrow row per policy and month is read,
+    not the payments."""
+    paid = store.read("paid_by_policy", schema=marts.paid_by_policy(s.payments).schema)
+    return marts.fct_member_churn(s, paid.groupBy("policy_id").agg(F.max("last_paid_date").alias("last_paid_date")))
+
+
+def _changed_churn_months(store: Store, s: Staged) -> set[str | None]:
+    """Months whose stored churn rows are not those that ``s`` and the stored payments give.
+    Both sides are summed up per month before they meet: months, a bounded number of rows."""
+    now = _churn(store, s)
+    before = store.read("fct_member_churn", schema=now.schema)
 
+    def prints(frame: DataFrame) -> DataFrame:
+        row = F.xxhash64(*[F.col(c) for c in now.columns])
+        return frame.groupBy("cancel_period").agg(
+            marts.count_rows().alias("n"), F.bit_xor(row).alias("x"), F.sum(F.pmod(row, F.lit(1_000_003))).alias("y")
+        )
 
-def stored_payments(store: Store, periods: Iterable[str | None] | None = None) -> DataFrame:
-    return store.read("payments", periods).drop(VERSION)
+    stacked = prints(now).unionByName(prints(before)).groupBy("cancel_period", "n", "x", "y").agg(marts.count_rows().alias("sides"))
+    return {row[0] for row in stacked.filter("sides = 1").select("cancel_period").distinct().collect()}
 
 
 def touched_by_dimensions(
-    s: Staged, members: DataFrame | None = None, policies: DataFrame | None = None
+    s: Staged, members: DataFrame | None = None, policies: DataFrame | None = None, agents: DataFrame | None = None
 ) -> list[str | None]:
-    """Months whose payments a changed member (``member_id``) or policy (``policy_id``) reaches.
-    Members, policies and agents are read as they are now, so those months need a refresh."""
+    """Months whose payments a changed member (``member_id``), policy (``policy_id``) or agent
+    (``agent_id``) reaches. Members, policies and agents are read as they are now, so those
+    months need a refresh; ``refresh`` finds the months of churn by itself."""
     hits = []
+    if agents is not None:
+        theirs = s.members.join(agents.select("agent_id").distinct(), "agent_id", "left_semi").select("member_id")
+        members = theirs if members is None else members.select("member_id").unionByName(theirs)
     if members is not None:
         hits.append(s.payments.join(members.select("member_id").distinct(), "member_id", "left_semi"))
     if policies is not None:

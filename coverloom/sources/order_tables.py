@@ -32,7 +32,7 @@ SCHEMAS = {
 }
 
 # Fixed values of the derivation.
-STATE_CODES = "inohilmikytngafltxca"
+STATES = {0: "wa", 1: "in", 2: "oh", 3: "tx", 4: "ny", 5: "ca", 6: "fl", 7: "or", 8: "va", 9: "nm"}
 CARRIERS = {0: "MetLife", 1: "VSP", 2: "Zurich"}
 METHODS = {0: "credit_card", 1: "ACH", 2: "check"}
 PLAN_BY_SEGMENT = {
@@ -53,7 +53,7 @@ def _padded(prefix: str, width: int, key: Column) -> Column:
 
 
 def _state(nation: Column) -> Column:
-    return F.substr(F.lit(STATE_CODES), (nation % 10 * 2 + 1).cast("int"), F.lit(2))
+    return lookup(nation % 10, STATES)
 
 
 def _shaped(frame: DataFrame, table: str) -> DataFrame:

@@ -93,14 +93,15 @@ def _csv(spark: SparkSession, line_breaks: bool) -> DataFrameReader:
     )
 
 
-def read_raw(spark: SparkSession, base: str, fmt: str = "parquet") -> RawTables:
-    """``fmt``: ``parquet``, ``csv``, or ``table`` for ``base`` as a catalog schema name."""
+def read_raw(spark: SparkSession, base: str, fmt: str = "parquet", line_breaks: bool = False) -> RawTables:
+    """``fmt``: ``parquet``, ``csv``, or ``table`` for ``base`` as a catalog schema name.
+    ``line_breaks``: CSV files may have some inside quotes."""
 
     def one(table: str) -> DataFrame:
         if fmt == "table":
             return spark.table(f"{base}.{table}")
         if fmt == "csv":
-            return read_csv(spark, f"{base}/{table}.csv", table)
+            return read_csv(spark, f"{base}/{table}.csv", table, line_breaks)
         return spark.read.schema(RAW_SCHEMAS[table]).parquet(f"{base}/{table}.parquet")
 
     return GivenTables(**{table: one(table) for table in RAW_SCHEMAS})
