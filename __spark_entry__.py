@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from coverloom.operators.upsert import VERSION, upsert_payments
 from coverloom.plans import analyst, dashboard, marts, warehouse
 from coverloom.schemas import RAW_SCHEMAS
 from coverloom.session import shared_folder, tune
+from coverloom.sources import GivenTables
 from coverloom.sources.order_tables import AS_OF, OrderTables
 from coverloom.sources.store import Store
 from oracle import sql
@@ -94,8 +96,50 @@ def _sliced_revenue(s: Staged) -> DataFrame:
 
 
 def _scorecard(s: Staged) -> DataFrame:
-    year = marts.agent_commission_summary_monthly(slicing.calendar_year(s, AS_OF))
-    return dashboard.agent_scorecard(year, marts.dim_agents(s), s.policies, AS_OF)
+    return dashboard.agent_scorecard(marts.agent_commission_summary_monthly(s), marts.dim_agents(s), s.policies, AS_OF)
+
+
+SLICERS = slicing.Slicers(
+    start=date(1996, 3, 1), end=date(1998, 8, 31), carriers=["VSP", "Zurich"],
+    plan_types=["Dental Basic", "Dental Premium", "Dental+Vision Bundle"], tiers=["silver", "gold"],
+)
+
+
+def _cut_facts(s: Staged) -> tuple[DataFrame, DataFrame]:
+    return SLICERS.cut(marts.fct_payments(s), "fct_payments"), SLICERS.cut(marts.fct_member_churn(s), "fct_member_churn")
+
+
+def _sliced_scorecard(s: Staged) -> DataFrame:
+    payments, churn = _cut_facts(s)
+    monthly = marts.commission_summary_monthly(
+        marts.billed_by_agent_from_fact(payments), marts.churned_by_agent(churn), s.agents
+    )
+    return dashboard.agent_scorecard(monthly, SLICERS.cut(marts.dim_agents(s), "dim_agents"), s.policies, date(1998, 8, 31))
+
+
+def _sliced_tier_scatter(s: Staged) -> DataFrame:
+    payments, churn = _cut_facts(s)
+    summary = marts.commission_summary(
+        marts.billed_by_agent_from_fact(payments, "carrier"), marts.churned_by_agent(churn), s.agents
+    )
+    return dashboard.tier_scatter(summary, s.agents)
+
+
+NOW = datetime(2001, 9, 30, 12)
+# Minutes before NOW of the newest load per carrier: a minute short of a day, a minute over, the same day.
+LOADED = {"MetLife": 24 * 60 - 1, "VSP": 24 * 60 + 1, "Zurich": 11 * 60 + 30}
+
+
+def _load_freshness(s: Staged) -> DataFrame:
+    """The newest load per carrier. Payments due in December count as loaded after NOW."""
+    found = []
+    for carrier, minutes in LOADED.items():
+        hours = F.make_dt_interval(hours=F.col("due_month").cast("int") - 1)
+        at = F.when(F.col("due_month") == 12, F.lit(NOW + timedelta(minutes=5))).otherwise(F.lit(NOW - timedelta(minutes=minutes)) - hours)
+        loads = s.payments.filter(F.col("carrier") == carrier).select(at.alias(VERSION))
+        found.append(dashboard.freshness(loads, VERSION, NOW).withColumn("carrier", F.lit(carrier)))
+    stacked = reduce(DataFrame.unionByName, found)
+    return stacked.select("carrier", F.date_format("latest", "yyyy-MM-dd HH:mm:ss").alias("latest"), "age_hours", "is_stale")
 
 
 def _top_agents(s: Staged) -> DataFrame:
@@ -109,10 +153,27 @@ def _churn_risk(s: Staged) -> DataFrame:
 FIRST_LOAD_ENDS = date(2000, 1, 1)
 
 
+def _before(s: Staged) -> Staged:
+    """The other tables as they were at the first load: some agents in another tier, some
+    members with another agent, late cancellations not known and some for another reason."""
+    raw = s.raw
+    moved, promoted = F.col("member_id").endswith("7"), F.col("agent_id").endswith("3")
+    reason = F.col("cancellation_reason")
+    return Staged(GivenTables(
+        agents=raw.agents.withColumn("tier", F.when(promoted, "Bronze").otherwise(F.col("tier"))),
+        members=raw.members.withColumn("agent_id", F.when(moved, "AGT000001").otherwise(F.col("agent_id"))),
+        policies=raw.policies,
+        payments=raw.payments,
+        cancellations=raw.cancellations.filter(F.col("cancellation_date") < F.lit(FIRST_LOAD_ENDS))
+        .withColumn("cancellation_reason", F.when(reason == "deceased", "member_request").otherwise(reason)),
+    ), AS_OF)
+
+
 def _feeds(s: Staged) -> tuple[DataFrame, DataFrame]:
     """The payments as two loads. The first holds what falls due before 2000, with late
-    payments still open and checks booked a month early. The second brings the rest, the
-    corrections, and the uncorrected rows once more as an out-of-date repeat."""
+    payments still open and checks booked a month early, and rows without id or load time.
+    The second brings the rest, the corrections, and the uncorrected rows once more as an
+    out-of-date repeat."""
     early = F.col("due_date") < F.lit(FIRST_LOAD_ENDS)
     late, check = F.lower("payment_status") == "paid_late", F.lower("payment_method") == "check"
     raw = s.raw.payments
@@ -125,21 +186,42 @@ def _feeds(s: Staged) -> tuple[DataFrame, DataFrame]:
     second = raw.filter(~early | late | check)
     repeats = first.filter((F.col("payment_status") == "Failed") | check)
 
-    def loaded(frame: DataFrame, n: int) -> DataFrame:
-        return stage_payments(frame.withColumn(VERSION, F.lit(n)), VERSION)
+    def loaded(frame: DataFrame, n: int | None) -> DataFrame:
+        return stage_payments(frame.withColumn(VERSION, F.lit(n).cast("int")), VERSION)
 
-    return loaded(first, 1), loaded(second, 2).unionByName(loaded(repeats, 1))
+    month = F.date_trunc("month", "due_date").cast("date")
+    nameless = loaded(raw.filter(month == F.lit(date(1999, 12, 1))), 1).withColumn("payment_id", F.lit(None).cast("string"))
+    undated = loaded(raw.filter(month == F.lit(date(1999, 11, 1))), None)
+    odd = nameless.unionByName(undated)
+    return loaded(first, 1).unionByName(odd), loaded(second, 2).unionByName(loaded(repeats, 1)).unionByName(odd)
 
 
-def _loaded_in_steps(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+@cache
+def _loaded_in_steps(spark: SparkSession, sf_dir: str) -> Store:
+    """A store after two loads, run once per session when a query first needs it: loads write."""
     s = _staged(spark, sf_dir)
     store = Store(spark, shared_folder(spark, "incremental"))
     first, second = _feeds(s)
     upsert_payments(store, first)
-    warehouse.refresh(store, s)  # nothing built yet: this builds everything
+    warehouse.refresh(store, _before(s))  # nothing built yet: this builds everything
     upsert_payments(store, second)
-    warehouse.refresh(store, s)
-    return store.read(table)
+    stored = s.with_payments(warehouse.stored_payments(store, s))
+    moved = s.members.filter(F.col("member_id").endswith("7"))
+    promoted = s.agents.filter(F.col("agent_id").endswith("3"))
+    warehouse.refresh(store, s, warehouse.touched_by_dimensions(stored, members=moved, agents=promoted))
+    return store
+
+
+def _step_table(table: str) -> Query:
+    return lambda spark, sf_dir: _loaded_in_steps(spark, sf_dir).read(table)
+
+
+def _step_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = lambda name: F.get_json_object("record", f"$.{name}")
+    return _loaded_in_steps(spark, sf_dir).read("payment_rejects").select(
+        "reason", record("payment_id").alias("payment_id"), record("policy_id").alias("policy_id"),
+        record("due_date").cast("date").alias("due_date"), record("amount_due").cast("double").alias("amount_due"),
+    )
 
 
 def queries() -> dict[str, Query]:
@@ -187,7 +269,11 @@ def queries() -> dict[str, Query]:
         "d11_churn_risk_state": _on_staged(lambda s: dashboard.risk_by_state(_churn_risk(s))),
         "d12_early_cancel": _on_staged(lambda s: dashboard.early_cancel_watchlist(marts.fct_member_churn(s))),
         "d13_freshness": _on_staged(lambda s: dashboard.freshness(s.payments, "due_date", AS_OF)),
+        "d13_load_freshness": _on_staged(_load_freshness),
         "sliced_revenue": _on_staged(_sliced_revenue),
+        "sliced_churn": _on_staged(lambda s: analyst.churn_by_reason(_cut_facts(s)[1])),
+        "sliced_scorecard": _on_staged(_sliced_scorecard),
+        "sliced_tier_scatter": _on_staged(_sliced_tier_scatter),
         "agent_book": _on_staged(
             lambda s: marts.fct_payments(slicing.payments_of_agent(s, viewer_email="Agent7@Example.com"))
         ),
@@ -200,10 +286,12 @@ def queries() -> dict[str, Query]:
         "dq_report": _on_checks(quality.report),
         "dq_failing_values": _on_checks(quality.failing_values),
         # incremental loading ends in the same marts as a full build
-        "incr_payments": lambda spark, sf_dir: _loaded_in_steps(spark, sf_dir, "fct_payments"),
-        "incr_commission_summary": lambda spark, sf_dir: _loaded_in_steps(
-            spark, sf_dir, "agent_commission_summary"
-        ),
+        "incr_payments": _step_table("fct_payments"),
+        "incr_member_churn": _step_table("fct_member_churn"),
+        "incr_dim_agents": _step_table("dim_agents"),
+        "incr_commission_summary": _step_table("agent_commission_summary"),
+        "incr_commission_summary_monthly": _step_table("agent_commission_summary_monthly"),
+        "incr_rejects": _step_rejects,
     }
     shown = {name: _shown(query) for name, query in found.items()}
     return shown | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else shown

@@ -50,7 +50,8 @@ def months_between(later: str, earlier: str) -> str:
     return f"date_diff('month', {earlier}, {later})"
 
 
-STATE = "substr('inohilmikytngafltxca', 2 * (n % 10) + 1, 2)"
+# The states of the derived tables.
+STATE = "['wa', 'in', 'oh', 'tx', 'ny', 'ca', 'fl', 'or', 'va', 'nm'][n % 10 + 1]"
 
 # ---- parts ---------------------------------------------------------------------------
 
@@ -294,13 +295,13 @@ SELECT da.agent_id, da.agent_name, da.agency_name, da.tier, da.is_active,
          AS active_members,
        coalesce(v, 0) AS ytd_commission, {money_pct('got', 'due')} AS collection_rate_pct,
        {pct('bad', 'np')} AS failure_rate_pct,
-       (SELECT count(*) FROM sc WHERE sc.agent_id = da.agent_id AND cancel_year = year({AS_OF})) AS total_churns,
+       (SELECT count(*) FROM sc WHERE sc.agent_id = da.agent_id) AS total_churns,
        coalesce(cancellation_rate_pct > (SELECT {pct("count(*) FILTER (policy_status = 'cancelled')", 'count(*)')} FROM sp),
                 FALSE) AS is_high_churn
 FROM da LEFT JOIN (
-  SELECT agent_id, sum(commission_earned) AS v, sum(amount_due) AS due, sum(amount_paid) AS got, count(*) AS np,
-         count(*) FILTER (is_failed) AS bad
-  FROM fp WHERE due_year = year({AS_OF}) GROUP BY ALL) t ON t.agent_id = da.agent_id"""
+  SELECT agent_id, sum(commission_earned) FILTER (due_year = year({AS_OF})) AS v, sum(amount_due) AS due,
+         sum(amount_paid) AS got, count(*) AS np, count(*) FILTER (is_failed) AS bad
+  FROM fp GROUP BY ALL) t ON t.agent_id = da.agent_id"""
 
 FINAL: dict[str, str] = {}
 
@@ -339,8 +340,18 @@ FINAL["fct_payments"] = shown("fp", "amount_due", "amount_paid", "payment_gap",
 FINAL["fct_member_churn"] = shown("fc", "lifetime_value", "monthly_premium", "annualized_revenue_lost")
 FINAL["agent_commission_summary"] = shown("cs", *SUMMARY_MONEY)
 FINAL["incr_payments"] = FINAL["fct_payments"]
+FINAL["incr_member_churn"] = FINAL["fct_member_churn"]
+FINAL["incr_dim_agents"] = FINAL["dim_agents"]
+FINAL["incr_rejects"] = f"""
+SELECT 'payment_id is missing' AS reason, CAST(NULL AS VARCHAR) AS payment_id, policy_id, due_date,
+       CAST(amount_due AS DOUBLE) AS amount_due
+FROM (SELECT DISTINCT * EXCLUDE (payment_id) FROM y0 WHERE strftime(due_date, '%Y-%m') = '1999-12')
+UNION ALL
+SELECT 'load time is missing', payment_id, policy_id, due_date, CAST(amount_due AS DOUBLE)
+FROM y0 WHERE strftime(due_date, '%Y-%m') = '1999-11'"""
 FINAL["incr_commission_summary"] = FINAL["agent_commission_summary"]
 FINAL["agent_commission_summary_monthly"] = shown("cm", *SUMMARY_MONEY)
+FINAL["incr_commission_summary_monthly"] = FINAL["agent_commission_summary_monthly"]
 
 # analyst questions
 FINAL["q1_monthly_revenue"] = revenue_by_month("fp")
@@ -446,6 +457,45 @@ FINAL["d13_freshness"] = f"""
 SELECT {AS_OF} AS as_of, max(due_date) AS latest, CAST(24 * ({AS_OF} - max(due_date)) AS BIGINT) AS age_hours,
        24 * ({AS_OF} - max(due_date)) > 24 AS is_stale
 FROM sy WHERE due_date <= {AS_OF}"""
+LOADED = f"""
+SELECT carrier, CAST(TIMESTAMP '2001-09-30 12:00:00' - to_minutes(CASE carrier WHEN 'MetLife' THEN 1439 WHEN 'VSP' THEN 1441
+         ELSE 690 END) - to_hours(month(due_date) - 1) AS TIMESTAMP) AS loaded
+FROM sy WHERE month(due_date) < 12"""
+FINAL["d13_load_freshness"] = f"""
+SELECT carrier, strftime(max(loaded), '%Y-%m-%d %H:%M:%S') AS latest,
+       CAST(floor(epoch(TIMESTAMP '2001-09-30 12:00:00' - max(loaded)) / 3600) AS BIGINT) AS age_hours,
+       max(loaded) < TIMESTAMP '2001-09-30 12:00:00' - INTERVAL 1 DAY AS is_stale
+FROM ({LOADED}) GROUP BY 1"""
+_CUT = (
+    "carrier <> 'MetLife' AND plan_type IN ('Dental Basic', 'Dental Premium', 'Dental+Vision Bundle') "
+    "AND agent_tier IN ('silver', 'gold')"
+)
+_SPAN = "BETWEEN DATE '1996-03-01' AND DATE '1998-08-31'"
+PARTS["fps"] = f"SELECT * FROM fp WHERE {_CUT} AND due_date {_SPAN}"
+PARTS["fcs"] = f"SELECT * FROM fc WHERE {_CUT} AND cancellation_date {_SPAN}"
+FINAL["sliced_churn"] = FINAL["q3_churn_by_reason"].replace("FROM fc", "FROM fcs")
+FINAL["sliced_scorecard"] = f"""
+SELECT *, CASE WHEN failure_rate_pct > 5 THEN 'red' WHEN collection_rate_pct > 95 THEN 'green' END AS flag
+FROM (
+  SELECT da.agent_id, da.agent_name, da.agency_name, da.tier, da.is_active,
+         (SELECT count(DISTINCT member_id) FROM sp WHERE sp.agent_id = da.agent_id AND policy_status = 'active')
+           AS active_members,
+         CAST(coalesce(v, 0) AS DOUBLE) AS ytd_commission, {money_pct('got', 'due')} AS collection_rate_pct,
+         {pct('bad', 'np')} AS failure_rate_pct,
+         (SELECT count(*) FROM fcs WHERE fcs.agent_id = da.agent_id) AS total_churns,
+         coalesce(cancellation_rate_pct >
+                  (SELECT {pct("count(*) FILTER (policy_status = 'cancelled')", 'count(*)')} FROM sp), FALSE) AS is_high_churn
+  FROM da LEFT JOIN (
+    SELECT agent_id, sum(commission_earned) FILTER (due_year = 1998) AS v, sum(amount_due) AS due, sum(amount_paid) AS got,
+           count(*) AS np, count(*) FILTER (is_failed) AS bad
+    FROM fps GROUP BY ALL) t ON t.agent_id = da.agent_id
+  WHERE da.tier IN ('silver', 'gold'))"""
+FINAL["sliced_tier_scatter"] = f"""
+SELECT agent_tier, tier_rank, {_mean_of_pct('rate')} AS avg_collection_rate_pct, {big('sum(nm)', 'active_members_billed')}
+FROM (SELECT agent_id, agent_tier, due_period, carrier, count(DISTINCT member_id) AS nm,
+             {money_pct('sum(amount_paid)', 'sum(amount_due)')} AS rate
+      FROM fps GROUP BY 1, 2, 3, 4) LEFT JOIN (SELECT agent_id, tier_rank FROM da) t USING (agent_id)
+GROUP BY 1, 2"""
 FINAL["sliced_revenue"] = revenue_by_month(
     "fp",
     "due_date BETWEEN DATE '1997-01-01' AND DATE '2000-12-31' AND carrier <> 'Zurich' "

@@ -52,6 +52,7 @@ def spark(tmp_path_factory):
         "tests", "local[4]",
         settings={
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

@@ -4,6 +4,7 @@ import random
 from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ def batch(spark):
     def build(version, *payments):
         filled = [{**DEFAULTS["payments"], **p} for p in payments]
         frame = spark.createDataFrame([tuple(p[f] for f in PAYMENTS.fieldNames()) for p in filled], PAYMENTS)
-        return stage_payments(frame.withColumn(VERSION, F.lit(version)), VERSION)
+        return stage_payments(frame.withColumn(VERSION, F.lit(version).cast("int")), VERSION)
 
     return build
 
@@ -67,13 +68,61 @@ def test_moved_due_date_leaves_no_copy_behind(store, batch):
     assert stored(store) == [("a", "2024-07", "paid", 2), ("b", "2024-05", "paid", 1)]
 
 
-def test_feed_with_fixed_due_dates_reads_its_own_months_only(store, batch):
+def test_a_batch_opens_the_index_buckets_of_its_ids_only(store, batch, monkeypatch):
+    upsert_payments(store, batch(1, *[dict(payment_id=f"p{k}") for k in range(200)]))
+    opened = []
+    read = Store.read
+    monkeypatch.setattr(Store, "read", lambda self, table, periods=None, schema=None: (
+        opened.append((table, periods and list(periods))), read(self, table, periods, schema)
+    )[1])
+    assert upsert_payments(store, batch(2, dict(payment_id="p7", payment_status="failed"))) == ["2024-06"]
+    asked = {table: periods for table, periods in opened if periods}
+    assert len(asked["payment_index"]) == 1 and asked["payments"] == ["2024-06"]
+    assert not [table for table, periods in opened if periods is None]
+
+
+def test_rows_that_cannot_be_merged_are_set_aside_once(store, batch):
+    odd = batch(1, dict(payment_id=None), dict(payment_id=None, due_date=date(2024, 5, 1))).unionByName(batch(None, dict(payment_id="x")))
+    for _ in range(3):
+        upsert_payments(store, batch(1, dict(payment_id="a")).unionByName(odd).unionByName(odd))
+    assert rows(store.read("payments"), "payment_id") == [("a",)]
+    assert rows(store.read("payment_rejects"), "reason") == [
+        ("load time is missing",), ("payment_id is missing",), ("payment_id is missing",),
+    ]
+
+
+def test_no_batch_copy_is_left_behind(spark, store, batch):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    upsert_payments(store, batch(1, dict(payment_id="a")))
+    with pytest.raises(Exception, match="nowhere"):
+        upsert_payments(store, batch(1, dict(payment_id="b")).withColumn("x", F.raise_error(F.lit("nowhere"))))
+    assert not list(base.glob("payments-batch-*"))
+
+
+def test_a_load_that_dies_is_finished_by_the_next_try(store, batch, monkeypatch):
     upsert_payments(store, batch(1, dict(payment_id="a"), dict(payment_id="b", due_date=date(2024, 5, 1))))
-    assert upsert_payments(
-        store, batch(2, dict(payment_id="a", payment_status="failed")), due_dates_change=False
-    ) == ["2024-06"]
-    assert upsert_payments(store, batch(1, dict(payment_id="a")), due_dates_change=False) == []
-    assert stored(store) == [("a", "2024-06", "failed", 2), ("b", "2024-05", "paid", 1)]
+    move = batch(2, dict(payment_id="a", due_date=date(2024, 7, 1)))
+    with monkeypatch.context() as broken:
+        broken.setattr(Store, "replace_periods", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            upsert_payments(store, move)
+    assert stored(store) == [("a", "2024-06", "paid", 1), ("b", "2024-05", "paid", 1)]
+    assert store.pending() >= {"2024-06", "2024-07"}
+    assert upsert_payments(store, move) == ["2024-06", "2024-07"]
+    assert stored(store) == [("a", "2024-07", "paid", 2), ("b", "2024-05", "paid", 1)]
+
+
+def test_building_again_keeps_what_was_loaded(spark, store, batch, staged):
+    s = staged(payments=[dict(payment_id="y0")])
+    warehouse.start(store, s)
+    upsert_payments(store, stage_payments(spark.createDataFrame(
+        [tuple({**DEFAULTS["payments"], "payment_id": "y9", VERSION: datetime(2024, 6, 3)}[f] for f in FEED.fieldNames())], FEED
+    ), VERSION))
+    warehouse.refresh(store, s)
+    warehouse.start(store, s)
+    assert rows(store.read("fct_payments"), "payment_id") == [("y0",), ("y9",)]
+    warehouse.reset(store, s)
+    assert rows(store.read("fct_payments"), "payment_id") == [("y0",)]
 
 
 def test_outdated_and_repeated_batches_change_nothing(store, batch):
@@ -112,7 +161,7 @@ def test_random_batches_against_a_plain_model(store, batch, seed):
     for _ in range(4):
         rows_ = {}
         for _ in range(pick.randint(1, 8)):
-            key, version = pick.choice("abcdef"), pick.randint(1, 6)
+            key, version = pick.choice(["a", "b", "c", "d", "e", "f", None]), pick.choice([1, 2, 3, 4, 5, 6, None])
             # One version of a payment always has the same content.
             content = random.Random(f"{key}{version}")
             month = content.randint(1, 4)
@@ -123,7 +172,7 @@ def test_random_batches_against_a_plain_model(store, batch, seed):
         ]
         upsert_payments(store, reduce(lambda a, b: a.unionByName(b), frames))
         for (k, v), (m, status) in rows_.items():
-            if k not in model or model[k][2] <= v:
+            if k is not None and v is not None and (k not in model or model[k][2] <= v):
                 model[k] = (m, status, v)
     assert stored(store) == sorted((k, *content) for k, content in model.items())
 
@@ -148,14 +197,16 @@ def test_refresh_equals_full_build(spark, store, batch, staged, tmp_path):
     assert upsert_payments(store, update) == ["2024-03", "2024-04", "2024-05", "2024-06"]
     # The job dies here and the batch comes again. April has no trace of "d" any more, but
     # its marts still do.
-    assert upsert_payments(store, update) == ["2024-03", "2024-05", "2024-06"]
+    assert upsert_payments(store, update) == ["2024-03", "2024-04", "2024-05", "2024-06"]
     assert store.pending() == {"2024-03", "2024-04", "2024-05", "2024-06"}
     warehouse.refresh(store, dims)
     assert store.pending() == set()
 
-    full = dims.with_payments(warehouse.stored_payments(store))
+    full = dims.with_payments(warehouse.stored_payments(store, dims))
     for table, frame in {
         "fct_payments": marts.fct_payments(full),
+        "fct_member_churn": marts.fct_member_churn(full),
+        "dim_agents": marts.dim_agents(full),
         "agent_commission_summary": marts.agent_commission_summary(full),
         "agent_commission_summary_monthly": marts.agent_commission_summary_monthly(full),
     }.items():
@@ -170,9 +221,32 @@ def test_months_reached_by_changed_dimensions(staged, spark):
     members, policies = spark.createDataFrame([("M1",)], "member_id string"), spark.createDataFrame([("P2",)], "policy_id string")
     assert warehouse.touched_by_dimensions(s, members=members) == ["2024-06"]
     assert sorted(warehouse.touched_by_dimensions(s, members, policies)) == ["2024-04", "2024-06"]
+    agents = spark.createDataFrame([("A1",)], "agent_id string")
+    assert warehouse.touched_by_dimensions(s, agents=agents) == ["2024-06"]
     assert warehouse.touched_by_dimensions(s) == []
 
 
+def test_refresh_follows_cancellations_and_agents(store, batch, staged):
+    """A payment paid later, a new, a changed and a withdrawn cancellation, an agent promoted."""
+    first = staged(cancellations=[
+        dict(cancellation_id="1"), dict(cancellation_id="2", cancellation_date=date(2024, 3, 1)),
+        dict(cancellation_id="3", cancellation_date=date(2024, 2, 1), cancellation_reason="moved_out_of_area"),
+    ])
+    upsert_payments(store, batch(1, dict(payment_id="a")))
+    warehouse.refresh(store, first)
+    then = staged(agents=[dict(tier="Platinum")], cancellations=[
+        dict(cancellation_id="1"), dict(cancellation_id="3", cancellation_date=date(2024, 2, 1), cancellation_reason="deceased"),
+        dict(cancellation_id="4", cancellation_date=date(2024, 1, 5)),
+    ])
+    upsert_payments(store, batch(2, dict(payment_id="z", paid_date=date(2024, 6, 9))))
+    warehouse.refresh(store, then, warehouse.touched_by_dimensions(then.with_payments(warehouse.stored_payments(store, then)), agents=then.agents))
+    full = then.with_payments(warehouse.stored_payments(store, then))
+    for table in ("dim_agents", "fct_payments", "fct_member_churn", "agent_commission_summary", "agent_commission_summary_monthly"):
+        frame = getattr(marts, table)(full)
+        assert rows(store.read(table), *sorted(frame.columns)) == rows(frame, *sorted(frame.columns)), table
+    assert [r[1] for r in rows(store.read("fct_member_churn"), "cancellation_id", "last_paid_date")] == [date(2024, 6, 9)] * 3
+
+
 def test_stream_merges_files_and_refreshes_marts(spark, store, staged, tmp_path):
     dims = staged(members=[dict(member_id="M1")])
 
@@ -192,7 +266,7 @@ def test_stream_merges_files_and_refreshes_marts(spark, store, staged, tmp_path)
     arrive(1, dict(payment_id="a", payment_status="Failed", amount_paid=D(0), paid_date=None))  # out-of-date repeat
     run()
     assert rows(store.read("payments"), "payment_id", "payment_status") == [("a", "paid"), ("b", "paid"), ("old", "paid")]
-    full = dims.with_payments(warehouse.stored_payments(store))
+    full = dims.with_payments(warehouse.stored_payments(store, dims))
     fact = marts.fct_payments(full)
     assert rows(store.read("fct_payments"), *fact.columns) == rows(fact)
     summary = marts.agent_commission_summary(full)

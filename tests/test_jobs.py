@@ -39,6 +39,9 @@ def test_seed_build_check_report_load(spark, raw, tmp_path, capsys):
     feed = [{**p, VERSION: datetime(2024, 6, 1)} for p in (odd, good)]
     spark.createDataFrame([tuple(p[f] for f in FEED.fieldNames()) for p in feed], FEED).write.parquet(places["feed"])
     assert run("load", "feed", "raw", "marts", "checkpoint", as_of="2024-06-15") == 0
+    assert run("build", "raw", "marts", as_of="2024-06-15") == 0  # keeps what was loaded
+    clean.agents.select("agent_id").write.parquet(f"{tmp_path}/changed")
+    assert run("refresh", "raw", "marts", as_of="2024-06-15", agents=f"{tmp_path}/changed") == 0
     assert rows(store.read("fct_payments"), "payment_id", "payment_status") == [
         ("Y0", "paid"), ("Y1", "paid"), ("Y2", "refunded"),
     ]

@@ -1,5 +1,9 @@
 """Every registered query against its SQL statement in DuckDB: values, types, and a sane plan."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -49,6 +53,14 @@ def test_query_matches_sql(spark, duck, key):
     assert bool(got) != (key in EMPTY)
 
 
+def test_entry_imports_without_the_pipeline_package():
+    code = (
+        "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; "
+        "assert set(e.queries()) == set(e.oracle_sql()) and not [k for k in e.queries() if k.startswith('op')]"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(registered.__file__).parent)
+
+
 def test_entry(spark):
     frame = registered.entry(spark)
     assert frame.columns[0] == "due_period" and frame.count() == 85

@@ -41,7 +41,17 @@ def plain(frame):
 
 
 def test_every_report_is_compared(found):
-    assert set(found) == set(SAME)
+    assert set(found) == {*SAME, "load_freshness"}
+
+
+def test_sliced_reports_equal_the_sliced_queries(spark, found, tmp_path):
+    store = Store(spark, str(tmp_path))
+    s = Staged(OrderTables(spark, TESTDATA), AS_OF)
+    warehouse.start(store, s)
+    cut = reports(store, s, registered.SLICERS)
+    for report, query in (("churn_by_reason", "sliced_churn"), ("tier_scatter", "sliced_tier_scatter")):
+        assert plain(cut[report]) == plain(registered.queries()[query](spark, TESTDATA))
+    assert cut["monthly_revenue"].agg({"due_period": "min"}).first()[0] >= "1996-03"
 
 
 @pytest.mark.parametrize("name", sorted(SAME))

@@ -10,8 +10,8 @@ from coverloom.sources.raw import BAD_RECORD, read_csv, read_csv_split
 from coverloom.sources.store import Store
 
 AGENTS_CSV = '''agent_id,agent_name,agency_name,state,email,phone,hire_date,is_active,tier
-A1,Ann Lee,"Lee, Sons and ""Co""",TN,ann@x.org,(406)956-0106x5,2022-04-13,True,bronze
-A2,Bob Ray,Ray Inc,OH,bob@x.org,538.990.8386,2021-08-02,False,gold
+A1,Ann Lee,"Lee, Sons and ""Co""",TN,ann@x.org,(555)010-0101x1,2020-02-29,True,bronze
+A2,Bob Ray,Ray Inc,OH,bob@x.org,555.010.0102,2019-12-31,False,gold
 '''
 MEMBERS_CSV = '''member_id,first_name,last_name,email,phone,dob,state,zip_code,enrollment_date,agent_id,carrier,plan_type
 M1,Mia,Member,m@x.org,1,1990-01-01,OH,00501,2023-01-15,A1,VSP,Dental Basic
@@ -112,10 +112,47 @@ def test_store_partitions_and_replaces_single_months(spark, staged, tmp_path):
     assert rows(store.read("payments", ["2024-05", None]), "payment_id") == [("1",), ("3",)]
 
     update = spark.createDataFrame([("4", "2024-06")], frame.schema)
-    store.replace_periods("payments", update, ["2024-06", None], {"2024-06"})
+    store.replace_periods("payments", update, ["2024-06", None])
     assert months(store) == [("1", "2024-05"), ("4", "2024-06")]
 
 
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_a_write_that_dies_leaves_the_old_rows(spark, tmp_path, partitioned):
+    """The new files are written, but the job dies before they become current."""
+
+    class Dies(Store):
+        def _commit(self, table, held):
+            raise OSError("the driver is gone")
+
+    table = "payments" if partitioned else "dim_agents"
+    frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06")], "payment_id string, due_period string")
+    store = Store(spark, str(tmp_path))
+    with pytest.raises(OSError):
+        Dies(spark, str(tmp_path)).replace(table, frame)
+    assert not store.exists(table)
+    store.replace(table, frame)
+    update = spark.createDataFrame([("3", "2024-06")], frame.schema)
+    with pytest.raises(OSError):
+        if partitioned:
+            Dies(spark, str(tmp_path)).replace_periods(table, update, ["2024-06"])
+        else:
+            Dies(spark, str(tmp_path)).replace(table, update)
+    assert rows(store.read(table), "payment_id") == [("1",), ("2",)]
+    assert store.vacuum(table) == 2  # both dead loads
+    assert rows(store.read(table), "payment_id") == [("1",), ("2",)]
+
+
+def test_a_dead_first_write_does_not_block_the_table(spark, tmp_path):
+    for folder in ("payments/load=x/_temporary", "payments.log/_temporary"):
+        (tmp_path / folder).mkdir(parents=True)
+    store = Store(spark, str(tmp_path))
+    assert not store.exists("payments")
+    frame = spark.createDataFrame([("1", "2024-05")], "payment_id string, due_period string")
+    store.append("payments", frame)
+    store.append("payments", frame)
+    assert rows(store.read("payments"), "payment_id") == [("1",), ("1",)]
+
+
 def test_reading_a_month_prunes_partitions(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06")], "payment_id string, due_period string")
