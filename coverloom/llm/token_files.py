@@ -41,6 +41,8 @@ BLOCK_IDS = 65_536
 # Distinct words a worker remembers before it forgets the long ones.
 MOST_WORDS = 700_000
 _SHORT_WORD = 8
+# Words of more characters (lists, tables, texts without spaces) are forgotten with their batch.
+_LONG_WORD = 1_000
 _MAGIC = b"BPL1"
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 _BLOCKS_A_BATCH = 8
@@ -100,6 +102,7 @@ class WordEncoder:
     """
 
     _inside = re.compile(r"\s \s")
+    _break = re.compile(r"(?<=\S)\n(?=\S)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -108,6 +111,7 @@ class WordEncoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
+        self.long: list[tuple[dict[str, bytes], str]] = []
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -116,14 +120,15 @@ class WordEncoder:
     def _learn(self, words: set[str], lead: str) -> None:
         """Remember words that follow ``lead``, a space or nothing. Signs after a letter or
         digit, a line break between other characters and what follows them are pieces of
-        their own, so most new words are put together from known parts."""
+        their own, so most new words are put together from known parts. A word is split at
+        all its line breaks at once."""
         known, first = self.spaced if lead else self.first, self.first
         whole, ended, broken = [], [], []
         for word in words.difference(known):
             if "\n" in word:
-                left, _, right = word.partition("\n")
-                if left and right and not left[-1].isspace() and not right[0].isspace():
-                    broken.append((word, left, right))
+                lines = self._break.split(word)
+                if len(lines) > 1:
+                    broken.append((word, lines))
                     continue
             else:
                 stem = word.rstrip(_SIGNS)
@@ -132,15 +137,22 @@ class WordEncoder:
                     continue
             whole.append(word)
         known.update(zip(whole, self._ids([lead + w for w in whole]), strict=True))
-        for parts in (ended, broken):
-            if parts:
-                self._learn({head for _, head, _ in parts}, lead)
-                self._learn({"\n", *(tail for _, _, tail in parts)}, "")
-        known.update([(word, known[stem] + first[signs]) for word, stem, signs in ended])
-        known.update([(word, known[left] + first["\n"] + first[right]) for word, left, right in broken])
+        self.long += [(known, w) for w in (*whole, *(b[0] for b in broken)) if len(w) > _LONG_WORD]
+        if ended:
+            self._learn({stem for _, stem, _ in ended}, lead)
+            self._learn({signs for *_, signs in ended}, "")
+            known.update([(word, known[stem] + first[signs]) for word, stem, signs in ended])
+        if broken:
+            self._learn({lines[0] for _, lines in broken}, lead)
+            self._learn({"\n"}.union(*(lines[1:] for _, lines in broken)), "")
+            feed = first["\n"]
+            known.update([(word, known[lines[0]] + feed + feed.join([first[x] for x in lines[1:]])) for word, lines in broken])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        for known, word in self.long:
+            known.pop(word, None)
+        self.long = []
         self.first, self.spaced = _trimmed(self.first), _trimmed(self.spaced)
         whole = [bool(self._inside.search(t)) or any(a in t for a in self.added) for t in texts]
         cut = [[""] if odd else t.split(" ") for t, odd in zip(texts, whole, strict=True)]

@@ -24,6 +24,15 @@ def test_word_encoder_equals_the_tokenizer():
     assert found == ids_of(texts)
 
 
+def test_many_unspaced_lines():
+    lines = [f"{k}.5\tw{k % 977}!" for k in range(100_000)]
+    texts = ["\n".join(lines), "a b " + "\n".join(lines[:5000]) + "\n\nend\nend", "行\n" * 3000, "x\r\n" * 3000 + "y\nz"]
+    encoder = token_files.WordEncoder(PATH)
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == ids_of(texts)
+    encoder.encode(["next"])
+    assert max(map(len, [*encoder.first, *encoder.spaced])) <= 1000  # no text and no rest of one is kept
+
+
 @pytest.mark.parametrize("bits", [1, 8])
 @pytest.mark.parametrize("ids", [[], [0], [2**32 - 1, 0, 7], list(range(300)) * 5, [50256] * 1000])
 def test_blocks_round_trip(bits, ids):
