@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import cache
 
 import numpy as np
@@ -28,6 +29,53 @@ BY_SPACE = WordRule(b" \t\n\v\f\r", True)
 # Words are runs of ASCII letters, digits and bytes of other characters; give lower-cased text.
 BY_PUNCTUATION = WordRule(bytes(b for b in range(128) if not re.match(r"[a-z0-9]", chr(b), re.I)), True)
 
+# Scripts written without spaces between words; each of their characters counts as a word.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u303c"
+    "\u3040-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+    "\U0001aff0-\U0001b16f\U00020000-\U0003ffff]"
+)
+
+
+class _Spacing(dict):
+    """What a character becomes, for str.translate; filled as characters come."""
+
+    def __init__(self, keep_signs: bool):
+        super().__init__()
+        self.keep_signs = keep_signs
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = unicodedata.category(c)
+        if kind[0] == "Z" or kind == "Cc" or c in "\u200b\u2060\ufeff":
+            found = " "
+        elif kind[0] in "PS":
+            found = f" {c} " if self.keep_signs else " "
+        else:
+            found = f" {c} " if _UNSPACED.match(c) else c
+        self[code] = found
+        return found
+
+
+_WORDS, _WORDS_AND_SIGNS = _Spacing(False), _Spacing(True)
+_ASCII_SIGN = re.compile(r"[!-/:-@\[-`{-~]")
+_ASCII_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+
+
+def plain_words(text: str) -> str:
+    """Lower-cased text for ``BY_PUNCTUATION``: a space for every white space and sign of
+    Unicode, and spaces around the characters of scripts without spaces."""
+    text = text.lower()
+    return text if text.isascii() else text.translate(_WORDS)
+
+
+def words_and_signs(text: str) -> str:
+    """Lower-cased text for ``BY_SPACE`` in which every sign is a word too."""
+    text = text.lower()
+    if text.isascii():
+        return _ASCII_CONTROL.sub(" ", _ASCII_SIGN.sub(r" \g<0> ", text))
+    return text.translate(_WORDS_AND_SIGNS)
+
 
 @cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,20 @@
 """Language-model scores: cross-entropy difference of two matched n-gram models.
 
-Both models are byte trigram models of the same order, smoothing and vocabulary: the bytes
+``score_words`` is the registered query. Both of its models are word bigram models of the same
+smoothing and vocabulary: the lower-cased words and signs of the whole corpus (single
+characters in scripts without spaces), and one mark for the borders of a text. The background
+model counts all documents, the target model the documents labelled good. A word w after u has
+the probability (count(u w) + ``ADDED``) / (count(u) + ``ADDED`` * vocabulary). A document's
+score is the mean over its words and closing mark of the target loss minus the background
+loss, in nats: the lower, the more it reads like the target.
+
+Every document's distinct bigrams and first words with their counts there are one table, which
+is dealt out by n-gram; its sums are both models, rows of a distributed table, which the same
+rows meet in a join. Model and shuffle grow with the corpus; only the number of distinct words
+reaches the driver. N-grams are 64-bit hashes.
+
+``score`` is the narrower variant over bytes, whose models fit into every task. Both of its
+models are byte trigram models of the same order, smoothing and vocabulary: the bytes
 the corpus uses, and one mark for the borders of a text. The background model counts all
 documents, the target model the documents labelled good. Every context falls back on the
 next shorter one by Dirichlet smoothing, and the shortest on an even share of the vocabulary.
@@ -28,10 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.llm.common import settle, ship, text_of
+from coverloom.llm.hashing import BY_SPACE, mix, signed, word_hashes, words_and_signs
 
 # Strength of the shorter context, in tokens.
 PRIOR = 20.0
 BORDER = 255  # never part of UTF-8
+# What every bigram of the vocabulary counts besides its occurrences.
+ADDED = 0.1
+_EDGE = np.uint64(0x5851F42D4C957F2D)
 _SLICE = 1 << 21
 
 
@@ -185,3 +203,82 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(
         run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, loss_difference double"
     )
+
+
+# ---- over words ----------------------------------------------------------------------
+
+
+def word_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, n-gram and count of every distinct n-gram of each text. Bigrams are even,
+    their first words odd numbers."""
+    words, at = word_hashes([words_and_signs(t) for t in texts], BY_SPACE)
+    numbers = np.arange(len(texts))
+    edged = np.insert(words, at, _EDGE)  # a mark before each text, the last one's end included
+    owner = np.repeat(numbers, np.diff(at) + 1)
+    first, second = edged[:-1], edged[1:]
+    pairs = mix(first * np.uint64(0x9E3779B97F4A7C15) + mix(second)) & ~np.uint64(1)
+    grams, owner = np.concatenate([pairs, first | np.uint64(1)]), np.concatenate([owner, owner])
+    order = np.lexsort((grams, owner))
+    grams, owner = grams[order], owner[order]
+    new = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])]))
+    return owner[new], signed(grams[new]), np.diff(new, append=len(grams))
+
+
+def document_grams(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """gram, row, n, wanted: the n-grams of every document; ``row`` is a key of id and text."""
+    wanted = good.select("doc_id").distinct().withColumn("wanted", F.lit(1)).hint("merge")
+    flagged = docs.select("doc_id", text_of().alias("text")).join(wanted, "doc_id", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                owner, grams, n = word_grams(part.column(0).to_pylist())
+                owner = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams), part.column(1).take(owner), pa.array(n.astype(np.int32)), part.column(2).take(owner)], ["gram", "row", "n", "wanted"]
+                )
+
+    given = flagged.select("text", _row_key().alias("row"), F.col("wanted").isNotNull().alias("wanted"))
+    return given.mapInArrow(run, "gram bigint, row bigint, n int, wanted boolean")
+
+
+def _row_key():
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+
+
+def vocabulary_size(docs: DataFrame) -> int:
+    """Distinct words of all documents, and the mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, _ = word_hashes([words_and_signs(t) for t in batch.column(0).to_pylist()], BY_SPACE)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.unique(words | np.uint64(1))))], ["word"])
+
+    return docs.select(text_of().alias("text")).mapInArrow(run, "word bigint").distinct().count() + 1
+
+
+def score_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, loss_difference of every document."""
+    ship(docs.sparkSession)
+    size = vocabulary_size(docs)
+    grams = document_grams(docs, good_documents(labels))
+    models = grams.groupBy("gram").agg(F.sum("n").alias("everywhere"), F.sum(F.when(F.col("wanted"), F.col("n")).otherwise(0)).alias("wanted_n"))
+    first = F.col("gram") % 2 != 0
+
+    def part(count: str):
+        return F.col("n") * F.when(first, F.log(F.col(count) + ADDED * size)).otherwise(-F.log(F.col(count) + ADDED))
+
+    # A text has one mark that opens it, so rows of equal id and text are known by its count.
+    opening = F.col("gram") == F.lit(int(signed(np.array([_EDGE | np.uint64(1)]))[0]))
+    scores = (
+        grams.select("gram", "row", "n").join(models.hint("merge"), "gram").groupBy("row")
+        .agg(
+            F.sum(F.when(first, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(opening, F.col("n")).otherwise(0)).alias("copies"),
+            F.sum(part("wanted_n")).alias("target"), F.sum(part("everywhere")).alias("background"),
+        )
+        .select("row", F.expr("n div copies").alias("n_tokens"), (F.col("target") / F.col("n")).alias("target_loss"), (F.col("background") / F.col("n")).alias("background_loss"))
+    )
+    rows = docs.select("doc_id", text_of().alias("text")).select("doc_id", _row_key().alias("row"))
+    found = rows.join(scores.hint("merge"), "row")
+    return found.select("doc_id", "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("loss_difference"))

@@ -44,7 +44,7 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return lm_score.score_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
