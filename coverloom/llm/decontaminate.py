@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts are compared as lower-cased words without punctuation. Runs of ``SHORTEST`` words of the
-test items are the seeds. A fixed-size bit table of seed hashes (half a megabyte, however many
+Texts are compared as lower-cased words without punctuation: white space and signs of all of
+Unicode separate words, and in scripts without spaces every character is a word. Runs of
+``SHORTEST`` words of the test items, or the whole of a shorter item, are the seeds. A fixed-size bit table of seed hashes (half a megabyte, however many
 seeds there are) is sent to the executors; documents with a run in it become candidates, and a
 join of their runs with the seeds gives the pairs of document and item. Each pair is tiled:
 running Karp-Rabin finds the common runs of a length, the longest are marked first, marked
@@ -10,7 +11,7 @@ words that is tiled does not depend on their order in the document, so shuffled
 count. A document is contaminated by an item when that share reaches ``COVERAGE``.
 
 Defined results: a null or empty text is clean; an item with fewer than ``SHORTEST`` words
-cannot be told from chance and contaminates nothing; items of equal words are one item under
+contaminates the documents that hold all of it in a row, one without words none; items of equal words are one item under
 their smallest id, items with a null id among them only if all have one; repeated document
 rows are judged alike, each giving its row; ties between tiles go to the earlier place in the
 item, then in the document; empty tables give an empty result. Only id and text columns are
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.llm.common import settle, ship, text_of
-from coverloom.llm.hashing import BY_PUNCTUATION, powers, signed, window_hashes, word_hashes
+from coverloom.llm.hashing import BY_PUNCTUATION, plain_words, powers, signed, window_hashes, word_hashes
 
 SHORTEST = 5
 COVERAGE = 0.5
@@ -102,9 +103,9 @@ def _items(benchmark: DataFrame, shortest: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, at = word_hashes([t.lower() for t in batch.column(1).to_pylist()], BY_PUNCTUATION)
+            hashes, at = word_hashes([plain_words(t) for t in batch.column(1).to_pylist()], BY_PUNCTUATION)
             words = [signed(hashes[lo:hi]) for lo, hi in zip(at, at[1:], strict=False)]
-            seeds = [signed(np.unique(window_hashes(w.view(np.uint64), shortest))) for w in words]
+            seeds = [signed(np.unique(window_hashes(w.view(np.uint64), min(shortest, len(w))))) if len(w) else w for w in words]
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, kind), pa.array(seeds, kind)], ["item_id", "words", "seeds"])
 
@@ -119,6 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST
     items = settle(_items(benchmark, shortest).withColumn("item", F.xxhash64("words")), "tiling-items")
     slot = F.shiftrightunsigned("seed", 64 - _FILTER_BITS)
     seeds = items.select("item", F.explode("seeds").alias("seed"))
+    sizes = sorted(r.size for r in items.select(F.least(F.size("words"), F.lit(shortest)).alias("size")).distinct().collect())
     bit = F.expr("shiftleft(1L, cast(slot % 64 as int))")
     # At most 2 ** 16 rows.
     cells = seeds.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("cell")).agg(F.bit_or(bit).alias("bits")).collect()
@@ -134,15 +136,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 texts = part.column(1).to_pylist()
-                words, at = word_hashes([t.lower() for t in texts], BY_PUNCTUATION)
-                windows = window_hashes(words, shortest)
-                hits = np.flatnonzero(flags[(windows >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                owner = np.searchsorted(at, hits, side="right") - 1
-                inside = hits + shortest <= at[owner + 1]
-                hits, owner = hits[inside], owner[inside]
-                if len(hits):
-                    docs_hit, first = np.unique(owner, return_index=True)
-                    runs = [signed(np.unique(windows[h])) for h in np.split(hits, first[1:])]
+                words, at = word_hashes([plain_words(t) for t in texts], BY_PUNCTUATION)
+                owners, values = [], []
+                for size in sizes:
+                    windows = window_hashes(words, size)
+                    hits = np.flatnonzero(flags[(windows >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+                    owner = np.searchsorted(at, hits, side="right") - 1
+                    inside = hits + size <= at[owner + 1]
+                    owners.append(owner[inside])
+                    values.append(windows[hits[inside]])
+                if any(map(len, owners)):
+                    owner, value = np.concatenate(owners), np.concatenate(values)
+                    order = np.argsort(owner, kind="stable")
+                    docs_hit, first = np.unique(owner[order], return_index=True)
+                    runs = [signed(np.unique(v)) for v in np.split(value[order], first[1:])]
                     taken = part.take(pa.array(docs_hit))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(row + lo + docs_hit), *taken.columns, pa.array(runs, pa.list_(pa.int64()))],
@@ -166,12 +173,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST
         for batch in batches:
             out = []
             for n, (doc_id, text, found) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
-                words, _ = word_hashes([text.lower()], BY_PUNCTUATION)
+                words, _ = word_hashes([plain_words(text)], BY_PUNCTUATION)
                 for item in found:
                     asked = np.array(item["words"], np.int64).view(np.uint64)
-                    tiles = tile(asked, words, shortest)
+                    tiles = tile(asked, words, min(shortest, len(asked)))
                     share = sum(t[2] for t in tiles) / len(asked)
-                    if share >= coverage:
+                    if share >= (coverage if len(asked) >= shortest else 1):
                         out.append((n, doc_id, item["item_id"], share, len(tiles), max(t[2] for t in tiles)))
             if out:
                 rows, doc_ids, item_ids, shares, counts, longest = zip(*out, strict=True)

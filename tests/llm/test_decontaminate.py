@@ -62,6 +62,22 @@ def test_exact_changed_and_reordered_passages(spark):
     assert sorted((r.doc_id, r.text or "") for r in clean.collect()) == sorted((i, t or "") for i, t in (given[2], given[3], given[4], given[5], given[7]))
 
 
+def test_short_items_and_other_scripts(spark):
+    latin = "one two three four five six seven eight"
+    items = [
+        (1, "too short"), (2, "这是一个测试题目，请选择正确的答案。"), (3, "これはペンです"), (4, "ประเทศไทยสวยงาม"), (5, latin), (6, "Paris"), (7, "—…!"), (8, "中文"),
+    ]
+    texts = {
+        10: "this is TOO — short, yes", 11: "too very short", 12: "前文。这是一个测试题目,请选择正确的答案!后文", 13: "昨日、これはペンです。", 14: "xประเทศไทยสวยงามy",
+        15: latin.replace(" ", "\u00a0"), 16: latin.replace(" ", "\u3000"), 17: "before—" + latin.replace(" ", "—") + "…after", 18: "in paris?", 19: "comparison", 20: "学中文吗", 21: "中 x 文", 22: "…",
+    }
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in texts.items()], DOCS)
+    benchmark = spark.createDataFrame([(i, t, "") for i, t in items], ITEMS)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert found == {(10, 1), (12, 2), (13, 3), (14, 4), (15, 5), (16, 5), (17, 5), (18, 6), (20, 8)}
+    assert {r.doc_id for r in decontaminate.clean_documents(docs, benchmark).collect()} == {11, 19, 21, 22}
+
+
 def test_empty_tables(spark):
     docs, benchmark = spark.createDataFrame([(1, "a b c d e f", "", "")], DOCS), spark.createDataFrame([], ITEMS)
     assert decontaminate.contaminated(docs, benchmark).count() == 0
