@@ -7,8 +7,9 @@ Gini impurity) trained here on the small labelled table below keeps or drops it.
 
 Defined results: a null or empty page, or one without main text, gives an empty string;
 unclosed and stray tags are taken as they come; comments, scripts, styles and other elements
-without text are skipped, to the end of the page if they are not closed; character references
-are decoded after the tags are found; blocks are joined by one line break in page order, and
+without text are skipped; a comment, script, style or textarea that is not closed ends with the
+page, a head before the first text or element that cannot stand in it, any other before the
+next block-level tag; character references are decoded after the tags are found; blocks are joined by one line break in page order, and
 white space of any kind inside a block becomes one space. Rows are independent, so repeated
 rows give equal results, and an empty table gives an empty result.
 """
@@ -58,6 +59,66 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
+# Unclosed, these hold the rest of the page.
+RAW = frozenset(("script", "style", "textarea"))
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
+# Block-level names that belong to an element without text.
+OWN = {"select": frozenset(("option", "hr")), "svg": frozenset(("title",))}
+
+
+def _end_of_raw(page: str, name: str, at: int) -> int:
+    shut = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+    return shut.end() if shut else len(page)
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of a name end, by the place after their opening tag; every closing
+    tag closes the last one that is open."""
+    open_: list[int] = []
+    found = {}
+    for tag in re.finditer(rf"<(?:/{name}\s*|{name}(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", page, re.I):
+        if tag[0][1] != "/":
+            if not tag[0].endswith("/>"):
+                open_.append(tag.end())
+        elif open_:
+            found[open_.pop()] = tag.end()
+    return found
+
+
+def _next_block(page: str, name: str, at: int) -> int:
+    """The next block-level tag that is not the element's own."""
+    while token := _TOKEN.search(page, at):
+        inner = (token["silent"] or "").lower()
+        if (token["tag"] or "").lower() in BLOCKS - OWN.get(name, frozenset()):
+            return token.start()
+        at = _end_of_raw(page, inner, token.end()) if inner in RAW and not token[0].endswith("/>") else token.end()
+    return len(page)
+
+
+def _end_of_head(page: str, at: int, ends: dict[str, dict[int, int]]) -> int:
+    """After the closing tag, or before what cannot stand in a head."""
+    titled = False
+    while token := _TOKEN.search(page, at):
+        text = page[at : token.start()]
+        if text.strip() and not titled:
+            return at
+        tag, silent = (token["tag"] or "").lower(), (token["silent"] or "").lower()
+        if token["close"] and tag == "head":
+            return token.end()
+        if (tag or silent) not in IN_HEAD and (silent or tag and not token["close"]) or (token["close"] and tag in ("body", "html")):
+            return token.start()
+        titled = tag == "title" and not token["close"] or titled and not tag
+        at = token.end()
+        if silent and not token[0].endswith("/>"):
+            if silent in RAW:
+                at = _end_of_raw(page, silent, at)
+            elif silent != "head":
+                if silent not in ends:
+                    ends[silent] = _ends(page, silent)
+                at = ends[silent].get(at, at)
+    return len(page) if titled or not page[at:].strip() else at
+
+
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
@@ -93,6 +154,7 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     links: list[str] = []
     in_link = False
+    ends: dict[str, dict[int, int]] = {}
 
     def end() -> None:
         nonlocal parts, links
@@ -115,10 +177,17 @@ def blocks_of(page: str) -> list[Block]:
             break
         at = token.end()
         if token["silent"]:
+            name = token["silent"].lower()
             if not token[0].endswith("/>"):
-                shut = re.compile(rf"</{token['silent']}\s*>", re.I).search(page, at)
-                at = shut.end() if shut else size
-            if token["silent"].lower() == "head":
+                if name == "head":
+                    at = _end_of_head(page, at, ends)
+                elif name in RAW:
+                    at = _end_of_raw(page, name, at)
+                else:
+                    if name not in ends:
+                        ends[name] = _ends(page, name)
+                    at = ends[name].get(at) or _next_block(page, name, at)
+            if name == "head":
                 end()
             continue
         tag = (token["tag"] or "").lower()

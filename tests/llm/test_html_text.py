@@ -35,6 +35,20 @@ def test_broken_and_empty_pages():
     assert [b.linked for b in blocks_of("<p><a>x y</a> z</p><p>w</p>")] == [2, 0]
 
 
+def test_unclosed_elements_do_not_cut_the_article():
+    assert main_text("<head><title>x</title><body><article><p>One<p>Two</article>") == "One\nTwo"
+    assert main_text("<head><title>x</title><meta a><script>'<p>'</script><article>One</article>") == "One"
+    assert main_text("<html><head><title>x<article>One</article>") == "One"
+    for name in ("noscript", "template", "svg", "math", "iframe", "object", "canvas"):
+        assert main_text(f"<article><p>One<{name}>no<p>Two</p>") == "One\nTwo", name
+        assert main_text(f"<article><p>One<{name} a=1>no<p>Two</p><{name}>no</{name}><p>Three") == "One\nTwo\nThree", name
+        assert main_text(f"<article><p>One<{name}><p>no<{name}>no</{name}>no</{name}><p>Two") == "One\nTwo", name
+    assert main_text("<article><p>One<select><option>no<option>no<p>Two") == "One\nTwo"
+    assert main_text("<article><p>One<object><script>'<p>no'</script>no<p>Two") == "One\nTwo"
+    assert main_text("<article><p>One<textarea><p>no") == main_text("<article><p>One<style><p>no") == main_text("<article><p>One<!--<p>no") == "One"
+    assert main_text("<article>" + "<p>x<object>" * 20_000).count("\n") == 19_999
+
+
 def test_very_long_page():
     page = "<article>" + "<p>some words in a row</p>" * 50_000 + "</article>"
     assert main_text(page).count("\n") == 49_999
