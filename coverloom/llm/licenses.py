@@ -4,11 +4,14 @@ A text is made canonical line by line: lower case, hyphens dropped, equivalent s
 one, everything but letters and digits turned into one space, lines with a copyright notice
 left out. The canonical text of a document is that of its lines, joined by spaces, so line
 breaks do not matter. The digest of the canonical text is joined with the digests of known
-licences and notices, for the entire document and for each of its lines as an entire text.
+licences and notices, for the entire document and for each of its lines as an entire text. A
+known text may also begin at any line of a longer document and end with any later line: lines
+that begin like a known text are compared with all of it.
 
 Defined results: a null or empty text, or one of copyright lines only, matches nothing; known
 texts that are canonically equal are one under the smallest name; repeated rows give a row
-each; a line that is the whole document is found in both places; an empty table gives an
+each; a line that is the whole document is found in both places, and so is a text with its
+title line, which counts with the title and from the line after it; an empty table gives an
 empty result. Only id and text columns are read.
 """
 
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverloom.llm.common import text_of
+from coverloom.llm.license_texts import TEXTS
 
 # Equivalent spellings as (pattern, replacement) on lower-cased text.
 SPELLINGS = (
@@ -30,7 +34,13 @@ SPELLINGS = (
     (r"fulfil\b", "fulfill"),
     (r"per cent\b", "percent"),
 )
-_COPYRIGHT = r"^[^a-z0-9]*(copyright\s*(\(c\)|©|[0-9]|by\b|holder)|\(c\)\s*[0-9]|©|all rights reserved)"
+# A notice: copyright followed by a sign, a year (or a place for one), or a name.
+_COPYRIGHT = (
+    r"^[^a-z0-9]*(copyright\s*(\(c\)|©|[0-9]|[<{\[]|by\b|holders?\s*:|the\b.*\b(authors|contributors|developers|team|project|foundation)\b)"
+    r"|\(c\)\s*[0-9]|©|all rights reserved)"
+)
+# Letters by which the lines are found where a known text may begin.
+_START = 200
 
 # Texts of public licences and common one-line notices.
 _AS_IS = (
@@ -46,7 +56,7 @@ _ISC_AS_IS = (
     "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
     "THIS SOFTWARE."
 )
-KNOWN = (
+_KNOWN = (
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -83,6 +93,61 @@ KNOWN = (
     ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
 )
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as "
+    "a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+    "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the "
+    "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all "
+    "present and future rights to this software under copyright law.\n\n" + _AS_IS.replace("OR COPYRIGHT HOLDERS ", "") +
+    "\n\nFor more information, please refer to <http://unlicense.org/>"
+)
+_BSD_CLAUSES = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
+)
+_BSD_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+    "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+    "OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_HEAD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+_TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("0BSD", "BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+
+
+def _full_texts() -> tuple[tuple[str, str], ...]:
+    """Full texts with and without title lines, numbers of clauses and what follows the terms."""
+    found = []
+    for n in (2, 3):
+        for marks in ("123", "***"):
+            clauses = "".join(f"{m} {c}\n" for m, c in zip(marks, _BSD_CLAUSES[:n], strict=False))
+            found.append((f"BSD-{n}-Clause", _BSD_HEAD + clauses + _BSD_AS_IS))
+    found.append(("Unlicense", _UNLICENSE))
+    found += [(name, f"{title}\n{text}") for name, text in (*_KNOWN[:3], *found) for title in _TITLES[name]]
+    for name, titles, text in TEXTS:
+        lines = text.strip().split("\n")
+        body = [k for k, line in enumerate(lines) if line.strip()][titles]
+        last = next((k for k, line in enumerate(lines) if line.strip() == "END OF TERMS AND CONDITIONS"), len(lines))
+        found += [(name, "\n".join(lines[first:end])) for first in (0, body) for end in sorted({last, last + 1, len(lines)}) if end <= len(lines)]
+    return tuple(found)
+
+
+KNOWN = _KNOWN + _full_texts()
 
 
 def canonical_line(line: Column) -> Column:
@@ -95,23 +160,56 @@ def canonical_line(line: Column) -> Column:
     return F.when(lower.rlike(_COPYRIGHT), F.lit("")).otherwise(words)
 
 
-def _units(texts: DataFrame, text: str, *keep: str) -> DataFrame:
-    """One row per entire text: the document at position 0, its lines from 1 on."""
+def _lines(texts: DataFrame, text: str, *keep: str) -> DataFrame:
+    """The canonical lines of every text, and all of them as one."""
     lines = F.transform(F.split(text_of(text), "\n"), canonical_line)
-    whole = F.array_join(F.filter("lines", lambda line: line != ""), " ")
-    units = texts.select(*keep, lines.alias("lines")).select(*keep, F.posexplode(F.concat(F.array(whole), "lines")).alias("position", "canonical"))
+    return texts.select(*keep, lines.alias("lines")).withColumn("whole", _joined(F.col("lines")))
+
+
+def _joined(lines: Column) -> Column:
+    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
+
+
+def _units(lined: DataFrame, *keep: str) -> DataFrame:
+    """One row per entire text: the document at position 0, its lines from 1 on."""
+    units = lined.select(*keep, F.posexplode(F.concat(F.array("whole"), "lines")).alias("position", "canonical"))
     return units.filter(F.col("canonical") != "").select(*keep, "position", F.md5(F.col("canonical").cast("binary")).alias("digest"))
 
 
+def _inside(lined: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, license, position of known texts over several lines of a longer document;
+    ``known`` has license and whole, one row per text."""
+    texts = known.select("license", F.col("whole").alias("text"), F.substring_index("whole", " ", 1).alias("word"))
+    # Known texts are a fixed table.
+    starts = F.array(*[F.lit(r.start) for r in texts.select(F.left("text", F.lit(_START)).alias("start")).distinct().collect()]).cast("array<string>")
+    kept = F.filter(F.transform("lines", lambda line, k: F.struct(line.alias("line"), (k + 1).alias("position"))), lambda x: x["line"] != "")
+    full = lined.select("doc_id", kept.alias("full")).filter(F.size("full") > 1).withColumn("starts", starts)
+    # Lines that are the beginning of a known text but not all of it.
+    begins = lambda line: F.exists("starts", lambda s: F.startswith(s, F.substring(F.concat(line, F.lit(" ")), 1, _START)))
+    places = F.filter(F.transform("full", lambda x, k: F.when(begins(x["line"]), k + 1)), lambda k: k.isNotNull())
+    found = full.select("doc_id", "full", F.explode(places).alias("k"))
+    rest = found.select(
+        "doc_id", "k", F.element_at("full", F.col("k"))["position"].alias("position"), F.slice(F.col("full.line"), F.col("k"), F.size("full")).alias("rest"),
+    ).withColumn("after", F.array_join("rest", " ")).withColumn("word", F.substring_index("after", " ", 1))
+    met = rest.join(texts, "word").filter(F.startswith("after", "text") & (F.length(F.element_at("rest", 1)) < F.length("text")))
+    # The line with which the text ends: letters of the lines so far and the spaces between.
+    ends = F.aggregate(
+        "rest", F.struct(F.lit(-1).alias("letters"), F.lit(False).alias("met")),
+        lambda a, line: F.struct((a["letters"] + 1 + F.length(line)).alias("letters"), (a["met"] | (a["letters"] + 1 + F.length(line) == F.length("text"))).alias("met")),
+    )["met"]
+    whole = (F.col("k") == 1) & (F.length("after") == F.length("text"))
+    return met.filter(ends & ~whole).select("doc_id", "license", F.col("position").cast("long").alias("position"))
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "license string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """doc_id, license, position of every entire document (0) or line that is a known text."""
-    digests = (
-        _units(known.select(F.col("license"), F.col("text")), "text", "license").filter("position = 0")
-        .groupBy("digest").agg(F.min("license").alias("license"))
-    )
-    found = _units(docs.select("doc_id", "text"), "text", "doc_id").join(digests, "digest")
-    return found.select("doc_id", "license", F.col("position").cast("long").alias("position"))
+    """doc_id, license, position of every known text: an entire document (0), or what begins at
+    a line."""
+    texts = _lines(known.select("license", "text"), "text", "license").filter("whole <> ''").groupBy("whole").agg(F.min("license").alias("license"))
+    digests = texts.select("license", F.md5(F.col("whole").cast("binary")).alias("digest"))
+    lined = _lines(docs.select("doc_id", "text"), "text", "doc_id")
+    found = _units(lined, "doc_id").join(digests, "digest").select("doc_id", "license", F.col("position").cast("long").alias("position"))
+    return found.unionAll(_inside(lined, texts))

@@ -30,3 +30,22 @@ def test_equal_known_texts_are_one(spark):
     known = spark.createDataFrame([("b", "Some   terms"), ("a", "some TERMS."), ("c", "")], "license string, text string")
     docs = spark.createDataFrame([(1, "x\nSome terms", "", "")], SCHEMA)
     assert [tuple(r) for r in licenses.scan(docs, known).collect()] == [(1, "a", 2)]
+
+
+def test_full_texts_and_titles(spark):
+    full = {name: [t for n, t in licenses.KNOWN if n == name] for name, _ in licenses.KNOWN}
+    long = {name: max(texts, key=len) for name, texts in full.items()}
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "Unlicense", "CC0-1.0"]
+    found = scan(spark, [long[n] for n in names])
+    assert [f for f in found if f[2] == 0] == [(k, n, 0) for k, n in enumerate(names)]
+    assert {f[1] for f in found if f[0] == 0} == {"Apache-2.0"}
+
+
+def test_wrapped_and_inside_longer_documents(spark):
+    mit = licenses.KNOWN[0][1]
+    words = mit.split()
+    cut = words.index("COPYRIGHT")
+    wrapped = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + " ".join(words[:cut]) + "\n" + " ".join(words[cut:])
+    inside = "A manual.\n\n" + wrapped + "\n\nThe end."
+    texts = [wrapped, inside, inside.replace("The end.", "").replace("SOFTWARE.", "SOFTWARE. More."), "Released under\nthe MIT License.\nEnd"]
+    assert scan(spark, texts) == [(0, "MIT", 0), (0, "MIT", 5), (1, "MIT", 3), (1, "MIT", 7), (3, "MIT", 1)]
