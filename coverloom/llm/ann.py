@@ -186,7 +186,10 @@ def search(
             for lo in range(0, len(q), 256):
                 near = q[lo : lo + 256] @ x.T
                 for n, (one, scores) in enumerate(zip(query_ids[lo : lo + 256], near, strict=True)):
-                    limit = -np.inf if len(scores) <= k else np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1] - _SLACK
+                    own = slice(*np.searchsorted(ids, (one, one + 1)))
+                    scores[own] = -np.inf  # all rows of the query's id, before the k-th of the others
+                    others = len(scores) - (own.stop - own.start)
+                    limit = -np.inf if others <= k else np.partition(scores, len(scores) - k)[len(scores) - k] - _SLACK
                     kept = np.flatnonzero((scores >= limit) & (ids != one))
                     exact = (x[kept] * q[lo + n]).sum(axis=1)
                     top = np.lexsort((ids[kept], -exact))[:k]

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from coverloom.llm import ann
+from coverloom.llm import ann, queries
+
+from conftest import TESTDATA
 
 SCHEMA = "vec_id bigint, embedding array<float>, cell string, vector string"
 
@@ -61,3 +63,22 @@ def test_few_rows_and_none(spark):
     assert ann.search(spark.createDataFrame([], SCHEMA)).count() == 0
     frame = spark.createDataFrame([(20, [1.0, 0.0], "", ""), (3, [0.5, 1.0], "", "")], SCHEMA)
     assert [tuple(r) for r in ann.search(frame).collect()] == [(20, 1, 3, 0.5)]
+
+
+def test_repeated_query_id_cuts_no_neighbour(spark):
+    rng = np.random.default_rng(3)
+    near = [(i, (np.array([1.0, 0.0, 0.0, 0.0]) + rng.normal(size=4) * 0.1).tolist()) for i in range(1, 20)]
+    frame = spark.createDataFrame([(i, v, "", "") for i, v in [*near, *[(0, [2.0, 0.0, 0.0, 0.0])] * 30]], SCHEMA)
+    found = [r.vec_id for r in ann.search(frame, k=5, share=1.0, centroids=1).orderBy("rank").collect()]
+    assert found == [i for i, v in sorted(near, key=lambda n: -2 * np.float32(n[1][0]))][:5]
+
+
+def test_recall_of_the_query_on_the_table(spark):
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet(f"{TESTDATA}/embeddings.parquet").collect() if r.vec_id is not None and r.embedding]
+    found = {}
+    for r in queries.op2_ann_multi_index(spark, TESTDATA).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    expected = brute(rows, ann.QUERY_STEP, ann.K)
+    recall = np.mean([len(found[q] & {i for i, _ in near}) / len(near) for q, near in expected.items()])
+    print("recall", len(rows), recall)
+    assert recall >= 0.9
