@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverloom.llm import ann, decontaminate, html_text, jaccard, licenses, line_dedup, lm_score, mixing, quality, resample, token_files
+from coverloom.llm import align, ann, decontaminate, html_text, jaccard, licenses, line_dedup, lm_score, mixing, quality, resample, token_files
 from coverloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +33,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.summary(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -78,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op9_mix_sources": op9_mix_sources,
         "op10_quality_classifier": op10_quality_classifier,
         "op12_importance_resampling": op12_importance_resampling,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
 
 
