@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverloom.llm import align, ann, decontaminate, html_text, jaccard, licenses, line_dedup, lm_score, mixing, quality, resample, token_files
+from coverloom.llm import align, ann, decontaminate, grid_join, html_text, jaccard, licenses, line_dedup, lm_score, mixing, quality, resample, token_files
 from coverloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_mix_sources": op9_mix_sources,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_embedding_near_dedup": op11_embedding_near_dedup,
         "op12_importance_resampling": op12_importance_resampling,
         "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
