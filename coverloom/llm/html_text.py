@@ -2,8 +2,15 @@
 
 A page is read once, left to right, into flat text blocks: block-level tags end a block, other
 tags and line breaks do not. Every block gets its word count and link density, those of the
-blocks before and after it, and three marks from the tags around it. A decision tree (CART,
-Gini impurity) trained here on the small labelled table below keeps or drops it.
+blocks before and after it, the share of its words that notices are made of, whether it is a
+heading, and three marks from the tags around it. A decision tree (CART, Gini impurity) trained
+here on the blocks of the small labelled table of pages below keeps or drops it: link lists and
+notices go even from inside an article, and pages without an article element are read by the
+lengths and links of neighbouring blocks.
+
+A class that names something beside an article counts less where it is one of several: words
+such as "promoted" or "search" do not count next to a class that names content, and no name counts
+on an element that holds nearly all plain words of the page.
 
 Defined results: a null or empty page, or one without main text, gives an empty string;
 unclosed and stray tags are taken as they come; comments, scripts, styles and other elements
@@ -17,6 +24,7 @@ rows give equal results, and an empty table gives an empty result.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -51,6 +59,16 @@ NAMES = frozenset(
     "widget widgets".split()
 )
 UNNAMING = frozenset(("has", "with", "no", "without", "not"))
+# Of these, the ones that an article's own wrapper may carry, and names of content.
+WEAK = frozenset("consent modal popup promo promoted related reply respond search share sharing signup social sponsor sponsored subscribe widget widgets".split())
+CONTENT = frozenset("article body content entry main page post story text".split())
+# Words that notices and calls are made of.
+NOTICE = frozenset(
+    "© accept advertisement advertising consent cookie cookies copyright email follow login newsletter newsletters policy privacy register "
+    "reserved rights share sign signup social sponsored subscribe terms unsubscribe".split()
+)
+# A holder with this share of all plain words of a page is its wrapper.
+_WRAPPER = 0.95
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -127,8 +145,10 @@ class Block(NamedTuple):
     text: str
     words: int
     linked: int
+    notices: int
+    heading: bool
     beside: bool
-    named: bool
+    named: tuple[int, ...]  # numbers of the named holders around it
     inside: bool
 
     @property
@@ -137,20 +157,29 @@ class Block(NamedTuple):
 
 
 def _is_named(attrs: str) -> bool:
-    for found in _NAMED.finditer(attrs):
-        for name in (found[1] or found[2] or found[3] or "").lower().split():
-            words = set(re.split(r"[^a-z0-9]+", name))
-            if words & NAMES and not words & UNNAMING:
-                return True
-    return False
+    """Whether a class, id or role names something beside an article; weak names do not count
+    beside names of content."""
+    names = [set(re.split(r"[^a-z0-9]+", n)) - {""} for f in _NAMED.finditer(attrs) for n in (f[1] or f[2] or f[3] or "").lower().split()]
+    naming = [words & NAMES for words in names if words & NAMES and not words & UNNAMING]
+    content = any(words & CONTENT for words in names)
+    return any(found - WEAK or not content for found in naming)
+
+
+_EDGES = "\"'.,:;!?()[]{}<>|–—-"
+
+
+def _notices(words: list[str]) -> int:
+    return sum(w in ("(c)", "©") or w.strip(_EDGES) in NOTICE for w in map(str.lower, words))
 
 
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     found: list[Block] = []
     # Open holders with the marks that hold inside each: beside, named, inside an article.
-    open_: list[tuple[str, bool, bool, bool]] = []
-    beside = named = inside = False
+    open_: list[tuple[str, bool, tuple[int, ...], bool]] = []
+    beside = inside = heading = False
+    named: tuple[int, ...] = ()
+    holders = 0
     parts: list[str] = []
     links: list[str] = []
     in_link = False
@@ -162,7 +191,7 @@ def blocks_of(page: str) -> list[Block]:
             words = html.unescape("".join(parts)).split()
             if words:
                 linked = len(html.unescape(" ".join(links)).split()) if links else 0
-                found.append(Block(" ".join(words), len(words), min(linked, len(words)), beside, named, inside))
+                found.append(Block(" ".join(words), len(words), min(linked, len(words)), _notices(words), heading, beside, named, inside))
             parts, links = [], []
 
     at, size = 0, len(page)
@@ -200,6 +229,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in BLOCKS and tag not in HOLDERS:
             continue
         end()
+        heading = not token["close"] and len(tag) == 2 and tag[0] == "h" and tag[1] in "123456"
         if tag not in HOLDERS:
             continue
         if not token["close"]:
@@ -211,7 +241,9 @@ def blocks_of(page: str) -> list[Block]:
             if tag in ("article", "main"):
                 inside = True
             beside = beside or tag in BESIDE or (tag == "header" and not inside)
-            named = named or is_named or bool(attrs and _HIDDEN.search(attrs))
+            if is_named or attrs and _HIDDEN.search(attrs):
+                holders += 1
+                named = (*named, holders)
         elif any(o[0] == tag for o in open_):
             while True:
                 name, beside, named, inside = open_.pop()
@@ -219,83 +251,77 @@ def blocks_of(page: str) -> list[Block]:
                     break
         in_link = False
     end()
-    return found
+    return _without_wrappers(found)
+
+
+def _without_wrappers(blocks: list[Block]) -> list[Block]:
+    """Names do not count on a holder with nearly all plain words of the page."""
+    plain = [0 if b.beside else b.words - b.linked for b in blocks]
+    held: dict[int, int] = {}
+    for block, words in zip(blocks, plain, strict=True):
+        for holder in block.named:
+            held[holder] = held.get(holder, 0) + words
+    most = max(_WRAPPER * sum(plain), 1)
+    wrappers = {holder for holder, words in held.items() if words >= most}
+    return [b._replace(named=tuple(h for h in b.named if h not in wrappers)) if b.named else b for b in blocks] if wrappers else blocks
 
 
 # ---- the tree ------------------------------------------------------------------------
 
-FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "beside", "named", "inside")
-# The labelled table. Main text first: paragraphs, headings and short lines of articles, with
-# and without an article element; then menus, notices, adverts, comments, footers, link lists.
-LABELLED: list[tuple[tuple[float, ...], int]] = [
-    ((8, 0.0, 6, 1.0, 60, 0.0, 0, 0, 1), 1),
-    ((60, 0.0, 8, 0.0, 45, 0.02, 0, 0, 1), 1),
-    ((45, 0.02, 60, 0.0, 3, 0.0, 0, 0, 1), 1),
-    ((3, 0.0, 45, 0.02, 120, 0.05, 0, 0, 1), 1),
-    ((120, 0.05, 3, 0.0, 2, 0.0, 0, 0, 1), 1),
-    ((2, 0.0, 120, 0.05, 12, 0.0, 0, 0, 1), 1),
-    ((1, 0.0, 30, 0.0, 9, 0.2, 0, 0, 1), 1),
-    ((400, 0.01, 12, 0.0, 9, 0.1, 0, 0, 1), 1),
-    ((1, 0.0, 5, 1.0, 10, 0.1, 0, 0, 1), 1),
-    ((10, 0.5, 90, 0.0, 40, 0.0, 0, 0, 1), 1),
-    ((15, 0.4, 1, 0.0, 7, 0.0, 0, 0, 1), 1),
-    ((7, 0.0, 2, 1.0, 1, 0.0, 0, 0, 1), 1),
-    ((4, 0.0, 1, 1.0, 6, 0.0, 0, 0, 1), 1),
-    ((3, 0.0, 4, 1.0, 2, 1.0, 0, 0, 1), 1),
-    ((2, 0.0, 0, 0.0, 3, 1.0, 0, 0, 1), 1),
-    ((6, 0.0, 2, 0.0, 3, 0.0, 0, 0, 1), 1),
-    ((8, 0.0, 30, 0.0, 0, 0.0, 0, 0, 1), 1),
-    ((5, 0.2, 60, 0.0, 1, 1.0, 0, 0, 1), 1),
-    ((3, 0.0, 5, 0.0, 4, 0.0, 0, 0, 1), 1),
-    ((7, 0.5, 6, 0.0, 2, 1.0, 0, 0, 1), 1),
-    ((4, 1.0, 70, 0.0, 5, 1.0, 0, 0, 1), 1),
-    ((5, 1.0, 4, 1.0, 6, 1.0, 0, 0, 1), 1),
-    ((22, 0.8, 40, 0.0, 30, 0.0, 0, 0, 1), 1),
-    ((30, 0.0, 7, 0.0, 25, 0.0, 0, 0, 0), 1),
-    ((25, 0.0, 30, 0.0, 12, 0.1, 0, 0, 0), 1),
-    ((70, 0.1, 25, 0.0, 4, 0.0, 0, 0, 0), 1),
-    ((18, 0.0, 70, 0.1, 50, 0.0, 0, 0, 0), 1),
-    ((50, 0.0, 4, 1.0, 6, 0.5, 0, 0, 0), 1),
-    ((200, 0.02, 10, 1.0, 8, 1.0, 0, 0, 0), 1),
-    ((6, 0.0, 60, 0.0, 55, 0.0, 0, 0, 0), 1),
-    ((9, 0.0, 3, 1.0, 80, 0.0, 0, 0, 0), 1),
-    ((5, 0.0, 2, 1.0, 48, 0.0, 0, 0, 0), 1),
-    ((4, 0.0, 90, 0.0, 75, 0.05, 0, 0, 0), 1),
-    ((1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0), 0),
-    ((1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0), 0),
-    ((2, 1.0, 1, 1.0, 9, 0.0, 1, 0, 0), 0),
-    ((12, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0), 0),
-    ((9, 0.0, 2, 1.0, 7, 0.0, 0, 1, 0), 0),
-    ((40, 0.0, 6, 1.0, 9, 0.0, 0, 1, 0), 0),
-    ((65, 0.05, 80, 0.0, 20, 0.0, 0, 1, 0), 0),
-    ((30, 0.0, 65, 0.05, 30, 0.0, 0, 1, 1), 0),
-    ((8, 0.0, 70, 0.0, 90, 0.0, 0, 1, 1), 0),
-    ((16, 0.2, 90, 0.0, 0, 0.0, 0, 1, 1), 0),
-    ((3, 1.0, 40, 0.0, 3, 1.0, 1, 0, 1), 0),
-    ((25, 0.0, 60, 0.0, 35, 0.0, 1, 0, 1), 0),
-    ((5, 0.0, 33, 0.0, 44, 0.0, 1, 0, 1), 0),
-    ((14, 0.0, 80, 0.0, 0, 0.0, 1, 0, 0), 0),
-    ((60, 0.0, 100, 0.0, 10, 0.0, 1, 0, 0), 0),
-    ((35, 0.1, 10, 0.0, 60, 0.0, 1, 0, 0), 0),
-    ((6, 0.0, 3, 0.0, 7, 0.0, 1, 1, 0), 0),
-    ((90, 0.0, 7, 0.0, 3, 0.0, 1, 1, 0), 0),
-    ((4, 1.0, 70, 0.0, 5, 1.0, 0, 0, 0), 0),
-    ((5, 1.0, 4, 1.0, 6, 1.0, 0, 0, 0), 0),
-    ((30, 0.9, 5, 1.0, 2, 0.0, 0, 0, 0), 0),
-    ((22, 0.8, 40, 0.0, 30, 0.0, 0, 0, 0), 0),
-    ((60, 0.7, 3, 1.0, 8, 1.0, 0, 0, 0), 0),
-    ((3, 0.0, 4, 1.0, 2, 1.0, 0, 0, 0), 0),
-    ((2, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0), 0),
-    ((6, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0), 0),
-    ((8, 0.0, 30, 0.0, 0, 0.0, 0, 0, 0), 0),
-    ((5, 0.2, 60, 0.0, 1, 1.0, 0, 0, 0), 0),
-    ((3, 0.0, 5, 0.0, 4, 0.0, 0, 0, 0), 0),
-    ((7, 0.5, 6, 0.0, 2, 1.0, 0, 0, 0), 0),
-]
-# What would be main text on its own is not when it stands beside an article or is named so.
-LABELLED += [
-    ((*f[:6], *marks, f[8]), 0) for f, kept in LABELLED if kept for marks in ((1, 0), (0, 1), (1, 1))
-]
+FEATURES = (
+    "words", "density", "words_before", "density_before", "words_after", "density_after", "notices", "heading", "beside", "named", "inside",
+)
+# The labelled table: pages whose blocks begin with + (main text) or - (anything else); {n} are
+# n words of prose.
+LABELLED = (
+    # An article between header, menu, advert and footer; short blocks and lists inside it.
+    "<header>-<a>{2}</a></header><nav><ul><li>-<a>{1}</a><li>-<a>{1}</a><li>-<a>{2}</a></ul></nav><div class=ad>-{9}</div>"
+    "<article><h1>+{8}</h1><p>+{60}<p>+{45}<p>+{3}<p>+{120}</article><footer>-{12}</footer>",
+    "<nav>-<a>{1}</a></nav><div class=ad>-{40}</div><article><h1>+{5}</h1><p>+{2}<ul><li>+{1}<li>+{3}<li>+{4}</ul><p>+{9}<p>+{1}</article>"
+    "<div class=promo>-{25}</div><footer>-{4}</footer>",
+    "<nav>-<a>{2}</a></nav><article><h1>+{8}</h1><p>+{95}<p>+{11}<p>+{210}<p>+{4}<p>+{20}<p>+{320}<p>+{2}<p>+{17}<p>+{130}<p>+{1}<p>+{150}<p>+{24}<p>+{107}</article>",
+    "<article><h2>+{3}</h2><ul><li>+{2}<li>+{6}<li>+{1}<li>+{8}</ul><p>+{12}<p>+{15}<p>+{99}<p>+{22}<p>+{2}</article><div class=ad>-{8}</div>",
+    "<article><p>+{1}</article>", "<article><h1>+{2}</h1><p>+{400}</article><footer>-{30}</footer>",
+    # Menus, links and notices that no mark tells.
+    "<main><div>-<a>Home</a> | <a>About</a> | <a>Contact</a></div><h1>+{6}</h1><p>+{40}<p>+{75}"
+    "<div>-(c) 2024 All rights reserved. Subscribe to our newsletter now.</div></main>",
+    "<article><h2>+{7}</h2><p>+{90}<p>+{33}<div>-<a>{5}</a> <a>{6}</a></div><ul><li>-<a>{7}</a><li>-<a>{6}</a><li>-<a>{8}</a></ul></article><aside>-{30}</aside>",
+    "<main><ul><li>-<a>{1}</a><li>-<a>{2}</a></ul><div>-We use cookies to improve your experience. Accept all cookies or read our policy.</div>"
+    "<h1>+{5}</h1><p>+{55}<p>+{8}<p>+{61}<p>-Copyright 2023 Example Ltd. All rights reserved.<p>-Share this article on social media<p>-Sign up for our newsletter</main>",
+    "<article><h1>+Privacy policy and cookies</h1><p>+{70}<h2>+Newsletter</h2><p>+{50}<p>+{20} privacy {15} cookies {20}</article>",
+    # Links in running text.
+    "<article><h1>+{9}</h1><p>+{30} <a>{4}</a> {20}<p>+<a>{3}</a> {9}<p>+{12} <a>{8}</a><p>+{80}</article>",
+    "<main><h1>+{4}</h1><p>+{25} <a>{9}</a> {8}<p>+{6} <a>{5}</a><p>-<a>{3}</a> / <a>{2}</a></main>",
+    # Pages without an article element.
+    "<div>-<a>{2}</a> <a>{1}</a> <a>{2}</a> <a>{1}</a></div><div><h1>+{7}</h1><p>+{50}<p>+{70}<p>+{25}<h2>+{4}</h2><p>+{64}</div>"
+    "<div>-<a>{3}</a> <a>{4}</a></div><div>-{4}</div>",
+    "<table><tr><td>-<a>{1}</a><td>-<a>{1}</a><td>-<a>{1}</a></table><p>+{38}<p>+{18}<p>+{110}<hr><p>-{3} <a>{2}</a>",
+    "<div>-{2}</div><div>-<a>{1}</a> <a>{1}</a></div><div>-{3}</div><h1>+{9}</h1><div>+{200}</div><div>+{44}</div><div>-{5}</div><div>-<a>{2}</a></div><div>-{3}</div>",
+    "<div>-<a>{6}</a></div><div>-{4}</div><div>-<a>{7}</a></div><div>-{3}</div><div>-<a>{5}</a></div><div><p>+{77}<p>+{58}<p>+{5}<p>+{49}</div>",
+    "<div><p>+{30}<p>+{6}<p>+{28}<p>+{12} <a>{2}</a></div><div>-<a>{2}</a> <a>{2}</a></div><div>-Copyright {3}. All rights reserved.</div>",
+    "<div>-<a>{2}</a></div><div><h1>+{6}</h1><p>+{95}<p>+{120}</div><div>-{6}</div><div>-{3}</div>", "<div><p>+{300}</div><div>-{8}</div><div>-<a>{3}</a></div>",
+    # Text that would be main text in another place.
+    "<article><h1>+{6}</h1><p>+{48}<p>+{36}</article><section id=comments><h3>-{2}</h3><div class=comment><p>-{65}</div>"
+    "<div class=comment><p>-{30}<p>-{22}</div></section><footer>-{10}</footer>",
+    "<article><p>+{70}<form>-{3}</form><p>+{41}<aside>-{28}</aside><p>+{52}<div class=advert><p>-{14}</div><p>+{6}</article>",
+    "<div class=sidebar><p>-{60}<p>-{45}</div><div><h1>+{5}</h1><p>+{52}<p>+{66}</div><div class=newsletter>-{35}</div><aside>-{80}</aside><footer>-{50}</footer>",
+    "<nav>-{3}</nav><form>-{20}</form><div class=cookie-notice>-{70}</div><p>+{33}<p>+{47}",
+)
+# Every page is labelled in several lengths: its prose so many times as long.
+LENGTHS = (0.6, 1.0, 1.7, 3.0)
+_FILL = re.compile(r"\{(\d+)\}")
+
+
+def labelled_blocks() -> tuple[list[tuple[float, ...]], list[int]]:
+    """Features and labels of the blocks of the labelled table."""
+    features, labels = [], []
+    for page, length in ((p, n) for p in LABELLED for n in LENGTHS):
+        blocks = blocks_of(_FILL.sub(lambda n, by=length: " ".join(["prose"] * math.ceil(int(n[1]) * by)), page))
+        labels += [int(b.text[0] == "+") for b in blocks]
+        features += features_of([b._replace(text=b.text[1:], notices=_notices(b.text[1:].split())) for b in blocks])
+    return features, labels
+
+
 _DEPTH = 8
 
 Tree = int | tuple[int, float, "Tree", "Tree"]
@@ -321,13 +347,15 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = _DEPTH) -> Tree:
 
 @cache
 def trained() -> Tree:
-    return grow(np.array([f for f, _ in LABELLED]), np.array([k for _, k in LABELLED], float))
+    features, labels = labelled_blocks()
+    return grow(np.array(features, float), np.array(labels, float))
 
 
 def features_of(blocks: list[Block]) -> list[tuple[float, ...]]:
     around = [(0, 0.0), *((b.words, b.density) for b in blocks), (0, 0.0)]
     return [
-        (*around[k + 1], *around[k], *around[k + 2], b.beside, b.named, b.inside) for k, b in enumerate(blocks)
+        (*around[k + 1], *around[k], *around[k + 2], b.notices / b.words, b.heading, b.beside, bool(b.named), b.inside)
+        for k, b in enumerate(blocks)
     ]
 
 

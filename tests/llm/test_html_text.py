@@ -28,6 +28,44 @@ def test_pages_without_article_marks():
     assert main_text(page).split("\n") == [" ".join(long.split())] * 2
 
 
+PARAGRAPHS = "<p>" + "A paragraph of plain text that tells something to its readers, at some length, for a while. " * 3 + "<p>" + "More of it, in other words. " * 9
+WANTED = [" ".join(x.split()) for x in PARAGRAPHS.split("<p>")[1:]]
+
+
+def test_links_and_notices_go_from_inside_an_article():
+    for holder in ("main", "article"):
+        menu = "<div><a href=/>Home</a> | <a href=/a>About</a> | <a href=/c>Contact</a></div>"
+        related = "<ul><li><a href=/1>Another story of ours</a><li><a href=/2>One more story</a></ul>"
+        notice = "<div>(c) 2024 All rights reserved. Subscribe to our newsletter now.</div>"
+        for before, after in ((menu, ""), ("", related), ("", notice), (menu, related + notice)):
+            assert main_text(f"<{holder}>{before}<h1>The title of it</h1>{PARAGRAPHS}{after}</{holder}>").split("\n") == ["The title of it", *WANTED]
+
+
+def test_names_on_wrappers_do_not_empty_the_page():
+    for wrapper in ("post promoted", "content search-page", "related post", "sidebar", "widget"):
+        page = f'<nav><a href=/>home</a></nav><div class="{wrapper}"><article><h1>Title</h1>{PARAGRAPHS}</article></div><footer>imprint</footer>'
+        assert main_text(page).split("\n") == ["Title", *WANTED], wrapper
+    for name in ("comments", "comment-content", "post comments", "promoted", "search", "sidebar content"):
+        page = f'<article><h1>Title</h1>{PARAGRAPHS}</article><div class="{name}">{PARAGRAPHS * 2}</div>'
+        assert main_text(page).split("\n") == ["Title", *WANTED], name
+
+
+def test_neighbours_decide_in_the_tree():
+    def cuts(tree):
+        return set() if isinstance(tree, int) else {html_text.FEATURES[tree[0]]} | cuts(tree[2]) | cuts(tree[3])
+
+    tree = html_text.trained()
+    used = cuts(tree)
+    assert {"words", "density"} < used and len(used & {"words_before", "words_after", "density_before", "density_after"}) >= 2, used
+    features, labels = html_text.labelled_blocks()
+    right = [html_text.is_main(tree, f) == bool(k) for f, k in zip(features, labels, strict=True)]
+    assert sum(right) > 0.97 * len(right) and 0.3 < sum(labels) / len(labels) < 0.8
+    # Equal blocks outside any article, told apart by what stands next to them.
+    between = html_text.features_of(blocks_of(f"<div>{PARAGRAPHS}</div><div>Four words of text</div><div>{PARAGRAPHS}</div>"))
+    among = html_text.features_of(blocks_of("<div><a>One two three</a></div><div>Four words of text</div><div><a>One two three</a></div>"))
+    assert between[2][:2] == among[1][:2] and html_text.is_main(tree, between[2]) and not html_text.is_main(tree, among[1])
+
+
 def test_broken_and_empty_pages():
     assert main_text(None) == main_text("") == main_text("<nav>a</nav>") == main_text("<article><script>x") == ""
     assert main_text("<article><p>One</div></p></section>two<p>three") == "One\ntwo\nthree"
