@@ -7,12 +7,14 @@ score of a document is its log-odds. Filters are kept as one weight per place an
 so a filter's answer is a sum of table rows and no byte is ever expanded into a vector.
 
 Training reads a bounded sample of labelled documents: at most ``TRAIN_ROWS`` of them, the
-first in the order of a hash of their id, and at most ``TRAIN_CHUNKS`` chunks of each, spread
-over the whole text. Scoring reads every byte of every text.
+first in the order of a hash of their id, with their whole texts. A step of stochastic gradient
+descent draws documents and of each up to ``STEP_CHUNKS`` of all its chunks, anew every time, so
+every part of a long text teaches and no document weighs more than another. Filters stand at
+every byte, in training and in scoring, which reads every byte of every text.
 
 Defined results: a null or empty text is one chunk of padding and gets a score like any other;
-labels other than 0 and 1, null ids and documents labelled both ways teach nothing; repeated
-rows get equal scores; with no usable label, or labels of one kind, the score is the share of
+labels other than 0 and 1, null ids and documents labelled both ways teach nothing; of several
+texts under one labelled id the smallest in byte order teaches; repeated rows get equal scores; with no usable label, or labels of one kind, the score is the share of
 1 among them (0.5 with none); an empty table gives an empty result. Only doc_id and text of
 the documents are read, so other columns may have any names.
 """
@@ -29,17 +31,18 @@ from pyspark.sql import functions as F
 from coverloom.llm.common import id_text, ship, text_of
 
 TRAIN_ROWS = 8_000
-TRAIN_CHUNKS = 6
+# Chunks of one document that one step learns from, drawn from all of them.
+STEP_CHUNKS = 6
 KEEP_FROM = 0.3
 # Rejected documents are the rarer kind; each counts this often in the loss.
 REJECT_WEIGHT = 2.0
 FOLDS = 5
 
 CHUNK, OVERLAP = 512, 32
-WIDTH, STEP, FILTERS, HIDDEN = 6, 2, 32, 16
+WIDTH, FILTERS, HIDDEN = 6, 32, 16
 PAD = 256
 _STEPS, _BATCH, _RATE = 440, 256, 0.004
-_SPOTS = (CHUNK - WIDTH) // STEP + 1
+_SPOTS = CHUNK - WIDTH + 1
 
 
 def chunks_of(text: str) -> np.ndarray:
@@ -73,9 +76,9 @@ class ByteNet:
         where = np.empty((len(chunks), FILTERS), np.int64) if places else None
         for lo in range(0, len(chunks), 64):
             part = chunks[lo : lo + 64]
-            answers = self.filters[0].take(part[:, : STEP * _SPOTS : STEP], axis=0)
+            answers = self.filters[0].take(part[:, :_SPOTS], axis=0)
             for j in range(1, WIDTH):
-                answers += self.filters[j].take(part[:, j : j + STEP * _SPOTS : STEP], axis=0)
+                answers += self.filters[j].take(part[:, j : j + _SPOTS], axis=0)
             if places:
                 where[lo : lo + 64] = answers.argmax(axis=1)
             best[lo : lo + 64] = answers.max(axis=1)
@@ -103,7 +106,7 @@ class ByteNet:
         steps = np.arange(FILTERS)
         filters = np.empty_like(self.filters)
         for j in range(WIDTH):
-            byte = np.take_along_axis(chunks, where * STEP + j, axis=1).astype(np.int64)
+            byte = np.take_along_axis(chunks, where + j, axis=1).astype(np.int64)
             filters[j] = np.bincount((byte * FILTERS + steps).ravel(), to_pooled.ravel(), (PAD + 1) * FILTERS).reshape(PAD + 1, FILTERS)
         return [filters, to_pooled.sum(0), lit.T @ to_inner, to_inner.sum(0), inner.T @ error, error.sum(keepdims=True)]
 
@@ -122,8 +125,9 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> ByteNe
             order = np.concatenate([order, rng.permutation(len(labels))])
         rows, order = order[:size], order[size:]
         rate = _RATE * (1 - step / _STEPS) + _RATE / 20
-        owner = np.repeat(np.arange(len(rows)), [len(chunks[r]) for r in rows])
-        found = net.gradients(np.concatenate([chunks[r] for r in rows]), owner, labels[rows])
+        drawn = [chunks[r] if len(chunks[r]) <= STEP_CHUNKS else chunks[r][rng.choice(len(chunks[r]), STEP_CHUNKS, replace=False)] for r in rows]
+        owner = np.repeat(np.arange(len(rows)), list(map(len, drawn)))
+        found = net.gradients(np.concatenate(drawn), owner, labels[rows])
         for w, g, m, v in zip(net.weights(), found, first, second, strict=True):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
@@ -165,9 +169,8 @@ def _fold(column: str = "doc_id"):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Chunks and labels of the sample, without the held-out fold. What reaches the driver is
-    at most ``most`` times ``TRAIN_CHUNKS`` chunks."""
-    ship(docs.sparkSession)
+    """Chunks and labels of the sample, without the held-out fold. What reaches the driver are the
+    texts of at most ``most`` documents."""
     agreed = (
         labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other")
@@ -177,18 +180,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS)
         docs.select("doc_id", text_of().alias("text")).join(F.broadcast(picked), "doc_id")
         .groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            taken = []
-            for text in batch.column("text").to_pylist():
-                chunks = chunks_of(text)
-                at = np.unique(np.linspace(0, len(chunks) - 1, TRAIN_CHUNKS).astype(int))
-                taken.append(chunks[at].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality").cast(pa.int32()), pa.array(taken, pa.binary())], ["doc_id", "quality", "chunks"])
-
-    rows = sorted(texts.mapInArrow(cut, "doc_id bigint, quality int, chunks binary").collect())
-    return [np.frombuffer(r.chunks, np.int16).reshape(-1, CHUNK) for r in rows], np.array([r.quality for r in rows], np.float32)
+    rows = sorted(texts.select("doc_id", F.col("quality").cast("int").alias("quality"), "text").toLocalIterator())
+    return [chunks_of(r.text) for r in rows], np.array([r.quality for r in rows], np.float32)
 
 
 def score_quality(docs: DataFrame, net: ByteNet | float, keep: list[str] | None = None) -> DataFrame:

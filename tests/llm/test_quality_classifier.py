@@ -5,6 +5,8 @@ import pytest
 
 from coverloom.llm import quality
 
+from conftest import TESTDATA
+
 DOCS = "doc_id bigint, text string, quality_score string, c0 string"
 
 
@@ -61,6 +63,40 @@ def test_learns_labels_without_the_held_out_fold(spark):
     assert kept.columns == ["doc_id", "text", "c0", "quality_score"]
 
 
+def test_a_byte_in_front_moves_no_score_far(spark):
+    docs = [r.text or "" for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").orderBy("doc_id").collect()]
+    net = quality.fit(spark.read.parquet(f"{TESTDATA}/documents.parquet"), spark.read.parquet(f"{TESTDATA}/labels.parquet"))
+    plain, moved = quality.score_texts(net, docs), quality.score_texts(net, [" " + d for d in docs])
+    assert np.abs(plain - moved).max() < 0.2 and np.quantile(np.abs(plain - moved), 0.9) < 0.02
+
+
+def test_every_part_of_a_long_text_teaches():
+    """What tells the labels apart stands in one chunk of a hundred."""
+    rng = np.random.default_rng(8)
+    def text(mark): return "".join(rng.choice(list("abcdefgh "), 480 * 40)) + mark * 60 + "".join(rng.choice(list("abcdefgh "), 480 * 5))
+    labels = np.array([k % 2 for k in range(60)], np.float32)
+    chunks = [quality.chunks_of(text("#$%&@!" if k else "")) for k in labels]
+    seen = set()
+    real = quality.ByteNet.gradients
+    def watch(self, drawn, owner, label):
+        seen.update(c.tobytes() for c in drawn)
+        return real(self, drawn, owner, label)
+    quality.ByteNet.gradients = watch
+    try:
+        quality.train(chunks, labels)
+    finally:
+        quality.ByteNet.gradients = real
+    assert len(seen) > 0.99 * len({c.tobytes() for x in chunks for c in x})
+
+
+def test_repeated_ids_and_very_long_texts(spark):
+    docs = spark.createDataFrame([(2, "b" * 600, "", ""), (2, "a" * 600, "", ""), (3, "x " * 2_000_000, "", ""), (3, "x " * 2_000_000, "", "")], DOCS)
+    chunks, labels = quality.training_sample(docs, spark.createDataFrame([(2, 1), (2, 1)], "doc_id bigint, quality int"))
+    assert len(chunks) == 1 and (chunks[0] == ord("a")).all() and labels.tolist() == [1]
+    scores = [r.quality_score for r in quality.score_quality(docs.filter("doc_id = 3"), quality.ByteNet()).collect()]
+    assert scores[0] == scores[1]
+
+
 def test_without_usable_labels(spark):
     docs = spark.createDataFrame([(1, "a", "", "")], DOCS)
     labels = "doc_id bigint, quality int"
