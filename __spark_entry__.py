@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from coverloom.operators import quality, slicing, terms
-from coverloom.operators.enrich import with_member_context
+from coverloom.operators import gate, quality, slicing, terms, versions
+from coverloom.operators.enrich import agent_labels, with_member_context
 from coverloom.operators.staging import Staged, stage_payments
 from coverloom.operators.upsert import VERSION, upsert_payments
-from coverloom.plans import analyst, dashboard, marts, warehouse
+from coverloom.plans import analyst, dashboard, history, marts, rollups, warehouse
+from coverloom.plans.catalog import CatalogMarts
 from coverloom.schemas import RAW_SCHEMAS
 from coverloom.session import shared_folder, tune
 from coverloom.sources import GivenTables
 from coverloom.sources.order_tables import AS_OF, OrderTables
 from coverloom.sources.store import Store
+from coverloom.streaming.payments import FEED, merge_feed, merge_late, payment_feed
 from oracle import sql
 
 try:  # the folder may be taken out; the rest works without it
@@ -38,7 +41,10 @@ def _staged(spark: SparkSession, sf_dir: str) -> Staged:
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> quality.Tables:
-    s = _staged(spark, sf_dir)
+    return _tables_of(_staged(spark, sf_dir))
+
+
+def _tables_of(s: Staged) -> quality.Tables:
     return {
         **{table: (lambda table=table: s.raw[table]) for table in RAW_SCHEMAS},
         "dim_agents": lambda: marts.dim_agents(s),
@@ -169,11 +175,10 @@ def _before(s: Staged) -> Staged:
     ), AS_OF)
 
 
-def _feeds(s: Staged) -> tuple[DataFrame, DataFrame]:
-    """The payments as two loads. The first holds what falls due before 2000, with late
-    payments still open and checks booked a month early, and rows without id or load time.
-    The second brings the rest, the corrections, and the uncorrected rows once more as an
-    out-of-date repeat."""
+def _raw_feeds(s: Staged) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The raw payments as two loads. The first holds what falls due before 2000, with late
+    payments still open and checks booked a month early. The second brings the rest and the
+    corrections; the third are the uncorrected rows once more, an out-of-date repeat."""
     early = F.col("due_date") < F.lit(FIRST_LOAD_ENDS)
     late, check = F.lower("payment_status") == "paid_late", F.lower("payment_method") == "check"
     raw = s.raw.payments
@@ -184,7 +189,14 @@ def _feeds(s: Staged) -> tuple[DataFrame, DataFrame]:
         "due_date": F.when(check, F.add_months("due_date", -1)).otherwise(F.col("due_date")),
     })
     second = raw.filter(~early | late | check)
-    repeats = first.filter((F.col("payment_status") == "Failed") | check)
+    return first, second, first.filter((F.col("payment_status") == "Failed") | check)
+
+
+def _feeds(s: Staged) -> tuple[DataFrame, DataFrame]:
+    """Two staged loads: the second brings the repeats as well, and both have rows without id
+    or load time."""
+    raw = s.raw.payments
+    first, second, repeats = _raw_feeds(s)
 
     def loaded(frame: DataFrame, n: int | None) -> DataFrame:
         return stage_payments(frame.withColumn(VERSION, F.lit(n).cast("int")), VERSION)
@@ -224,6 +236,144 @@ def _step_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments as a stream of files: a load, then its corrections with the uncorrected rows
+    once more, and at last rows whose load time lies behind the watermark by months."""
+    s = _staged(spark, sf_dir)
+    base = shared_folder(spark, "streamed")
+    store, feed = Store(spark, f"{base}/marts"), f"{base}/feed"
+    first, second, repeats = _raw_feeds(s)
+    belated = F.col("policy_id").endswith("7")
+
+    def arrive(frame: DataFrame, day: date) -> None:
+        at = F.lit(datetime.combine(day, datetime.min.time())).alias(VERSION)
+        frame.select("*", at).select(*FEED.fieldNames()).write.mode("append").parquet(feed)
+        merge_feed(payment_feed(spark, feed), store, f"{base}/fast", lateness="7 days").awaitTermination()
+
+    arrive(first.filter(~belated), date(2001, 1, 1))
+    arrive(repeats.filter(~belated), date(2001, 1, 1))
+    arrive(second, date(2001, 6, 1))
+    arrive(second.filter(F.month("due_date") == 1), date(2001, 6, 2))  # the watermark of the load before holds from here on
+    arrive(first.filter(belated), date(2001, 1, 1))
+    merge_late(payment_feed(spark, feed), store, f"{base}/late").awaitTermination()
+    return warehouse.stored_payments(store, s)
+
+
+def _stream_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.fct_payments(_staged(spark, sf_dir).with_payments(_streamed(spark, sf_dir)))
+
+
+def _stale_spans(s: Staged) -> DataFrame:
+    """Spans without a load: a payment is loaded on the day it is paid, at a minute of its own."""
+    minute = F.pmod(F.col("days_to_pay") * 97 + F.length("policy_id"), F.lit(1440)).cast("int")
+    loads = s.payments.filter("paid_date is not null").select(
+        "carrier", (F.col("paid_date").cast("timestamp") + F.make_dt_interval(mins=minute)).alias(VERSION)
+    )
+    shown = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("stale_from", "stale_until")]
+    return history.stale_spans(loads, NOW).select("carrier", *shown, "stale_seconds")
+
+
+@cache
+def _bitmaps(spark: SparkSession, sf_dir: str) -> str:
+    s, base = _staged(spark, sf_dir), shared_folder(spark, "bitmaps")
+    rollups.member_numbers(s.members).write.parquet(f"{base}/numbers")
+    rollups.billed_members(s.payments, spark.read.parquet(f"{base}/numbers")).write.parquet(f"{base}/billed")
+    return f"{base}/billed"
+
+
+def _active_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.active_members(spark.read.parquet(_bitmaps(spark, sf_dir)), _staged(spark, sf_dir).agents)
+
+
+@cache
+def _cube(spark: SparkSession, sf_dir: str) -> rollups.CubeReader:
+    s, folder = _staged(spark, sf_dir), shared_folder(spark, "cube")
+    rollups.write_cube(rollups.revenue_cube(with_member_context(s.payments, s.members, s.agents)), folder)
+    return rollups.CubeReader(spark.read.parquet(folder))
+
+
+# What is asked of the cube: the last cuts by all slicers at once.
+CUBE_SLICERS = {
+    "all": slicing.Slicers(),
+    "carrier": slicing.Slicers(carriers=["VSP"]),
+    "plan_span": slicing.Slicers(plan_types=["Dental Basic", "Vision Basic"], start=date(1996, 1, 1), end=date(1997, 6, 30)),
+    "tier_state": slicing.Slicers(tiers=["gold", "platinum"], states=["OH", "TX", "CA"]),
+    "carrier_plan": slicing.Slicers(carriers=["MetLife", "Zurich"], plan_types=["Dental+Vision Bundle"]),
+    "everything": slicing.Slicers(
+        start=date(1997, 1, 1), end=date(1998, 12, 31), carriers=["MetLife", "VSP"], plan_types=["Dental Basic", "Vision Premium"],
+        tiers=["bronze", "silver", "gold"], states=["IN", "OH", "TX", "WA", "NY"],
+    ),
+}
+
+
+def _cube_sliced_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cube = _cube(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [cube.monthly_revenue(s).withColumn("slicer", F.lit(name)) for name, s in CUBE_SLICERS.items()])
+
+
+def _asof_fct_payments(s: Staged) -> DataFrame:
+    """Members who moved to another agent in 1997 and agents promoted in 1998."""
+    moved, promoted = F.col("member_id").endswith("7"), F.col("agent_id").endswith("3")
+    first = date(1900, 1, 1)
+    members = versions.versions_of(s.members.select("member_id", "agent_id"), {"agent_id": ("AGT000001", moved, date(1997, 7, 1))}, first)
+    agents = versions.versions_of(agent_labels(s.agents), {"agent_tier": ("bronze", promoted, date(1998, 1, 15))}, first)
+    return versions.fct_payments_as_of(s, members, agents)
+
+
+def _dq_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate.observed_report({name: table() for name, table in _tables(spark, sf_dir).items()})
+
+
+@cache
+def _catalog(spark: SparkSession, sf_dir: str) -> str:
+    """Bucketed tables under a prefix of their own; policies with more than six payments count as hot."""
+    s, prefix = _staged(spark, sf_dir), f"coverloom_{uuid.uuid4().hex[:12]}_"
+    stored = CatalogMarts(spark, prefix, buckets=16, hot_rows=6)
+    stored.store_tables(s)
+    stored.build_fact(s)
+    return prefix
+
+
+# ---- raw tables with planted defects -------------------------------------------------
+
+
+def _dirty(spark: SparkSession, sf_dir: str) -> Staged:
+    """Every kind of check has something to find, cancellations have another agent than their
+    member, and labels and keys are missing or unknown. What is changed goes by the last digits
+    of the ids; the SQL oracle states the same."""
+    raw = OrderTables(spark, sf_dir)
+
+    def digits(column: str, n: int) -> Column:
+        return F.substring(column, -n, n)
+
+    policy, member, agent = digits("policy_id", 2), digits("member_id", 1), digits("agent_id", 1)
+    amount = F.when(policy == "55", F.lit(-5)).when(policy == "66", F.col("amount_due") * 2).otherwise(F.col("amount_paid"))
+    payments = raw.payments.withColumns({
+        "payment_status": F.when(policy == "11", "Refunded").when(policy != "22", F.col("payment_status")),
+        "policy_id": F.when(policy == "33", F.concat(F.lit("POLX"), "policy_id")).when(policy != "44", F.col("policy_id")),
+        "amount_paid": amount.cast("decimal(12,2)"),
+        "payment_id": F.when(policy != "77", F.col("payment_id")),
+        "member_id": F.when(policy == "99", "MEMX").otherwise(F.col("member_id")),
+    })
+    owner = F.col("agent_id")
+    return Staged(GivenTables(
+        agents=raw.agents.withColumn("tier", F.when(agent == "4", "Diamond").when(agent != "8", F.col("tier"))),
+        members=raw.members.withColumn("agent_id", F.when(member == "5", "AGT999999").when(member != "6", owner)),
+        policies=raw.policies.withColumn("status", F.when(policy == "12", "Lapsed").otherwise(F.col("status"))),
+        payments=payments.unionByName(payments.filter(digits("policy_id", 2) == "88")),
+        cancellations=raw.cancellations.withColumns({
+            "agent_id": F.when(digits("policy_id", 1) == "3", "AGT000002").otherwise(owner),
+            "months_active": F.when(digits("policy_id", 1) == "7", -F.col("months_active")).otherwise(F.col("months_active")),
+            "cancellation_reason": F.when(digits("policy_id", 1) != "9", F.col("cancellation_reason")),
+        }),
+    ), AS_OF)
+
+
+def _on_dirty(build: Callable[[Staged], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_dirty(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         # raw tables and contract arithmetic
@@ -292,6 +442,20 @@ def queries() -> dict[str, Query]:
         "incr_commission_summary": _step_table("agent_commission_summary"),
         "incr_commission_summary_monthly": _step_table("agent_commission_summary_monthly"),
         "incr_rejects": _step_rejects,
+        "stream_payments": _stream_payments,
+        # stored summaries, history and layouts
+        "d13_stale_spans": _on_staged(_stale_spans),
+        "risk_history": _on_staged(lambda s: history.risk_history(s.payments, AS_OF)),
+        "active_members_rollup": _active_members,
+        "cube_sliced_revenue": _cube_sliced_revenue,
+        "asof_fct_payments": _on_staged(_asof_fct_payments),
+        "dq_observed": _dq_observed,
+        "catalog_fct_payments": lambda spark, sf_dir: spark.table(_catalog(spark, sf_dir) + "fct_payments").select(*marts.PAYMENT_COLUMNS),
+        # the same tables with planted defects
+        "dirty_fct_payments": _on_dirty(marts.fct_payments),
+        "dirty_member_churn": _on_dirty(marts.fct_member_churn),
+        "dirty_commission_summary": _on_dirty(marts.agent_commission_summary),
+        "dirty_dq_report": lambda spark, sf_dir: quality.report(_tables_of(_dirty(spark, sf_dir))),
     }
     shown = {name: _shown(query) for name, query in found.items()}
     return shown | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else shown

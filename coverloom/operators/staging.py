@@ -156,8 +156,14 @@ class Staged:
 
     def with_payments(self, payments: DataFrame) -> Staged:
         """The same tables over other staged payments: stored ones, or single months."""
+        return self._with(payments=payments)
+
+    def with_cancellations(self, cancellations: DataFrame) -> Staged:
+        return self._with(cancellations=cancellations)
+
+    def _with(self, **tables: DataFrame) -> Staged:
         other = Staged(self.raw, self.as_of)
-        vars(other).update({**vars(self), "payments": payments})
+        vars(other).update({**vars(self), **tables})
         return other
 
     def register_views(self, prefix: str = "stg_") -> None:

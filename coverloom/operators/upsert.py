@@ -1,41 +1,58 @@
-"""Incremental payments: new, corrected, late and repeated rows into the stored table.
+"""Incremental payments: new, corrected, late and repeated rows into the stored payments.
 
-Only the months a batch touches are read in full and rewritten. Every row carries a
-``version`` column, the load time its feed stamps on it; the newest version of a payment
-wins. Running the same batch again, or batches out of order, ends in the same table.
+``payment_batches`` holds the rows of all loads, appended by month as plain Parquet. Every row
+carries a load time stamped on it by its feed; the newest row of a payment wins, and among equal
+load times the one with the greatest hash of its content. Running the same batch again, or
+batches out of order, ends in the same payments.
 
-Rows without an id or without a version cannot be merged: they go to the table
-``payment_rejects``, once per distinct record, with the reason.
+Months can be read on their own: if a payment's newest row lies in another month, the months
+of its older rows get a row that marks them as superseded, with the newest row's load time.
+``current_payments`` takes the newest row of each payment in each month and leaves those marks
+out. An append is all a load writes, and one that dies is finished by the next try: it adds
+the rows and marks that are not there yet.
 
-Which months hold a payment is read from ``payment_index``, narrow rows (id, version, month)
-in buckets by a hash of the id; a batch opens the buckets of its ids and no other, and only
-adds to it. The index is written before the payments: a job that dies in between leaves
-months in it that hold nothing, and trying the batch again finds every place a row can be.
+Rows without an id or without a load time cannot be merged: they go to the table
+``payment_rejects``, once per distinct record, with the reason.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.session import shared_folder
 from coverloom.sources.store import Store
 
 VERSION = "loaded_at"
-BUCKETS = 64
+BATCHES, REJECTS = "payment_batches", "payment_rejects"
 NO_ID, NO_VERSION = "payment_id is missing", "load time is missing"
+_MARKS = ("digest", "superseded")
+
+
+def _rank() -> Column:
+    return F.struct(VERSION, "digest")
+
+
+def row_hash(columns: list[str]) -> Column:
+    """Hashes skip nulls, so where they stand is hashed as well."""
+    return F.xxhash64(*columns, F.concat(*[F.col(c).isNull().cast("string") for c in columns]))
 
 
 def newest(batch: DataFrame) -> DataFrame:
-    """One row per payment id, the newest; equal versions fall to the greatest row, so the
-    choice is repeatable. An aggregate, not a window: repeats of a hot id merge map-side."""
-    others = [c for c in batch.columns if c != "payment_id"]
-    rank = F.struct(VERSION, *[c for c in others if c != VERSION])
-    return batch.groupBy("payment_id").agg(F.max(rank).alias("_row")).select(
-        *[F.col("payment_id") if c == "payment_id" else F.col(f"_row.{c}") for c in batch.columns]
-    )
+    """One row per payment id, the newest, with its ``digest``. An aggregate, not a window:
+    repeats of a hot id merge map-side."""
+    stamped = batch.withColumn("digest", row_hash(sorted(batch.columns)))
+    best = stamped.groupBy("payment_id").agg(F.max_by(F.struct(*[c for c in stamped.columns if c != "payment_id"]), _rank()).alias("_row"))
+    return best.select(*[F.col("payment_id") if c == "payment_id" else F.col(f"_row.{c}") for c in stamped.columns])
+
+
+def current_payments(rows: DataFrame) -> DataFrame:
+    """The payments of whole months of ``payment_batches``, with their load time."""
+    kept = [c for c in rows.columns if c not in ("payment_id", "due_period")]
+    best = rows.groupBy("payment_id", "due_period").agg(F.max_by(F.struct(*kept), _rank()).alias("_row")).filter(~F.col("_row.superseded"))
+    return best.select(*[c if c in ("payment_id", "due_period") else F.col(f"_row.{c}") for c in rows.columns if c not in _MARKS])
 
 
 def rejected(batch: DataFrame) -> DataFrame:
@@ -46,55 +63,65 @@ def rejected(batch: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def first_rows(batch: DataFrame) -> DataFrame:
+    """What an empty ``payment_batches`` gets of a batch."""
+    good = batch.filter(F.col("payment_id").isNotNull() & F.col(VERSION).isNotNull())
+    return newest(good).withColumn("superseded", F.lit(False))
+
+
 def upsert_payments(store: Store, batch: DataFrame) -> list[str | None]:
-    """Merges staged payments (with ``loaded_at``) into the stored table ``payments``.
+    """Merges staged payments (with ``loaded_at``) into the stored payments.
 
-    Returns the touched months: those of the batch, and those that earlier versions of its
-    rows were stored under, since a corrected due date moves a payment to another month.
+    Returns the months that changed: those of new rows, and those that older rows of the same
+    payments lie in, since a corrected due date moves a payment to another month.
     """
-    spark = store.spark
+    if not store.exists(BATCHES):
+        _set_aside(store, rejected(batch))
+        store.append(BATCHES, first_rows(batch))
+        return _in_order(store.periods(BATCHES))
     # The batch is used several times below: write it once where all executors can read it.
-    kept_at = shared_folder(spark, "payments-batch")
-    try:
-        batch.write.parquet(kept_at)
-        arrived = spark.read.schema(batch.schema).parquet(kept_at)
-        _set_aside(store, rejected(arrived))
-        return _merge(store, newest(arrived.filter(F.col("payment_id").isNotNull() & F.col(VERSION).isNotNull())))
-    finally:
-        store.drop_folder(kept_at)
+    kept_at = shared_folder(store.spark, "payments-batch")
+    batch.write.parquet(kept_at)
+    arrived = store.spark.read.schema(batch.schema).parquet(kept_at)
+    _set_aside(store, rejected(arrived))
+    added = shared_folder(store.spark, "payments-added")
+    missing_rows(store, first_rows(arrived)).write.parquet(added)
+    rows = store.spark.read.parquet(added)
+    touched = _in_order(row[0] for row in rows.select("due_period").distinct().collect())  # months: a bounded number of values
+    if touched:
+        store.append(BATCHES, rows)
+    return touched
+
+
+def missing_rows(store: Store, incoming: DataFrame) -> DataFrame:
+    """What has to be added for ``incoming``, one row per payment: rows newer than those held,
+    and marks for the months of older rows. Of the stored rows only id, load time, digest and
+    month are read, and of those only the ids that arrived go on."""
+    schema = incoming.schema
+    places = ["payment_id", VERSION, "digest", "due_period", "superseded"]
+    held = store.read(BATCHES, schema=schema).select(*places).join(incoming.select("payment_id"), "payment_id", "left_semi")
+    place = F.struct(VERSION, "digest", "due_period", "superseded")
+    seen = held.unionByName(incoming.select(*places)).groupBy("payment_id").agg(
+        F.max_by(place, F.struct(VERSION, "digest", ~F.col("superseded"))).alias("best"),
+        F.collect_set(F.when(~F.col("superseded"), F.struct("due_period"))).alias("months"),
+        F.collect_set(F.when(F.col("superseded"), F.struct(VERSION, "digest", "due_period"))).alias("marks"),
+    )
+    known = held.filter(~F.col("superseded")).select("payment_id", VERSION, "digest").distinct()
+    winners = seen.select("payment_id", F.col(f"best.{VERSION}").alias(VERSION), F.col("best.digest").alias("digest"))
+    fresh = incoming.join(winners, ["payment_id", VERSION, "digest"], "left_semi").join(known, ["payment_id", VERSION, "digest"], "left_anti")
+    wanted = F.transform(
+        "months", lambda m: F.struct(F.col(f"best.{VERSION}").alias(VERSION), F.col("best.digest").alias("digest"), m["due_period"].alias("due_period"))
+    )
+    left_behind = F.filter(F.array_except(wanted, "marks"), lambda m: ~m["due_period"].eqNullSafe(F.col("best.due_period")))
+    marks = seen.select("payment_id", F.explode(left_behind).alias("mark")).select("payment_id", "mark.*").withColumn("superseded", F.lit(True))
+    return fresh.unionByName(marks, allowMissingColumns=True).select(*schema.fieldNames())
 
 
 def _set_aside(store: Store, rows: DataFrame) -> None:
-    if store.exists("payment_rejects"):
-        rows = rows.join(store.read("payment_rejects"), ["reason", "record"], "left_anti")
+    if store.exists(REJECTS):
+        rows = rows.join(store.read(REJECTS, schema=rows.schema), ["reason", "record"], "left_anti")
     if not rows.isEmpty():
-        store.append("payment_rejects", rows)
-
-
-def _merge(store: Store, incoming: DataFrame) -> list[str | None]:
-    incoming = incoming.withColumn("bucket", F.expr(f"pmod(xxhash64(payment_id), {BUCKETS})").cast("string"))
-    narrow = incoming.select("payment_id", VERSION, "due_period", "bucket")
-    fresh, places = incoming.drop("bucket"), narrow.select("due_period")
-    if store.exists("payment_index"):
-        buckets = [row[0] for row in narrow.select("bucket").distinct().collect()]  # at most BUCKETS
-        index = store.read("payment_index", buckets, narrow.schema)
-        known = index.join(narrow.select("payment_id"), "payment_id", "left_semi")
-        last = known.groupBy("payment_id").agg(F.max(VERSION).alias("_known"))
-        outdated = last.join(narrow.select("payment_id", VERSION), "payment_id").filter(F.col("_known") > F.col(VERSION))
-        fresh = fresh.join(outdated.select("payment_id"), "payment_id", "left_anti")
-        narrow = narrow.join(outdated.select("payment_id"), "payment_id", "left_anti")
-        held = known.join(narrow.select("payment_id"), "payment_id", "left_semi")
-        places = narrow.select("due_period").unionByName(held.select("due_period"))
-    touched = _in_order(row[0] for row in places.distinct().collect())  # months: a bounded number of values
-    if not touched:
-        return []
-    store.note_pending(touched)
-    store.append("payment_index", narrow)
-    if store.exists("payments"):
-        current = store.read("payments", touched, fresh.schema)
-        fresh = current.join(fresh.select("payment_id"), "payment_id", "left_anti").unionByName(fresh)
-    store.replace_periods("payments", fresh, touched)
-    return touched
+        store.append(REJECTS, rows)
 
 
 def _in_order(months: Iterable[str | None]) -> list[str | None]:

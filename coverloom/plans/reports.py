@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from coverloom.operators.slicing import Slicers
 from coverloom.operators.staging import Staged
-from coverloom.operators.upsert import VERSION
+from coverloom.operators.upsert import BATCHES, VERSION
 from coverloom.plans import analyst, dashboard, marts
 from coverloom.sources.store import Store
 
@@ -66,7 +66,7 @@ def reports(store: Store, s: Staged, slicers: Slicers = Slicers(), now: datetime
         "early_cancel_watchlist": dashboard.early_cancel_watchlist(churn),
         "freshness": dashboard.freshness(store.between("fct_payments", end=as_of), "due_date", as_of),
         **(
-            {"load_freshness": dashboard.freshness(store.read("payments"), VERSION, now or as_of)}
-            if store.exists("payments") else {}
+            {"load_freshness": dashboard.freshness(store.read(BATCHES), VERSION, now or as_of)}
+            if store.exists(BATCHES) else {}
         ),
     }

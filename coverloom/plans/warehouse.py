@@ -1,30 +1,40 @@
-"""Builds the stored marts, in full or for single months."""
+"""Builds the stored marts, in full or for single months.
+
+What is written last marks what is done: the months' row counts after everything else, and the
+churn fact and the last payments after the summaries that follow from them. A refresh that
+dies is finished by the next one, which finds the same work again.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from coverloom.operators.staging import Staged
-from coverloom.operators.upsert import VERSION, upsert_payments
+from coverloom.operators.upsert import BATCHES, REJECTS, VERSION, current_payments, first_rows, row_hash, upsert_payments
 from coverloom.plans import marts
-from coverloom.sources.store import Store, in_periods
+from coverloom.session import shared_folder
+from coverloom.sources.store import Store, in_periods, outside_periods
 
 # Load time of payments that came with the raw tables, unless it is given: older than that of
 # any feed.
 FIRST_LOAD = datetime(1970, 1, 1)
+# Rows of ``payment_batches`` that each month's marts were made from.
+REFRESHED = "refreshed_months"
+_COUNTS = StructType().add("n", "long").add("due_period", "string")
+_PAID = ("last_paid_date", "months_since_last_payment")
 
 
 class StoredFacts:
     """Summaries out of stored facts: no fact is computed twice in one build."""
 
-    def __init__(self, store: Store, s: Staged):
+    def __init__(self, store: Store, s: Staged, churn: DataFrame | None = None):
         self.payments = store.read("fct_payments", schema=marts.fct_payments(s).schema)
-        self.churn = store.read("fct_member_churn", schema=marts.fct_member_churn(s).schema)
+        self.churn = stored_churn(store, s) if churn is None else churn
         self.agents = s.agents
 
     def by_carrier(self) -> DataFrame:
@@ -41,7 +51,7 @@ def build(store: Store, s: Staged) -> None:
     store.replace("dim_agents", marts.dim_agents(s))
     store.replace("fct_payments", marts.fct_payments(s))
     store.replace("paid_by_policy", marts.paid_by_policy(s.payments))
-    store.replace("fct_member_churn", _churn(store, s))
+    store.replace("fct_member_churn", marts.fct_member_churn(s, last_paid(stored_paid(store, s))))
     facts = StoredFacts(store, s)
     store.replace("agent_commission_summary", facts.by_carrier())
     store.replace("agent_commission_summary_monthly", facts.by_month())
@@ -56,77 +66,151 @@ def start(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD) -> None:
 
 def reset(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD) -> None:
     """Forgets all merged payments and goes back to what ``s`` holds."""
-    for table in ("payments", "payment_index", "payment_rejects"):
-        if store.exists(table):
-            store.replace(table, store.read(table, schema=_schema_of(store, table, s)).limit(0))
-    start(store, s, loaded_at)
+    store.replace(BATCHES, first_rows(s.payments.withColumn(VERSION, F.lit(loaded_at))))
+    if store.exists(REJECTS):
+        store.replace(REJECTS, store.read(REJECTS).limit(0))
+    _build_from_store(store, s)
 
 
 def refresh(store: Store, s: Staged, periods: Iterable[str | None] = ()) -> None:
     """Brings every mart up to date with the stored payments and with ``s``: the agent
-    dimension; the payment fact for the months whose stored payments changed since the last
-    refresh, and for ``periods``; the churn fact for the months in which a cancellation is new,
-    changed, gone, or has another last payment; both summaries for all of these months."""
-    open_ = store.pending()
-    periods = open_ | set(periods)
+    dimension; the payment fact for the months that got rows since the last refresh, and for
+    ``periods``; the churn fact for cancellations that are new, changed, gone, or of a policy
+    with another last payment; both summaries for the months of all of these."""
+    counts = month_rows(store)
+    periods = _open(store, counts) | set(periods)
     if not store.exists("fct_payments"):
         _build_from_store(store, s)
         return
     store.replace("dim_agents", marts.dim_agents(s))
+    month = s.with_payments(stored_payments(store, s, periods))
+    paid = _kept(store, marts.paid_by_policy(month.payments), "paid")
     if periods:
-        month = s.with_payments(stored_payments(store, s, periods))
         store.replace_periods("fct_payments", marts.fct_payments(month), periods)
-        store.replace_periods("paid_by_policy", marts.paid_by_policy(month.payments), periods)
-    churned = _changed_churn_months(store, s)
-    if churned:
-        store.replace_periods("fct_member_churn", _churn(store, s).filter(in_periods("cancel_period", churned)), churned)
+    changed = _changed_churn(store, s, periods, paid)
+    churned = {row[0] for row in changed.select("cancel_period").distinct().collect()}
+    new_churn = _kept(store, _churn_of_months(store, s, changed, churned, periods, paid), "churn")
     months = periods | churned
     if months:
-        facts = StoredFacts(store, s)
+        stored = stored_churn(store, s)
+        facts = StoredFacts(store, s, stored.filter(outside_periods("cancel_period", churned)).unionByName(new_churn) if churned else stored)
         # The month filter passes through the aggregations to the stored partitions.
         wanted = in_periods("period", months)
         store.replace_periods("agent_commission_summary", facts.by_carrier().filter(wanted), months)
         store.replace_periods("agent_commission_summary_monthly", facts.by_month().filter(wanted), months)
-    store.clear_pending(open_)
+    if churned:
+        store.replace_periods("fct_member_churn", new_churn, churned)
+    if periods:
+        store.replace_periods("paid_by_policy", paid, periods)
+    _record(store, {p: counts[p] for p in periods if p in counts})
 
 
 def stored_payments(store: Store, s: Staged, periods: Iterable[str | None] | None = None) -> DataFrame:
-    if not store.exists("payments"):
-        return s.payments.limit(0)
-    return store.read("payments", periods, s.payments.schema)
+    """The current payments, of all months or of those named, without their load time."""
+    return loaded_payments(store, s, periods).select(*s.payments.columns)
+
+
+def loaded_payments(store: Store, s: Staged, periods: Iterable[str | None] | None = None) -> DataFrame:
+    """The current payments with ``loaded_at``."""
+    schema = StructType([*s.payments.schema.fields, StructField(VERSION, TimestampType())])
+    if not store.exists(BATCHES):
+        return s.payments.sparkSession.createDataFrame([], schema)
+    marked = StructType([*s.payments.schema.fields, store.read(BATCHES).schema[VERSION]]).add("digest", "long").add("superseded", "boolean")
+    return current_payments(store.read(BATCHES, periods, marked))
+
+
+def stored_churn(store: Store, s: Staged) -> DataFrame:
+    return store.read("fct_member_churn", schema=marts.fct_member_churn(s).schema)
+
+
+def stored_paid(store: Store, s: Staged) -> DataFrame:
+    return store.read("paid_by_policy", schema=marts.paid_by_policy(s.payments).schema)
+
+
+def last_paid(paid: DataFrame) -> DataFrame:
+    return paid.groupBy("policy_id").agg(F.max("last_paid_date").alias("last_paid_date"))
+
+
+# ---- months whose marts did not follow yet -------------------------------------------
+
+
+def month_rows(store: Store) -> dict[str | None, int]:
+    """Rows per month of ``payment_batches``, which only grow: read off file footers."""
+    if not store.exists(BATCHES):
+        return {}
+    rows = store.read(BATCHES, schema=StructType().add("due_period", "string"))
+    return {row[0]: row[1] for row in rows.groupBy("due_period").count().collect()}
+
+
+def _open(store: Store, counts: dict[str | None, int]) -> set[str | None]:
+    done = {r.due_period: r.n for r in store.read(REFRESHED, schema=_COUNTS).collect()} if store.exists(REFRESHED) else {}
+    return {month for month, n in counts.items() if done.get(month) != n}
+
+
+def pending(store: Store) -> set[str | None]:
+    return _open(store, month_rows(store))
+
+
+def _record(store: Store, counts: dict[str | None, int]) -> None:
+    if counts:
+        frame = store.spark.createDataFrame([(n, month) for month, n in counts.items()], _COUNTS)
+        store.replace_periods(REFRESHED, frame, counts)
 
 
 def _build_from_store(store: Store, s: Staged) -> None:
-    open_ = store.pending()
+    counts = month_rows(store)
     build(store, s.with_payments(stored_payments(store, s)))
-    store.clear_pending(open_)
+    _record(store, counts)
+
+
+# ---- the churn fact, for what changed ------------------------------------------------
+
+
+def _kept(store: Store, frame: DataFrame, purpose: str) -> DataFrame:
+    """Written where all executors can read it: computed once, and readable while the table it
+    comes from is replaced."""
+    folder = shared_folder(store.spark, purpose)
+    frame.write.parquet(folder)
+    return store.spark.read.schema(frame.schema).parquet(folder)
 
 
-def _schema_of(store: Store, table: str, s: Staged) -> StructType | None:
-    return StructType([*s.payments.schema.fields, StructField(VERSION, TimestampType())]) if table == "payments" else None
+def _key() -> Column:
+    return F.coalesce("cancellation_id", F.lit("")).alias("key")
 
 
-def _churn(store: Store, s: Staged) -> DataFrame:
-    """The churn fact over stored last payments: one narrow row per policy and month is read,
-    not the payments."""
-    paid = store.read("paid_by_policy", schema=marts.paid_by_policy(s.payments).schema)
-    return marts.fct_member_churn(s, paid.groupBy("policy_id").agg(F.max("last_paid_date").alias("last_paid_date")))
+def _without_payments(s: Staged) -> DataFrame:
+    """The churn fact but for the last payment: as much work as there are cancellations."""
+    nothing = s.payments.sparkSession.createDataFrame([], "policy_id string, last_paid_date date")
+    return marts.fct_member_churn(s, nothing)
 
 
-def _changed_churn_months(store: Store, s: Staged) -> set[str | None]:
-    """Months whose stored churn rows are not those that ``s`` and the stored payments give.
-    Both sides are summed up per month before they meet: months, a bounded number of rows."""
-    now = _churn(store, s)
-    before = store.read("fct_member_churn", schema=now.schema)
+def _changed_churn(store: Store, s: Staged, periods: set[str | None], paid: DataFrame) -> DataFrame:
+    """key and cancel_period, before and now, of cancellations that are new, changed or gone or
+    whose policy's last payments in ``periods`` are not those stored."""
+    now, before = _without_payments(s), stored_churn(store, s)
+    row = row_hash([c for c in now.columns if c not in _PAID])
+    sides = [f.select(_key(), "cancel_period", "policy_id", row.alias("row"), F.lit(n).alias("side")) for n, f in ((1, now), (-1, before))]
+    both = sides[0].unionByName(sides[1])
+    unequal = both.groupBy("key", "row").agg(F.sum("side").alias("n")).filter("n <> 0").select("key")
+    old = stored_paid(store, s).filter(in_periods("due_period", periods))
+    moved = paid.withColumn("side", F.lit(1)).unionByName(old.withColumn("side", F.lit(-1)))
+    policies = moved.groupBy("policy_id", "due_period", "last_paid_date").agg(F.sum("side").alias("n")).filter("n <> 0").select("policy_id").distinct()
+    reached = both.join(policies, "policy_id", "left_semi").select("key")
+    changed = unequal.unionByName(reached).distinct()
+    return _kept(store, both.join(changed, "key", "left_semi").select("key", "cancel_period").distinct(), "churn-changed")
 
-    def prints(frame: DataFrame) -> DataFrame:
-        row = F.xxhash64(*[F.col(c) for c in now.columns])
-        return frame.groupBy("cancel_period").agg(
-            marts.count_rows().alias("n"), F.bit_xor(row).alias("x"), F.sum(F.pmod(row, F.lit(1_000_003))).alias("y")
-        )
 
-    stacked = prints(now).unionByName(prints(before)).groupBy("cancel_period", "n", "x", "y").agg(marts.count_rows().alias("sides"))
-    return {row[0] for row in stacked.filter("sides = 1").select("cancel_period").distinct().collect()}
+def _churn_of_months(store: Store, s: Staged, changed: DataFrame, churned: set[str | None], periods: set[str | None], paid: DataFrame) -> DataFrame:
+    """All rows of the months named: stored ones that did not change, and the changed ones
+    worked out anew. Payments are read for the policies of the latter only."""
+    keys = changed.select("key").distinct()
+    mine = s.cancellations.withColumn("key", _key()).join(keys, "key", "left_semi").drop("key")
+    policies = mine.select("policy_id").distinct()
+    others = stored_paid(store, s).filter(outside_periods("due_period", periods))
+    dates = last_paid(others.unionByName(paid).join(policies, "policy_id", "left_semi"))
+    anew = marts.fct_member_churn(s.with_cancellations(mine), dates)
+    same = stored_churn(store, s).filter(in_periods("cancel_period", churned)).withColumn("key", _key()).join(keys, "key", "left_anti").drop("key")
+    return same.unionByName(anew)
 
 
 def touched_by_dimensions(

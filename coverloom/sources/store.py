@@ -1,47 +1,34 @@
-"""Where tables are kept between jobs: Parquet below one folder, facts partitioned by month.
+"""Where tables are kept between jobs: plain Parquet folders, facts partitioned by month.
 
-A write never touches files that are in use. New rows go to a folder of their own,
-``<table>/load=<name>``, and then one small file in ``<table>.log`` makes them current: it
-lists for every partition the loads that hold its rows. A job that dies before that file
-leaves the table as it was; what it wrote is never read. ``vacuum`` deletes loads that no
-entry of the log's newest state names. One writer at a time.
+Every table is what ``spark.read.parquet("<base>/<table>")`` gives, for any reader. Months are
+replaced by Spark's dynamic partition overwrite: the new files are written aside and take the
+place of the old ones when the job commits, so a job that dies before leaves the old rows. A
+month that has no rows any more is replaced by an empty file. One writer at a time.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Iterable
 from datetime import date
-from functools import reduce
-from operator import or_
-from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from coverloom.session import shared_folder
+
 # Table -> column it is partitioned by; other tables are one unit.
 PARTITIONS = {
-    "payments": "due_period",
-    "payment_index": "bucket",
+    "payment_batches": "due_period",
+    "refreshed_months": "due_period",
     "fct_payments": "due_period",
     "paid_by_policy": "due_period",
     "fct_member_churn": "cancel_period",
     "agent_commission_summary": "period",
     "agent_commission_summary_monthly": "period",
 }
-PENDING = "pending_months"
-_WHOLE = "*"
-_LOG = "seq bigint, part string, load string"
-
-
-class _State(NamedTuple):
-    """The newest entry of a table's log: (partition, load) pairs. Bounded by partitions."""
-
-    seq: int
-    held: frozenset[tuple[str | None, str]]
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Store:
@@ -52,73 +39,28 @@ class Store:
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
 
-    # ---- state ---------------------------------------------------------------------------
+    # ---- reading -------------------------------------------------------------------------
 
-    def _log(self, table: str) -> DataFrame | None:
+    def exists(self, table: str) -> bool:
+        """Whether the table was written, with or without rows in the end."""
         try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.path(table)}.log")
+            self.spark.read.parquet(self.path(table))
         except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            return None
-
-    def _state(self, table: str) -> _State | None:
-        log = self._log(table)
-        if log is None:
-            return None
-        entries = log.coalesce(1).groupBy("seq").agg(F.collect_list(F.struct("part", "load")).alias("held"))
-        newest = entries.orderBy(F.desc("seq")).limit(1).collect()
-        if not newest:
-            return None
-        return _State(newest[0].seq, frozenset((r.part, r.load) for r in newest[0].held if r.load is not None))
-
-    def exists(self, table: str) -> bool:
-        return self._state(table) is not None
-
-    def parts(self, table: str) -> set[str | None]:
-        """Partitions that have rows, from the log alone."""
-        state = self._state(table)
-        return {part for part, _ in state.held} if state else set()
-
-    months = parts
-
-    def _commit(self, table: str, held: Iterable[tuple[str | None, str]]) -> None:
-        state = self._state(table)
-        seq = max(time.time_ns(), state.seq + 1 if state else 0)
-        rows = [(seq, part, load) for part, load in held] or [(seq, None, None)]
-        # One file, moved into place when the job commits.
-        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(f"{self.path(table)}.log")
-
-    # ---- reading -------------------------------------------------------------------------
+            return False
+        return True
 
     def read(
         self, table: str, periods: Iterable[str | None] | None = None, schema: StructType | None = None
     ) -> DataFrame:
-        """The table, or only the partitions named: the files of the others are not listed. A
-        table or partition without rows needs its ``schema``."""
-        state, column = self._state(table), PARTITIONS.get(table)
-        if state is None:
-            raise FileNotFoundError(f"{self.path(table)} has no committed load")
-        wanted = None if periods is None else set(periods)
-        parts: dict[str, list[str | None]] = {}
-        for part, load in sorted(state.held, key=repr):
-            if wanted is None or part in wanted:
-                parts.setdefault(load, []).append(part)
-        if not parts:
-            return self.spark.createDataFrame([], schema or self._schema(table, state))
-        frame = self.spark.read.option("basePath", self.path(table)).parquet(*[f"{self.path(table)}/load={load}" for load in parts])
-        if column:
-            # On partition columns: files that are not current are not opened.
-            frame = frame.filter(reduce(or_, [(F.col("load") == load) & in_periods(column, p) for load, p in parts.items()]))
-        frame = frame.drop("load")
+        """The table, or only the partitions named: the files of the others are not opened. A
+        table without rows needs its ``schema``."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        frame = reader.parquet(self.path(table))
         if schema is not None:
-            return frame.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        return frame
-
-    def _schema(self, table: str, state: _State) -> StructType:
-        if not state.held:
-            raise ValueError(f"{table} has no rows to take its schema from; name the schema")
-        return self.read(table, [next(iter(state.held))[0]]).schema
+            frame = frame.select(*schema.fieldNames())
+        return frame if periods is None else frame.filter(in_periods(PARTITIONS[table], periods))
 
     def between(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
         """The months from that of ``start`` to that of ``end``, for queries that go on to filter
@@ -130,92 +72,56 @@ class Store:
             frame = frame.filter(month <= f"{end:%Y-%m}")
         return frame
 
+    def periods(self, table: str) -> set[str | None]:
+        """Partitions that have rows."""
+        return {row[0] for row in self.read(table, schema=_period_schema(table)).distinct().collect()} if self.exists(table) else set()
+
     # ---- writing -------------------------------------------------------------------------
 
     def replace(self, table: str, frame: DataFrame) -> None:
         """Full rebuild."""
-        self._commit(table, self._write(table, frame))
+        if table in PARTITIONS:
+            self.replace_periods(table, frame, self.periods(table))
+            return
+        # Spark empties the folder of an unpartitioned table first: what is to be written is
+        # worked out before that.
+        ready = shared_folder(self.spark, f"{table}-ready")
+        frame.write.parquet(ready)
+        self.spark.read.schema(frame.schema).parquet(ready).write.mode("overwrite").parquet(self.path(table))
 
     def replace_periods(self, table: str, frame: DataFrame, periods: Iterable[str | None]) -> None:
-        """Gives the partitions named new rows and leaves every other one alone. ``frame`` holds
-        rows of those partitions only and may read from the same table."""
-        changed, state = set(periods), self._state(table)
-        kept = {pair for pair in state.held if pair[0] not in changed} if state else set()
-        self._commit(table, kept | self._write(table, frame))
-
-    def append(self, table: str, frame: DataFrame) -> None:
-        state = self._state(table)
-        self._commit(table, (set(state.held) if state else set()) | self._write(table, frame))
-
-    def _write(self, table: str, frame: DataFrame) -> set[tuple[str | None, str]]:
-        """Writes a load; the pairs it holds. Partitions are read off the written files, so
-        nothing is computed twice."""
-        column, load = PARTITIONS.get(table), uuid.uuid4().hex
-        folder = f"{self.path(table)}/load={load}"
-        if not column:
-            frame.write.parquet(folder)
-            return {(_WHOLE, load)}
+        """Gives the partitions named new rows and leaves every other one alone, but for those
+        ``frame`` has rows of. ``frame`` must not read from the same table."""
+        column, seen = PARTITIONS[table], Observation()
         # AQE sizes the output: a heavy month is cut into several files, light ones are merged.
-        frame.hint("rebalance", column).write.partitionBy(column).parquet(folder)
-        written = self.spark.read.schema(frame.schema).parquet(folder).select(F.col(column).cast("string")).distinct().collect()
-        return {(row[0], load) for row in written}
+        # The months written are seen on top of that, where no empty stage is optimised away.
+        watched = frame.hint("rebalance", column).observe(seen, F.collect_set(F.coalesce(F.col(column), F.lit(_NULL_FOLDER))).alias("periods"))
+        watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path(table))
+        emptied = {_NULL_FOLDER if p is None else p for p in periods} - set(seen.get["periods"])
+        nothing = self.spark.createDataFrame([], StructType([f for f in frame.schema.fields if f.name != column]))
+        for period in emptied & {_NULL_FOLDER if p is None else p for p in self.periods(table)}:
+            nothing.coalesce(1).write.mode("overwrite").parquet(f"{self.path(table)}/{column}={period}")
 
-    # ---- months that changed and whose marts did not follow yet ---------------------------
-    #
-    # They are noted before the payments change, so a job that dies in between leaves nothing
-    # out of date. A month counts as open until it is closed after it was last opened.
-
-    def note_pending(self, periods: Iterable[str | None]) -> None:
-        self._mark([(p, True) for p in periods])
-
-    def pending(self) -> set[str | None]:
-        try:
-            marks = self.spark.read.schema("seq bigint, period string, open boolean").parquet(self.path(PENDING))
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return set()
-        last = marks.groupBy("period").agg(F.max_by("open", "seq").alias("open"))
-        return {row.period for row in last.filter("open").collect()}
-
-    def clear_pending(self, periods: Iterable[str | None]) -> None:
-        self._mark([(p, False) for p in periods])
-
-    def _mark(self, marks: list[tuple[str | None, bool]]) -> None:
-        if marks:
-            rows = [(time.time_ns(), period, state) for period, state in marks]
-            frame = self.spark.createDataFrame(rows, "seq bigint, period string, open boolean")
-            frame.coalesce(1).write.mode("append").parquet(self.path(PENDING))
-
-    # ---- cleaning ------------------------------------------------------------------------
-
-    def vacuum(self, table: str) -> int:
-        """Deletes loads that are not current, dead jobs' included. For a time when nothing reads
-        or writes the table."""
-        state = self._state(table)
-        current = {load for _, load in state.held} if state else set()
-        files, root = self._hadoop(self.path(table))
-        found = files.listStatus(root) if files.exists(root) else []
-        stale = [s.getPath() for s in found if s.getPath().getName().removeprefix("load=") not in current]
-        for path in stale:
-            files.delete(path, True)
-        return len(stale)
-
-    def drop_folder(self, path: str) -> None:
-        files, hadoop_path = self._hadoop(path)
-        files.delete(hadoop_path, True)
-
-    def _hadoop(self, path: str):
-        # Spark has no call of its own that deletes files; this one needs the driver's JVM.
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+    def append(self, table: str, frame: DataFrame) -> None:
+        column, writer = PARTITIONS.get(table), frame.write
+        if column:
+            writer = frame.hint("rebalance", column).write.partitionBy(column)
+        writer.mode("append").parquet(self.path(table))
 
     def register_views(self, *tables: str) -> None:
         for table in tables:
             self.read(table).createOrReplaceTempView(table)
 
 
+def _period_schema(table: str) -> StructType:
+    return StructType().add(PARTITIONS[table], "string")
+
+
 def in_periods(column: str, periods: Iterable[str | None]) -> Column:
     periods = list(periods)
     named = F.col(column).isin(*[p for p in periods if p is not None])
     return named | F.col(column).isNull() if None in periods else named
+
+
+def outside_periods(column: str, periods: Iterable[str | None]) -> Column:
+    return ~F.coalesce(in_periods(column, periods), F.lit(False))

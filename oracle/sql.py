@@ -21,9 +21,9 @@ def pad(prefix: str, width: int, key: str) -> str:
 
 
 def ratio(n: str, d: str, scale: int, places: int) -> str:
-    """n * scale / d, half up, by integer division. n and d must be whole numbers."""
+    """n * scale / d, half away from zero, by integer division. n and d must be whole numbers, d not negative."""
     k = scale * 10**places
-    return f"CAST((2 * {k} * ({n}) + ({d})) // (2 * nullif({d}, 0)) AS DOUBLE) / {10**places}"
+    return f"CAST(sign({n}) * ((2 * {k} * abs({n}) + ({d})) // (2 * nullif({d}, 0))) AS DOUBLE) / {10**places}"
 
 
 def pct(n: str, d: str, places: int = 2) -> str:
@@ -165,7 +165,7 @@ FROM p0"""
 PARTS["sy"] = """
 SELECT payment_id, policy_id, member_id, due_date, paid_date, amount_due, amount_paid,
        lower(payment_status) AS payment_status, lower(payment_method) AS payment_method, carrier, plan_type,
-       payment_status = 'Failed' AS is_failed, payment_status = 'Paid_Late' AS is_late,
+       coalesce(payment_status = 'Failed', FALSE) AS is_failed, coalesce(payment_status = 'Paid_Late', FALSE) AS is_late,
        CAST(paid_date - due_date AS BIGINT) AS days_to_pay,
        CAST(amount_due - amount_paid AS DECIMAL(12, 2)) AS payment_gap,
        year(due_date) AS due_year, month(due_date) AS due_month, strftime(due_date, '%Y-%m') AS due_period
@@ -202,10 +202,10 @@ SELECT sy.payment_id, sy.policy_id, sy.member_id, sm.agent_id, sa.agent_name, sa
        sy.due_date, sy.paid_date, sy.due_year, sy.due_month, sy.due_period, sy.amount_due, sy.amount_paid,
        sy.payment_gap, sy.payment_status, sy.payment_method, sy.is_failed, sy.is_late, sy.days_to_pay, sy.carrier,
        sy.plan_type, sm.plan_category, sm.state, sm.age_bucket,
-       CAST(CASE payment_status WHEN 'failed' THEN 0 ELSE round(amount_paid * commission_rate, 2) END
+       CAST(CASE WHEN payment_status <> 'failed' THEN round(amount_paid * commission_rate, 2) ELSE 0 END
             AS DECIMAL(12, 2)) AS commission_earned,
-       CASE payment_status WHEN 'paid' THEN 'collected_on_time' WHEN 'paid_late' THEN 'collected_late'
-            WHEN 'failed' THEN 'uncollected' END AS collection_status
+       CASE payment_status WHEN 'paid_late' THEN 'collected_late' WHEN 'failed' THEN 'uncollected' ELSE 'collected_on_time' END
+         AS collection_status
 FROM sy LEFT JOIN sp ON sp.policy_id = sy.policy_id LEFT JOIN sm ON sm.member_id = sy.member_id
         LEFT JOIN sa ON sa.agent_id = sm.agent_id"""
 
@@ -219,7 +219,7 @@ SELECT sc.cancellation_id, sc.policy_id, sc.member_id, sc.agent_id, sa.agent_nam
        CAST(sp.monthly_premium * 12 AS DECIMAL(12, 2)) AS annualized_revenue_lost
 FROM sc LEFT JOIN sp ON sp.policy_id = sc.policy_id LEFT JOIN sm ON sm.member_id = sc.member_id
         LEFT JOIN sa ON sa.agent_id = sc.agent_id
-        LEFT JOIN (SELECT policy_id, max(paid_date) AS d FROM sy WHERE NOT is_failed GROUP BY ALL) lp
+        LEFT JOIN (SELECT policy_id, max(paid_date) AS d FROM sy WHERE payment_status <> 'failed' GROUP BY ALL) lp
                ON lp.policy_id = sc.policy_id"""
 
 PARTS["gc"] = """
@@ -599,6 +599,85 @@ FINAL["dq_failing_values"] = (
 )
 
 
+# ---- history, stored summaries, layouts ------------------------------------------------
+
+FINAL["stream_payments"] = FINAL["fct_payments"]
+FINAL["catalog_fct_payments"] = FINAL["fct_payments"]
+FINAL["d13_stale_spans"] = """
+SELECT carrier, strftime(stale_from, '%Y-%m-%d %H:%M:%S') AS stale_from, strftime(stale_until, '%Y-%m-%d %H:%M:%S') AS stale_until,
+       date_diff('second', stale_from, stale_until) AS stale_seconds
+FROM (SELECT carrier, seen + INTERVAL 24 HOUR AS stale_from,
+             coalesce(lead(seen) OVER (PARTITION BY carrier ORDER BY seen), TIMESTAMP '2001-09-30 12:00:00') AS stale_until
+      FROM (SELECT carrier, CAST(paid_date AS TIMESTAMP) + to_minutes((days_to_pay * 97 + length(policy_id)) % 1440) AS seen
+            FROM sy WHERE paid_date IS NOT NULL) WHERE seen <= TIMESTAMP '2001-09-30 12:00:00')
+WHERE stale_until > stale_from"""
+FINAL["risk_history"] = f"""
+SELECT e AS month_end, count(*) AS members_billed, count(*) FILTER (bad > 1) AS high_risk,
+       count(*) FILTER (bad = 1 OR (bad = 0 AND slow > 1)) AS medium_risk, count(*) FILTER (good > 0) AS members_paying,
+       {pct('sum(bad)', 'sum(n)', 1)} AS failure_rate_pct
+FROM (SELECT e, member_id, plan_type, count(payment_id) AS n, count(*) FILTER (is_failed) AS bad, count(*) FILTER (is_late) AS slow,
+             count(*) FILTER (payment_status <> 'failed' AND due_date >= e - 60) AS good
+      FROM (SELECT last_day(m) AS e FROM (SELECT unnest(generate_series(date_trunc('month', min(due_date)), {AS_OF}, INTERVAL 1 MONTH)) AS m FROM sy))
+      JOIN sy ON due_date BETWEEN e - 90 AND e
+      WHERE e <= {AS_OF} GROUP BY 1, 2, 3)
+GROUP BY 1"""
+FINAL["active_members_rollup"] = """
+SELECT 'quarter_tier' AS scope, due_year || '-Q' || ((due_month + 2) // 3) AS period, agent_tier AS name, count(DISTINCT member_id) AS active_members
+FROM fp GROUP BY 2, 3
+UNION ALL SELECT 'year_carrier', CAST(due_year AS VARCHAR), carrier, count(DISTINCT member_id) FROM fp GROUP BY 2, 3
+UNION ALL SELECT 'book', 'all', agent_id, count(DISTINCT member_id) FROM fp GROUP BY 3"""
+_CUBE = {
+    "all": "TRUE",
+    "carrier": "carrier = 'VSP'",
+    "plan_span": "plan_type IN ('Dental Basic', 'Vision Basic') AND due_date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'",
+    "tier_state": "agent_tier IN ('gold', 'platinum') AND state IN ('OH', 'TX', 'CA')",
+    "carrier_plan": "carrier <> 'VSP' AND plan_type = 'Dental+Vision Bundle'",
+    "everything": "due_year IN (1997, 1998) AND carrier <> 'Zurich' AND plan_type IN ('Dental Basic', 'Vision Premium') "
+    "AND agent_tier <> 'platinum' AND state IN ('IN', 'OH', 'TX', 'WA', 'NY')",
+}
+FINAL["cube_sliced_revenue"] = " UNION ALL ".join(f"SELECT *, '{name}' AS slicer FROM ({revenue_by_month('fp', where)})" for name, where in _CUBE.items())
+PARTS["mv"] = """
+SELECT member_id, DATE '1900-01-01' AS since, CASE WHEN right(member_id, 1) = '7' THEN 'AGT000001' ELSE agent_id END AS agent_id FROM sm
+UNION ALL SELECT member_id, DATE '1997-07-01', agent_id FROM sm WHERE right(member_id, 1) = '7'"""
+PARTS["av"] = """
+SELECT agent_id, DATE '1900-01-01' AS since, agent_name, agency_name, CASE WHEN right(agent_id, 1) = '3' THEN 'bronze' ELSE tier END AS tier FROM sa
+UNION ALL SELECT agent_id, DATE '1998-01-15', agent_name, agency_name, tier FROM sa WHERE right(agent_id, 1) = '3'"""
+FINAL["asof_fct_payments"] = f"""
+SELECT p.* EXCLUDE (agent_id, agent_name, agency_name, agent_tier) REPLACE ({dbl('p.amount_due', 'p.amount_paid', 'p.payment_gap', 'p.commission_earned')}),
+       p.owner AS agent_id, av.agent_name, av.agency_name, av.tier AS agent_tier
+FROM (SELECT fp.*, mv.agent_id AS owner FROM fp ASOF LEFT JOIN mv ON mv.member_id = fp.member_id AND fp.due_date >= mv.since) p
+     ASOF LEFT JOIN av ON av.agent_id = p.owner AND p.due_date >= av.since"""
+FINAL["asof_fct_payments"] = f"SELECT * EXCLUDE (owner) FROM ({FINAL['asof_fct_payments']})"
+_BY_ROW = ("not_null", "accepted_values", "accepted_range", "no_negative_commission")
+FINAL["dq_observed"] = _passed(" UNION ALL ".join(_counted(kind) for kind in _BY_ROW))
+
+# ---- the same with planted defects -----------------------------------------------------
+
+DIRTY = {
+    "a0": "SELECT * REPLACE (CASE right(agent_id, 1) WHEN '4' THEN 'Diamond' WHEN '8' THEN NULL ELSE tier END AS tier) FROM ({})",
+    "m0": "SELECT * REPLACE (CASE right(member_id, 1) WHEN '5' THEN 'AGT999999' WHEN '6' THEN NULL ELSE agent_id END AS agent_id) FROM ({})",
+    "p0": "SELECT * REPLACE (CASE right(policy_id, 2) WHEN '12' THEN 'Lapsed' ELSE status END AS status) FROM ({})",
+    "y0": """
+SELECT * EXCLUDE (q) REPLACE (
+         CASE q WHEN '11' THEN 'Refunded' WHEN '22' THEN NULL ELSE payment_status END AS payment_status,
+         CASE q WHEN '33' THEN 'POLX' || policy_id WHEN '44' THEN NULL ELSE policy_id END AS policy_id,
+         CAST(CASE q WHEN '55' THEN -5 WHEN '66' THEN 2 * amount_due ELSE amount_paid END AS DECIMAL(12, 2)) AS amount_paid,
+         CASE q WHEN '77' THEN NULL ELSE payment_id END AS payment_id, CASE q WHEN '99' THEN 'MEMX' ELSE member_id END AS member_id)
+FROM (SELECT y.*, right(policy_id, 2) AS q, unnest(range(CASE right(policy_id, 2) WHEN '88' THEN 2 ELSE 1 END)) AS again FROM ({}) y)""",
+    "c0": """
+SELECT * REPLACE (
+         CASE right(policy_id, 1) WHEN '3' THEN 'AGT000002' ELSE agent_id END AS agent_id,
+         CASE right(policy_id, 1) WHEN '7' THEN -months_active ELSE months_active END AS months_active,
+         CASE right(policy_id, 1) WHEN '9' THEN NULL ELSE cancellation_reason END AS cancellation_reason)
+FROM ({})""",
+}
+DIRTY["y0"] = DIRTY["y0"].replace("EXCLUDE (q)", "EXCLUDE (q, again)")
+DIRTY_KEYS = {
+    "dirty_fct_payments": "fct_payments", "dirty_member_churn": "fct_member_churn", "dirty_commission_summary": "agent_commission_summary",
+    "dirty_dq_report": "dq_report",
+}
+
+
 # ---- assembly ------------------------------------------------------------------------
 
 
@@ -610,11 +689,27 @@ def _needed(body: str) -> set[str]:
 
 
 def statement(key: str) -> str:
-    body = FINAL[key].strip()
+    dirty = key in DIRTY_KEYS
+    body = FINAL[DIRTY_KEYS[key] if dirty else key].strip()
     needed = _needed(body)
-    parts = [f"{name} AS MATERIALIZED ({sql.strip()})" for name, sql in PARTS.items() if name in needed]
+    parts = []
+    for name, text in PARTS.items():
+        if name not in needed:
+            continue
+        if dirty and name in DIRTY:
+            # What is derived from a raw table is derived from the clean one; the defects come after.
+            parts.append(f"clean_{name} AS MATERIALIZED ({_from_clean(text)})")
+            text = DIRTY[name].replace("({})", f"clean_{name}")
+        parts.append(f"{name} AS MATERIALIZED ({(_from_clean(text) if dirty and name in _RAW else text).strip()})")
     return f"WITH {', '.join(parts)} {body}"
 
 
+_RAW = ("price", "p1", "y1", "c1")
+
+
+def _from_clean(text: str) -> str:
+    return re.sub(rf"\b(?<!clean_)({'|'.join(DIRTY)})\b", r"clean_\1", text).strip()
+
+
 def statements() -> dict[str, str]:
-    return {key: statement(key) for key in FINAL}
+    return {key: statement(key) for key in [*FINAL, *DIRTY_KEYS]}
