@@ -1,12 +1,16 @@
-"""Licence scan by canonical digest lookup, in DataFrame functions only.
+"""Licence scan by canonical digest lookup.
 
 A text is made canonical line by line: lower case, hyphens dropped, equivalent spellings made
 one, everything but letters and digits turned into one space, lines with a copyright notice
 left out. The canonical text of a document is that of its lines, joined by spaces, so line
-breaks do not matter. The digest of the canonical text is joined with the digests of known
-licences and notices, for the entire document and for each of its lines as an entire text. A
-known text may also begin at any line of a longer document and end with any later line: lines
-that begin like a known text are compared with all of it.
+breaks do not matter. Digests of canonical texts are joined with those of known licences and
+notices: of the entire document, of each of its lines, and of every run of lines that is as
+long as some known text.
+
+A digest is two 64-bit polynomial hashes of the characters. With running sums over a text, the
+digest of any run of lines follows from its two ends, so a run costs the same however long it
+is, and a line costs as many look-ups as known texts have different lengths. Texts are worked
+through in windows of about a million characters that overlap by the longest known text.
 
 Defined results: a null or empty text, or one of copyright lines only, matches nothing; known
 texts that are canonically equal are one under the smallest name; repeated rows give a row
@@ -17,10 +21,17 @@ empty result. Only id and text columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+import unicodedata
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm.common import text_of
+from coverloom.llm.common import ship, text_of
+from coverloom.llm.hashing import mix, powers, signed
 from coverloom.llm.license_texts import TEXTS
 
 # Equivalent spellings as (pattern, replacement) on lower-cased text.
@@ -34,13 +45,14 @@ SPELLINGS = (
     (r"fulfil\b", "fulfill"),
     (r"per cent\b", "percent"),
 )
-# A notice: copyright followed by a sign, a year (or a place for one), or a name.
+# A notice: copyright followed by a sign, a year (or a place for one), or a name, or a name and
+# then the years at the end of the line.
 _COPYRIGHT = (
     r"^[^a-z0-9]*(copyright\s*(\(c\)|©|[0-9]|[<{\[]|by\b|holders?\s*:|the\b.*\b(authors|contributors|developers|team|project|foundation)\b)"
+    r"|copyright\s+[^0-9]{1,80}\s(19|20)[0-9][0-9][-,\s0-9]*[.]?\s*(all rights reserved[.]?)?\s*$"
     r"|\(c\)\s*[0-9]|©|all rights reserved)"
 )
-# Letters by which the lines are found where a known text may begin.
-_START = 200
+_WINDOW, _WINDOW_LINES = 1 << 20, 1 << 13
 
 # Texts of public licences and common one-line notices.
 _AS_IS = (
@@ -150,55 +162,100 @@ def _full_texts() -> tuple[tuple[str, str], ...]:
 KNOWN = _KNOWN + _full_texts()
 
 
-def canonical_line(line: Column) -> Column:
-    """The canonical form of one line, empty for a copyright line."""
-    lower = F.lower(line)
-    words = F.regexp_replace(lower, "-", "")
-    for pattern, one in SPELLINGS:
-        words = F.regexp_replace(words, pattern, one)
-    words = F.trim(F.regexp_replace(words, r"[^\p{L}\p{N}]+", " "))
-    return F.when(lower.rlike(_COPYRIGHT), F.lit("")).otherwise(words)
-
-
-def _lines(texts: DataFrame, text: str, *keep: str) -> DataFrame:
-    """The canonical lines of every text, and all of them as one."""
-    lines = F.transform(F.split(text_of(text), "\n"), canonical_line)
-    return texts.select(*keep, lines.alias("lines")).withColumn("whole", _joined(F.col("lines")))
-
-
-def _joined(lines: Column) -> Column:
-    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
-
-
-def _units(lined: DataFrame, *keep: str) -> DataFrame:
-    """One row per entire text: the document at position 0, its lines from 1 on."""
-    units = lined.select(*keep, F.posexplode(F.concat(F.array("whole"), "lines")).alias("position", "canonical"))
-    return units.filter(F.col("canonical") != "").select(*keep, "position", F.md5(F.col("canonical").cast("binary")).alias("digest"))
-
-
-def _inside(lined: DataFrame, known: DataFrame) -> DataFrame:
-    """doc_id, license, position of known texts over several lines of a longer document;
-    ``known`` has license and whole, one row per text."""
-    texts = known.select("license", F.col("whole").alias("text"), F.substring_index("whole", " ", 1).alias("word"))
-    # Known texts are a fixed table.
-    starts = F.array(*[F.lit(r.start) for r in texts.select(F.left("text", F.lit(_START)).alias("start")).distinct().collect()]).cast("array<string>")
-    kept = F.filter(F.transform("lines", lambda line, k: F.struct(line.alias("line"), (k + 1).alias("position"))), lambda x: x["line"] != "")
-    full = lined.select("doc_id", kept.alias("full")).filter(F.size("full") > 1).withColumn("starts", starts)
-    # Lines that are the beginning of a known text but not all of it.
-    begins = lambda line: F.exists("starts", lambda s: F.startswith(s, F.substring(F.concat(line, F.lit(" ")), 1, _START)))
-    places = F.filter(F.transform("full", lambda x, k: F.when(begins(x["line"]), k + 1)), lambda k: k.isNotNull())
-    found = full.select("doc_id", "full", F.explode(places).alias("k"))
-    rest = found.select(
-        "doc_id", "k", F.element_at("full", F.col("k"))["position"].alias("position"), F.slice(F.col("full.line"), F.col("k"), F.size("full")).alias("rest"),
-    ).withColumn("after", F.array_join("rest", " ")).withColumn("word", F.substring_index("after", " ", 1))
-    met = rest.join(texts, "word").filter(F.startswith("after", "text") & (F.length(F.element_at("rest", 1)) < F.length("text")))
-    # The line with which the text ends: letters of the lines so far and the spaces between.
-    ends = F.aggregate(
-        "rest", F.struct(F.lit(-1).alias("letters"), F.lit(False).alias("met")),
-        lambda a, line: F.struct((a["letters"] + 1 + F.length(line)).alias("letters"), (a["met"] | (a["letters"] + 1 + F.length(line) == F.length("text"))).alias("met")),
-    )["met"]
-    whole = (F.col("k") == 1) & (F.length("after") == F.length("text"))
-    return met.filter(ends & ~whole).select("doc_id", "license", F.col("position").cast("long").alias("position"))
+# ---- canonical lines and digests -----------------------------------------------------
+
+_SPELLINGS = [(re.compile(pattern, re.A), one.replace("$1", r"\1")) for pattern, one in SPELLINGS]
+_NOTICE = re.compile(_COPYRIGHT, re.A)
+
+
+class _Letters(dict):
+    """What a character becomes, for str.translate: a space unless it is a letter or a digit."""
+
+    def __missing__(self, code: int) -> str:
+        found = chr(code) if code == 10 or unicodedata.category(chr(code))[0] in "LN" else " "
+        self[code] = found
+        return found
+
+
+_LETTERS = _Letters()
+
+
+def canonical_lines(text: str) -> list[str]:
+    """The canonical form of every line, empty for a copyright line."""
+    lower = text.lower()
+    words = lower.replace("-", "")
+    for pattern, one in _SPELLINGS:
+        words = pattern.sub(one, words)
+    lines = [" ".join(line.split()) for line in words.translate(_LETTERS).split("\n")]
+    if "copyright" in lower or "(c)" in lower or "©" in lower or "all rights reserved" in lower:
+        lines = ["" if line and _NOTICE.search(given) else line for line, given in zip(lines, lower.split("\n"), strict=True)]
+    return lines
+
+
+def _digests(text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of the characters from each start to each end."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    up, down = powers(len(codes) + 1)
+    found = []
+    for salt in (0x51ED270B, 0x2545F491):
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(mix(codes + np.uint64(salt << 21)) * up[: len(codes)], out=sums[1:])
+        found.append(signed(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))))
+    return found[0], found[1]
+
+
+def runs_of(docs: list[list[str]], lengths: np.ndarray, window: int = _WINDOW) -> tuple[np.ndarray, ...]:
+    """doc, position and both hashes of every run of lines whose length is one of ``lengths``:
+    position 0 for a whole document, else the line it begins at. A whole document of several
+    lines counts as such only."""
+    kept = [(d, k + 1, line) for d, lines in enumerate(docs) for k, line in enumerate(lines) if line]
+    if not kept or not len(lengths):
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    doc = np.array([k[0] for k in kept], np.int64)
+    position = np.array([k[1] for k in kept], np.int64)
+    size = np.array([len(k[2]) for k in kept], np.int64)
+    stop = np.cumsum(size + 1) - 1
+    start = stop - size
+    first = np.concatenate([[True], doc[1:] != doc[:-1]])
+    last = np.concatenate([first[1:], [True]])
+    out, lo, most = [], 0, int(lengths.max())
+    while lo < len(kept):
+        hi = min(max(int(np.searchsorted(start, start[lo] + window)), lo + 1), lo + _WINDOW_LINES)
+        reach = max(int(np.searchsorted(start, start[hi - 1] + most, side="right")), hi)
+        base, begin, end = start[lo], start[lo:hi], stop[lo:reach]
+        # For each length the runs that begin at a line here and end with a line of the same document.
+        wanted = begin[:, None] + lengths[None, :]
+        at = np.minimum(np.searchsorted(end, wanted), len(end) - 1)
+        row, column = np.nonzero((end[at] == wanted) & (doc[lo:hi, None] == doc[lo:reach][at]))
+        if len(row):
+            ending = lo + at[row, column]
+            beginning = lo + row
+            text = " ".join(k[2] for k in kept[lo : int(ending.max()) + 1])
+            h1, h2 = _digests(text, start[beginning] - base, stop[ending] - base)
+            whole = first[beginning] & last[ending]
+            several = beginning != ending
+            out.append((doc[beginning], np.where(whole & several, 0, position[beginning]), h1, h2))
+            single = whole & ~several  # found as the document and as its line
+            out.append((doc[beginning][single], np.zeros(int(single.sum()), np.int64), h1[single], h2[single]))
+        lo = hi
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else tuple(np.empty(0, np.int64) for _ in range(4))
+
+
+# ---- on Spark ------------------------------------------------------------------------
+
+
+def _known_digests(known: DataFrame) -> DataFrame:
+    """license, length and both hashes of every known text; equal ones under the smallest name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [" ".join(filter(None, canonical_lines(t))) for t in batch.column(1).to_pylist()]
+            found = [(name, len(t), *(int(h[0]) for h in _digests(t, np.array([0]), np.array([len(t)])))) for name, t in zip(batch.column(0).to_pylist(), texts, strict=True) if t]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], ["license", "length", "h1", "h2"])
+
+    rows = known.select("license", text_of().alias("text")).mapInArrow(run, "license string, length bigint, h1 bigint, h2 bigint")
+    return rows.groupBy("length", "h1", "h2").agg(F.min("license").alias("license"))
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
@@ -207,9 +264,22 @@ def known_licenses(spark: SparkSession) -> DataFrame:
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, license, position of every known text: an entire document (0), or what begins at
-    a line."""
-    texts = _lines(known.select("license", "text"), "text", "license").filter("whole <> ''").groupBy("whole").agg(F.min("license").alias("license"))
-    digests = texts.select("license", F.md5(F.col("whole").cast("binary")).alias("digest"))
-    lined = _lines(docs.select("doc_id", "text"), "text", "doc_id")
-    found = _units(lined, "doc_id").join(digests, "digest").select("doc_id", "license", F.col("position").cast("long").alias("position"))
-    return found.unionAll(_inside(lined, texts))
+    a line and ends with that line or a later one."""
+    spark = ship(docs.sparkSession)
+    digests = _known_digests(known)
+    # Whole numbers, at most as many as the longest known text has characters.
+    lengths = spark.sparkContext.broadcast(np.array(sorted(r.length for r in digests.select("length").distinct().collect()), np.int64))
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo, held = 0, []
+            for k, text in enumerate(batch.column(1)):
+                held.append(canonical_lines(text.as_py()))
+                if sum(map(len, held[-1])) > _WINDOW or len(held) == 256 or k == batch.num_rows - 1:
+                    doc, position, h1, h2 = runs_of(held, lengths.value)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc + lo)), pa.array(position), pa.array(h1), pa.array(h2)], ["doc_id", "position", "h1", "h2"])
+                    lo, held = k + 1, []
+
+    found = docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, position bigint, h1 bigint, h2 bigint")
+    return found.join(digests, ["h1", "h2"]).select("doc_id", "license", "position")

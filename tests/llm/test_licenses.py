@@ -1,3 +1,7 @@
+import time
+
+import numpy as np
+
 from coverloom.llm import licenses
 
 SCHEMA = "doc_id bigint, text string, license string, lines string"
@@ -49,3 +53,48 @@ def test_wrapped_and_inside_longer_documents(spark):
     inside = "A manual.\n\n" + wrapped + "\n\nThe end."
     texts = [wrapped, inside, inside.replace("The end.", "").replace("SOFTWARE.", "SOFTWARE. More."), "Released under\nthe MIT License.\nEnd"]
     assert scan(spark, texts) == [(0, "MIT", 0), (0, "MIT", 5), (1, "MIT", 3), (1, "MIT", 7), (3, "MIT", 1)]
+
+
+def test_name_before_the_year(spark):
+    mit = licenses.KNOWN[0][1]
+    texts = [f"{notice}\n\n{mit}" for notice in ("Copyright Ann Example 2020", "Copyright Ann Example, 2018-2020. All rights reserved.", "Copyright, by Ann Example")]
+    assert [f for f in scan(spark, texts) if f[2] == 0] == [(0, "MIT", 0), (1, "MIT", 0)]
+    assert licenses.canonical_lines("copyright treaty adopted on 20 December 1996") != [""]
+
+
+def test_runs_equal_brute_force():
+    rng = np.random.default_rng(5)
+    docs = [[str(rng.choice(["a", "b b", "", "abc", "a a"])) for _ in range(int(rng.integers(0, 14)))] for _ in range(40)]
+    lengths = np.array([1, 3, 5, 9, 12])
+    expected = []
+    for d, lines in enumerate(docs):
+        kept = [(k + 1, x) for k, x in enumerate(lines) if x]
+        for i in range(len(kept)):
+            for j in range(i, len(kept)):
+                text = " ".join(x for _, x in kept[i : j + 1])
+                if len(text) in lengths:
+                    whole = (i, j) == (0, len(kept) - 1)
+                    expected += [(d, 0, text)] * whole + [(d, kept[i][0], text)] * (not whole or i == j)
+    digest = {}
+    for window in (3, 1 << 20):
+        found = list(zip(*(x.tolist() for x in licenses.runs_of(docs, lengths, window)), strict=True))
+        assert sorted((d, p) for d, p, *_ in found) == sorted((d, p) for d, p, _ in expected)
+        for (d, p, *h), (e, q, text) in zip(sorted(found, key=lambda f: f[:2]), sorted(expected, key=lambda f: f[:2]), strict=True):
+            if sum(x[:2] == (d, p) for x in expected) == 1:
+                assert digest.setdefault(text, h) == h
+    assert len({tuple(h) for h in digest.values()}) == len(digest)
+
+
+def test_many_short_lines_take_time_in_proportion(spark):
+    known = np.array(sorted({len(" ".join(filter(None, licenses.canonical_lines(t)))) for _, t in licenses.KNOWN}))
+    begun = time.perf_counter()
+    licenses.runs_of([licenses.canonical_lines("the\n" * 100_000)], known)
+    assert time.perf_counter() - begun < 30
+    mit = licenses.KNOWN[0][1]
+    assert scan(spark, ["permission\n" * 30_000 + mit + "\nthe" * 30_000]) == [(0, "MIT", 30_001)]
+
+
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, "Licensed under CC BY 4.0.", "", ""), (None, None, "", "")], SCHEMA)
+    found = [tuple(r) for r in licenses.scan(docs, licenses.known_licenses(spark)).collect()]
+    assert sorted(found, key=repr) == [(None, "CC-BY-4.0", 0), (None, "CC-BY-4.0", 1)]
