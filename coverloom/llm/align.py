@@ -8,9 +8,9 @@ neighbours together, closes the group between them if both hold a common end, an
 associative, so fragments of a very long document are reduced as a tree over Spark tasks; the
 groups closed inside a fragment leave it at once, so what travels up the tree are open ends.
 
-Both tokenizers start anew at a space or line break that stands between two characters other
-than white space: no piece of B holds a space behind another character or a line break
-(``Aligner`` checks its vocabulary), and A's pre-tokenizer cuts there. Such a stretch is a unit:
+Both tokenizers start anew at a space or line break behind a character other than white space:
+no piece of B holds a space behind another character or a line break (``Aligner`` checks its
+vocabulary), and A's pre-tokenizer cuts there. Such a stretch is a unit:
 its tokens, groups and links are worked out once per task batch and worker and remembered. A
 range of bytes may begin and end inside a unit, which is then tokenized in both ranges.
 
@@ -29,10 +29,12 @@ result. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import chain
 from typing import NamedTuple
 
@@ -48,16 +50,18 @@ CHUNK_BYTES = 1 << 16
 # Fragments composed by one task in one step of the tree.
 FAN_IN = 16
 HOT_PAIRS = 1 << 20
-# Units a worker remembers, and the longest of them.
-MOST_UNITS = 200_000
+# Units a worker remembers before it forgets those not seen again since, and the longest of them.
+MOST_UNITS = 90_000
 _LONG_UNIT = 48
-_BATCH_CHARS = 1 << 21
+_BATCH_CHARS = 1 << 20
 # Pairs a task holds before it adds them up.
-_TASK_PAIRS = 4_000_000
-_ODD_SPACE = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_LINE_CUT = re.compile(r"(?<=\S)(?=\n\S)")
+_TASK_PAIRS = 2_000_000
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+# White space other than spaces and line breaks.
+_OTHER_SPACE = "[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _NONE = np.empty(0, np.int64)
+# Groups with more links are reduced to distinct ids before they are linked.
+_LARGE_GROUP = 64
 
 
 # ---- the monoid ----------------------------------------------------------------------
@@ -121,7 +125,8 @@ def fragment(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarra
 
 
 class Described(NamedTuple):
-    """Numbers, text, and distinct linked pairs (A id above, B id in the lower 32 bits)."""
+    """Numbers, text, and linked pairs (A id above, B id in the lower 32 bits) with the times
+    they occur; a pair may stand in several places."""
 
     n_groups: int
     n_links: int
@@ -130,30 +135,58 @@ class Described(NamedTuple):
     times: bytes
 
 
+# What follows a token in the text of the groups.
+_NEXT, _SIDE, _GROUP = range(3)
+
+
+@cache
+def _words(size: int) -> list[str]:
+    return [f"{i}{sign}" for i in range(size) for sign in ",|;"]
+
+
+def _signs_of(c: Closed, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all groups in the order of their text, as id * 3 + what follows, and where
+    each group begins."""
+    begin, before_a, before_b = (np.cumsum(n) - n for n in (n_a + n_b, n_a, n_b))
+    codes = np.empty(len(c.a) + len(c.b), np.int64)
+    codes[np.arange(len(c.a)) + (begin - before_a)[c.a_group]] = c.a * 3
+    codes[np.arange(len(c.b)) + (begin + n_a - before_b)[c.b_group]] = c.b * 3
+    codes[begin + n_a - 1] += _SIDE
+    codes[begin + n_a + n_b - 1] += _GROUP
+    return codes, begin
+
+
+def _pairs_of(c: Closed, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, pair and times of every A with every B of its group; of large groups, of every
+    distinct one."""
+    a, a_group, b, n = c.a, c.a_group, c.b, n_b
+    times_a = times_b = None
+    if len(n_a) and int((n_a * n_b).max()) > _LARGE_GROUP:
+        some_a, times_a = np.unique((c.a_group << 32) | c.a, return_counts=True)
+        some_b, times_b = np.unique((c.b_group << 32) | c.b, return_counts=True)
+        a, a_group, b, n = some_a & 0xFFFFFFFF, some_a >> 32, some_b & 0xFFFFFFFF, np.bincount(some_b >> 32, minlength=c.groups)
+    partners = n[a_group]
+    left = np.repeat(np.arange(len(a)), partners)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(partners) - partners - (np.cumsum(n) - n)[a_group], partners)
+    times = np.ones(len(left), np.int64) if times_a is None else times_a[left] * times_b[right]
+    return a_group[left], (a[left] << 32) | b[right], times
+
+
 def describe(c: Closed, owner: np.ndarray, owners: int) -> list[Described]:
     """What the groups of each owner hold; ``owner`` of the groups does not fall."""
     n_a, n_b = np.bincount(c.a_group, minlength=c.groups), np.bincount(c.b_group, minlength=c.groups)
     n_groups, n_links = np.bincount(owner, minlength=owners), np.zeros(owners, np.int64)
     np.add.at(n_links, owner, n_a * n_b)
-    words_a, words_b, texts, i, j = list(map(str, c.a.tolist())), list(map(str, c.b.tolist())), [], 0, 0
-    for x, y in zip(n_a.tolist(), n_b.tolist(), strict=True):
-        left = words_a[i] if x == 1 else ",".join(words_a[i : i + x])
-        right = words_b[j] if y == 1 else ",".join(words_b[j : j + y])
-        texts.append(f"{left}|{right}")
-        i, j = i + x, j + y
-    # Distinct ids of each group with their counts, then every A with every B of its group.
-    some_a, times_a = np.unique((c.a_group << 32) | c.a, return_counts=True)
-    some_b, times_b = np.unique((c.b_group << 32) | c.b, return_counts=True)
-    group_a, per_b = some_a >> 32, np.bincount(some_b >> 32, minlength=c.groups)
-    partners = per_b[group_a]
-    left = np.repeat(np.arange(len(some_a)), partners)
-    right = np.arange(len(left)) - np.repeat(np.cumsum(partners) - partners, partners) + (np.cumsum(per_b) - per_b)[group_a][left]
-    pairs = ((some_a[left] & 0xFFFFFFFF) << 32) | (some_b[right] & 0xFFFFFFFF)
-    of, pairs, times = summed(owner[group_a][left], pairs, times_a[left] * times_b[right])
-    edges, stops = np.searchsorted(of, np.arange(owners + 1)).tolist(), np.cumsum(n_groups).tolist()
+    codes, begin = _signs_of(c, n_a, n_b)
+    of, pairs, times = _pairs_of(c, n_a, n_b)
+    places = np.arange(owners + 1)
+    words, signs = _words(max(len(codes) and int(codes.max()) // 3 + 1, 1 << 16)), codes.tolist()
+    cuts = np.append(begin, len(codes))[np.searchsorted(owner, places)].tolist()
+    edges = np.searchsorted(owner[of], places).tolist()
+    pairs, times, of_word = pairs.tobytes(), times.tobytes(), words.__getitem__
     return [
-        Described(n, links, ";".join(texts[stop - n : stop]), pairs[lo:hi].tobytes(), times[lo:hi].tobytes())
-        for n, links, stop, lo, hi in zip(n_groups.tolist(), n_links.tolist(), stops, edges, edges[1:], strict=False)
+        Described(n, links, "".join(map(of_word, signs[x:y]))[:-1], pairs[8 * lo : 8 * hi], times[8 * lo : 8 * hi])
+        for n, links, x, y, lo, hi in zip(n_groups.tolist(), n_links.tolist(), cuts, cuts[1:], edges, edges[1:], strict=False)
     ]
 
 
@@ -172,12 +205,44 @@ def summed(owner: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> tuple[np.
 
 def units(text: str) -> list[str]:
     """A text that begins with a space or line break, cut where both tokenizers start anew."""
-    head, rest = text[0], text[1:]
-    if _ODD_SPACE.search(rest):
-        return _CUT.split(text)
-    words = rest.split(" ")
-    found = [head + words[0], *[" " + w for w in words[1:]]]
-    return found if "\n" not in rest else list(chain.from_iterable(_LINE_CUT.split(u) if "\n" in u else (u,) for u in found))
+    return _CUT.split(text)
+
+
+def coded_units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units of all texts (each with a space in front), the number of every unit in a
+    row, and where each text begins (one more place at the end). Empty texts have none.
+
+    Texts whose spaces and line breaks stand apart are split by Arrow, the others by ``units``.
+    """
+    given = pa.array(texts, pa.string())
+    plain = pc.invert(pc.match_substring_regex(given, _OTHER_SPACE))
+    for mark in ("  ", " \n", "\n "):
+        plain = pc.and_(plain, pc.invert(pc.match_substring(given, mark)))
+    for edge in (pc.starts_with(given, " "), pc.ends_with(given, " "), pc.starts_with(given, "\n"), pc.equal(given, "")):
+        plain = pc.and_(plain, pc.invert(edge))
+    able = np.asarray(plain)
+    lines = pc.replace_substring(given.filter(plain), "\n", " \n")
+    while pc.any(pc.match_substring(lines, "\n \n")).as_py():  # line breaks in a row belong together
+        lines = pc.replace_substring(lines, "\n \n", "\n\n")
+    words = pc.split_pattern(lines, " ")
+    coded = words.flatten().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    names = [w if w[:1] == "\n" else " " + w for w in coded.dictionary.to_pylist()]
+    codes, sizes = np.asarray(coded.indices).astype(np.int64), np.zeros(len(texts), np.int64)
+    sizes[able] = np.asarray(pc.list_value_length(words))
+    odd = {k: units(" " + texts[k]) for k in np.flatnonzero(~able).tolist() if texts[k]}
+    if not odd:
+        return names, codes, np.concatenate([[0], np.cumsum(sizes)])
+    known = {name: k for k, name in enumerate(names)}
+    stops, found = np.cumsum(sizes), []
+    for k in range(len(texts)):
+        if k in odd:
+            sizes[k] = len(odd[k])
+            found.append(np.array([known.setdefault(u, len(known)) for u in odd[k]], np.int64))
+        elif able[k]:
+            found.append(codes[stops[k] - sizes[k] : stops[k]])
+    return list(known), np.concatenate([_NONE, *found]), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -188,12 +253,31 @@ def _byte_of_sign() -> dict[str, int]:
 
 
 class Unit(NamedTuple):
-    ok: bool
-    n_a: int
-    n_b: int
+    """``numbers``: whether it is wrong, tokens of A and of B, groups and links."""
+
+    numbers: bytes
     described: Described
 
 
+class Rows(NamedTuple):
+    """Rows of ids, one behind the other."""
+
+    flat: np.ndarray
+    edges: np.ndarray
+
+    @staticmethod
+    def of(rows: list[list[int]]) -> Rows:
+        edges = np.cumsum(np.fromiter(chain((0,), map(len, rows)), np.int64, len(rows) + 1))
+        return Rows(np.fromiter(chain.from_iterable(rows), np.int64, int(edges[-1])), edges)
+
+    def row(self, k: int) -> list[int]:
+        return self.flat[self.edges[k] : self.edges[k + 1]].tolist()
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        run = np.concatenate([[0], np.cumsum(values[self.flat])])
+        return run[self.edges[1:]] - run[self.edges[:-1]]
+
+
 class Aligner:
     """Both tokenizers, the bytes of their tokens, and the units seen."""
 
@@ -212,45 +296,59 @@ class Aligner:
             raise ValueError("pieces with inner spaces or line breaks cannot be aligned unit by unit")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(b) for b in found], np.int64) for found in (self.a_bytes, self.b_bytes))
+        self.b_space = [self.b.piece_to_id("▁")]
         self.known: dict[str, Unit] = {}
+        self.older: dict[str, Unit] = {}
 
-    def tokens(self, found: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+    def tokens(self, found: list[str]) -> tuple[Rows, Rows, np.ndarray]:
         """Ids of A and of B for each unit, and whether both give its bytes."""
-        a = [e.ids for e in self.a.encode_batch_fast(found, add_special_tokens=False)]
-        # The processor puts a space in front; a line break keeps it apart as a piece.
+        a = Rows.of([e.ids for e in self.a.encode_batch_fast(found, add_special_tokens=False)])
+        # The processor puts a space in front, which is the unit's own, and the whole of a single
+        # space; a line break keeps it apart as a piece.
         b = self.b.encode([u[1:] if u[0] == " " else u for u in found], num_threads=1)
-        b = [ids if u[0] == " " else ids[1:] for u, ids in zip(found, b, strict=True)]
-        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        ok = [b"".join(map(a_of, x)) == b"".join(map(b_of, y)) == u.encode("utf-8", "surrogatepass") for u, x, y in zip(found, a, b, strict=True)]
-        return a, b, ok
+        b = Rows.of([(ids or self.b_space) if u[0] == " " else ids[1:] for u, ids in zip(found, b, strict=True)])
+        octets = [u.encode("utf-8", "surrogatepass") for u in found]
+        size, whole = np.fromiter(map(len, octets), np.int64, len(octets)), b"".join(octets)
+        same = (a.sums(self.a_size) == size) & (b.sums(self.b_size) == size)
+        joined = [b"".join(map(of, ids.flat.tolist())) for of, ids in ((self.a_bytes.__getitem__, a), (self.b_bytes.__getitem__, b))]
+        if same.all() and joined[0] == whole == joined[1]:
+            return a, b, same
+        right = [
+            b"".join(map(self.a_bytes.__getitem__, a.row(k))) == octet == b"".join(map(self.b_bytes.__getitem__, b.row(k)))
+            for k, octet in enumerate(octets)
+        ]
+        return a, b, np.array(right, bool)
 
     def align(self, found: list[str]) -> list[Unit]:
         """Units end at common ends, so all of them in a row are one text."""
         if not found:
             return []
         a, b, ok = self.tokens(found)
-        right = [k for k, fine in enumerate(ok) if fine]
-        ids_a, ids_b = (np.array(list(chain.from_iterable(x[k] for k in right)), np.int64) for x in (a, b))
-        ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
-        closed, _ = grouped(ids_a, ends_a, ids_b, ends_b)
-        stops = np.cumsum([len(a[k]) for k in right])
-        first = np.concatenate([[True], closed.a_group[1:] != closed.a_group[:-1]]) if len(ids_a) else np.empty(0, bool)
-        owner = np.searchsorted(stops, np.flatnonzero(first), side="right")
-        described = iter(describe(closed, owner, len(right)))
-        return [Unit(True, len(x), len(y), next(described)) if fine else _WRONG for x, y, fine in zip(a, b, ok, strict=True)]
+        n_a, n_b = np.diff(a.edges), np.diff(b.edges)
+        ids_a, ids_b = (x.flat if ok.all() else x.flat[np.repeat(ok, n)] for x, n in ((a, n_a), (b, n_b)))
+        closed, _ = grouped(ids_a, np.cumsum(self.a_size[ids_a]), ids_b, np.cumsum(self.b_size[ids_b]))
+        first = np.flatnonzero(np.diff(closed.a_group, prepend=-1))
+        described = describe(closed, np.searchsorted(np.cumsum(n_a[ok]), first, side="right"), int(ok.sum()))
+        counts = np.array([(d.n_groups, d.n_links) for d in described], np.int64).reshape(-1, 2)
+        numbers = np.column_stack([np.zeros(len(counts), np.int64), n_a[ok], n_b[ok], counts]).tobytes()
+        right = iter([Unit(numbers[40 * k : 40 * k + 40], d) for k, d in enumerate(described)])
+        return [next(right) if fine else _WRONG for fine in ok.tolist()]
 
     def learn(self, wanted: Iterable[str]) -> list[Unit]:
-        """The units wanted, in order. Short ones are remembered, up to a number of them."""
+        """The units wanted, in order. Short ones are remembered; those that were not wanted
+        again while ``MOST_UNITS`` others came are forgotten."""
         wanted = list(wanted)
-        new = [u for u in wanted if u not in self.known]
-        if len(self.known) + len(new) > MOST_UNITS:
-            self.known, new = {}, wanted
+        known, older = self.known, self.older
+        new = [u for u in wanted if u not in known and u not in older]
         fresh = dict(zip(new, self.align(new), strict=True))
-        self.known.update((u, found) for u, found in fresh.items() if len(u) <= _LONG_UNIT)
-        return [fresh[u] if u in fresh else self.known[u] for u in wanted]
+        found = [fresh.get(u) or known.get(u) or older[u] for u in wanted]
+        known.update((u, unit) for u, unit in zip(wanted, found, strict=True) if len(u) <= _LONG_UNIT)
+        if len(known) > MOST_UNITS:
+            self.known, self.older = {}, known
+        return found
 
 
-_WRONG = Unit(False, 0, 0, Described(0, 0, "", b"", b""))
+_WRONG = Unit(np.array([1, 0, 0, 0, 0], np.int64).tobytes(), Described(0, 0, "", b"", b""))
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
@@ -277,30 +375,38 @@ _NO_PART = Part(False, 0, 0, 0, 0, "", _NONE, _NONE)
 def align_units(aligner: Aligner, cut: list[list[str]]) -> list[Part]:
     """Each list of units as one part; all of them share what is looked up."""
     index = {u: k for k, u in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
-    known = aligner.learn(index)
+    rows = Rows.of([[index[u] for u in c] for c in cut])
+    return _align_coded(aligner, list(index), *rows)
+
+
+def align_texts(aligner: Aligner, texts: list[str]) -> list[Part]:
+    """Whole texts, a space in front of each."""
+    return _align_coded(aligner, *coded_units(texts))
+
+
+def _align_coded(aligner: Aligner, names: list[str], codes: np.ndarray, edges: np.ndarray) -> list[Part]:
+    """Rows of numbers of units as one part each."""
+    known, rows = aligner.learn(names), len(edges) - 1
     if not known:
-        return [_NO_PART._replace(ok=True) for _ in cut]
-    numbers = np.array([(not u.ok, u.n_a, u.n_b, u.described.n_groups, u.described.n_links) for u in known], np.int64)
-    flat = np.fromiter(map(index.__getitem__, chain.from_iterable(cut)), np.int64)
-    owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-    sums = np.zeros((len(cut), 5), np.int64)
-    np.add.at(sums, owner, numbers[flat])
-    both, often = np.unique(owner * len(known) + flat, return_counts=True)
+        return [_NO_PART._replace(ok=True) for _ in range(rows)]
+    numbers = np.frombuffer(b"".join([u.numbers for u in known]), np.int64).reshape(-1, 5)
+    run = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(numbers[codes], axis=0)])
+    sums = run[edges[1:]] - run[edges[:-1]]
+    owner = np.repeat(np.arange(rows), np.diff(edges))
+    both, often = np.unique(owner * len(known) + codes, return_counts=True)
     of, unit = both // len(known), both % len(known)
     sizes = np.array([len(u.described.pairs) // 8 for u in known], np.int64)
     pairs, times = (np.frombuffer(b"".join(x), np.int64) for x in ([u.described.pairs for u in known], [u.described.times for u in known]))
     size, begin = sizes[unit], (np.cumsum(sizes) - sizes)[unit]
     at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
     of, pairs, times = summed(np.repeat(of, size), pairs[at], times[at] * np.repeat(often, size))
-    edges, texts = np.searchsorted(of, np.arange(len(cut) + 1)), [u.described.groups for u in known]
-    stops, found = np.cumsum([len(c) for c in cut]), []
+    places = np.searchsorted(of, np.arange(rows + 1))
+    texts = pa.array([u.described.groups for u in known], pa.string()).take(pa.array(codes))
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), texts), ";").to_pylist()
+    found = []
     for k, (wrong, n_a, n_b, n_groups, n_links) in enumerate(sums.tolist()):
-        if wrong:
-            found.append(_NO_PART)
-            continue
-        text = ";".join(map(texts.__getitem__, flat[stops[k] - len(cut[k]) : stops[k]].tolist()))
-        mine = slice(edges[k], edges[k + 1])
-        found.append(Part(True, n_a, n_b, n_groups, n_links, text, pairs[mine], times[mine]))
+        mine = slice(places[k], places[k + 1])
+        found.append(_NO_PART if wrong else Part(True, n_a, n_b, n_groups, n_links, texts[k], pairs[mine], times[mine]))
     return found
 
 
@@ -332,13 +438,13 @@ def align_range(aligner: Aligner, lo: int, hi: int, start: int, piece: str) -> t
     edges = [whole[0], whole[-1]] if len(whole) > 1 else [whole[0]]
     a, b, ok = aligner.tokens(edges)
     inner = align_units(aligner, [whole[1:-1]])[0]
-    if not (all(ok) and inner.ok):
+    if not (ok.all() and inner.ok):
         return START, _NO_PART
     last = start + sum(len(u.encode("utf-8", "surrogatepass")) for u in whole[:-1])
     state, parts, n_a, n_b = None, [], inner.n_a, inner.n_b
     for k, base in enumerate((start, last)[: len(edges)]):
         ids = []
-        for found, sizes in ((a[k], aligner.a_size), (b[k], aligner.b_size)):
+        for found, sizes in ((a.row(k), aligner.a_size), (b.row(k), aligner.b_size)):
             found = np.array(found, np.int64)
             ends = base + np.cumsum(sizes[found])
             mine = (ends > lo) & (ends <= hi)
@@ -413,10 +519,12 @@ def _runs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBat
 def _short_parts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(paths)
+        gc.disable()  # millions of units, no cycles
         for batch in batches:
             for some in _slices(batch, 2):
-                cut = [units(" " + t) if t else [] for t in some.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*some.columns[:2], *_part_columns(align_units(aligner, cut))], ["key", "doc_id", *_PART_NAMES])
+                found = align_texts(aligner, some.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays([*some.columns[:2], *_part_columns(found)], ["key", "doc_id", *_PART_NAMES])
+        gc.enable()
 
     return docs.mapInArrow(run, f"key bigint, doc_id {dict(docs.dtypes)['doc_id']}, {_PART}")
 
