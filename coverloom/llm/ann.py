@@ -8,16 +8,18 @@ with a heap, until the cells passed hold ``share`` of all vectors. Cells are Spa
 queries that reach a cell meet its entries there in one matrix product per block, and the
 entries kept are scored again on the original vectors in double precision.
 
-A cell may hold any share of the data. It is dealt out in blocks of at most about
-``BLOCK_ROWS`` entries by a hash of the id, and a probe goes to every block of its cell, so no
-task holds a whole hot cell.
+A cell may hold any share of the data, and any share of the queries may reach it. Entries are
+dealt out in blocks of at most about ``BLOCK_ROWS`` by a hash of the id, queries in blocks of at
+most about ``QUERY_ROWS``, and every block of queries meets every block of entries of its cells,
+so no task holds a whole hot cell or all queries that reach it.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
 part, nor do vectors whose length is not the most frequent one (the smaller on a tie); rows
 with a null id take no part; a query meets every row but its own id; repeated rows are
 separate candidates under one id; ties go to the smaller id; with no more than k candidates in
 reach the walk goes on until k are found or the cells end; an empty table gives an empty
-result. Only the id and vector columns are read.
+result. An id with several vectors that is a query is ranked as one query: its vectors' candidates
+together. Only the id and vector columns are read.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ CENTROIDS = 16
 FIT_ROWS = 20_000
 SHARE = 0.75
 BLOCK_ROWS = 2_000
+QUERY_ROWS = 8_000
 _ROUNDS = 12
 # Matrix products may differ in the last bits; entries this close to the k-th are scored again.
 _SLACK = 1e-9
@@ -85,6 +88,11 @@ def walk(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, enough: int) ->
 # ---- on Spark ------------------------------------------------------------------------
 
 
+def _spread(ids: np.ndarray, blocks: np.ndarray | int) -> np.ndarray:
+    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    return mixed % np.asarray(blocks).astype(np.uint64)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
@@ -144,6 +152,7 @@ def search(
             x = _matrix(batch.column(1))
             left, right = x[:, :half] @ first.T, x[:, half:] @ second.T
             row, cell, block = [], [], []
+            share_of = _spread(np.asarray(batch.column(0)), query_blocks).astype(np.int32)
             for n in range(len(x)):
                 for i, j in walk(left[n], right[n], sizes, enough):
                     for b in range(blocks[i, j]):
@@ -152,26 +161,27 @@ def search(
                         block.append(b)
                 if len(row) > 20_000 or n == len(x) - 1:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell, pa.int32()), pa.array(block, pa.int32()), *(c.take(pa.array(row, pa.int32())) for c in batch.columns[:2])],
-                        ["cell", "block", "query_id", "query"],
+                        [pa.array(cell, pa.int32()), pa.array(block, pa.int32()), pa.array(share_of[row]), *(c.take(pa.array(row, pa.int32())) for c in batch.columns[:2])],
+                        ["cell", "block", "part", "query_id", "query"],
                     )
                     row, cell, block = [], [], []
 
     queries = entries.filter(F.col("vec_id") % step == 0).select("vec_id", "vector").distinct()
+    query_blocks = max(-(-queries.count() // QUERY_ROWS), 1)
     per_cell = spark.sparkContext.broadcast(blocks.ravel().astype(np.int64))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, cell = np.asarray(batch.column(0)), np.asarray(batch.column(2))
-            mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            block = (mixed % per_cell.value[cell].astype(np.uint64)).astype(np.int32)
+            block = _spread(ids, per_cell.value[cell]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(block), batch.column(0), batch.column(1)], ["cell", "block", "vec_id", "vector"])
 
     dealt = entries.mapInArrow(deal, f"cell int, block int, vec_id bigint, vector {kind}")
-    probed = queries.mapInArrow(probes, f"cell int, block int, query_id bigint, query {kind}")
+    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    probed = queries.mapInArrow(probes, f"cell int, block int, part int, query_id bigint, query {kind}")
 
     def meet(asked: Iterator[pa.RecordBatch], held: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One block: its entries are bounded, the queries pass in batches."""
+        """One block of entries and one of queries."""
         parts = [b for b in held if b.num_rows]
         if not parts:
             return
@@ -197,7 +207,7 @@ def search(
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
-    found = probed.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")).applyInArrow(
+    found = probed.groupBy("cell", "block", "part").cogroup(dealt.groupBy("cell", "block", "part")).applyInArrow(
         lambda a, b: _as_table(meet(iter(a.to_batches()), iter(b.to_batches()))), "query_id bigint, vec_id bigint, score double"
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -1,6 +1,6 @@
 """Language-model scores: cross-entropy difference of two matched n-gram models.
 
-``score_words`` is the registered query. Both of its models are word bigram models of the same
+Both models are word bigram models of the same
 smoothing and vocabulary: the lower-cased words and signs of the whole corpus (single
 characters in scripts without spaces), and one mark for the borders of a text. The background
 model counts all documents, the target model the documents labelled good. A word w after u has
@@ -13,169 +13,27 @@ is dealt out by n-gram; its sums are both models, rows of a distributed table, w
 rows meet in a join. Model and shuffle grow with the corpus; only the number of distinct words
 reaches the driver. N-grams are 64-bit hashes.
 
-``score`` is the narrower variant over bytes, whose models fit into every task. Both of its
-models are byte trigram models of the same order, smoothing and vocabulary: the bytes
-the corpus uses, and one mark for the borders of a text. The background model counts all
-documents, the target model the documents labelled good. Every context falls back on the
-next shorter one by Dirichlet smoothing, and the shortest on an even share of the vocabulary.
-A document's score is the mean over its tokens of the target loss minus the background loss,
-in nats: the lower, the more it reads like the target.
-
-Trigram counts are summed per task before the shuffle and cover all documents. What reaches
-the driver is one row per distinct trigram, 2**24 at the most whatever the size of the corpus,
-and the models sent out are dense over the vocabulary in use.
-
 Defined results: a null or empty text is one closing mark and is scored by it; labels other
-than 0 and 1, null ids and documents labelled both ways make no target; with no target text
-the target model is the even share; repeated rows count as often as they occur and get equal
+than 0 and 1, null ids and documents labelled both ways make no target; a null id is scored as any
+other; with no target text the target model is the even share; repeated rows count as often as they occur and get equal
 scores; an empty table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverloom.llm.common import settle, ship, text_of
+from coverloom.llm.common import ship, text_of
 from coverloom.llm.hashing import BY_SPACE, mix, signed, word_hashes, words_and_signs
 
-# Strength of the shorter context, in tokens.
-PRIOR = 20.0
-BORDER = 255  # never part of UTF-8
 # What every bigram of the vocabulary counts besides its occurrences.
 ADDED = 0.1
 _EDGE = np.uint64(0x5851F42D4C957F2D)
-_SLICE = 1 << 21
-
-
-def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one row, two marks before each and one after it, and where each begins
-    (one more place at the end)."""
-    octets = [t.encode("utf-8", "surrogatepass") for t in texts]
-    edges = np.concatenate([[0], np.cumsum([len(o) + 3 for o in octets])]).astype(np.int64)
-    border = bytes([BORDER])
-    joined = b"".join(part for o in octets for part in (border, border, o, border))
-    return np.frombuffer(joined, np.uint8), edges
-
-
-def _slices(texts: list[str], flags: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts of about ``_SLICE`` bytes at a time: tokens, their text's flag, and whether a
-    token is one to predict. A longer text is a slice of its own."""
-    lo = 0
-    while lo < len(texts):
-        hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= _SLICE):
-            size += len(texts[hi])
-            hi += 1
-        tokens, edges = _tokens(texts[lo:hi])
-        predicted = np.ones(len(tokens), bool)
-        predicted[edges[:-1]] = predicted[edges[:-1] + 1] = False
-        yield tokens, np.repeat(flags[lo:hi], np.diff(edges)), predicted
-        lo = hi
-
-
-def count_trigrams(texts: list[str], target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct trigrams (three bytes in one number) with their counts in all texts and in
-    those flagged as target."""
-    grams, everywhere, wanted = [], [], []
-    for tokens, flag, predicted in _slices(texts, target):
-        used, code = np.unique(tokens, return_inverse=True)
-        n, code = len(used), code.astype(np.int64)
-        at = np.flatnonzero(predicted)
-        trigram = (code[at - 2] * n + code[at - 1]) * n + code[at]
-        counts = np.bincount(trigram + flag[at] * n**3, minlength=2 * n**3).reshape(2, -1)
-        seen = np.flatnonzero(counts.any(axis=0))
-        first, rest = np.divmod(seen, n * n)
-        second, third = np.divmod(rest, n)
-        grams.append((used[first].astype(np.int64) << 16) | (used[second].astype(np.int64) << 8) | used[third])
-        everywhere.append(counts[:, seen].sum(axis=0))
-        wanted.append(counts[1, seen])
-    if not grams:
-        return tuple(np.empty(0, np.int64) for _ in range(3))
-    distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
-    total = lambda parts: np.bincount(place, np.concatenate(parts), len(distinct)).astype(np.int64)
-    return distinct, total(everywhere), total(wanted)
-
-
-class Models(NamedTuple):
-    """Losses by trigram over the vocabulary; ``code`` maps bytes to it."""
-
-    code: np.ndarray
-    target: np.ndarray
-    background: np.ndarray
-
-
-def _losses(code: np.ndarray, size: int, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    cube = np.zeros((size, size, size), np.float32)
-    a, b, c = code[grams >> 16], code[(grams >> 8) & 255], code[grams & 255]
-    np.add.at(cube, (a, b, c), counts.astype(np.float32))
-    last = np.bincount(c, counts, size)
-    pair = np.zeros((size, size))
-    np.add.at(pair, (b, c), counts)
-    one = (last + PRIOR / size) / (last.sum() + PRIOR)
-    two = (pair + PRIOR * one) / (pair.sum(axis=1, keepdims=True) + PRIOR)
-    for first in range(size):  # one plane at a time keeps the doubles small
-        plane = cube[first].astype(np.float64)
-        cube[first] = -np.log((plane + PRIOR * two) / (plane.sum(axis=1, keepdims=True) + PRIOR))
-    return cube.reshape(-1)
-
-
-def build_models(grams: np.ndarray, everywhere: np.ndarray, wanted: np.ndarray) -> Models:
-    """The vocabulary's last place stands for bytes the corpus does not use."""
-    used = np.unique(np.concatenate([grams >> 16, (grams >> 8) & 255, grams & 255, [BORDER]]).astype(np.int64))
-    code = np.full(256, len(used), np.int64)
-    code[used] = np.arange(len(used))
-    size = len(used) + 1
-    return Models(code, _losses(code, size, grams, wanted), _losses(code, size, grams, everywhere))
-
-
-def score_texts(models: Models, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens predicted, mean target loss and mean background loss of each text."""
-    counts, target, background = [], [], []
-    size, numbers = models.code.max() + 1, np.arange(len(texts))
-    for tokens, owner, predicted in _slices(texts, numbers):
-        code = models.code[tokens]
-        at = np.flatnonzero(predicted)
-        trigram = (code[at - 2] * size + code[at - 1]) * size + code[at]
-        starts = np.flatnonzero(np.diff(owner[at], prepend=-1))
-        counts.append(np.diff(starts, append=len(at)))
-        target.append(np.add.reduceat(models.target[trigram].astype(np.float64), starts))
-        background.append(np.add.reduceat(models.background[trigram].astype(np.float64), starts))
-    n = np.concatenate(counts)
-    return n, np.concatenate(target) / n, np.concatenate(background) / n
-
-
-# ---- on Spark ------------------------------------------------------------------------
-
-
-def trigram_counts(docs: DataFrame, good: DataFrame) -> DataFrame:
-    """gram, everywhere, wanted over all documents; ``good`` names the target's doc_id."""
-    # Labels grow with the corpus: never a broadcast side, however few there are now.
-    wanted = good.select("doc_id").distinct().withColumn("wanted", F.lit(1)).hint("merge")
-    flagged = docs.select("doc_id", text_of().alias("text")).join(wanted, "doc_id", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
-                found = count_trigrams(part.column(0).to_pylist(), np.asarray(part.column(1), np.int64))
-                if held is not None:
-                    grams, place = np.unique(np.concatenate([held[0], found[0]]), return_inverse=True)
-                    found = (grams, *(np.bincount(place, np.concatenate([held[k], found[k]]), len(grams)).astype(np.int64) for k in (1, 2)))
-                held = found
-        if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(h) for h in held], ["gram", "everywhere", "wanted"])
-
-    counted = flagged.select("text", F.coalesce("wanted", F.lit(0)).cast("long").alias("wanted")).mapInArrow(
-        run, "gram bigint, everywhere bigint, wanted bigint"
-    )
-    return counted.groupBy("gram").agg(F.sum("everywhere").alias("everywhere"), F.sum("wanted").alias("wanted"))
 
 
 def good_documents(labels: DataFrame) -> DataFrame:
@@ -183,31 +41,6 @@ def good_documents(labels: DataFrame) -> DataFrame:
     return agreed.filter("quality = 1").select("doc_id")
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, loss_difference of every document."""
-    spark = ship(docs.sparkSession)
-    counts = settle(trigram_counts(docs, good_documents(labels)), "lm-counts").orderBy("gram").toArrow()
-    models = build_models(*(np.asarray(counts.column(k)) for k in range(3)))
-    shared = spark.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
-                n, target, background = score_texts(shared.value, part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(target), pa.array(background), pa.array(target - background)],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "loss_difference"],
-                )
-
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, loss_difference double"
-    )
-
-
-# ---- over words ----------------------------------------------------------------------
-
-
 def word_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, n-gram and count of every distinct n-gram of each text. Bigrams are even,
     their first words odd numbers."""

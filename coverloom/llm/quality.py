@@ -32,7 +32,7 @@ from coverloom.llm.common import id_text, ship, text_of
 
 TRAIN_ROWS = 8_000
 # Chunks of one document that one step learns from, drawn from all of them.
-STEP_CHUNKS = 6
+STEP_CHUNKS = 3
 KEEP_FROM = 0.3
 # Rejected documents are the rarer kind; each counts this often in the loss.
 REJECT_WEIGHT = 2.0
@@ -41,7 +41,7 @@ FOLDS = 5
 CHUNK, OVERLAP = 512, 32
 WIDTH, FILTERS, HIDDEN = 6, 32, 16
 PAD = 256
-_STEPS, _BATCH, _RATE = 440, 256, 0.004
+_STEPS, _BATCH, _RATE = 300, 256, 0.005
 _SPOTS = CHUNK - WIDTH + 1
 
 

@@ -81,9 +81,10 @@ PIECES = ["a", "the", "Straße", " ", "  ", "\n", "\r\n", "\t", "don't", "x" * 3
 @given(st.lists(st.sampled_from(PIECES), max_size=14))
 def test_units_equal_whole_texts(aligner, pieces):
     text = "".join(pieces)
-    part = align.align_units(aligner, [align.units(" " + text) if text else []])[0]
+    part, other = align.align_texts(aligner, [text, "another text"])
     groups = plain_groups(aligner, text)
-    assert part.groups == as_text(groups)
+    assert part.groups == as_text(groups) and other.groups == as_text(plain_groups(aligner, "another text"))
+    assert not text or align.align_units(aligner, [align.units(" " + text)])[0].groups == part.groups
     links = Counter((a << 32) | b for left, right in groups for a in left for b in right)
     assert dict(zip(part.pairs.tolist(), part.times.tolist(), strict=True)) == links
     assert (part.n_a, part.n_b, part.n_groups, part.n_links) == (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), sum(links.values()))

@@ -59,6 +59,16 @@ def test_ties_copies_and_vectors_that_take_no_part(spark, monkeypatch):
     ]
 
 
+def test_queries_are_dealt_out_too(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    vectors = [(i, rng.normal(size=6).astype(np.float32).astype(float)) for i in range(300)]
+    frame = spark.createDataFrame([(i, v.tolist(), "", "") for i, v in vectors], SCHEMA)
+    whole = sorted(map(tuple, ann.search(frame, k=4, step=3, share=1.0).collect()))
+    monkeypatch.setattr(ann, "QUERY_ROWS", 7)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 11)
+    assert sorted(map(tuple, ann.search(frame, k=4, step=3, share=1.0).collect())) == whole and len(whole) == 400
+
+
 def test_few_rows_and_none(spark):
     assert ann.search(spark.createDataFrame([], SCHEMA)).count() == 0
     frame = spark.createDataFrame([(20, [1.0, 0.0], "", ""), (3, [0.5, 1.0], "", "")], SCHEMA)

@@ -8,52 +8,6 @@ from coverloom.llm import lm_score
 DOCS, LABELS = "doc_id bigint, text string, gram string", "doc_id bigint, quality int"
 
 
-def plain_scores(texts, good):
-    """The same models from counters of byte strings."""
-    grams = [[t[k - 2 : k + 1] for k in range(2, len(t))] for t in (b"\xff\xff" + (x or "").encode() + b"\xff" for x in texts)]
-    every = Counter(g for row in grams for g in row)
-    target = Counter(g for row, wanted in zip(grams, good, strict=True) if wanted for g in row)
-    size = len({b for g in every for b in g} | {255}) + 1
-
-    def model(counts):
-        one, two, ctx, tri = Counter(), Counter(), Counter(), Counter()
-        for g, n in counts.items():
-            one[g[2]] += n
-            two[g[1:]] += n
-            ctx[g[1]] += n
-            tri[g[:2]] += n
-        total, m = sum(one.values()), lm_score.PRIOR
-
-        def loss(g):
-            p = (one[g[2]] + m / size) / (total + m)
-            p = (two[g[1:]] + m * p) / (ctx[g[1]] + m)
-            return -math.log((counts[g] + m * p) / (tri[g[:2]] + m))
-
-        return loss
-
-    models = model(target), model(every)
-    return [(len(row), *(sum(map(f, row)) / len(row) for f in models)) for row in grams]
-
-
-def test_equals_plain_models(spark):
-    texts = ["the cat sat", "the cat", "zzz qqq", "", None, "été 中", "the cat sat", "word " * 4000]
-    labels = [(0, 1), (1, 1), (2, 0), (5, 1), (5, 0), (6, None), (None, 1), (99, 1)]
-    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], DOCS)
-    found = sorted(lm_score.score(docs, spark.createDataFrame(labels, LABELS)).collect())
-    for r, (n, target, background) in zip(found, plain_scores(texts, [1, 1, 0, 0, 0, 0, 0, 0]), strict=True):
-        assert r.n_tokens == n and r.target_loss == pytest.approx(target, abs=1e-5) and r.background_loss == pytest.approx(background, abs=1e-5)
-        assert r.loss_difference == pytest.approx(target - background, abs=2e-5)
-    assert found[1].loss_difference < found[2].loss_difference
-
-
-def test_no_target_and_no_rows(spark):
-    docs = spark.createDataFrame([(1, "ab", "")], DOCS)
-    empty = spark.createDataFrame([], LABELS)
-    row = lm_score.score(docs, empty).first()
-    assert row.target_loss == pytest.approx(math.log(4))  # a, b, the border, and bytes never seen
-    assert lm_score.score(docs.limit(0), empty).count() == 0
-
-
 def test_words_equal_plain_bigrams(spark):
     texts = ["The cat sat.", "the cat", "zzz qqq", "", None, "été 中文，字", "The cat sat.", "word " * 4000]
     cut = [["the", "cat", "sat", "."], ["the", "cat"], ["zzz", "qqq"], [], [], ["été", "中", "文", "，", "字"], ["the", "cat", "sat", "."], ["word"] * 4000]
@@ -82,3 +36,9 @@ def test_word_models_grow_with_the_corpus(spark):
     labels = spark.createDataFrame([(1, 1)], LABELS)
     small, large = (lm_score.document_grams(docs.filter(f"doc_id < {n}"), lm_score.good_documents(labels)).select("gram").distinct().count() for n in (10, 40))
     assert large > 3.9 * small
+
+
+def test_null_ids_clash_with_no_one(spark):
+    docs = spark.createDataFrame([(None, "a b", "x"), (None, "c", "x"), (1, None, "x")], DOCS)
+    found = lm_score.score_words(docs, spark.createDataFrame([(None, 1)], LABELS)).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in found) == [(0, 2), (0, 3), (1, 1)]
