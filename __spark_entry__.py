@@ -21,6 +21,7 @@ from coverloom.schemas import RAW_SCHEMAS
 from coverloom.session import shared_folder, tune
 from coverloom.sources import GivenTables
 from coverloom.sources.order_tables import AS_OF, OrderTables
+from coverloom.sources.raw import read_csv_split
 from coverloom.sources.store import Store
 from coverloom.streaming.payments import FEED, merge_feed, merge_late, payment_feed
 from oracle import sql
@@ -274,6 +275,24 @@ def _stale_spans(s: Staged) -> DataFrame:
     return history.stale_spans(loads, NOW).select("carrier", *shown, "stale_seconds")
 
 
+@cache
+def _dirty_file(spark: SparkSession, sf_dir: str) -> str:
+    """The policies as a CSV file in which some dates are words and some amounts are none."""
+    text = OrderTables(spark, sf_dir).policies.select(*[F.col(f.name).cast("string") for f in RAW_SCHEMAS["policies"].fields])
+    digits = F.substring("policy_id", -2, 2)
+    folder = shared_folder(spark, "dirty-csv")
+    text.withColumns({
+        "effective_date": F.when(digits == "21", "yesterday").otherwise(F.col("effective_date")),
+        "monthly_premium": F.when(digits == "42", "n/a").otherwise(F.col("monthly_premium")),
+    }).write.option("header", True).csv(folder)
+    return folder
+
+
+def _raw_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = read_csv_split(spark, _dirty_file(spark, sf_dir), "policies")
+    return bad.select("policy_id", "effective_date", "monthly_premium", "status")
+
+
 @cache
 def _bitmaps(spark: SparkSession, sf_dir: str) -> str:
     s, base = _staged(spark, sf_dir), shared_folder(spark, "bitmaps")
@@ -443,6 +462,7 @@ def queries() -> dict[str, Query]:
         "incr_commission_summary_monthly": _step_table("agent_commission_summary_monthly"),
         "incr_rejects": _step_rejects,
         "stream_payments": _stream_payments,
+        "raw_rejects": _raw_rejects,
         # stored summaries, history and layouts
         "d13_stale_spans": _on_staged(_stale_spans),
         "risk_history": _on_staged(lambda s: history.risk_history(s.payments, AS_OF)),

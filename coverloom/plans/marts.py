@@ -18,6 +18,7 @@ from coverloom.operators.enrich import (
 )
 from coverloom.operators.staging import Staged
 
+# The columns of both facts.
 PAYMENT_COLUMNS = (
     "payment_id", "policy_id", "member_id", "agent_id", "agent_name", "agency_name", "agent_tier", "due_date",
     "paid_date", "due_year", "due_month", "due_period", "amount_due", "amount_paid", "payment_gap",

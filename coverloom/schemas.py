@@ -25,6 +25,7 @@ def _table(**columns) -> StructType:
 
 _S, _D, _B, _L = StringType(), DateType(), BooleanType(), LongType()
 
+# The raw tables' column names, in their order.
 AGENTS = _table(
     agent_id=_S, agent_name=_S, agency_name=_S, state=_S, email=_S, phone=_S,
     hire_date=_D, is_active=_B, tier=_S,

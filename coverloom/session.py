@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -85,14 +84,24 @@ def open_session(
     return tune(builder.getOrCreate())
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors can reach.
+# Folders made by this process, for clean_up.
+_made: list[str] = []
 
-    Only a local master may go without that setting; it then uses its own temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="coverloom-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder that all executors can reach, below ``spark.checkpoint.dir``, or below the
+    warehouse where that is not set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    _made.append(f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Deletes the folders that ``shared_folder`` has given out, once nothing reads them any
+    more; how many. Spark has no call of its own that deletes files, so this one needs the
+    driver's JVM."""
+    gone = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone

@@ -611,6 +611,10 @@ FROM (SELECT carrier, seen + INTERVAL 24 HOUR AS stale_from,
       FROM (SELECT carrier, CAST(paid_date AS TIMESTAMP) + to_minutes((days_to_pay * 97 + length(policy_id)) % 1440) AS seen
             FROM sy WHERE paid_date IS NOT NULL) WHERE seen <= TIMESTAMP '2001-09-30 12:00:00')
 WHERE stale_until > stale_from"""
+FINAL["raw_rejects"] = """
+SELECT policy_id, CASE right(policy_id, 2) WHEN '21' THEN 'yesterday' ELSE CAST(effective_date AS VARCHAR) END AS effective_date,
+       CASE right(policy_id, 2) WHEN '42' THEN 'n/a' ELSE CAST(monthly_premium AS VARCHAR) END AS monthly_premium, status
+FROM p0 WHERE right(policy_id, 2) IN ('21', '42')"""
 FINAL["risk_history"] = f"""
 SELECT e AS month_end, count(*) AS members_billed, count(*) FILTER (bad > 1) AS high_risk,
        count(*) FILTER (bad = 1 OR (bad = 0 AND slow > 1)) AS medium_risk, count(*) FILTER (good > 0) AS members_paying,

@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 
@@ -97,67 +98,67 @@ def test_read_raw_from_catalog(spark, raw):
         assert rows(again[table]) == rows(tables[table])
 
 
-def months(store, table="payments"):
-    return rows(store.read(table), "payment_id", "due_period")
+def months(store, table="paid_by_policy"):
+    return rows(store.read(table), "policy_id", "due_period")
 
 
-def test_store_partitions_and_replaces_single_months(spark, staged, tmp_path):
+def test_store_partitions_and_replaces_single_months(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    frame = spark.createDataFrame(
-        [("1", "2024-05"), ("2", "2024-06"), ("3", None)], "payment_id string, due_period string"
-    )
-    assert not store.exists("payments")
-    store.replace("payments", frame)
-    assert store.exists("payments") and store.months("payments") == {"2024-05", "2024-06", None}
-    assert rows(store.read("payments", ["2024-05", None]), "payment_id") == [("1",), ("3",)]
+    frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06"), ("3", None)], "policy_id string, due_period string")
+    assert not store.exists("paid_by_policy") and store.periods("paid_by_policy") == set()
+    store.replace("paid_by_policy", frame)
+    assert store.exists("paid_by_policy") and store.periods("paid_by_policy") == {"2024-05", "2024-06", None}
+    assert rows(store.read("paid_by_policy", ["2024-05", None]), "policy_id") == [("1",), ("3",)]
 
     update = spark.createDataFrame([("4", "2024-06")], frame.schema)
-    store.replace_periods("payments", update, ["2024-06", None])
+    store.replace_periods("paid_by_policy", update, ["2024-06", None])
     assert months(store) == [("1", "2024-05"), ("4", "2024-06")]
+    # What any reader of the folder sees, and months without rows are gone.
+    assert rows(spark.read.parquet(str(tmp_path / "paid_by_policy"))) == [("1", "2024-05"), ("4", "2024-06")]
+    store.replace("paid_by_policy", frame.limit(0))
+    assert months(store) == [] and store.periods("paid_by_policy") == set()
 
 
-@pytest.mark.parametrize("partitioned", [True, False])
-def test_a_write_that_dies_leaves_the_old_rows(spark, tmp_path, partitioned):
-    """The new files are written, but the job dies before they become current."""
-
-    class Dies(Store):
-        def _commit(self, table, held):
-            raise OSError("the driver is gone")
-
-    table = "payments" if partitioned else "dim_agents"
-    frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06")], "payment_id string, due_period string")
+@pytest.mark.parametrize("table", ["paid_by_policy", "dim_agents"])
+def test_a_write_that_dies_leaves_the_old_rows(spark, tmp_path, table):
+    """The tasks of the second month fail after those of the first have written."""
     store = Store(spark, str(tmp_path))
-    with pytest.raises(OSError):
-        Dies(spark, str(tmp_path)).replace(table, frame)
+    frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06")], "policy_id string, due_period string")
+    dies = frame.withColumn("policy_id", F.when(F.col("due_period") == "2024-06", F.raise_error(F.lit("gone"))).otherwise("9"))
+    with pytest.raises(Exception, match="gone"):
+        store.replace(table, dies)
     assert not store.exists(table)
     store.replace(table, frame)
-    update = spark.createDataFrame([("3", "2024-06")], frame.schema)
-    with pytest.raises(OSError):
-        if partitioned:
-            Dies(spark, str(tmp_path)).replace_periods(table, update, ["2024-06"])
-        else:
-            Dies(spark, str(tmp_path)).replace(table, update)
-    assert rows(store.read(table), "payment_id") == [("1",), ("2",)]
-    assert store.vacuum(table) == 2  # both dead loads
-    assert rows(store.read(table), "payment_id") == [("1",), ("2",)]
-
-
-def test_a_dead_first_write_does_not_block_the_table(spark, tmp_path):
-    for folder in ("payments/load=x/_temporary", "payments.log/_temporary"):
-        (tmp_path / folder).mkdir(parents=True)
+    with pytest.raises(Exception, match="gone"):
+        store.replace(table, dies)
+    if table == "paid_by_policy":
+        with pytest.raises(Exception, match="gone"):
+            store.replace_periods(table, dies, ["2024-06"])
+    assert rows(spark.read.parquet(store.path(table)), "policy_id") == [("1",), ("2",)]
+
+
+def test_appended_rows_stay(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    assert not store.exists("payments")
-    frame = spark.createDataFrame([("1", "2024-05")], "payment_id string, due_period string")
-    store.append("payments", frame)
-    store.append("payments", frame)
-    assert rows(store.read("payments"), "payment_id") == [("1",), ("1",)]
+    frame = spark.createDataFrame([("1", "2024-05")], "policy_id string, due_period string")
+    store.append("paid_by_policy", frame)
+    store.append("paid_by_policy", frame)
+    assert months(store) == [("1", "2024-05")] * 2
 
 
 def test_reading_a_month_prunes_partitions(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06")], "payment_id string, due_period string")
-    store.replace("payments", frame)
-    one_month = store.read("payments", ["2024-05"])
+    frame = spark.createDataFrame([("1", "2024-05"), ("2", "2024-06")], "policy_id string, due_period string")
+    store.replace("paid_by_policy", frame)
+    one_month = store.read("paid_by_policy", ["2024-05"])
     plan = one_month._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in plan and "2024-05" in plan.split("PartitionFilters: ")[1]
     assert rows(one_month) == [("1", "2024-05")]
+
+
+def test_rejects_of_a_dirty_file(spark, tmp_path):
+    """Every row of a CSV file is either typed or set aside with its line."""
+    lines = ["P1,M1,A1,VSP,Dental Basic,2024-01-01,2025-01-01,30.00,360.00,0.18,5.40,Active,12", "P2,M1,A1,VSP,Dental Basic,yesterday,2025-01-01,30.00,360.00,0.18,5.40,Active,12",
+             "P3,M1,A1,VSP,Dental Basic,2024-01-01,2025-01-01,thirty,360.00,0.18,5.40,Active,12", "P4,M1"]
+    (tmp_path / "policies.csv").write_text("\n".join([",".join(RAW_SCHEMAS["policies"].fieldNames()), *lines]) + "\n")
+    good, bad = read_csv_split(spark, str(tmp_path / "policies.csv"), "policies")
+    assert rows(good, "policy_id") == [("P1",)] and bad.count() == 3
