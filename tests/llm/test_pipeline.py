@@ -13,9 +13,9 @@ from coverloom.llm.common import settle, table
 from conftest import TESTDATA
 
 
-def test_eleven_queries_are_registered():
+def test_every_query_is_registered():
     keys = [k for k in registered.queries() if k.startswith("op")]
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in keys] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in keys] == list(range(1, 14))
     assert registered.queries()["pipeline"] is corpus_pipeline.run
 
 
@@ -61,6 +61,19 @@ def test_stages_against_brute_force(spark):
         times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
     assert set(times) <= {r["doc_id"] for r in clean} and max(times.values()) <= 3
 
+    size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in clean}
+    sources = sorted({r["source"] for r in clean}, key=lambda s: (s is None, s or ""))
+    words = {s: sum(size[r["doc_id"]] for r in clean if r["source"] == s) for s in sources}
+    weight = {s: k % 3 + 1 for k, s in enumerate(sources)}
+    low, high = 0.0, 3.0 * sum(words.values())
+    for _ in range(200):  # the level at which all words are used up
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(3 * words[s], level * weight[s]) for s in sources) < sum(words.values()) else (low, level)
+    for s in sources:
+        target, mine = min(3 * words[s], high * weight[s]), {r["doc_id"] for r in clean if r["source"] == s}
+        taken = sum(times.get(d, 0) * size[d] for d in mine)
+        assert -1 <= taken - target <= max(size[d] for d in mine) + 1, s  # the last document is kept whole
+
     from test_token_files import ids_of
 
     import numpy as np
@@ -73,9 +86,30 @@ def test_stages_against_brute_force(spark):
     assert sorted((f["doc_id"], f["start"], f["n_tokens"], f["ids_crc32"]) for f in files) == sorted(expected)
 
 
+def test_stages_take_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing names, no rows."""
+    long = "a passage that is told over and over again " * 20_000
+    rows = [
+        (1, None, "en", None, None, 0.5, "x", 1), (2, "", None, "a", 0, None, None, None), (None, "some words of a text without id", "en", "a", 5, 0.1, "y", 2),
+        (3, long, "en", "b", len(long), 0.9, "z", 3), (4, "the same row twice, word for word", "en", "b", 3, 0.2, "q", 4), (4, "the same row twice, word for word", "en", "b", 3, 0.2, "q", 4),
+        (5, "\n\n \t", "fr", "c", 4, None, "", 0), (6, "short", "en", "c", 5, 0.0, None, 9),
+    ]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, quality_score double, mix_row string, component_id bigint"
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        columns, empty = docs.columns, docs.isEmpty()
+        for name, stage in corpus_pipeline.STAGES:
+            before = docs.count()
+            docs = settle(stage(spark, docs, TESTDATA), "pipeline-odd")
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == columns, name
+            if name in ("quality classifier", "n-gram Jaccard join", "benchmark decontamination"):
+                assert docs.count() <= before
+        assert docs.isEmpty() == empty and {"doc_id", "start", "n_tokens", "ids_crc32"} <= set(docs.columns)
+
+
 def test_held_out_accuracy(spark):
     larger = "/root/testdata/sf0.01"
     scores = quality.quality_scores(table(spark, larger, "documents"), table(spark, larger, "labels"))
     judged = scores.filter("held_out").join(table(spark, larger, "labels"), "doc_id")
     right = judged.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
-    assert right >= 0.9
+    assert right >= 0.957
