@@ -1,7 +1,7 @@
 """Jobs for spark-submit.
 
     seed   CSV files into typed raw tables
-    build  raw tables into marts
+    build  raw tables into marts; with --gated a mart is only replaced if its checks pass
     check  the data checks over raw tables and marts; the exit code tells whether all passed
     report the answers to all questions and dashboard datasets, as Parquet
     load   a feed of new payments into the stored payments and the marts they touch
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverloom.operators import quality
+from coverloom.operators.gate import Rejected
 from coverloom.operators.staging import Staged
 from coverloom.plans import warehouse
 from coverloom.plans.reports import reports
@@ -41,8 +42,10 @@ def seed(spark: SparkSession, csv: str, raw: str, line_breaks: bool = False) ->
         tables[table].write.mode("overwrite").parquet(f"{raw}/{table}.parquet")
 
 
-def build(spark: SparkSession, raw: str, marts: str, as_of: date, loaded_at: datetime = warehouse.FIRST_LOAD) -> None:
-    warehouse.start(Store(spark, marts), Staged(read_raw(spark, raw), as_of), loaded_at)
+def build(
+    spark: SparkSession, raw: str, marts: str, as_of: date, loaded_at: datetime = warehouse.FIRST_LOAD, gated: bool = False
+) -> None:
+    warehouse.start(Store(spark, marts), Staged(read_raw(spark, raw), as_of), loaded_at, gated)
 
 
 def reset(spark: SparkSession, raw: str, marts: str, as_of: date, loaded_at: datetime = warehouse.FIRST_LOAD) -> None:
@@ -104,6 +107,9 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
     try:
         result = JOBS[job](session, **given)
         failed = result.collect() if result is not None else []  # one row per failed check at the most
+    except Rejected as rejected:
+        print(rejected)
+        return 1
     finally:
         clean_up(session)
     for row in failed:

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
+from coverloom.operators.gate import publish
 from coverloom.operators.staging import Staged
 from coverloom.operators.upsert import BATCHES, REJECTS, VERSION, current_payments, first_rows, row_hash, upsert_payments
 from coverloom.plans import marts
@@ -46,22 +48,24 @@ class StoredFacts:
         return marts.commission_summary_monthly(billed, marts.churned_by_agent(self.churn), self.agents)
 
 
-def build(store: Store, s: Staged) -> None:
-    """Full rebuild of every mart. Facts first; the summaries read what was stored."""
-    store.replace("dim_agents", marts.dim_agents(s))
-    store.replace("fct_payments", marts.fct_payments(s))
+def build(store: Store, s: Staged, gated: bool = False) -> None:
+    """Full rebuild of every mart. Facts first; the summaries read what was stored. ``gated``:
+    a mart is only replaced if its checks pass, and the build ends at the first that fails."""
+    put = partial(publish, store) if gated else store.replace
+    put("dim_agents", marts.dim_agents(s))
+    put("fct_payments", marts.fct_payments(s))
     store.replace("paid_by_policy", marts.paid_by_policy(s.payments))
-    store.replace("fct_member_churn", marts.fct_member_churn(s, last_paid(stored_paid(store, s))))
+    put("fct_member_churn", marts.fct_member_churn(s, last_paid(stored_paid(store, s))))
     facts = StoredFacts(store, s)
-    store.replace("agent_commission_summary", facts.by_carrier())
+    put("agent_commission_summary", facts.by_carrier())
     store.replace("agent_commission_summary_monthly", facts.by_month())
 
 
-def start(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD) -> None:
+def start(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD, gated: bool = False) -> None:
     """Merges the raw payments into the stored ones and builds all marts. ``loaded_at`` is when
     the raw tables were taken: payments that a feed has brought since then stay as they are."""
     upsert_payments(store, s.payments.withColumn(VERSION, F.lit(loaded_at)))
-    _build_from_store(store, s)
+    _build_from_store(store, s, gated)
 
 
 def reset(store: Store, s: Staged, loaded_at: datetime = FIRST_LOAD) -> None:
@@ -157,9 +161,9 @@ def _record(store: Store, counts: dict[str | None, int]) -> None:
         store.replace_periods(REFRESHED, frame, counts)
 
 
-def _build_from_store(store: Store, s: Staged) -> None:
+def _build_from_store(store: Store, s: Staged, gated: bool = False) -> None:
     counts = month_rows(store)
-    build(store, s.with_payments(stored_payments(store, s)))
+    build(store, s.with_payments(stored_payments(store, s)), gated)
     _record(store, counts)
 
 
@@ -190,7 +194,7 @@ def _changed_churn(store: Store, s: Staged, periods: set[str | None], paid: Data
     now, before = _without_payments(s), stored_churn(store, s)
     row = row_hash([c for c in now.columns if c not in _PAID])
     sides = [f.select(_key(), "cancel_period", "policy_id", row.alias("row"), F.lit(n).alias("side")) for n, f in ((1, now), (-1, before))]
-    both = sides[0].unionByName(sides[1])
+    both = _kept(store, sides[0].unionByName(sides[1]), "churn-sides")
     unequal = both.groupBy("key", "row").agg(F.sum("side").alias("n")).filter("n <> 0").select("key")
     old = stored_paid(store, s).filter(in_periods("due_period", periods))
     moved = paid.withColumn("side", F.lit(1)).unionByName(old.withColumn("side", F.lit(-1)))

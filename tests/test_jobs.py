@@ -23,7 +23,7 @@ def test_seed_build_check_report_load(spark, raw, tmp_path, capsys):
         return main([job, *[part for n, v in options.items() for part in (f"--{n.replace('_', '-')}", v)]], spark)
 
     assert run("seed", "csv", "raw") == 0
-    assert run("build", "raw", "marts", as_of="2024-06-15") == 0
+    assert main(["build", "--raw", places["raw"], "--marts", places["marts"], "--as-of", "2024-06-15", "--gated"], spark) == 0
     assert run("check", "raw", "marts") == 0
     store = Store(spark, places["marts"])
     assert rows(store.read("fct_payments"), "payment_id", "payment_status") == [("Y0", "paid"), ("Y1", "failed")]
@@ -46,6 +46,10 @@ def test_seed_build_check_report_load(spark, raw, tmp_path, capsys):
         ("Y0", "paid"), ("Y1", "paid"), ("Y2", "refunded"),
     ]
     capsys.readouterr()
+    # A gated build stops at the status that is not declared and leaves the marts as they are.
+    assert main(["build", "--raw", places["raw"], "--marts", places["marts"], "--as-of", "2024-06-15", "--gated"], spark) == 1
+    assert "accepted_values payment_status: 1" in capsys.readouterr().out
+    assert store.read("fct_payments").count() == 3
     assert run("check", "raw", "marts") == 1
     shown = capsys.readouterr().out
     assert "fct_payments" in shown and "payment_status" in shown and "agents" not in shown.replace("dim_agents", "")

@@ -128,8 +128,12 @@ def test_ordinary_policies_are_joined_without_a_shuffle(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
 
 
-def test_a_rebuilt_mart_by_the_gate_follows_loads(spark, staged, tmp_path):
-    store, s = Store(spark, str(tmp_path / "marts")), staged()
-    warehouse.start(store, s)
-    gate.publish(store, "agent_commission_summary", marts.agent_commission_summary(s))
-    assert rows(store.read("agent_commission_summary"), "agent_id") == rows(marts.agent_commission_summary(s), "agent_id")
+def test_a_gated_build_stops_at_the_first_defect(spark, staged, tmp_path):
+    store, good = Store(spark, str(tmp_path / "marts")), staged(agents=[dict(tier="gold")])
+    warehouse.build(store, good, gated=True)
+    before = {t: rows(store.read(t)) for t in ("dim_agents", "fct_payments", "fct_member_churn", "agent_commission_summary")}
+    bad = staged(agents=[dict(tier="gold", agent_name="B")], payments=[dict(payment_status="lost")])
+    with pytest.raises(gate.Rejected, match="fct_payments: accepted_values payment_status: 1"):
+        warehouse.build(store, bad, gated=True)
+    after = {t: rows(store.read(t)) for t in before}
+    assert after["dim_agents"] != before["dim_agents"] and {t: r for t, r in after.items() if t != "dim_agents"} == {t: r for t, r in before.items() if t != "dim_agents"}
