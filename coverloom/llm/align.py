@@ -10,7 +10,8 @@ groups closed inside a fragment leave it at once, so what travels up the tree ar
 
 Both tokenizers start anew at a space or line break behind a character other than white space:
 no piece of B holds a space behind another character or a line break (``Aligner`` checks its
-vocabulary), and A's pre-tokenizer cuts there. Such a stretch is a unit:
+vocabulary), and A's pre-tokenizer cuts there. The same holds between a Latin letter or digit and
+an ASCII sign other than the apostrophe, where no piece of B holds the two. Such a stretch is a unit:
 its tokens, groups and links are worked out once per task batch and worker and remembered. A
 range of bytes may begin and end inside a unit, which is then tokenized in both ranges.
 
@@ -57,8 +58,12 @@ _BATCH_CHARS = 1 << 20
 # Pairs a task holds before it adds them up.
 _TASK_PAIRS = 2_000_000
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
-# White space other than spaces and line breaks.
-_OTHER_SPACE = "[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+# Letters and digits, and the signs that may begin a unit behind them.
+_LATIN = [c for c in map(chr, range(0x30, 0x180)) if c.isalnum() and (c.isascii() or c >= "\u00c0")]
+_SIGNS = [c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'"]
+_MARK = "\x01"
+# White space other than spaces and line breaks, and the mark.
+_OTHER_SPACE = "[\\x01\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _NONE = np.empty(0, np.int64)
 # Groups with more links are reduced to distinct ids before they are linked.
 _LARGE_GROUP = 64
@@ -208,11 +213,21 @@ def units(text: str) -> list[str]:
     return _CUT.split(text)
 
 
-def coded_units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def sign_cut(held: set[tuple[str, str]]) -> str:
+    """A pattern for a letter or digit and the sign after it, unless a piece holds the two."""
+    behind: dict[str, str] = {}
+    for sign in _SIGNS:
+        letters = "".join(c for c in _LATIN if (c, sign) not in held)
+        behind[letters] = behind.get(letters, "") + re.escape(sign)
+    return "|".join(f"([{letters}])([{signs}])" for letters, signs in behind.items() if letters)
+
+
+def coded_units(texts: list[str], cut: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct units of all texts (each with a space in front), the number of every unit in a
     row, and where each text begins (one more place at the end). Empty texts have none.
 
-    Texts whose spaces and line breaks stand apart are split by Arrow, the others by ``units``.
+    Texts whose spaces and line breaks stand apart are split by Arrow, and at the signs that
+    ``cut`` finds, the others by ``units``.
     """
     given = pa.array(texts, pa.string())
     plain = pc.invert(pc.match_substring_regex(given, _OTHER_SPACE))
@@ -224,11 +239,13 @@ def coded_units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     lines = pc.replace_substring(given.filter(plain), "\n", " \n")
     while pc.any(pc.match_substring(lines, "\n \n")).as_py():  # line breaks in a row belong together
         lines = pc.replace_substring(lines, "\n \n", "\n\n")
-    words = pc.split_pattern(lines, " ")
+    groups = 2 * (cut.count("|(") + 1)
+    ends = "".join(f"\\{k}" for k in range(1, groups, 2)) + f" {_MARK}" + "".join(f"\\{k}" for k in range(2, groups + 1, 2))
+    words = pc.split_pattern(pc.replace_substring_regex(lines, cut, ends), " ")
     coded = words.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    names = [w if w[:1] == "\n" else " " + w for w in coded.dictionary.to_pylist()]
+    names = [w if w[:1] == "\n" else w[1:] if w[:1] == _MARK else " " + w for w in coded.dictionary.to_pylist()]
     codes, sizes = np.asarray(coded.indices).astype(np.int64), np.zeros(len(texts), np.int64)
     sizes[able] = np.asarray(pc.list_value_length(words))
     odd = {k: units(" " + texts[k]) for k in np.flatnonzero(~able).tolist() if texts[k]}
@@ -296,6 +313,8 @@ class Aligner:
             raise ValueError("pieces with inner spaces or line breaks cannot be aligned unit by unit")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(b) for b in found], np.int64) for found in (self.a_bytes, self.b_bytes))
+        letters = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
+        self.sign_cut = sign_cut({pair for p in letters for pair in zip(p, p[1:], strict=False)})
         self.b_space = [self.b.piece_to_id("▁")]
         self.known: dict[str, Unit] = {}
         self.older: dict[str, Unit] = {}
@@ -304,9 +323,9 @@ class Aligner:
         """Ids of A and of B for each unit, and whether both give its bytes."""
         a = Rows.of([e.ids for e in self.a.encode_batch_fast(found, add_special_tokens=False)])
         # The processor puts a space in front, which is the unit's own, and the whole of a single
-        # space; a line break keeps it apart as a piece.
-        b = self.b.encode([u[1:] if u[0] == " " else u for u in found], num_threads=1)
-        b = Rows.of([(ids or self.b_space) if u[0] == " " else ids[1:] for u, ids in zip(found, b, strict=True)])
+        # space; a line break keeps it apart as a piece, and is one itself.
+        b = self.b.encode([u[1:] if u[0] == " " else u if u[0] == "\n" else "\n" + u for u in found], num_threads=1)
+        b = Rows.of([(ids or self.b_space) if u[0] == " " else ids[1:] if u[0] == "\n" else ids[2:] for u, ids in zip(found, b, strict=True)])
         octets = [u.encode("utf-8", "surrogatepass") for u in found]
         size, whole = np.fromiter(map(len, octets), np.int64, len(octets)), b"".join(octets)
         same = (a.sums(self.a_size) == size) & (b.sums(self.b_size) == size)
@@ -381,7 +400,7 @@ def align_units(aligner: Aligner, cut: list[list[str]]) -> list[Part]:
 
 def align_texts(aligner: Aligner, texts: list[str]) -> list[Part]:
     """Whole texts, a space in front of each."""
-    return _align_coded(aligner, *coded_units(texts))
+    return _align_coded(aligner, *coded_units(texts, aligner.sign_cut))
 
 
 def _align_coded(aligner: Aligner, names: list[str], codes: np.ndarray, edges: np.ndarray) -> list[Part]:

@@ -74,7 +74,7 @@ def found(frame):
     return sorted((tuple(r) for r in frame.collect()), key=repr)
 
 
-PIECES = ["a", "the", "Straße", " ", "  ", "\n", "\r\n", "\t", "don't", "x" * 30, "1234567", "==", "中文字", "🙂", "<|endoftext|>", "<s>", " ", "é", "\x00", "\x1c", " \n", "▁", "...", "　"]
+PIECES = ["a", "the", "Straße", " ", "  ", "\n", "\r\n", "\t", "don't", "x" * 30, "1234567", "==", "中文字", "🙂", "<|endoftext|>", "<s>", " ", "é", "\x00", "\x1c", " \n", "▁", "...", "　", "t.", "St.", "x,y;z", "it's.", "ü!", "(a)", "\x01", "1.5%"]
 
 
 @settings(max_examples=300, deadline=None)
