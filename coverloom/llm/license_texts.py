@@ -1,4 +1,9 @@
-"""Full texts of public licences, each with its name and the number of its title lines."""
+"""Full texts of public licences, each with its name and the number of its title lines.
+
+Fixed values: the texts as their authors publish them (the Apache Software Foundation, the Free
+Software Foundation, Mozilla, Creative Commons, the Perl Foundation) and as Debian systems carry
+them in /usr/share/common-licenses.
+"""
 
 TEXTS = (
     ("Apache-2.0", 3, '''
