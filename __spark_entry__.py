@@ -344,6 +344,15 @@ def _dq_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.observed_report({name: table() for name, table in _tables(spark, sf_dir).items()})
 
 
+def _composite_keys(s: Staged) -> DataFrame:
+    """Keys of several columns: those of both summaries, and one that does not hold."""
+    return reduce(DataFrame.unionByName, [
+        quality.unique_together(marts.agent_commission_summary(s), "agent_commission_summary", "agent_id", "period", "carrier"),
+        quality.unique_together(marts.agent_commission_summary_monthly(s), "agent_commission_summary_monthly", "agent_id", "period"),
+        quality.unique_together(s.policies, "stg_policies", "member_id", "effective_date"),
+    ])
+
+
 @cache
 def _catalog(spark: SparkSession, sf_dir: str) -> str:
     """Bucketed tables under a prefix of their own; policies with more than six payments count as hot."""
@@ -453,6 +462,7 @@ def queries() -> dict[str, Query]:
         },
         "dq_no_negative_commission": _on_staged(lambda s: quality.negative_commissions(marts.priced_payments(s))),
         "dq_report": _on_checks(quality.report),
+        "dq_composite_unique": _on_staged(_composite_keys),
         "dq_failing_values": _on_checks(quality.failing_values),
         # incremental loading ends in the same marts as a full build
         "incr_payments": _step_table("fct_payments"),

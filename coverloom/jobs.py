@@ -28,7 +28,7 @@ from coverloom.operators.staging import Staged
 from coverloom.plans import warehouse
 from coverloom.plans.reports import reports
 from coverloom.schemas import RAW_SCHEMAS
-from coverloom.session import clean_up, open_session
+from coverloom.session import clean_up, folders_made, open_session
 from coverloom.sources import read_raw
 from coverloom.sources.store import Store
 from coverloom.streaming.payments import merge_feed, payment_feed
@@ -103,7 +103,7 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
                 command.add_argument(flag, required=needed, default=None if needed else given.default, type=KINDS.get(option, str))
     given = vars(parser.parse_args(arguments))
     job = given.pop("job")
-    session = spark or open_session(job)
+    session, before = spark or open_session(job), folders_made()
     try:
         result = JOBS[job](session, **given)
         failed = result.collect() if result is not None else []  # one row per failed check at the most
@@ -111,7 +111,7 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
         print(rejected)
         return 1
     finally:
-        clean_up(session)
+        clean_up(session, before)
     for row in failed:
         print(*[f"{k}={v}" for k, v in row.asDict().items()])
     return 1 if failed else 0

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,6 +155,19 @@ def _count_table(frame: DataFrame, checks: list[Check]) -> DataFrame:
     return totals.select(F.explode(F.array(*results)).alias("r")).select("r.*")
 
 
+def unique_together(frame: DataFrame, table: str, *columns: str) -> DataFrame:
+    """The report's row for a key of several columns: keys that occur more than once. As in a
+    single column, a key with a null in it is not compared."""
+    known = reduce(and_, [F.col(c).isNotNull() for c in columns])
+    keys = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    return keys.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_checked"), F.count_if(known & (F.col("_n") > 1)).alias("failures"),
+    ).select(
+        F.lit(UNIQUE).alias("test"), F.lit(table).alias("table_name"), F.lit(", ".join(columns)).alias("column_name"), "rows_checked", "failures",
+        (F.col("failures") == 0).alias("passed"),
+    )
+
+
 def _count_orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     """Child and parent keys are stacked and counted, which takes one shuffle and no join; a
     key held by a third of the child rows is one row per task. Both name the key alike."""

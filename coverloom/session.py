@@ -96,12 +96,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return _made[-1]
 
 
-def clean_up(spark: SparkSession) -> int:
-    """Deletes the folders that ``shared_folder`` has given out, once nothing reads them any
-    more; how many. Spark has no call of its own that deletes files, so this one needs the
-    driver's JVM."""
+def folders_made() -> int:
+    return len(_made)
+
+
+def clean_up(spark: SparkSession, keep: int = 0) -> int:
+    """Deletes the folders that ``shared_folder`` has given out, but for the first ``keep``, once
+    nothing reads them any more; how many. Spark has no call of its own that deletes files, so
+    this one needs the driver's JVM."""
     gone = 0
-    while _made:
+    while len(_made) > keep:
         path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
         gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
     return gone

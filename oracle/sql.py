@@ -585,6 +585,14 @@ def _passed(body: str) -> str:
 for _kind in ("unique", "not_null", "accepted_values", "relationships", "accepted_range"):
     FINAL[f"dq_{_kind}"] = _passed(_counted(_kind))
 FINAL["dq_report"] = _passed(" UNION ALL ".join(_counted(kind) for kind in KINDS))
+FINAL["dq_composite_unique"] = _passed(" UNION ALL ".join(
+    f"SELECT 'unique' AS test, '{name}' AS table_name, '{keys}' AS column_name, (SELECT count(*) FROM {part}) AS rows_checked, "
+    f"(SELECT count(*) FROM (SELECT {keys} FROM {part} GROUP BY ALL HAVING count(*) > 1)) AS failures"
+    for name, part, keys in (
+        ("agent_commission_summary", "cs", "agent_id, period, carrier"), ("agent_commission_summary_monthly", "cm", "agent_id, period"),
+        ("stg_policies", "sp", "member_id, effective_date"),
+    )
+))
 FINAL["dq_no_negative_commission"] = f"""
 SELECT payment_id, {dbl('amount_paid', 'commission_earned')} FROM fp WHERE commission_earned < 0"""
 FINAL["dq_failing_values"] = (

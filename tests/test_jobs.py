@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from pathlib import Path
 
 from conftest import DEFAULTS, rows
 
@@ -27,6 +28,8 @@ def test_seed_build_check_report_load(spark, raw, tmp_path, capsys):
     assert run("check", "raw", "marts") == 0
     store = Store(spark, places["marts"])
     assert rows(store.read("fct_payments"), "payment_id", "payment_status") == [("Y0", "paid"), ("Y1", "failed")]
+    # Nothing is left of what the jobs wrote on the way.
+    assert not [f for f in Path(spark.conf.get("spark.checkpoint.dir")).glob("*-candidate-*")]
 
     assert run("report", "raw", "marts", "out", as_of="2024-06-15") == 0
     revenue = spark.read.parquet(f"{places['out']}/monthly_revenue")

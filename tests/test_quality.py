@@ -143,3 +143,11 @@ def test_empty_tables_pass(spark, staged):
         "agent_commission_summary": lambda: marts.agent_commission_summary(s),
     })
     assert found.count() == 41 and failures(found) == {}
+
+
+def test_keys_of_several_columns(spark):
+    frame = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1), ("b", 1), (None, 1), (None, 1)], "k string, n int")
+    assert quality.unique_together(frame, "t", "k", "n").first().asDict() == {
+        "test": "unique", "table_name": "t", "column_name": "k, n", "rows_checked": 7, "failures": 1, "passed": False,
+    }
+    assert quality.unique_together(frame.limit(0), "t", "k", "n").first().rows_checked == 0
