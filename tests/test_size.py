@@ -1,11 +1,40 @@
 """What keeps memory, disk and shuffles in proportion to the input."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from conftest import TESTDATA
 
-from coverloom.session import folders_made, tune
+from coverloom.session import MB, REDUCER_BYTES, fit_reducers, folders_made, input_bytes, tune
+
+INITIAL, ADVISORY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@pytest.fixture
+def settings(spark):
+    names = (INITIAL, ADVISORY, "spark.sql.shuffle.partitions")
+    before = {k: spark.conf.get(k, None) for k in names}
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_reducers_grow_with_the_input(spark, settings):
+    first = {}
+    for size in (MB, 1000 * MB, 6000 * MB):
+        fit_reducers(spark, size)
+        first[size] = int(spark.conf.get(INITIAL))
+        assert int(spark.conf.get(ADVISORY)) == REDUCER_BYTES
+    assert first[MB] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert first[1000 * MB] == 625 and first[6000 * MB] == 3750
+
+
+def test_registered_queries_fit_their_reducers(spark, settings, monkeypatch):
+    seen = []
+    monkeypatch.setattr(registered, "fit_reducers", lambda session, size: seen.append(size) or session)
+    registered.queries()["q1_monthly_revenue"](spark, TESTDATA)
+    assert seen == [input_bytes(spark, *[f"{TESTDATA}/{t}.parquet" for t in ("supplier", "customer", "orders", "lineitem")])] and seen[0] > 0
 
 
 def test_a_step_leaves_no_shuffle_files(spark):
