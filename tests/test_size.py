@@ -1,11 +1,14 @@
 """What keeps memory, disk and shuffles in proportion to the input."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
-from conftest import TESTDATA
+from conftest import TESTDATA, rows
 
+from coverloom.operators import versions
 from coverloom.session import MB, REDUCER_BYTES, fit_reducers, folders_made, input_bytes, tune
 
 INITIAL, ADVISORY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -48,3 +51,26 @@ def test_a_load_in_steps_keeps_its_store_only(spark):
     made = folders_made()
     store = registered._loaded_in_steps.__wrapped__(spark, TESTDATA)
     assert folders_made() == made + 1 and store.read("payment_rejects").count() > 0
+
+
+def test_payments_are_dealt_once_for_both_kinds_of_versions(staged, spark, monkeypatch):
+    s = staged(
+        members=[dict(member_id="M1"), dict(member_id="M2")],
+        payments=[dict(payment_id=f"{m}{k}", member_id=m, due_date=date(2024, k, 15)) for m in ("M1", "M2", "M3") for k in range(1, 7)],
+    )
+    owners = spark.createDataFrame(
+        [("M1", date(2024, 2, 1), "A1"), ("M1", date(2024, 4, 1), "A2"), ("M2", date(2024, 1, 1), None), ("M2", date(2024, 3, 1), "A9"), ("M2", date(2024, 5, 1), "A1")],
+        "member_id string, valid_from date, agent_id string",
+    )
+    agents = spark.createDataFrame(
+        [("A1", date(2024, 3, 1), "n", "g", "gold"), ("A1", date(2024, 4, 1), "n", "g", "never"), ("A1", date(2024, 6, 1), "n", "g", "platinum"), ("A2", date(2024, 5, 1), "m", "g", None), ("A2", date(2024, 6, 1), "m", "h", "silver")],
+        "agent_id string, valid_from date, agent_name string, agency_name string, agent_tier string",
+    )
+    dealt, join = [], versions.as_of_join
+    monkeypatch.setattr(versions, "as_of_join", lambda facts, *others: dealt.append("payment_id" in facts.columns) or join(facts, *others))
+    found = versions.fct_payments_as_of(s, owners, agents)
+    assert dealt == [False, True]
+    plain = versions.as_of_join(versions.as_of_join(s.payments, owners, "member_id", "due_date"), agents, "agent_id", "due_date")
+    shown = ("payment_id", "agent_id", "agent_name", "agency_name", "agent_tier")
+    assert rows(found, *shown) == rows(plain, *shown) and found.count() == 18
+    assert ("M14", "A2", None, None, None) in rows(found, *shown) and ("M25", "A1", "n", "g", "never") in rows(found, *shown)
