@@ -9,6 +9,7 @@ import __spark_entry__ as registered
 from conftest import TESTDATA, rows
 
 from coverloom.operators import versions
+from coverloom.plans.catalog import CatalogMarts
 from coverloom.session import MB, REDUCER_BYTES, fit_reducers, folders_made, input_bytes, tune
 
 INITIAL, ADVISORY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -74,3 +75,16 @@ def test_payments_are_dealt_once_for_both_kinds_of_versions(staged, spark, monke
     shown = ("payment_id", "agent_id", "agent_name", "agency_name", "agent_tier")
     assert rows(found, *shown) == rows(plain, *shown) and found.count() == 18
     assert ("M14", "A2", None, None, None) in rows(found, *shown) and ("M25", "A1", "n", "g", "never") in rows(found, *shown)
+
+
+def test_catalog_payments_are_worked_out_once(spark, staged, monkeypatch):
+    made, store = [], CatalogMarts(spark, "size_", buckets=2, hot_rows=2)
+    s = staged(payments=[dict(payment_id=str(k), policy_id="hot" if k < 3 else f"P{k}") for k in range(9)])
+    monkeypatch.setattr(store, "_bucketed", lambda frame, name: made.append((name, frame)))
+    monkeypatch.setattr(store, "_plain", lambda frame, name: made.append((name, frame)))
+    monkeypatch.setattr(store, "table", lambda name: dict(made)[name])
+    store.store_tables(s)
+    for name, n in (("payments", 6), ("payments_hot", 3)):
+        frame = dict(made)[name]
+        assert "catalog-payments" in frame._jdf.queryExecution().executedPlan().toString() and frame.count() == n
+        assert frame.columns == s.payments.columns or set(frame.columns) == set(s.payments.columns)
