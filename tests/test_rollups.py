@@ -38,6 +38,22 @@ def test_bitmaps_count_distinct_members_exactly(spark, tmp_path):
     assert bitmaps.agg(F.max(F.length("members"))).first()[0] == 4096
 
 
+def test_rows_are_as_wide_as_their_members(spark):
+    """Agents of four members each beside one of 38,000: a whole bitmap for each would be 4,096 bytes."""
+    agent = F.expr("if(id < 38000, 'big', concat('a', cast(id div 4 as string)))")
+    numbers = spark.range(40_000).select(F.concat(F.lit("m"), "id").alias("member_id"), agent.alias("agent_id"), F.col("id").alias("number"))
+    billed = numbers.filter("number % 3 < 2").select("member_id", F.lit("2024-01").alias("due_period"), F.lit("VSP").alias("carrier"))
+    bitmaps = rollups.billed_members(billed.unionByName(billed), numbers).cache()
+    assert bitmaps.filter("agent_id <> 'big'").agg(F.max(F.length("members"))).first()[0] <= 20
+    whole = numbers.join(billed, "member_id")
+    assert rows(rollups.count_members(bitmaps, "agent_id"), "agent_id", "active_members") == rows(whole.groupBy("agent_id").count())
+    assert rollups.count_members(bitmaps, "carrier").first().active_members == billed.count()
+    # The wide rows are what Spark's own function builds.
+    spark_made = whole.filter("agent_id = 'big'").groupBy(F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("members"))
+    wide = bitmaps.filter("agent_id = 'big' and length(members) = 4096")
+    assert wide.count() == 2 and rows(wide, "bucket", "members") == rows(spark_made.filter("bucket > 0"), "bucket", "members")
+
+
 def test_cube_reads_the_smallest_cuboid(spark, fact):
     cube = registered._cube(spark, TESTDATA)
     assert set(cube.sizes) == {rollups.cuboid_name(c) for c in rollups.LATTICE}
