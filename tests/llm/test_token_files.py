@@ -24,6 +24,21 @@ def test_word_encoder_equals_the_tokenizer():
     assert found == ids_of(texts)
 
 
+def test_words_of_letters_go_to_the_model_directly(monkeypatch):
+    parts = ["the", "ñandú", "Straße", "ʯǅ", "ÿÀ", "×", "÷", "ʰ", "ა", "9", "'s", "it's", ".", "),", "_", " ", " ", "\n", "ªº", "µ"]
+    pick = random.Random(5)
+    texts = ["".join(pick.choice(parts) for _ in range(pick.randint(0, 12))) for _ in range(4000)]
+    encoder, asked = token_files.WordEncoder(PATH), []
+    ask = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda words: asked.extend(words) or ask(words))
+    found = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert found == ids_of(texts)
+    asked.clear()
+    plain = [f"new{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]} words, only." for k in range(100)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(plain)] == ids_of(plain)
+    assert not [w for w in asked if any(c.isalpha() for c in w)]
+
+
 def test_many_unspaced_lines():
     lines = [f"{k}.5\tw{k % 977}!" for k in range(100_000)]
     texts = ["\n".join(lines), "a b " + "\n".join(lines[:5000]) + "\n\nend\nend", "行\n" * 3000, "x\r\n" * 3000 + "y\nz"]
