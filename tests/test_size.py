@@ -54,6 +54,29 @@ def test_a_load_in_steps_keeps_its_store_only(spark):
     assert folders_made() == made + 1 and store.read("payment_rejects").count() > 0
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checks_work_the_raw_tables_out_once(spark):
+    kept, plain = registered._tables(spark, TESTDATA), registered._tables_of(registered._staged(spark, TESTDATA))
+    made = folders_made()
+    for table in ("policies", "payments", "fct_payments", "cancellations"):
+        frame = kept[table]()
+        plan = _plan(frame)
+        assert "raw-p" in plan and "lineitem" not in plan and "orders" not in plan, table
+        assert frame.schema.names == plain[table]().schema.names and frame.exceptAll(plain[table]()).isEmpty() and frame.count() == plain[table]().count()
+    assert folders_made() == made + 2
+
+
+def test_dirty_payments_that_come_twice_are_read_once(spark):
+    dirty = registered._dirty(spark, TESTDATA).raw.payments
+    assert _plan(dirty).count("lineitem.parquet") == 1
+    clean, hit = registered._staged(spark, TESTDATA).raw.payments, "policy_id like '%88'"
+    assert dirty.filter(hit).count() == 2 * clean.filter(hit).count() > 0
+    assert dirty.count() == clean.count() + clean.filter(hit).count()
+
+
 def test_payments_are_dealt_once_for_both_kinds_of_versions(staged, spark, monkeypatch):
     s = staged(
         members=[dict(member_id="M1"), dict(member_id="M2")],
