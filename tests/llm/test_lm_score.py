@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from coverloom.llm import lm_score
@@ -42,3 +43,16 @@ def test_null_ids_clash_with_no_one(spark):
     docs = spark.createDataFrame([(None, "a b", "x"), (None, "c", "x"), (1, None, "x")], DOCS)
     found = lm_score.score_words(docs, spark.createDataFrame([(None, 1)], LABELS)).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in found) == [(0, 2), (0, 3), (1, 1)]
+
+
+def test_ngrams_move_once_per_group_and_packed(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(200)), "") for k in range(400)], DOCS)
+    good = lm_score.good_documents(spark.createDataFrame([(1, 1)], LABELS))
+    found = lm_score.document_grams(docs, good)
+    assert found.select("gram").distinct().count() == 402  # 200 words and the mark, 201 bigrams
+    assert found.count() <= 402 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grams = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 1 << 20, dtype=np.uint64))
+    packed = lm_score.pack(np.diff(grams, prepend=np.uint64(0)))
+    assert len(packed) < 6 * len(grams)
+    for values in (grams, np.array([0, 1, (1 << 64) - 1], np.uint64), np.zeros(3, np.int64), np.empty(0, np.uint64)):
+        assert (lm_score.unpack(lm_score.pack(values)) == values).all()
