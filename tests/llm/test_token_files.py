@@ -48,6 +48,15 @@ def test_many_unspaced_lines():
     assert max(map(len, [*encoder.first, *encoder.spaced])) <= 1000  # no text and no rest of one is kept
 
 
+def test_words_are_worked_out_when_first_met(monkeypatch):
+    monkeypatch.setattr(token_files, "MOST_WORDS", 50)
+    encoder = token_files.WordEncoder(PATH)
+    for k in range(4):  # over the limit, words are forgotten and worked out again
+        texts = [" ".join(f"w{j % 90}, Wort{j}ä." for j in range(n, n + 60)) for n in range(k, 300, 7)] + ["x" * 3000 + " " + "y1\n" * 1000]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == ids_of(texts)
+        assert max(map(len, [*encoder.first, *encoder.spaced])) <= 1000
+
+
 @pytest.mark.parametrize("bits", [1, 8])
 @pytest.mark.parametrize("ids", [[], [0], [2**32 - 1, 0, 7], list(range(300)) * 5, [50256] * 1000])
 def test_blocks_round_trip(bits, ids):
