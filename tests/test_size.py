@@ -1,5 +1,6 @@
 """What keeps memory, disk and shuffles in proportion to the input."""
 
+import re
 from datetime import date
 
 import pytest
@@ -8,16 +9,20 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registered
 from conftest import TESTDATA, rows
 
-from coverloom.operators import versions
+from coverloom.operators import slicing, versions
+from coverloom.operators.staging import Staged
+from coverloom.plans import marts
 from coverloom.plans.catalog import CatalogMarts
 from coverloom.session import MB, REDUCER_BYTES, fit_reducers, folders_made, input_bytes, tune
+from coverloom.sources import order_tables
 
+BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 INITIAL, ADVISORY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 @pytest.fixture
 def settings(spark):
-    names = (INITIAL, ADVISORY, "spark.sql.shuffle.partitions")
+    names = (INITIAL, ADVISORY, BROADCAST, "spark.sql.shuffle.partitions")
     before = {k: spark.conf.get(k, None) for k in names}
     yield
     for key, value in before.items():
@@ -111,3 +116,61 @@ def test_catalog_payments_are_worked_out_once(spark, staged, monkeypatch):
         frame = dict(made)[name]
         assert "catalog-payments" in frame._jdf.queryExecution().executedPlan().toString() and frame.count() == n
         assert frame.columns == s.payments.columns or set(frame.columns) == set(s.payments.columns)
+
+
+@pytest.fixture
+def many_agents(spark, tmp_path):
+    """51 suppliers with one twice, customers 1 to 500 dealt to 50 agents, orders and lines. Some keys are
+    missing, some come twice: customers, and orders that another agent's customer has signed as well."""
+    twice = lambda frame, rows: frame.unionByName(frame.filter(rows))
+    suppliers = spark.range(1, 51).selectExpr("id as s_suppkey", "concat('Supplier', id) as s_name", "cast(id % 25 as int) as s_nationkey")
+    customers = spark.range(1, 501).selectExpr(
+        "if(id = 500, null, id) as c_custkey", "concat('Customer#', id) as c_name", "cast(id % 25 as int) as c_nationkey",
+        "element_at(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), cast(id % 4 + 1 as int)) as c_mktsegment",
+    )
+    orders = spark.range(1, 6001).selectExpr(
+        "if(id % 997 = 0, null, id) as o_orderkey", "if(id % 991 = 0, null, id % 499 + 1) as o_custkey",
+        "element_at(array('F', 'O', 'P'), cast(id % 3 + 1 as int)) as o_orderstatus",
+        "cast(date_add(date '1996-01-01', cast(id % 1500 as int)) as timestamp_ntz) as o_orderdate",
+        "concat(id % 5 + 1, '-X') as o_orderpriority",
+    )
+    anothers = orders.filter("o_orderkey % 7 = 0").withColumn("o_custkey", F.col("o_custkey") % 499 + 2)
+    lines = spark.range(24000).selectExpr(
+        "if(id % 983 = 0, null, id div 4 + 1) as l_orderkey", "id * 7919 % 100003 as l_partkey", "id * 31 % 50 + 1 as l_suppkey",
+        "cast(id % 4 + 1 as int) as l_linenumber", "cast(id % 50 as double) as l_quantity", "(id % 11) / 100D as l_discount",
+        "element_at(array('R', 'A', 'N'), cast(id % 3 + 1 as int)) as l_returnflag",
+        "cast(date_add(date '1996-02-01', cast(id % 1700 as int)) as timestamp_ntz) as l_shipdate",
+    )
+    tables = {
+        "supplier": twice(suppliers, "s_suppkey = 7"), "customer": twice(customers, "c_custkey in (57, 107)"),
+        "orders": orders.unionByName(anothers), "lineitem": twice(lines, "l_orderkey % 13 = 0"),
+    }
+    for name, frame in tables.items():
+        frame.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_book_of_one_agent_moves_no_other_orders(spark, settings, monkeypatch, many_agents):
+    spark.conf.set(BROADCAST, "100k")
+    steps, write = [], order_tables.written_small
+    monkeypatch.setattr(order_tables, "written_small", lambda frame, purpose: steps.append(_plan(frame)) or write(frame, purpose))
+    book = registered.queries()["agent_book"](spark, many_agents)
+    assert len(steps) == 4
+    for text in (*steps, _plan(book)):
+        assert not re.search(r"Exchange hashpartitioning\((l_orderkey|o_orderkey|o_custkey|c_custkey|policy_id)", text)
+    whole = registered._staged(spark, many_agents)
+    expected = registered._shown(lambda *_: slicing.agent_book(marts.fct_payments(whole), whole.agents, "Agent7@Example.com"))(spark, many_agents)
+    assert 0 < expected.count() < marts.fct_payments(whole).count() / 10
+    # Orders of this agent's members that another agent's customer has signed too.
+    assert expected.groupBy("payment_id").count().filter("count > 1").count() > 0
+    assert book.exceptAll(expected).isEmpty() and expected.exceptAll(book).isEmpty()
+
+
+def test_book_is_cut_from_the_payments_given(spark, many_agents):
+    s = Staged(order_tables.OrderTables(spark, many_agents), date(2001, 9, 30))
+    given = s.payments.filter("payment_status = 'failed'")
+    own, all_own = (slicing.payments_of_agent(x, "agent7@example.com") for x in (s.with_payments(given), s))
+    assert rows(own.payments) == rows(all_own.payments.filter("payment_status = 'failed'")) != []
+    assert own.payments.join(own.members, "member_id", "left_anti").isEmpty() and own.payments.join(own.policies, "policy_id", "left_anti").isEmpty()
+    assert rows(own.cancellations, "cancellation_id") == rows(s.cancellations, "cancellation_id")
+    assert slicing.payments_of_agent(s, "nobody@example.com").payments.isEmpty()
