@@ -58,7 +58,7 @@ def refresh(
 ) -> None:
     store, s = Store(spark, marts), Staged(read_raw(spark, raw), as_of)
     changed = {k: spark.read.parquet(v) for k, v in (("agents", agents), ("members", members), ("policies", policies)) if v}
-    stored = s.with_payments(warehouse.stored_payments(store, s))
+    stored = s.with_payments(warehouse.stored_payments(store, s, columns=warehouse.REACHED_BY))
     warehouse.refresh(store, s, warehouse.touched_by_dimensions(stored, **changed))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import DEFAULTS, rows
 
+from coverloom import session
 from coverloom.operators.staging import stage_payments
 from coverloom.operators.upsert import VERSION, current_payments, first_rows, missing_rows, newest, upsert_payments
 from coverloom.plans import marts, warehouse
@@ -120,6 +121,27 @@ def test_rows_that_cannot_be_merged_are_set_aside_once(store, batch):
     ]
 
 
+def test_a_load_leaves_no_folder_behind_and_a_refresh_no_payments(store, batch, staged):
+    before = session.folders_made()
+    upsert_payments(store, batch(1, dict(payment_id="a")))
+    upsert_payments(store, batch(2, dict(payment_id="a", payment_status="failed")))
+    assert session.folders_made() == before
+    warehouse.refresh(store, staged())
+    assert not [f for f in session._made[before:] if "/current-" in f or "/fact-" in f]
+    assert rows(store.read("fct_payments"), "payment_id", "payment_status") == [("a", "failed")]
+    assert warehouse.stored_paid(store, staged()).count() == 0
+
+
+def test_current_payments_of_few_columns(store, batch, staged):
+    upsert_payments(store, batch(1, dict(payment_id="a"), dict(payment_id="b", member_id="M2")))
+    upsert_payments(store, batch(2, dict(payment_id="a", member_id="M3")))
+    few = warehouse.stored_payments(store, staged(), columns=warehouse.REACHED_BY)
+    assert few.columns == ["policy_id", "member_id", "due_period"]
+    assert rows(few, "member_id", "due_period") == [("M2", "2024-06"), ("M3", "2024-06")]
+    scans = [x for x in plain_scans(few._jdf.queryExecution().executedPlan().toString())]
+    assert scans and not [x for x in scans if "payment_method" in x.split("ReadSchema:")[1]]
+
+
 def test_a_load_that_dies_leaves_the_old_rows(store, batch, staged, monkeypatch):
     s = staged()
     upsert_payments(store, batch(1, dict(payment_id="a"), dict(payment_id="b", due_date=date(2024, 5, 1))))
