@@ -99,6 +99,8 @@ def test_payments_are_dealt_once_for_both_kinds_of_versions(staged, spark, monke
     monkeypatch.setattr(versions, "as_of_join", lambda facts, *others: dealt.append("payment_id" in facts.columns) or join(facts, *others))
     found = versions.fct_payments_as_of(s, owners, agents)
     assert dealt == [False, True]
+    # What deals them to the policies and to the members has ended.
+    assert "placed-payments" in (moved := found._jdf.queryExecution().executedPlan().toString()) and "(policy_id" not in moved
     plain = versions.as_of_join(versions.as_of_join(s.payments, owners, "member_id", "due_date"), agents, "agent_id", "due_date")
     shown = ("payment_id", "agent_id", "agent_name", "agency_name", "agent_tier")
     assert rows(found, *shown) == rows(plain, *shown) and found.count() == 18
