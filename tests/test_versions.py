@@ -131,6 +131,20 @@ def test_ordinary_policies_are_joined_without_a_shuffle(spark):
     hot = stored.table("payments_hot").count()
     assert 0 < hot < s.payments.count() and hot + stored.table("payments").count() == s.payments.count()
     assert rows(stored.table("fct_payments"), *marts.PAYMENT_COLUMNS) == rows(marts.fct_payments(s))
+
+
+def test_a_month_of_the_catalog_fact_is_one_file(spark):
+    s, width = registered._staged(spark, TESTDATA), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = CatalogMarts(spark, "few_files_", buckets=4, hot_rows=6)
+    stored.store_tables(s)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as over tables that are not small
+    try:
+        stored.build_fact(s)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", width)
+    fact = stored.table("fct_payments")
+    assert len(fact.inputFiles()) == fact.select("due_period").distinct().count()
+    stored.drop()
     assert "rows" in str(spark.sql("DESCRIBE EXTENDED bucketed_payments").filter("col_name = 'Statistics'").first())
     stored.drop()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
